@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,13 +26,15 @@ class PayloadReader:
         self._column = column
         self._kind = kind
 
-    def get(self, path: str, to: str) -> Column:
+    def expression(self, path: str, to: str) -> str:
+        """SQL text that reads ``path`` as type ``to`` from :attr:`frame`."""
         if isinstance(self._kind, T.VariantType):
-            return F.try_variant_get(F.col(self._column), f"$.{path}", to)
+            return f"try_variant_get(`{self._column}`, '$.{path}', '{to}')"
+        steps = path.split(".")
         kind: T.DataType = self._kind
-        for step in path.split("."):
+        for step in steps:
             if not isinstance(kind, T.StructType) or step not in kind.names:
-                return F.lit(None).cast(to)
+                return f"CAST(NULL AS {to})"
             kind = kind[step].dataType
-        value = F.col(f"{self._column}.{path}")
-        return value if kind.simpleString() == to else value.try_cast(to)
+        value = ".".join(f"`{step}`" for step in [self._column, *steps])
+        return value if kind.simpleString() == to else f"try_cast({value} AS {to})"

@@ -12,6 +12,7 @@ from ..schemas import VALID_FROM, VALID_TO, VERSION_ID, VERSION_UPDATED
 from .latest import latest_by
 
 MAX_LISTED_RUNS = 100_000
+STATE = "state"
 
 
 def _check_deletes(hard_deletes: str) -> None:
@@ -32,14 +33,14 @@ def _as_version(rows: DataFrame, key: str, valid_to: Column) -> DataFrame:
 
 
 def advance(
-    open_versions: DataFrame,
+    open_versions: DataFrame | None,
     incoming: DataFrame,
     key: str,
     watched: Sequence[str],
     run_ts: Column,
     hard_deletes: str = "close",
-) -> tuple[DataFrame, DataFrame]:
-    """One run: ``(open versions after it, versions it closed)``.
+) -> DataFrame:
+    """One run: the open versions after it and the versions it closed, told apart by ``state``.
 
     ``incoming`` has one row per key.  Closed versions never change again, so a
     run costs one join of the open versions with the listing, however long the
@@ -47,28 +48,32 @@ def advance(
     is not listed is closed at ``run_ts`` (or kept, with ``"ignore"``).
     """
     _check_deletes(hard_deletes)
-    old = open_versions.select(F.col(key).alias("__key"), F.struct(*open_versions.columns).alias("__old"))
-    new = incoming.filter(F.col(key).isNotNull()).select(
-        F.col(key).alias("__key"), F.struct(*incoming.columns).alias("__new")
-    )
+    fresh = _as_version(incoming.filter(F.col(key).isNotNull()), key, F.lit(None))
+    if open_versions is None:
+        return fresh.withColumn(STATE, F.lit("open"))
+    columns = fresh.columns
+    old = open_versions.select(F.col(key).alias("__key"), F.struct(*columns).alias("__old"))
+    new = fresh.select(F.col(key).alias("__key"), F.struct(*columns).alias("__new"))
     both = old.join(new, "__key", "full_outer")
-    is_listed, is_open = F.col("__new").isNotNull(), F.col("__old").isNotNull()
+
+    is_open, is_listed = F.col("__old").isNotNull(), F.col("__new").isNotNull()
     moved = ~F.struct(*[F.col(f"__old.{c}") for c in watched]).eqNullSafe(
         F.struct(*[F.col(f"__new.{c}") for c in watched])
     )
-    superseded = is_open & is_listed & moved
-    vanished = is_open & ~is_listed & F.lit(hard_deletes == "close")
-
-    started = both.filter(is_listed & (~is_open | moved)).select("__new.*")
-    kept = both.filter(is_open & ~superseded & ~vanished).select("__old.*")
-    closed = both.filter(superseded | vanished).select(
-        "__old.*", F.coalesce(F.col("__new.updated_at"), F.col("__new.extracted_at"), run_ts).alias("__end")
-    )
-    opened = _as_version(started, key, F.lit(None))
-    return (
-        kept.unionByName(opened),
-        closed.withColumn(VALID_TO, F.col("__end")).drop("__end"),
+    ends = is_open & F.when(is_listed, moved).otherwise(F.lit(hard_deletes == "close"))
+    starts = is_listed & (~is_open | moved)
+
+    def version(source: str, state: str, **changed: Column) -> Column:
+        values = [changed.get(c, F.col(f"{source}.{c}")).alias(c) for c in columns]
+        return F.struct(*values, F.lit(state).alias(STATE))
+
+    # Up to two versions come out of a joined pair, so the join runs once.
+    ended_at = F.when(is_listed, F.col(f"__new.{VALID_FROM}")).otherwise(run_ts)
+    produced = F.array(
+        F.when(ends, version("__old", "closed", **{VALID_TO: ended_at})).when(is_open, version("__old", "open")),
+        F.when(starts, version("__new", "open")),
     )
+    return both.select(F.inline(F.filter(produced, lambda v: v.isNotNull())))
 
 
 def run_order(staged: DataFrame) -> DataFrame:

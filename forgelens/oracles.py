@@ -290,9 +290,6 @@ def _health(name: str, issues: str = "issues", prs: str = "prs") -> str:
 )"""
 
 
-DAYS = "REPLACE (date_key::VARCHAR AS date_key, {0})"
-
-
 def _with(ctes: list[str], body: str) -> str:
     return "WITH " + ",".join(ctes) + "\n" + body
 
@@ -301,6 +298,161 @@ def _iso(*columns: str) -> str:
     return "REPLACE (" + ", ".join(f"{c}::VARCHAR AS {c}" for c in columns) + ")"
 
 
+STREAMED = """
+streamed AS (SELECT *, coalesce(stargazers_count, 0) AS stars, extracted_at + to_milliseconds(repo_id) AS event_time FROM repos),
+last_repo AS (SELECT * FROM streamed QUALIFY row_number() OVER (PARTITION BY repo_id ORDER BY event_time DESC) = 1)"""
+TIER_OF_STREAM = TIER.replace("stargazers_count", "stars")
+
+DIM_REPOS = f"""
+dim_repos AS (SELECT {_key('repo_id')} AS repo_key, {DIM_REPOS_COLUMNS} FROM live)"""
+
+
+# ------------------------------------------------------------------ rule counts
+# (table, rule, column, severity, what violates it); the SQL behind "unique" and
+# "relationships" is in _rules.  Names on the left are those of the stored tables.
+
+SQL_NAMES = {
+    "repositories": "repos",
+    "pull_requests": "prs",
+    "stg_repositories": "repos",
+    "stg_pull_requests": "prs",
+    "stg_issues": "issues",
+    "repos_snapshot": "history",
+    "dim_developers": "developers",
+    "dim_date": "calendar",
+    "fact_repo_snapshots": "fact_repos",
+    "fact_pull_requests": "fact_prs",
+    "mart_trending_repos": "trending",
+    "mart_developer_activity": "activity",
+    "mart_community_health": "health",
+}
+
+
+def _nulls(table: str, columns: str) -> list[tuple]:
+    return [(table, "not_null", c, "error", f"{c} IS NULL") for c in columns.split()]
+
+
+def _uniques(table: str, columns: str) -> list[tuple]:
+    return [(table, "unique", c, "error", None) for c in columns.split()]
+
+
+def _at_least(table: str, columns: str, floor: int = 0) -> list[tuple]:
+    return [(table, f"is_true(>= {floor})", c, "error", f"{c} < {floor}") for c in columns.split()]
+
+
+def _written_checks(table: str, key: str) -> list[tuple]:
+    return [
+        *_nulls(table, f"airbyte_raw_id {key} state author_login"),
+        (table, "accepted_values", "state", "error", "state <> 'open' AND state <> 'closed'"),
+        (table, "length_between", "title", "warn", "length(title) = 0 OR length(title) > 500"),
+        *_at_least(table, "comments_count"),
+    ]
+
+
+def _fact_checks(table: str, key: str) -> list[tuple]:
+    return [
+        *_nulls(table, f"{key} developer_key date_key"),
+        *_uniques(table, key),
+        (table, "relationships", "developer_key", "error", "developers.developer_key"),
+        (table, "relationships", "date_key", "error", "calendar.date_id"),
+        (table, "accepted_values", "state", "error", "state <> 'open' AND state <> 'closed'"),
+        (table, "is_true(>= 0)", "hours_to_close", "error", "hours_to_close < 0", "hours_to_close IS NOT NULL"),
+    ]
+
+
+def _not_empty(table: str) -> tuple:
+    return (table, "row_count_between", "*", "error", None)
+
+
+TABLE_CHECKS = [
+    _not_empty("stg_repositories"),
+    *_nulls("stg_repositories", "airbyte_raw_id repo_id full_name owner_login stargazers_count"),
+    ("stg_repositories", "accepted_values", "visibility", "error",
+     "visibility <> 'public' AND visibility <> 'private' AND visibility <> 'internal'"),
+    ("stg_repositories", "between", "stargazers_count", "warn", "stargazers_count < 5"),
+    *_at_least("stg_repositories", "stargazers_count forks_count"),
+    *_written_checks("stg_pull_requests", "pr_id"),
+    *_written_checks("stg_issues", "issue_id"),
+    *_nulls("repos_snapshot", "repo_id full_name dbt_valid_from dbt_scd_id"),
+    *_uniques("repos_snapshot", "dbt_scd_id"),
+    *_at_least("repos_snapshot", "stargazers_count forks_count"),
+    *_nulls("dim_repos", "repo_key repo_id full_name owner_login"),
+    *_uniques("dim_repos", "repo_key repo_id full_name"),
+    *_nulls("dim_developers", "developer_key developer_id developer_login"),
+    *_uniques("dim_developers", "developer_key developer_id"),
+    *_nulls("dim_date", "date_id"),
+    *_uniques("dim_date", "date_id"),
+    *_at_least("dim_date", "year", 2020),
+    *_nulls("fact_repo_snapshots", "snapshot_id repo_key developer_key date_key"),
+    *_uniques("fact_repo_snapshots", "snapshot_id"),
+    ("fact_repo_snapshots", "relationships", "repo_key", "error", "dim_repos.repo_key"),
+    ("fact_repo_snapshots", "relationships", "developer_key", "error", "developers.developer_key"),
+    ("fact_repo_snapshots", "relationships", "date_key", "error", "calendar.date_id"),
+    *_at_least("fact_repo_snapshots", "stargazers_count forks_count"),
+    *_fact_checks("fact_pull_requests", "pr_snapshot_id"),
+    *_fact_checks("fact_issues", "issue_snapshot_id"),
+    _not_empty("mart_trending_repos"),
+    *_nulls("mart_trending_repos", "repo_id full_name stargazers_count forks_count star_tier"),
+    *_uniques("mart_trending_repos", "repo_id"),
+    *_at_least("mart_trending_repos", "stargazers_count forks_count"),
+    ("mart_trending_repos", "accepted_values", "star_tier", "error",
+     "NOT list_contains(['high', 'medium', 'low', 'minimal'], star_tier)"),
+    _not_empty("mart_developer_activity"),
+    *_nulls("mart_developer_activity", "owner_login repos_created"),
+    *_uniques("mart_developer_activity", "owner_login"),
+    *_at_least("mart_developer_activity", "repos_created", 1),
+    *_at_least("mart_developer_activity", "total_stars avg_stars_per_repo"),
+    _not_empty("mart_community_health"),
+    *_nulls("mart_community_health", "repo_id full_name health_score"),
+    *_uniques("mart_community_health", "repo_id"),
+    ("mart_community_health", "between", "health_score", "error", "health_score < 0 OR health_score > 100"),
+    *_at_least("mart_community_health", "tracked_issues tracked_prs"),
+    ("mart_community_health", "between", "pr_merge_rate_pct", "warn", "pr_merge_rate_pct < 0 OR pr_merge_rate_pct > 100"),
+]
+
+SOURCE_CHECKS = [
+    *[("repositories", "column_exists", c, "error", None) for c in ("id", "full_name", "stargazers_count")],
+    ("repositories", "not_null", "id", "error", "repo_id IS NULL"),
+    ("repositories", "not_null", "full_name", "error", "full_name IS NULL"),
+    ("repositories", "between", "stargazers_count", "error", "stargazers_count < 5"),
+    ("repositories", "accepted_values", "language", "error", "language <> 'Python'"),
+    _not_empty("repositories"),
+    *[check for table, key in (("pull_requests", "pr_id"), ("issues", "issue_id")) for check in (
+        (table, "column_exists", "id", "error", None),
+        (table, "not_null", "id", "error", f"{key} IS NULL"),
+        (table, "not_null", "title", "error", "title IS NULL"),
+        (table, "accepted_values", "state", "error", "state <> 'open' AND state <> 'closed'"),
+    )],
+    ("issues", "between", "comments", "error", "comments_count < 0"),
+]
+
+
+def _rules(checks: list[tuple]) -> str:
+    """One SELECT per rule: how many rows it looked at and how many break it."""
+    selects = []
+    for table, rule, column, severity, violation, *where in checks:
+        source = SQL_NAMES.get(table, table)
+        if rule == "unique":
+            counted = f"""SELECT (SELECT count(*) FROM {source}) AS n_checked, (SELECT count(*) FROM
+                (SELECT {column} FROM {source} WHERE {column} IS NOT NULL GROUP BY 1 HAVING count(*) > 1)) AS n_failed"""
+        elif rule == "relationships":
+            parent, parent_column = violation.split(".")
+            counted = f"""SELECT count(*) AS n_checked, count(*) FILTER (WHERE {column} IS NOT NULL AND {column} NOT IN
+                (SELECT {parent_column} FROM {parent} WHERE {parent_column} IS NOT NULL)) AS n_failed FROM {source}"""
+        elif rule == "row_count_between":
+            counted = f"SELECT count(*) AS n_checked, (count(*) = 0)::BIGINT AS n_failed FROM {source}"
+        elif rule == "column_exists":
+            counted = "SELECT 1 AS n_checked, 0 AS n_failed"
+        else:
+            kept = f"WHERE {where[0]}" if where else ""
+            counted = f"SELECT count(*) AS n_checked, count(*) FILTER (WHERE {violation}) AS n_failed FROM {source} {kept}"
+        selects.append(
+            f"SELECT '{table}' AS table_name, '{rule}' AS rule, '{column}' AS column_name, '{severity}' AS severity, "
+            f"n_checked::BIGINT AS n_checked, n_failed::BIGINT AS n_failed, n_failed = 0 AS passed FROM ({counted})"
+        )
+    return "\nUNION ALL\n".join(selects)
+
+
 HISTORY_OUT = "SELECT * REPLACE (array_to_string(topics, ',') AS topics) FROM "
 
 
@@ -362,10 +514,65 @@ def oracle_sql() -> dict[str, str]:
             FROM fact_prs f JOIN live l ON l.full_name = f.repo_full_name GROUP BY ALL"""),
         "search_repositories": _with([REPOS], """
             SELECT * REPLACE (array_to_string(topics, ',') AS topics) FROM repos
-            WHERE created_at::DATE BETWEEN DATE '2021-01-01' AND DATE '2021-12-31'
+            WHERE created_at::DATE BETWEEN DATE '2020-02-01' AND DATE '2021-06-30'
               AND language = 'PROMO' AND stargazers_count >= 5"""),
         "page_dedup": """
             SELECT user_id AS id, event_id // 100 AS page, event_id % 100 AS position, event_type, value FROM events
             QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id // 100, event_id % 100) = 1""",
+        "event_json_classify": """
+            SELECT event_type, CASE WHEN k * 15 >= 1000 THEN 'high' WHEN k * 15 >= 100 THEN 'medium'
+                                    WHEN k * 15 >= 10 THEN 'low' ELSE 'minimal' END AS star_tier,
+                   count(*) AS n, sum(k)::BIGINT AS sum_k, 0::BIGINT AS sum_absent
+            FROM (SELECT event_type, (props ->> '$.k')::BIGINT AS k FROM events) GROUP BY 1, 2""",
+        "landing_roundtrip": _with([REPOS], """
+            SELECT * EXCLUDE (airbyte_raw_id) REPLACE (array_to_string(topics, ',') AS topics,
+                   TIMESTAMP '2026-06-05' AS airbyte_extracted_at) FROM repos"""),
+        "run_manifest": _with([REPOS], """
+            SELECT 'repositories' AS resource, run_id, extracted_at::DATE::VARCHAR AS date, count(*) AS records,
+                   min(extracted_at) AS started_at_utc, max(extracted_at) AS finished_at_utc
+            FROM repos GROUP BY ALL"""),
+        "run_scoped_manifest": """
+            SELECT 'issues' AS resource, 'run-3' AS run_id, '2026-06-04' AS date, count(*) AS records,
+                   TIMESTAMP '2026-06-04' AS started_at_utc, TIMESTAMP '2026-06-04' AS finished_at_utc FROM events""",
+        "stream_trending": _with([REPOS, STREAMED], f"""
+            SELECT repo_id, full_name, coalesce(owner_login, '') AS owner_login, coalesce(language, '') AS language,
+                   stars AS stargazers_count, forks_count, open_issues_count, {TIER_OF_STREAM} AS star_tier,
+                   date_trunc('second', event_time) AS event_time FROM last_repo"""),
+        "stream_trending_by_tier": _with([REPOS, STREAMED], f"""
+            SELECT {TIER_OF_STREAM} AS star_tier, count(*) AS repos, avg(stars) AS avg_stars FROM last_repo GROUP BY 1"""),
+        "stream_developer_latest": _with([REPOS, STREAMED], """
+            SELECT owner_login, owner_type, 1::BIGINT AS repos_count, stars AS total_stars, forks_count AS total_forks,
+                   coalesce(language, '') AS primary_language, date_trunc('second', event_time) AS event_time
+            FROM streamed QUALIFY row_number() OVER (PARTITION BY owner_login ORDER BY event_time DESC) = 1"""),
+        "stream_developer_totals": _with([REPOS, STREAMED], """
+            SELECT owner_login, count(*) AS repos_count, sum(stars)::BIGINT AS total_stars,
+                   sum(forks_count)::BIGINT AS total_forks FROM last_repo GROUP BY 1"""),
+        "stream_top_developers": _with([REPOS, STREAMED], """
+            SELECT owner_login, count(*) AS repos, sum(stars)::BIGINT AS stars FROM last_repo
+            GROUP BY 1 ORDER BY stars DESC, owner_login LIMIT 10"""),
+        "stream_owner_windows": _with([REPOS, STREAMED], """
+            SELECT date_trunc('day', event_time)::TIMESTAMP AS window_start,
+                   date_trunc('day', event_time)::TIMESTAMP + to_days(1) AS window_end, owner_login,
+                   count(*) AS repos_count, sum(stars)::BIGINT AS total_stars, sum(forks_count)::BIGINT AS total_forks
+            FROM streamed GROUP BY ALL"""),
+        "stream_dead_letters": """
+            SELECT missing, count(*) AS messages FROM (
+              SELECT concat_ws(',', CASE WHEN event_type = 'error' THEN 'repo_id' END,
+                                    CASE WHEN user_id % 3 = 0 THEN 'full_name' END,
+                                    CASE WHEN event_type = 'view' THEN 'stargazers_count' END) AS missing FROM events)
+            WHERE missing <> '' GROUP BY 1""",
+        "stream_redelivered": """
+            SELECT 'owner' || user_id AS owner_login, count(*) AS deliveries, sum(event_id)::BIGINT AS stars
+            FROM events GROUP BY 1""",
+        "dq_source": _with([REPOS, PRS, ISSUES], _rules(SOURCE_CHECKS)),
+        "dq_negative_values": _rules([
+            ("customer", "no_negative_values", "c_acctbal", "error", "c_acctbal < 0"),
+            ("supplier", "no_negative_values", "s_acctbal", "error", "s_acctbal < 0"),
+            ("lineitem", "no_negative_values", "l_quantity", "error", "l_quantity < 0"),
+        ]),
+        "dq_report": _with(
+            [HISTORY, PRS, ISSUES, FACT_REPOS, FACT_PRS, FACT_ISSUES, DIM_DATE, DEVELOPERS, TRENDING, ACTIVITY,
+             _health("health"), DIM_REPOS], _rules(TABLE_CHECKS)
+        ),
     }
     return sql

@@ -31,8 +31,8 @@ def latest_repos(staged: DataFrame) -> DataFrame:
 
 
 def advance_repos(
-    open_versions: DataFrame, staged: DataFrame, run_ts: Column, hard_deletes: str = "close"
-) -> tuple[DataFrame, DataFrame]:
+    open_versions: DataFrame | None, staged: DataFrame, run_ts: Column, hard_deletes: str = "close"
+) -> DataFrame:
     """One run of the history; see :func:`forgelens.operators.scd2.advance`."""
     return advance(open_versions, latest_repos(staged), "repo_id", WATCHED, run_ts, hard_deletes)
 

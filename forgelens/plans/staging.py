@@ -18,12 +18,12 @@ def stage(raw: DataFrame, resource: str) -> DataFrame:
     if resource not in RESOURCES:
         raise ValueError(f"Unsupported resource {resource!r}; choose one of {', '.join(RESOURCES)}")
     reader = PayloadReader(raw)
-    staged = reader.frame.select(
-        F.col(RAW_ID).alias("airbyte_raw_id"),
-        F.col(LOADED_AT).alias("airbyte_extracted_at"),
-        F.col("_run_id").alias("run_id"),
-        F.col("_extracted_at").cast("timestamp").alias("extracted_at"),
-        *[reader.get(path, kind).alias(name) for name, (path, kind) in STAGED[resource].items()],
+    staged = reader.frame.selectExpr(
+        f"{RAW_ID} AS airbyte_raw_id",
+        f"{LOADED_AT} AS airbyte_extracted_at",
+        "_run_id AS run_id",
+        "CAST(_extracted_at AS TIMESTAMP) AS extracted_at",
+        *[f"{reader.expression(path, kind)} AS {name}" for name, (path, kind) in STAGED[resource].items()],
     )
     if resource != "repositories":
         staged = staged.withColumn("repo_full_name", repo_slug(F.col("repository_url")))

@@ -10,9 +10,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import session
-from .operators import asof_join, first_by, latest_by
-from .plans import dims, facts, marts, reports, snapshot, staging
-from .sources import feeds
+from .functions import star_tier
+from .operators import asof_join, first_by, latest_by, quality
+from .plans import contracts, dims, facts, marts, reports, snapshot, staging
+from .plans.build import build
+from .plans.stores import RepoHistory
+from .schemas import DEVELOPER_RECORD, RESOURCES, TRENDING_RECORD
+from .sources import feeds, landing
+from .sources.replacing import ReplacingTable
+from .streaming import messages, records, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -149,7 +155,7 @@ def pull_requests_by_owner(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def search_repositories(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.search_repositories(
-        _repos(spark, sf_dir), dt.date(2021, 1, 1), dt.date(2021, 12, 31), language="PROMO"
+        _repos(spark, sf_dir), dt.date(2020, 2, 1), dt.date(2021, 6, 30), language="PROMO"
     )
 
 
@@ -165,6 +171,173 @@ def page_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first_by(events, ["id"], ["page", "position"])
 
 
+def repos_snapshot_by_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history, taken in run by run through the stored version table."""
+    staged = _repos(spark, sf_dir)
+    history = RepoHistory(spark, session.scratch_dir(spark, "history"))
+    for run in range(1, feeds.RUNS + 1):
+        listing = staged.filter(F.col("run_id") == f"run-{run}")
+        history.apply(listing, f"2026060{1 + run}", F.lit(f"2026-06-0{1 + run} 00:00:00").cast("timestamp"))
+    return history.read()
+
+
+def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A full build with every rule evaluated; the feeds break some of them on purpose."""
+    raw = {r: feeds.feed(spark, sf_dir, r) for r in RESOURCES}
+    return build(spark, raw, session.scratch_dir(spark, "warehouse"), "20260604", gate=False).quality
+
+
+def dq_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The source contract on the payloads as delivered."""
+    parts = [
+        quality.evaluate(r, feeds.feed(spark, sf_dir, r).select("payload.*"), contracts.SOURCE_RULES[r])
+        for r in RESOURCES
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def dq_negative_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The no-negative-values rule on tables that hold some."""
+    checks = {"customer": "c_acctbal", "supplier": "s_acctbal", "lineitem": "l_quantity"}
+    parts = [
+        quality.evaluate(t, feeds.table(spark, sf_dir, t), [quality.not_negative(c)]) for t, c in checks.items()
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def event_json_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scalars taken out of JSON text, a missing one as 0, classified and counted."""
+    events = feeds.table(spark, sf_dir, "events")
+    stars = F.coalesce(F.get_json_object("props", "$.k"), F.lit("0")).try_cast("bigint")
+    absent = F.coalesce(F.get_json_object("props", "$.absent"), F.lit("0")).try_cast("bigint")
+    return (
+        events.select("event_type", star_tier(stars * 15).alias("star_tier"), stars.alias("k"), absent.alias("z"))
+        .groupBy("event_type", "star_tier")
+        .agg(F.count("*").alias("n"), F.sum("k").alias("sum_k"), F.sum("z").alias("sum_absent"))
+    )
+
+
+def _landed(spark: SparkSession, sf_dir: str, resource: str, run_scoped: bool = False) -> str:
+    base = session.scratch_dir(spark, "landing")
+    landing.write(feeds.feed(spark, sf_dir, resource), base, resource, run_scoped=run_scoped)
+    return base
+
+
+def landing_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land repositories as JSON lines, load them into the raw table, stage them from there."""
+    base = _landed(spark, sf_dir, "repositories")
+    raw_path = session.scratch_dir(spark, "raw")
+    loaded_at = F.lit("2026-06-05 00:00:00").cast("timestamp")
+    landing.write_raw(landing.to_raw(landing.read(spark, base, "repositories"), loaded_at), raw_path)
+    return staging.stage_repositories(landing.read_raw(spark, raw_path)).drop("airbyte_raw_id")
+
+
+def run_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land three days, land one of them again, and count what is there."""
+    base = _landed(spark, sf_dir, "repositories")
+    again = feeds.feed(spark, sf_dir, "repositories").filter(F.col("_run_id") == "run-2")
+    landing.write(again, base, "repositories")
+    return landing.manifest(landing.read(spark, base, "repositories"))
+
+
+def run_scoped_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run-scoped landing of issues, read back as one tree of files."""
+    return landing.manifest(landing.read_tree(spark, _landed(spark, sf_dir, "issues", run_scoped=True)))
+
+
+def _repo_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    envelopes = feeds.feed_stream(spark, sf_dir, "repositories")
+    moment = F.timestamp_millis(F.unix_millis("_extracted_at") + F.col("payload.id"))
+    return messages.envelope_messages(envelopes, moment)
+
+
+def _drain(spark: SparkSession, rows: DataFrame, key, order: list[str], label: str, **options) -> ReplacingTable:
+    """Run a stream over everything available into a new replacing table."""
+    base = session.scratch_dir(spark, label)
+    table = ReplacingTable(spark, f"{base}/table", key, order)
+    sinks.upsert(rows, table, f"{base}/checkpoint", **options).awaitTermination()
+    return table
+
+
+def _trending_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parsed = messages.parse_repositories(_repo_messages(spark, sf_dir))
+    rows = records.trending(parsed, F.col("row_time"))
+    return _drain(spark, rows, "repo_id", ["event_time"], "trending", record=TRENDING_RECORD).read()
+
+
+def stream_trending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records.as_served(_trending_table(spark, sf_dir), TRENDING_RECORD)
+
+
+def stream_trending_by_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.trending_by_tier(_trending_table(spark, sf_dir))
+
+
+def stream_developer_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Last record per owner, as a table that replaces by owner holds it."""
+    rows = records.developer_activity(messages.parse_repositories(_repo_messages(spark, sf_dir)))
+    table = _drain(spark, rows, "owner_login", ["event_time"], "developers", record=DEVELOPER_RECORD)
+    return records.as_served(table.read(), DEVELOPER_RECORD)
+
+
+def stream_developer_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records.owner_totals(_trending_table(spark, sf_dir))
+
+
+def stream_top_developers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.top_developers(stream_developer_totals(spark, sf_dir))
+
+
+def stream_owner_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parsed = messages.parse_repositories(_repo_messages(spark, sf_dir))
+    rows = records.windowed_owner_totals(parsed, late="7 days")
+    keys = ["window_start", "owner_login"]
+    return _drain(spark, rows, keys, ["repos_count"], "windows", output_mode="update").read()
+
+
+def stream_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages that break the contract, counted by the fields they lack."""
+    source = spark.readStream.schema(feeds.table(spark, sf_dir, "events").schema)
+    events = source.parquet(f"{sf_dir}/events.parque[t]")
+    payload = F.struct(
+        F.when(F.col("event_type") != "error", F.col("event_id")).alias("id"),
+        F.when(F.col("user_id") % 3 != 0, F.concat(F.lit("repo-"), "user_id")).alias("full_name"),
+        F.when(F.col("event_type") == "view", "many").otherwise(F.col("user_id").cast("string")).alias("stargazers_count"),
+    )
+    value = F.to_json(F.struct(payload.alias("payload"))).cast("binary")
+    rows = events.select(F.lit(None).cast("binary").alias("key"), value.alias("value"), F.col("ts").alias("timestamp"))
+    trending = records.trending(messages.parse_repositories(rows), F.col("row_time"))
+    letters = session.scratch_dir(spark, "dead-letters")
+    _drain(spark, trending, "repo_id", ["event_time"], "strict", record=TRENDING_RECORD, dead_letters=letters)
+    return (
+        spark.read.parquet(letters)
+        .groupBy(F.array_join("missing", ",").alias("missing"))
+        .agg(F.count("*").alias("messages"))
+    )
+
+
+def stream_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event delivered twice; counted once per owner and day."""
+    source = spark.readStream.schema(feeds.table(spark, sf_dir, "events").schema)
+    events = source.parquet(f"{sf_dir}/events.parque[t]")
+    payload = F.struct(
+        F.col("event_id").alias("id"),
+        F.struct(F.concat(F.lit("owner"), "user_id").alias("login")).alias("owner"),
+        F.col("event_id").alias("stargazers_count"),
+    )
+    twice = events.withColumn("delivery", F.explode(F.array(F.lit(1), F.lit(2)))).select(
+        F.lit(None).cast("binary").alias("key"),
+        F.to_json(F.struct(payload.alias("payload"))).cast("binary").alias("value"),
+        F.col("ts").cast("timestamp").alias("timestamp"),
+    )
+    once = messages.parse_repositories(messages.drop_redelivered(twice, within="60 days"))
+    rows = once.select("repo_id", "owner_login", "stargazers_count", F.col("row_time").alias("event_time"))
+    table = _drain(spark, rows, "repo_id", ["event_time"], "once").read_all()
+    return table.groupBy("owner_login").agg(
+        F.count("*").alias("deliveries"), F.sum("stargazers_count").alias("stars")
+    )
+
+
 REGISTERED: dict[str, Query] = {
     "stg_repositories": _staged_from_json("repositories"),
     "stg_pull_requests": _staged_from_json("pull_requests"),
@@ -190,6 +363,22 @@ REGISTERED: dict[str, Query] = {
     "pull_requests_by_owner": pull_requests_by_owner,
     "search_repositories": search_repositories,
     "page_dedup": page_dedup,
+    "repos_snapshot_by_run": repos_snapshot_by_run,
+    "dq_report": dq_report,
+    "dq_source": dq_source,
+    "dq_negative_values": dq_negative_values,
+    "event_json_classify": event_json_classify,
+    "landing_roundtrip": landing_roundtrip,
+    "run_manifest": run_manifest,
+    "run_scoped_manifest": run_scoped_manifest,
+    "stream_trending": stream_trending,
+    "stream_trending_by_tier": stream_trending_by_tier,
+    "stream_developer_latest": stream_developer_latest,
+    "stream_developer_totals": stream_developer_totals,
+    "stream_top_developers": stream_top_developers,
+    "stream_owner_windows": stream_owner_windows,
+    "stream_dead_letters": stream_dead_letters,
+    "stream_redelivered": stream_redelivered,
 }
 
 

@@ -9,7 +9,7 @@ Parquet scan reads only the columns a query needs.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import LOADED_AT, RAW_ID
@@ -31,161 +31,170 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _envelope(df: DataFrame, resource: str, run: Column, raw_id: Column, payload: Column) -> DataFrame:
-    extracted = _FIRST_EXTRACTION + run * DAY
-    return df.select(
-        F.lit(resource).alias("_resource"),
-        F.concat(F.lit("run-"), run.cast("string")).alias("_run_id"),
-        F.timestamp_seconds(extracted).alias("_extracted_at"),
-        F.md5(raw_id).alias(RAW_ID),
-        F.timestamp_seconds(extracted + _LOAD_DELAY).alias(LOADED_AT),
-        payload.alias("payload"),
+def _envelope(df: DataFrame, resource: str, run: str, raw_id: str, payload: dict[str, str]) -> DataFrame:
+    extracted = f"{_FIRST_EXTRACTION}L + {run} * {DAY}"
+    fields = ", ".join(f"'{name}', {value}" for name, value in payload.items())
+    return df.selectExpr(
+        f"'{resource}' AS _resource",
+        f"concat('run-', {run}) AS _run_id",
+        f"timestamp_seconds({extracted}) AS _extracted_at",
+        f"md5(concat_ws('-', '{resource}', {raw_id})) AS {RAW_ID}",
+        f"timestamp_seconds({extracted} + {_LOAD_DELAY}) AS {LOADED_AT}",
+        f"named_struct({fields}) AS payload",
     )
 
 
-def _full_name(key: Column) -> Column:
-    return F.concat(F.lit("owner"), (key % OWNERS).cast("string"), F.lit("/repo-"), key.cast("string"))
+def _full_name(key: str) -> str:
+    return f"concat('owner', {key} % {OWNERS}, '/repo-', {key})"
 
 
-def repositories(spark: SparkSession, sf_dir: str) -> DataFrame:
+def repositories(part: DataFrame) -> DataFrame:
     """Three daily listings; some repositories vanish, some vanish and return."""
-    part = table(spark, sf_dir, "part").withColumn(
-        "run", F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(RUNS).cast("bigint")))
+    listed = (
+        part.selectExpr("p_partkey AS k", "bigint(p_size) AS size", "p_name", "p_type", "p_brand", f"explode(sequence(1L, {RUNS}L)) AS r")
+        .where("NOT (r = 3 AND k % 50 = 0) AND NOT (r = 2 AND k % 60 = 7)")
+        .selectExpr(
+            "*",
+            f"k % {OWNERS} AS owner",
+            "CASE WHEN k % 101 <> 0 THEN (k * 37) % 2500 + r * (k % 3) END AS stars",
+            f"timestamp_seconds({_EPOCH_2020} + (k % 1500) * {DAY} + size * {HOUR}) AS created",
+            f"timestamp_seconds({_EPOCH_2026} + r * {DAY} + size * {HOUR}) AS updated",
+        )
     )
-    key, size, run = F.col("p_partkey"), F.col("p_size").cast("bigint"), F.col("run")
-    listed = ~((run == 3) & (key % 50 == 0)) & ~((run == 2) & (key % 60 == 7))
-    owner = key % OWNERS
-    stars = F.when(key % 101 != 0, (key * 37) % 2500 + run * (key % 3))
-    updated = F.timestamp_seconds(_EPOCH_2026 + run * DAY + size * HOUR)
-    payload = F.struct(
-        key.alias("id"),
-        F.concat(F.lit("R_"), key.cast("string")).alias("node_id"),
-        F.concat(F.lit("repo-"), key.cast("string")).alias("name"),
-        _full_name(key).alias("full_name"),
-        F.struct(
-            F.concat(F.lit("owner"), owner.cast("string")).alias("login"),
-            (1_000_000 + owner).alias("id"),
-            F.when(owner % 5 == 0, "Organization").otherwise("User").alias("type"),
-        ).alias("owner"),
-        F.concat(F.lit("Repo "), F.col("p_name")).alias("description"),
-        F.when(size % 2 == 0, F.concat(F.lit("https://example.org/"), key.cast("string"))).alias("homepage"),
-        F.when(key % 17 != 0, F.col("p_type")).alias("language"),
-        F.split("p_name", " ").alias("topics"),
-        F.when(key % 23 == 0, "internal").otherwise("public").alias("visibility"),
-        F.lit("main").alias("default_branch"),
-        F.struct(
-            F.when(size % 4 != 0, F.lower("p_brand")).alias("key"),
-            F.when(size % 4 != 0, F.col("p_brand")).alias("name"),
-        ).alias("license"),
-        F.when(key % 43 != 0, key % 7 == 0).alias("fork"),
-        (key % 29 == 0).alias("archived"),
-        (key % 31 == 0).alias("disabled"),
-        F.lit(False).alias("private"),
-        (size % 2 == 0).alias("has_issues"),
-        (size % 3 == 0).alias("has_wiki"),
-        (size % 5 == 0).alias("has_discussions"),
-        stars.alias("stargazers_count"),
-        stars.alias("watchers_count"),
-        ((key * 13) % 400).alias("forks_count"),
-        size.alias("open_issues_count"),
-        (size * 100).alias("size"),
-        F.timestamp_seconds(_EPOCH_2020 + (key % 1500) * DAY + size * HOUR).alias("created_at"),
-        updated.alias("updated_at"),
-        updated.alias("pushed_at"),
-    )
-    raw_id = F.concat_ws("-", F.lit("repositories"), run.cast("string"), key.cast("string"))
-    return _envelope(part.filter(listed), "repositories", run, raw_id, payload)
-
-
-def pull_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    payload = {
+        "id": "k",
+        "node_id": "concat('R_', k)",
+        "name": "concat('repo-', k)",
+        "full_name": _full_name("k"),
+        "owner": "named_struct('login', concat('owner', owner), 'id', 1000000 + owner, "
+        "'type', CASE WHEN owner % 5 = 0 THEN 'Organization' ELSE 'User' END)",
+        "description": "concat('Repo ', p_name)",
+        "homepage": "CASE WHEN size % 2 = 0 THEN concat('https://example.org/', k) END",
+        "language": "CASE WHEN k % 17 <> 0 THEN p_type END",
+        "topics": "split(p_name, ' ')",
+        "visibility": "CASE WHEN k % 23 = 0 THEN 'internal' ELSE 'public' END",
+        "default_branch": "'main'",
+        "license": "named_struct('key', CASE WHEN size % 4 <> 0 THEN lower(p_brand) END, "
+        "'name', CASE WHEN size % 4 <> 0 THEN p_brand END)",
+        "fork": "CASE WHEN k % 43 <> 0 THEN k % 7 = 0 END",
+        "archived": "k % 29 = 0",
+        "disabled": "k % 31 = 0",
+        "private": "false",
+        "has_issues": "size % 2 = 0",
+        "has_wiki": "size % 3 = 0",
+        "has_discussions": "size % 5 = 0",
+        "stargazers_count": "stars",
+        "watchers_count": "stars",
+        "forks_count": "(k * 13) % 400",
+        "open_issues_count": "size",
+        "size": "size * 100",
+        "created_at": "created",
+        "updated_at": "updated",
+        "pushed_at": "updated",
+    }
+    return _envelope(listed, "repositories", "r", "r, k", payload)
+
+
+def pull_requests(lineitem: DataFrame) -> DataFrame:
     """One listing; order lines share ids, so the same request can arrive more than once."""
-    lines = table(spark, sf_dir, "lineitem")
-    order, number, repo, author = (
-        F.col("l_orderkey"),
-        F.col("l_linenumber").cast("bigint"),
-        F.col("l_partkey"),
-        F.col("l_suppkey"),
+    lines = (
+        lineitem.selectExpr(
+            "l_orderkey AS o",
+            "bigint(l_linenumber) AS number",
+            "l_partkey AS repo",
+            "l_suppkey AS author",
+            "l_returnflag",
+            "l_linestatus",
+            "l_tax",
+            "unix_seconds(timestamp(l_shipdate)) AS shipped",
+        )
+        .selectExpr(
+            "*",
+            f"shipped + {_YEARS_AHEAD} + (author % 24) * {HOUR} + (o % 60) * {MINUTE} AS created",
+            f"concat('{URL_PREFIX}', {_full_name('repo')}) AS url",
+        )
+        .selectExpr(
+            "*",
+            f"CASE WHEN l_linestatus = 'F' THEN timestamp_seconds(created + (o % 200) * {37 * MINUTE}) END AS closed",
+        )
     )
-    shipped = F.unix_seconds(F.col("l_shipdate").cast("timestamp"))
-    created = shipped + _YEARS_AHEAD + (author % 24) * HOUR + (order % 60) * MINUTE
-    is_closed = F.col("l_linestatus") == "F"
-    closed = F.when(is_closed, F.timestamp_seconds(created + (order % 200) * 37 * MINUTE))
-    url = F.concat(F.lit(URL_PREFIX), _full_name(repo))
-    payload = F.struct(
-        (order * 8 + number).alias("id"),
-        number.alias("number"),
-        F.concat(F.lit("PR_"), order.cast("string"), F.lit("_"), number.cast("string")).alias("node_id"),
-        F.when((number == 7) & (order % 100 == 0), "")
-        .otherwise(F.concat(F.lit("Change "), order.cast("string")))
-        .alias("title"),
-        F.struct(
-            F.concat(F.lit("dev"), author.cast("string")).alias("login"),
-            (2_000_000 + author).alias("id"),
-            F.lit("User").alias("type"),
-        ).alias("user"),
-        F.when(is_closed, "closed").otherwise("open").alias("state"),
-        (order % 11).alias("comments"),
-        F.col("l_tax").alias("score"),
-        F.timestamp_seconds(created).alias("created_at"),
-        F.coalesce(closed, F.timestamp_seconds(created)).alias("updated_at"),
-        closed.alias("closed_at"),
-        F.struct(F.when(F.col("l_returnflag") == "N", closed).alias("merged_at")).alias("pull_request"),
+    payload = {
+        "id": "o * 8 + number",
+        "number": "number",
+        "node_id": "concat('PR_', o, '_', number)",
+        "title": "CASE WHEN number = 7 AND o % 100 = 0 THEN '' ELSE concat('Change ', o) END",
+        "user": "named_struct('login', concat('dev', author), 'id', 2000000 + author, 'type', 'User')",
+        "state": "CASE WHEN l_linestatus = 'F' THEN 'closed' ELSE 'open' END",
+        "comments": "o % 11",
+        "score": "l_tax",
+        "created_at": "timestamp_seconds(created)",
+        "updated_at": "coalesce(closed, timestamp_seconds(created))",
+        "closed_at": "closed",
+        "pull_request": "named_struct('merged_at', CASE WHEN l_returnflag = 'N' THEN closed END)",
         # Some addresses differ in letter case only.
-        F.when(repo % 10 == 0, F.upper(url)).otherwise(url).alias("repository_url"),
-    )
-    raw_id = F.concat_ws(
-        "-",
-        F.lit("pull_requests"),
-        *[c.cast("string") for c in (order, number, repo, author, shipped)],
-        F.col("l_returnflag"),
-        F.col("l_linestatus"),
-        F.round(F.col("l_tax") * 100).cast("bigint").cast("string"),
-    )
-    return _envelope(lines, "pull_requests", F.lit(RUNS).cast("bigint"), raw_id, payload)
+        "repository_url": "CASE WHEN repo % 10 = 0 THEN upper(url) ELSE url END",
+    }
+    raw_id = "o, number, repo, author, shipped, l_returnflag, l_linestatus, bigint(round(l_tax * 100))"
+    return _envelope(lines, "pull_requests", f"{RUNS}L", raw_id, payload)
 
 
-def issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+def issues(events: DataFrame) -> DataFrame:
     """One listing; a few authors are also repository owners, a few addresses are broken."""
-    events = table(spark, sf_dir, "events")
-    key, repo = F.col("event_id"), F.col("user_id")
-    author = F.get_json_object("props", "$.k").cast("bigint")
-    created = F.col("ts").cast("timestamp")
-    is_closed = F.col("event_type").isin("purchase", "signup")
-    closed = F.when(
-        is_closed, F.timestamp_micros(F.unix_micros(created) + (key % 500) * 11 * MINUTE * 1_000_000)
-    )
-    owns_repos = author >= 90
-    payload = F.struct(
-        key.alias("id"),
-        (key % 1000).alias("number"),
-        F.concat(F.lit("I_"), key.cast("string")).alias("node_id"),
-        F.concat_ws(" ", F.col("event_type"), F.lit("report"), key.cast("string")).alias("title"),
-        F.struct(
-            F.when(owns_repos, F.concat(F.lit("owner"), (author - 90).cast("string")))
-            .when(author % 10 == 0, F.concat(F.lit("Dev"), author.cast("string")))
-            .otherwise(F.concat(F.lit("dev"), author.cast("string")))
-            .alias("login"),
-            F.when(owns_repos, 1_000_000 + author - 90).otherwise(2_000_000 + author).alias("id"),
-            F.lit("User").alias("type"),
-        ).alias("user"),
-        F.when(is_closed, "closed").otherwise("open").alias("state"),
-        F.when(F.col("event_type") != "error", key % 7).alias("comments"),
-        F.col("value").alias("score"),
-        created.alias("created_at"),
-        F.coalesce(closed, created).alias("updated_at"),
-        closed.alias("closed_at"),
-        F.when((F.col("event_type") == "error") & (key % 50 == 0), "unknown")
-        .otherwise(F.concat(F.lit(URL_PREFIX), _full_name(repo)))
-        .alias("repository_url"),
+    reports = (
+        events.selectExpr(
+            "event_id AS k",
+            "user_id AS repo",
+            "event_type",
+            "value",
+            "bigint(get_json_object(props, '$.k')) AS author",
+            "timestamp(ts) AS created",
+        )
+        .selectExpr(
+            "*",
+            "CASE WHEN event_type IN ('purchase', 'signup') THEN "
+            f"timestamp_micros(unix_micros(created) + (k % 500) * {11 * MINUTE * 1_000_000}) END AS closed",
+        )
     )
-    raw_id = F.concat_ws("-", F.lit("issues"), key.cast("string"))
-    return _envelope(events, "issues", F.lit(RUNS).cast("bigint"), raw_id, payload)
+    payload = {
+        "id": "k",
+        "number": "k % 1000",
+        "node_id": "concat('I_', k)",
+        "title": "concat_ws(' ', event_type, 'report', k)",
+        "user": "named_struct('login', CASE WHEN author >= 90 THEN concat('owner', author - 90) "
+        "WHEN author % 10 = 0 THEN concat('Dev', author) ELSE concat('dev', author) END, "
+        "'id', CASE WHEN author >= 90 THEN 1000000 + author - 90 ELSE 2000000 + author END, 'type', 'User')",
+        "state": "CASE WHEN closed IS NOT NULL THEN 'closed' ELSE 'open' END",
+        "comments": "CASE WHEN event_type <> 'error' THEN k % 7 END",
+        "score": "value",
+        "created_at": "created",
+        "updated_at": "coalesce(closed, created)",
+        "closed_at": "closed",
+        "repository_url": "CASE WHEN event_type = 'error' AND k % 50 = 0 THEN 'unknown' "
+        f"ELSE concat('{URL_PREFIX}', {_full_name('repo')}) END",
+    }
+    return _envelope(reports, "issues", f"{RUNS}L", "k", payload)
+
+
+FEEDS = {
+    "repositories": ("part", repositories),
+    "pull_requests": ("lineitem", pull_requests),
+    "issues": ("events", issues),
+}
 
 
 def feed(spark: SparkSession, sf_dir: str, resource: str) -> DataFrame:
-    return {"repositories": repositories, "pull_requests": pull_requests, "issues": issues}[resource](
-        spark, sf_dir
-    )
+    name, envelopes = FEEDS[resource]
+    return envelopes(table(spark, sf_dir, name))
+
+
+def feed_stream(spark: SparkSession, sf_dir: str, resource: str, max_files: int | None = None) -> DataFrame:
+    """The same feed as a stream over the files of its table."""
+    name, envelopes = FEEDS[resource]
+    reader = spark.readStream.schema(table(spark, sf_dir, name).schema)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    # A pattern, because the table may be one file or a folder of files.
+    return envelopes(reader.parquet(f"{sf_dir}/{name}.parque[t]"))
 
 
 def payload_text(envelopes: DataFrame) -> DataFrame:
