@@ -8,33 +8,39 @@ from pyspark.sql import types as T
 
 
 class PayloadReader:
-    """Reads ``a.b.c`` paths from a payload held as VARIANT, STRUCT or JSON text.
+    """Reads ``a.b.c`` paths from a payload held as VARIANT, STRUCT, JSON text or flat columns.
 
     A missing path, a JSON null and a value that does not fit the type all give
     SQL NULL.  With a VARIANT in a shredded Parquet table the paths used become
-    the scan's read schema; with a STRUCT they are ordinary nested columns.
+    the scan's read schema; with a STRUCT they are ordinary nested columns, and
+    flat columns are named ``payload.a.b.c``.
     """
 
     def __init__(self, df: DataFrame, column: str = "payload") -> None:
-        kind = df.schema[column].dataType
-        if isinstance(kind, T.StringType):
+        self._column = column
+        self._kind: T.DataType | None = df.schema[column].dataType if column in df.columns else None
+        if isinstance(self._kind, T.StringType):
             df = df.withColumn(column, F.try_parse_json(F.col(column)))
-            kind = T.VariantType()
-        if not isinstance(kind, (T.VariantType, T.StructType)):
-            raise TypeError(f"payload must be VARIANT, STRUCT or STRING, not {kind.simpleString()}")
+            self._kind = T.VariantType()
+        prefix = f"{column}."
+        self._flat = {f.name.removeprefix(prefix): f.dataType for f in df.schema.fields if f.name.startswith(prefix)}
+        if self._kind is None and not self._flat:
+            raise TypeError(f"no column {column}")
+        if self._kind is not None and not isinstance(self._kind, (T.VariantType, T.StructType)):
+            raise TypeError(f"payload must be VARIANT, STRUCT or STRING, not {self._kind.simpleString()}")
         self.frame = df
-        self._column = column
-        self._kind = kind
 
     def expression(self, path: str, to: str) -> str:
         """SQL text that reads ``path`` as type ``to`` from :attr:`frame`."""
         if isinstance(self._kind, T.VariantType):
             return f"try_variant_get(`{self._column}`, '$.{path}', '{to}')"
         steps = path.split(".")
-        kind: T.DataType = self._kind
-        for step in steps:
-            if not isinstance(kind, T.StructType) or step not in kind.names:
-                return f"CAST(NULL AS {to})"
-            kind = kind[step].dataType
-        value = ".".join(f"`{step}`" for step in [self._column, *steps])
+        if self._kind is None:
+            kind, value = self._flat.get(path), f"`{self._column}.{path}`"
+        else:
+            kind, value = self._kind, ".".join(f"`{step}`" for step in [self._column, *steps])
+            for step in steps:
+                kind = kind[step].dataType if isinstance(kind, T.StructType) and step in kind.names else None
+        if kind is None:
+            return f"CAST(NULL AS {to})"
         return value if kind.simpleString() == to else f"try_cast({value} AS {to})"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -80,18 +81,24 @@ def run_order(staged: DataFrame) -> DataFrame:
     """``(__run, run_id, run_ts)``: the extraction runs numbered in time order.
 
     A daily feed has few runs, so their list is taken to the driver and comes
-    back as a local table of known size, which Spark then broadcasts by itself.
+    back as a local relation, whose known size lets Spark broadcast it by itself.
     Beyond ``MAX_LISTED_RUNS`` the numbering stays a distributed aggregate.
     """
     spark = staged.sparkSession
     runs = staged.groupBy("run_id").agg(F.max("extracted_at").alias("run_ts"))
-    listed = runs.take(MAX_LISTED_RUNS + 1)
+    listed = runs.select("run_id", F.unix_micros("run_ts").alias("run_us")).take(MAX_LISTED_RUNS + 1)
     if len(listed) > MAX_LISTED_RUNS:
         order = Window.orderBy("run_ts", "run_id")
         return runs.select(F.row_number().over(order).cast("bigint").alias("__run"), "run_id", "run_ts")
-    listed.sort(key=lambda r: (r.run_ts is not None, r.run_ts, r.run_id))
-    numbered = [(i, r.run_id, r.run_ts) for i, r in enumerate(listed, start=1)]
-    return spark.createDataFrame(numbered, "__run BIGINT, run_id STRING, run_ts TIMESTAMP")
+    listed.sort(key=lambda r: (r.run_us is not None, r.run_us or 0, r.run_id or ""))
+    numbered = pa.table(
+        {
+            "__run": pa.array(range(1, len(listed) + 1), pa.int64()),
+            "run_id": pa.array([r.run_id for r in listed], pa.string()),
+            "run_us": pa.array([r.run_us for r in listed], pa.int64()),
+        }
+    )
+    return spark.createDataFrame(numbered).select("__run", "run_id", F.timestamp_micros("run_us").alias("run_ts"))
 
 
 def replay(
@@ -120,14 +127,23 @@ def replay(
     state = F.struct(*watched)
     gone = F.col("__before") < F.col("__run") - 1 if hard_deletes == "close" else F.lit(False)
     starts = (
-        listed.withColumn("__before", F.lag("__run").over(by_run))
-        .withColumn("__same", state.eqNullSafe(F.lag(state).over(by_run)))
-        .withColumn("__final", F.max("__run").over(Window.partitionBy(key)))
+        # All windows share one exchange and one sort.
+        listed.withColumns(
+            {
+                "__before": F.lag("__run").over(by_run),
+                "__same": state.eqNullSafe(F.lag(state).over(by_run)),
+                "__final": F.max("__run").over(Window.partitionBy(key)),
+            }
+        )
         .filter(F.col("__before").isNull() | gone | ~F.col("__same"))
-        .withColumn("__next", F.lead("__run").over(by_run))
-        .withColumn("__next_start", F.lead(F.coalesce("updated_at", "extracted_at")).over(by_run))
-        # The last run that listed this version.
-        .withColumn("__last", F.coalesce(F.lead("__before").over(by_run), "__final"))
+        .withColumns(
+            {
+                "__next": F.lead("__run").over(by_run),
+                "__next_start": F.lead(F.coalesce("updated_at", "extracted_at")).over(by_run),
+                # The last run that listed this version.
+                "__last": F.coalesce(F.lead("__before").over(by_run), "__final"),
+            }
+        )
     )
     if hard_deletes == "ignore":
         return _as_version(starts, key, F.col("__next_start"))

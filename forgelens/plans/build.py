@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.util import inheritable_thread_target
 
 from ..operators.quality import RESULT, QualityError, evaluate
 from ..schemas import RESOURCES
@@ -14,6 +17,9 @@ from .contracts import TABLE_RULES
 from .staging import stage
 from .stores import RepoHistory, VersionedTable
 
+# Tables built at the same time.
+THREADS = 4
+
 
 @dataclass
 class Build:
@@ -43,6 +49,13 @@ class Build:
         self.check(name)
         return df
 
+    def level(self, steps: Mapping[str, Callable[..., DataFrame]]) -> None:
+        """Steps that do not depend on each other, as jobs that run side by side."""
+        with ThreadPoolExecutor(max_workers=min(len(steps), THREADS)) as pool:
+            done = [pool.submit(inheritable_thread_target(self.spark)(step), name) for name, step in steps.items()]
+        for step in done:
+            step.result()
+
     @property
     def quality(self) -> DataFrame:
         return self.spark.createDataFrame(self.outcomes, f"{RESULT}, passed BOOLEAN")
@@ -63,7 +76,9 @@ def build(
     first failed ``error`` rule stops the build, unless ``gate`` is off.
     """
     out = Build(spark, warehouse, tag, gate)
-    repos, prs, issues = (out.view(f"stg_{r}", stage(raw[r], r)) for r in RESOURCES)
+    staged = {r: stage(raw[r], r) for r in RESOURCES}
+    out.level({f"stg_{r}": partial(out.view, df=df) for r, df in staged.items()})
+    repos, prs, issues = (staged[r] for r in RESOURCES)
 
     if run_ts is None:
         history = out.store("repos_snapshot", snapshot.repos_snapshot(repos))
@@ -72,13 +87,19 @@ def build(
         kept.apply(repos, tag, run_ts)
         history = out.view("repos_snapshot", kept.read())
 
-    out.store("dim_date", dims.dim_date(spark))
-    out.store("dim_repos", snapshot.dim_repos(history))
-    out.store("dim_developers", dims.dim_developers(repos, prs, issues))
-    out.store("fact_repo_snapshots", facts.fact_repo_snapshots(repos))
-    out.store("fact_pull_requests", facts.fact_pull_requests(prs))
-    out.store("fact_issues", facts.fact_issues(issues))
-    out.store("mart_trending_repos", marts.mart_trending_repos(history))
-    out.store("mart_developer_activity", marts.mart_developer_activity(history))
-    out.store("mart_community_health", marts.mart_community_health(history, issues, prs))
+    dimensions = {
+        "dim_date": dims.dim_date(spark),
+        "dim_repos": snapshot.dim_repos(history),
+        "dim_developers": dims.dim_developers(repos, prs, issues),
+    }
+    others = {
+        "fact_repo_snapshots": facts.fact_repo_snapshots(repos),
+        "fact_pull_requests": facts.fact_pull_requests(prs),
+        "fact_issues": facts.fact_issues(issues),
+        "mart_trending_repos": marts.mart_trending_repos(history),
+        "mart_developer_activity": marts.mart_developer_activity(history),
+        "mart_community_health": marts.mart_community_health(history, issues, prs),
+    }
+    for tables in (dimensions, others):
+        out.level({name: partial(out.store, df=df) for name, df in tables.items()})
     return out

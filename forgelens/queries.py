@@ -14,7 +14,7 @@ from .functions import star_tier
 from .operators import asof_join, first_by, latest_by, quality
 from .plans import contracts, dims, facts, marts, reports, snapshot, staging
 from .plans.build import build
-from .plans.stores import RepoHistory
+from .plans.stores import RepoHistory, VersionedTable
 from .schemas import DEVELOPER_RECORD, RESOURCES, TRENDING_RECORD
 from .sources import feeds, landing
 from .sources.replacing import ReplacingTable
@@ -106,7 +106,9 @@ def version_at_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For every listed repository, the version valid some hours before its update."""
     asked = F.timestamp_seconds(F.unix_seconds("updated_at") - (F.col("repo_id") % 48) * feeds.HOUR)
     rows = _repos(spark, sf_dir).select("repo_id", "run_id", asked.alias("asked_at"))
-    versions = _history(spark, sf_dir).select(
+    # Read twice below, so it is written down first, as a build does.
+    stored = VersionedTable(spark, session.scratch_dir(spark, "versions")).replace(_history(spark, sf_dir), "1")
+    versions = stored.select(
         "repo_id", "dbt_valid_from", "dbt_valid_to", "dbt_scd_id", F.col("stargazers_count").alias("valid_stars")
     )
     return asof_join(rows, versions, "repo_id", "asked_at", "dbt_valid_from", "dbt_valid_to")
@@ -190,7 +192,7 @@ def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dq_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The source contract on the payloads as delivered."""
     parts = [
-        quality.evaluate(r, feeds.feed(spark, sf_dir, r).select("payload.*"), contracts.SOURCE_RULES[r])
+        quality.evaluate(r, feeds.nested(feeds.feed(spark, sf_dir, r)).select("payload.*"), contracts.SOURCE_RULES[r])
         for r in RESOURCES
     ]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
@@ -219,7 +221,7 @@ def event_json_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _landed(spark: SparkSession, sf_dir: str, resource: str, run_scoped: bool = False) -> str:
     base = session.scratch_dir(spark, "landing")
-    landing.write(feeds.feed(spark, sf_dir, resource), base, resource, run_scoped=run_scoped)
+    landing.write(feeds.nested(feeds.feed(spark, sf_dir, resource)), base, resource, run_scoped=run_scoped)
     return base
 
 
@@ -235,7 +237,7 @@ def landing_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def run_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land three days, land one of them again, and count what is there."""
     base = _landed(spark, sf_dir, "repositories")
-    again = feeds.feed(spark, sf_dir, "repositories").filter(F.col("_run_id") == "run-2")
+    again = feeds.nested(feeds.feed(spark, sf_dir, "repositories")).filter(F.col("_run_id") == "run-2")
     landing.write(again, base, "repositories")
     return landing.manifest(landing.read(spark, base, "repositories"))
 
@@ -246,7 +248,7 @@ def run_scoped_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _repo_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    envelopes = feeds.feed_stream(spark, sf_dir, "repositories")
+    envelopes = feeds.nested(feeds.feed_stream(spark, sf_dir, "repositories"))
     moment = F.timestamp_millis(F.unix_millis("_extracted_at") + F.col("payload.id"))
     return messages.envelope_messages(envelopes, moment)
 

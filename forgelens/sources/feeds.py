@@ -31,19 +31,47 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _envelope(df: DataFrame, resource: str, run: str, raw_id: str, payload: dict[str, str]) -> DataFrame:
+def _envelope(
+    df: DataFrame, resource: str, run: str, raw_id: str, payload: dict[str, str | dict[str, str]]
+) -> DataFrame:
+    """Envelopes with a column ``payload.<path>`` per payload leaf (a nested dict is a nested field).
+
+    Flat leaves rather than one struct: Catalyst does not look into a struct
+    that is costly to build, and would compute all of it for a single path.
+    """
     extracted = f"{_FIRST_EXTRACTION}L + {run} * {DAY}"
-    fields = ", ".join(f"'{name}', {value}" for name, value in payload.items())
+    leaves = {}
+    for name, value in payload.items():
+        if isinstance(value, dict):
+            leaves.update({f"{name}.{leaf}": text for leaf, text in value.items()})
+        else:
+            leaves[name] = value
     return df.selectExpr(
         f"'{resource}' AS _resource",
         f"concat('run-', {run}) AS _run_id",
         f"timestamp_seconds({extracted}) AS _extracted_at",
         f"md5(concat_ws('-', '{resource}', {raw_id})) AS {RAW_ID}",
         f"timestamp_seconds({extracted} + {_LOAD_DELAY}) AS {LOADED_AT}",
-        f"named_struct({fields}) AS payload",
+        *[f"{text} AS `payload.{path}`" for path, text in leaves.items()],
     )
 
 
+def nested(envelopes: DataFrame) -> DataFrame:
+    """The same envelopes with the leaves gathered in one ``payload`` struct."""
+    fields: dict[str, str | dict[str, str]] = {}
+    for column in envelopes.columns:
+        first, *path = column.split(".")
+        if path:
+            group = fields if len(path) == 1 else fields.setdefault(path[0], {})
+            group[path[-1]] = f"`{column}`"
+    parts = {name: value if isinstance(value, str) else _struct(value) for name, value in fields.items()}
+    return envelopes.selectExpr(*[c for c in envelopes.columns if "." not in c], f"{_struct(parts)} AS payload")
+
+
+def _struct(fields: dict[str, str]) -> str:
+    return "named_struct(" + ", ".join(f"'{name}', {value}" for name, value in fields.items()) + ")"
+
+
 def _full_name(key: str) -> str:
     return f"concat('owner', {key} % {OWNERS}, '/repo-', {key})"
 
@@ -66,16 +94,21 @@ def repositories(part: DataFrame) -> DataFrame:
         "node_id": "concat('R_', k)",
         "name": "concat('repo-', k)",
         "full_name": _full_name("k"),
-        "owner": "named_struct('login', concat('owner', owner), 'id', 1000000 + owner, "
-        "'type', CASE WHEN owner % 5 = 0 THEN 'Organization' ELSE 'User' END)",
+        "owner": {
+            "login": "concat('owner', owner)",
+            "id": "1000000 + owner",
+            "type": "CASE WHEN owner % 5 = 0 THEN 'Organization' ELSE 'User' END",
+        },
         "description": "concat('Repo ', p_name)",
         "homepage": "CASE WHEN size % 2 = 0 THEN concat('https://example.org/', k) END",
         "language": "CASE WHEN k % 17 <> 0 THEN p_type END",
         "topics": "split(p_name, ' ')",
         "visibility": "CASE WHEN k % 23 = 0 THEN 'internal' ELSE 'public' END",
         "default_branch": "'main'",
-        "license": "named_struct('key', CASE WHEN size % 4 <> 0 THEN lower(p_brand) END, "
-        "'name', CASE WHEN size % 4 <> 0 THEN p_brand END)",
+        "license": {
+            "key": "CASE WHEN size % 4 <> 0 THEN lower(p_brand) END",
+            "name": "CASE WHEN size % 4 <> 0 THEN p_brand END",
+        },
         "fork": "CASE WHEN k % 43 <> 0 THEN k % 7 = 0 END",
         "archived": "k % 29 = 0",
         "disabled": "k % 31 = 0",
@@ -123,14 +156,14 @@ def pull_requests(lineitem: DataFrame) -> DataFrame:
         "number": "number",
         "node_id": "concat('PR_', o, '_', number)",
         "title": "CASE WHEN number = 7 AND o % 100 = 0 THEN '' ELSE concat('Change ', o) END",
-        "user": "named_struct('login', concat('dev', author), 'id', 2000000 + author, 'type', 'User')",
+        "user": {"login": "concat('dev', author)", "id": "2000000 + author", "type": "'User'"},
         "state": "CASE WHEN l_linestatus = 'F' THEN 'closed' ELSE 'open' END",
         "comments": "o % 11",
         "score": "l_tax",
         "created_at": "timestamp_seconds(created)",
         "updated_at": "coalesce(closed, timestamp_seconds(created))",
         "closed_at": "closed",
-        "pull_request": "named_struct('merged_at', CASE WHEN l_returnflag = 'N' THEN closed END)",
+        "pull_request": {"merged_at": "CASE WHEN l_returnflag = 'N' THEN closed END"},
         # Some addresses differ in letter case only.
         "repository_url": "CASE WHEN repo % 10 = 0 THEN upper(url) ELSE url END",
     }
@@ -160,9 +193,12 @@ def issues(events: DataFrame) -> DataFrame:
         "number": "k % 1000",
         "node_id": "concat('I_', k)",
         "title": "concat_ws(' ', event_type, 'report', k)",
-        "user": "named_struct('login', CASE WHEN author >= 90 THEN concat('owner', author - 90) "
-        "WHEN author % 10 = 0 THEN concat('Dev', author) ELSE concat('dev', author) END, "
-        "'id', CASE WHEN author >= 90 THEN 1000000 + author - 90 ELSE 2000000 + author END, 'type', 'User')",
+        "user": {
+            "login": "CASE WHEN author >= 90 THEN concat('owner', author - 90) "
+            "WHEN author % 10 = 0 THEN concat('Dev', author) ELSE concat('dev', author) END",
+            "id": "CASE WHEN author >= 90 THEN 1000000 + author - 90 ELSE 2000000 + author END",
+            "type": "'User'",
+        },
         "state": "CASE WHEN closed IS NOT NULL THEN 'closed' ELSE 'open' END",
         "comments": "CASE WHEN event_type <> 'error' THEN k % 7 END",
         "score": "value",
@@ -200,4 +236,4 @@ def feed_stream(spark: SparkSession, sf_dir: str, resource: str, max_files: int
 def payload_text(envelopes: DataFrame) -> DataFrame:
     """The same envelopes with the payload as the JSON text a feed would deliver."""
     options = {"ignoreNullFields": "false", "timestampFormat": TIMESTAMP_TEXT}
-    return envelopes.withColumn("payload", F.to_json("payload", options))
+    return nested(envelopes).withColumn("payload", F.to_json("payload", options))
