@@ -11,7 +11,7 @@ from __future__ import annotations
 REPOS = """
 runs AS (SELECT unnest([1, 2, 3])::BIGINT AS r),
 repos AS (
-  SELECT md5('repositories-' || r || '-' || p_partkey) AS airbyte_raw_id,
+  SELECT 'repositories-' || r || '-' || p_partkey AS airbyte_raw_id,
          TIMESTAMP '2026-06-01 00:30:00' + to_days(r::INT) AS airbyte_extracted_at,
          'run-' || r AS run_id,
          TIMESTAMP '2026-06-01' + to_days(r::INT) AS extracted_at,
@@ -61,8 +61,8 @@ pr_source AS (
   FROM lineitem
 ),
 prs AS (
-  SELECT md5(concat_ws('-', 'pull_requests', l_orderkey, l_linenumber, l_partkey, l_suppkey,
-                       epoch(l_shipdate)::BIGINT, l_returnflag, l_linestatus, round(l_tax * 100)::BIGINT)) AS airbyte_raw_id,
+  SELECT concat_ws('-', 'pull_requests', l_orderkey, l_linenumber, l_partkey, l_suppkey,
+                   epoch(l_shipdate)::BIGINT, l_returnflag, l_linestatus, round(l_tax * 100)::BIGINT) AS airbyte_raw_id,
          TIMESTAMP '2026-06-04 00:30:00' AS airbyte_extracted_at,
          'run-3' AS run_id,
          TIMESTAMP '2026-06-04' AS extracted_at,
@@ -95,7 +95,7 @@ issue_source AS (
   FROM events
 ),
 issues AS (
-  SELECT md5('issues-' || event_id) AS airbyte_raw_id,
+  SELECT 'issues-' || event_id AS airbyte_raw_id,
          TIMESTAMP '2026-06-04 00:30:00' AS airbyte_extracted_at,
          'run-3' AS run_id,
          TIMESTAMP '2026-06-04' AS extracted_at,
@@ -564,6 +564,19 @@ def oracle_sql() -> dict[str, str]:
         "stream_redelivered": """
             SELECT 'owner' || user_id AS owner_login, count(*) AS deliveries, sum(event_id)::BIGINT AS stars
             FROM events GROUP BY 1""",
+        "repos_snapshot_keep_deleted": _with([HISTORY], """
+            SELECT m.* EXCLUDE (n, n_before, n_after, moved, version_no) REPLACE (array_to_string(topics, ',') AS topics),
+                   md5(concat_ws('|', repo_id, epoch_us(updated_at), run_id)) AS dbt_scd_id,
+                   updated_at AS dbt_updated_at, updated_at AS dbt_valid_from,
+                   lead(updated_at) OVER (PARTITION BY repo_id ORDER BY n) AS dbt_valid_to
+            FROM (SELECT * FROM marked WHERE n_before IS NULL OR moved) m"""),
+        "replacing_events": """
+            SELECT user_id, event_id, ts, event_type, value FROM events
+            QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
+        "backfilled_days": _with([REPOS], """
+            SELECT run_id, count(*) AS repos, count(DISTINCT repo_id) AS ids, sum(stargazers_count)::BIGINT AS stars,
+                   count(*) FILTER (WHERE list_contains(topics, 'red')) AS red, max(updated_at) AS last_update
+            FROM repos GROUP BY 1"""),
         "dq_source": _with([REPOS, PRS, ISSUES], _rules(SOURCE_CHECKS)),
         "dq_negative_values": _rules([
             ("customer", "no_negative_values", "c_acctbal", "error", "c_acctbal < 0"),

@@ -31,12 +31,12 @@ def land_day(
     resources: Sequence[str] = RESOURCES,
     page_order: Sequence[str] = ("page", "position"),
 ) -> DataFrame:
-    """Land the fetched items of one day and return its manifest.
+    """Land the fetched items of one day; write and return its manifest.
 
     Result pages may repeat an id; the first occurrence in page order stays.
-    Landing the same day again replaces it.
+    Landing the same day again replaces it.  The manifest counts what arrived
+    in the landing zone, so the items are fetched and deduplicated once.
     """
-    landed = F.lit(day)
     manifests = []
     for resource in resources:
         landing.check_resource(resource)
@@ -45,8 +45,12 @@ def land_day(
         if order:
             fetched = first_by(fetched, ["id"], order).drop(*order)
         records = landing.envelopes(fetched, resource, run_id, extracted_at)
-        landing.write(records, base, resource, landed_on=landed)
-        manifests.append(landing.manifest(records, landed))
+        landing.write(records, base, resource, landed_on=F.lit(day))
+        spark = fetched.sparkSession
+        path = f"{base}/manifests/{resource}/date={day.isoformat()}"
+        landed = landing.manifest(landing.read(spark, base, resource, day, day)).drop("date")
+        landed.write.mode("overwrite").option("timestampFormat", landing.INSTANT).json(path)
+        manifests.append(spark.read.schema(landed.schema).json(path).withColumn("date", F.lit(day)))
     return reduce(DataFrame.unionByName, manifests)
 
 

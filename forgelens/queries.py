@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from . import session
 from .functions import star_tier
 from .operators import asof_join, first_by, latest_by, quality
-from .plans import contracts, dims, facts, marts, reports, snapshot, staging
+from .plans import contracts, dims, facts, jobs, marts, reports, snapshot, staging
 from .plans.build import build
 from .plans.stores import RepoHistory, VersionedTable
 from .schemas import DEVELOPER_RECORD, RESOURCES, TRENDING_RECORD
@@ -183,6 +183,40 @@ def repos_snapshot_by_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.read()
 
 
+def repos_snapshot_keep_deleted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history when a repository that is not listed stays open."""
+    return snapshot.repos_snapshot(_repos(spark, sf_dir), hard_deletes="ignore")
+
+
+def replacing_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Last event per user from a table written in two batches, with a merge between them."""
+    events = feeds.table(spark, sf_dir, "events").select("user_id", "event_id", "ts", "event_type", "value")
+    table = ReplacingTable(spark, session.scratch_dir(spark, "events"), "user_id", ["ts", "event_id"])
+    is_click = F.col("event_type") == "click"
+    table.append(events.filter(is_click), 0)
+    table.merge()
+    table.append(events.filter(~is_click), 1)
+    return table.read()
+
+
+def backfilled_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load all landed days, then load a range of them again, and count the staged rows."""
+    base = session.scratch_dir(spark, "backfill")
+    landing.write(feeds.nested(feeds.feed(spark, sf_dir, "repositories")), base, "repositories")
+    raw, loaded_at = f"{base}/raw", F.lit("2026-06-05 00:00:00").cast("timestamp")
+    first, second, third = (dt.date(2026, 6, d) for d in (2, 3, 4))
+    jobs.load_days(spark, base, raw, first, third, loaded_at, ["repositories"])
+    jobs.load_days(spark, base, raw, second, third, loaded_at, ["repositories"])
+    staged = staging.stage_repositories(jobs.raw_tables(spark, raw, ["repositories"])["repositories"])
+    return staged.groupBy("run_id").agg(
+        F.count("*").alias("repos"),
+        F.count_distinct("repo_id").alias("ids"),
+        F.sum("stargazers_count").alias("stars"),
+        F.count_if(F.array_contains("topics", "red")).alias("red"),
+        F.max("updated_at").alias("last_update"),
+    )
+
+
 def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A full build with every rule evaluated; the feeds break some of them on purpose."""
     raw = {r: feeds.feed(spark, sf_dir, r) for r in RESOURCES}
@@ -366,6 +400,9 @@ REGISTERED: dict[str, Query] = {
     "search_repositories": search_repositories,
     "page_dedup": page_dedup,
     "repos_snapshot_by_run": repos_snapshot_by_run,
+    "repos_snapshot_keep_deleted": repos_snapshot_keep_deleted,
+    "replacing_events": replacing_events,
+    "backfilled_days": backfilled_days,
     "dq_report": dq_report,
     "dq_source": dq_source,
     "dq_negative_values": dq_negative_values,

@@ -50,7 +50,7 @@ def _envelope(
         f"'{resource}' AS _resource",
         f"concat('run-', {run}) AS _run_id",
         f"timestamp_seconds({extracted}) AS _extracted_at",
-        f"md5(concat_ws('-', '{resource}', {raw_id})) AS {RAW_ID}",
+        f"concat_ws('-', '{resource}', {raw_id}) AS {RAW_ID}",
         f"timestamp_seconds({extracted} + {_LOAD_DELAY}) AS {LOADED_AT}",
         *[f"{text} AS `payload.{path}`" for path, text in leaves.items()],
     )

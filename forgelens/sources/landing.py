@@ -83,9 +83,11 @@ def read(
 
 
 def read_tree(spark: SparkSession, path: str) -> DataFrame:
-    """Every file below a prefix, whatever its folder layout."""
+    """Every file below a prefix, whatever its folder layout; the day is taken from the file's path."""
     reader = spark.read.schema(f"{ENVELOPE}, {CORRUPT_COLUMN} STRING").option("recursiveFileLookup", "true")
-    return reader.json(path)
+    folder = F.col("_metadata.file_path")
+    found = [F.regexp_extract(folder, f"/{p}=(\\d+)/", 1).try_cast("int").alias(p) for p in PARTITIONS]
+    return reader.json(path).select("*", *found)
 
 
 def split_corrupt(records: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -105,11 +107,12 @@ def read_payloads(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def manifest(records: DataFrame, landed_on: Column | None = None) -> DataFrame:
-    """Record count and extraction times per resource, run and day."""
-    day = F.to_date("_extracted_at") if landed_on is None else landed_on
-    return records.groupBy(
-        F.col("_resource").alias("resource"), F.col("_run_id").alias("run_id"), day.alias("date")
+def manifest(landed: DataFrame) -> DataFrame:
+    """Record count and extraction times per resource, run and landed day."""
+    return landed.groupBy(
+        F.col("_resource").alias("resource"),
+        F.col("_run_id").alias("run_id"),
+        F.make_date(*[F.col(p).cast("int") for p in PARTITIONS]).alias("date"),
     ).agg(
         F.count("*").alias("records"),
         F.min("_extracted_at").alias("started_at_utc"),
