@@ -22,6 +22,9 @@ SETTINGS = {
     "spark.sql.variant.pushVariantIntoScan": "true",
 }
 
+# Scratch folders of sessions in local mode, by application.
+_LOCAL_FOLDERS: dict[str, str] = {}
+
 
 def build_session(app: str = "forgelens", master: str | None = None, **extra: str) -> SparkSession:
     """Create (or reuse) a session; ``extra`` keys use ``__`` in place of ``.``."""
@@ -46,10 +49,9 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     Executors on other machines have to see it, so a temporary folder of this
     machine is used only when Spark itself runs in local mode.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or _LOCAL_FOLDERS.get(spark.sparkContext.applicationId)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="forgelens-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _LOCAL_FOLDERS[spark.sparkContext.applicationId] = tempfile.mkdtemp(prefix="forgelens-")
     return os.path.join(base, f"{label}-{uuid.uuid4().hex[:12]}")

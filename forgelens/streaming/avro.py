@@ -19,14 +19,14 @@ FRAME_BYTES = 5
 
 
 def avro_schema(name: str, record: dict[str, tuple[str, bool]]) -> str:
-    """Schema text of a record; an optional field is a union with null."""
+    """Schema text of a record, whose name may carry its namespace; an optional field is a union with null."""
     fields = []
     for field, (kind, required) in record.items():
         if required:
             fields.append({"name": field, "type": AVRO_TYPES[kind]})
         else:
             fields.append({"name": field, "type": ["null", AVRO_TYPES[kind]], "default": None})
-    return json.dumps({"type": "record", "name": name, "namespace": "io.github.analytics", "fields": fields})
+    return json.dumps({"type": "record", "name": name, "fields": fields})
 
 
 def unframed(value: Column) -> Column:

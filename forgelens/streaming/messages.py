@@ -7,16 +7,7 @@ from pyspark.sql import functions as F
 
 from ..sources.feeds import TIMESTAMP_TEXT
 
-# The topics of the raw and of the processed records.
-RAW_TOPICS = {
-    "repositories": "github.repos.raw",
-    "pull_requests": "github.pull_requests.raw",
-    "issues": "github.issues.raw",
-}
-TRENDING_TOPIC = "github.trending_repos"
-DEVELOPER_TOPIC = "github.developer_activity"
-
-# Messages taken per file or topic poll.
+# Records taken per poll of a topic.
 BATCH_RECORDS = 500
 
 # The paths the stream reads, all as text so that one parse serves every cast.
@@ -91,10 +82,13 @@ def parse_repositories(messages: DataFrame) -> DataFrame:
 
 
 def drop_redelivered(messages: DataFrame, within: str = "7 days") -> DataFrame:
-    """Messages delivered again within the topic's retention, seen by content and time."""
+    """Messages delivered again within the topic's retention, seen by content and time.
+
+    The state holds a 128-bit digest per message instead of its text.
+    """
     return (
-        messages.withColumn("__id", F.xxhash64("value", "timestamp"))
+        messages.withColumn("__digest", F.md5("value"))
         .withWatermark("timestamp", within)
-        .dropDuplicatesWithinWatermark(["__id"])
-        .drop("__id")
+        .dropDuplicatesWithinWatermark(["__digest", "timestamp"])
+        .drop("__digest")
     )

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import star_tier
-from ..schemas import DEVELOPER_RECORD, TRENDING_RECORD
 
 Record = dict[str, tuple[str, bool]]
 
@@ -114,4 +113,3 @@ def windowed_owner_totals(parsed: DataFrame, window: str = "1 day", late: str =
     )
 
 
-TRENDING, DEVELOPER = TRENDING_RECORD, DEVELOPER_RECORD

@@ -152,9 +152,9 @@ def test_redelivered_messages_are_dropped(spark, tmp_path):
 
 
 def test_kafka_options():
-    options = messages.kafka_options("broker:9092", messages.RAW_TOPICS["repositories"])
+    options = messages.kafka_options("broker:9092", "repos.raw")
     assert options["startingOffsets"] == "earliest" and options["maxOffsetsPerTrigger"] == "500"
-    assert options["subscribe"] == "github.repos.raw"
+    assert options["subscribe"] == "repos.raw"
 
 
 def test_avro_schema_and_frame(spark):
