@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import first_by
@@ -62,15 +62,24 @@ def load_days(
     end: dt.date,
     loaded_at: Column,
     resources: Sequence[str] = RESOURCES,
-) -> None:
+) -> dict[str, int]:
     """Load a range of landed days into the raw tables, one job per resource.
 
     Serves the daily load (one day), a backfill (a range) and a reset (all
-    days): each raw day is replaced by what is landed.
+    days): each raw day is replaced by what is landed.  Lines that are no
+    records are counted while the good ones are written; only if there are any
+    does a second job set them aside.  Returns their number per resource.
     """
+    broken: dict[str, int] = {}
     for resource in resources:
         landed = landing.read(spark, base, resource, start, end)
-        landing.write_raw(landing.to_raw(landed, loaded_at), f"{raw_path}/{resource}")
+        seen = Observation()
+        counted = landed.observe(seen, F.count_if(landing.is_broken()).alias("broken"))
+        landing.write_raw(landing.to_raw(counted, loaded_at), f"{raw_path}/{resource}")
+        broken[resource] = seen.get["broken"]
+        if broken[resource]:
+            landing.write_quarantine(landing.split_corrupt(landed)[1], f"{raw_path}/quarantine/{resource}")
+    return broken
 
 
 def raw_tables(spark: SparkSession, raw_path: str, resources: Sequence[str] = RESOURCES) -> dict[str, DataFrame]:

@@ -6,6 +6,7 @@ RESOURCES = ("repositories", "pull_requests", "issues")
 
 # One landed record, as JSON lines.
 ENVELOPE = "_resource STRING, _run_id STRING, _extracted_at TIMESTAMP, payload VARIANT"
+ENVELOPE_PARTS = ("_resource", "_run_id", "_extracted_at", "payload")
 CORRUPT_COLUMN = "_corrupt_record"
 PARTITIONS = ("year", "month", "day")
 

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import CORRUPT_COLUMN, ENVELOPE, LOADED_AT, PARTITIONS, RAW_ID, RESOURCES
+from ..schemas import CORRUPT_COLUMN, ENVELOPE, ENVELOPE_PARTS, LOADED_AT, PARTITIONS, RAW_ID, RESOURCES
 
 # Text form of instants in landed records.
 INSTANT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
@@ -90,10 +90,20 @@ def read_tree(spark: SparkSession, path: str) -> DataFrame:
     return reader.json(path).select("*", *found)
 
 
+def is_broken() -> Column:
+    """True for a line that is not JSON, or lacks a part of the envelope.
+
+    It looks at every part, so all of them are parsed whatever a query selects.
+    """
+    broken = F.col(CORRUPT_COLUMN).isNotNull()
+    for part in ENVELOPE_PARTS:
+        broken = broken | F.col(part).isNull()
+    return broken
+
+
 def split_corrupt(records: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Readable records, and the text of those that are not."""
-    bad = F.col(CORRUPT_COLUMN).isNotNull()
-    return records.filter(~bad).drop(CORRUPT_COLUMN), records.filter(bad)
+    """Records, and the lines that are none."""
+    return records.filter(~is_broken()).drop(CORRUPT_COLUMN), records.filter(is_broken())
 
 
 def read_payloads(spark: SparkSession, path: str) -> DataFrame:
@@ -127,9 +137,9 @@ def to_raw(records: DataFrame, loaded_at: Column) -> DataFrame:
     return readable.withColumn(RAW_ID, F.md5(identity)).withColumn(LOADED_AT, loaded_at.cast("timestamp"))
 
 
-def write_raw(raw: DataFrame, path: str) -> None:
-    """Raw table: Parquet with a shredded VARIANT payload, replaced per landed day."""
-    dated = raw.withColumn("landed_on", F.make_date(*[F.col(p).cast("int") for p in PARTITIONS])).drop(*PARTITIONS)
+def _write_days(rows: DataFrame, path: str) -> None:
+    """Parquet with one folder per landed day; the days present are replaced."""
+    dated = rows.withColumn("landed_on", F.make_date(*[F.col(p).cast("int") for p in PARTITIONS])).drop(*PARTITIONS)
     (
         dated.hint("rebalance", "landed_on")
         .write.mode("overwrite")
@@ -139,5 +149,15 @@ def write_raw(raw: DataFrame, path: str) -> None:
     )
 
 
+def write_raw(raw: DataFrame, path: str) -> None:
+    """Raw table, with a shredded VARIANT payload."""
+    _write_days(raw, path)
+
+
+def write_quarantine(broken: DataFrame, path: str) -> None:
+    """Lines that are no records: their text if they are not JSON, else the parts they have."""
+    _write_days(broken.withColumnRenamed(CORRUPT_COLUMN, "line"), path)
+
+
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)

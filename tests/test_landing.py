@@ -114,3 +114,14 @@ def test_a_day_is_deduplicated_landed_loaded_and_repeatable(spark, tmp_path):
 def test_daily_partitions_include_today(spark):
     days = jobs.daily_partitions(dt.date(2026, 5, 20))
     assert days[0] == dt.date(2026, 5, 17) and days[-1] == dt.date(2026, 5, 20) and len(days) == 4
+
+
+def test_loading_sets_broken_lines_aside(spark, tmp_path):
+    good = envelope_lines("issues", [{"id": 1, "title": "a"}, {"id": 2, "title": "b"}])
+    write_lines(tmp_path / "in" / "issues" / "year=2026" / "month=05" / "day=17", [good[0], "{oops", good[1], '{"_resource": "issues"}'])
+    raw = str(tmp_path / "raw")
+    counts = jobs.load_days(spark, str(tmp_path / "in"), raw, DAY, DAY, F.lit("2026-05-18 02:00:00"), ["issues"])
+    assert counts == {"issues": 2}
+    assert landing.read_raw(spark, f"{raw}/issues").count() == 2
+    aside = spark.read.parquet(f"{raw}/quarantine/issues")
+    assert rows(aside.fillna(""), "line", "_resource", "landed_on") == [("", "issues", DAY), ("{oops", "", DAY)]
