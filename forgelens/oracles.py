@@ -573,6 +573,10 @@ def oracle_sql() -> dict[str, str]:
         "replacing_events": """
             SELECT user_id, event_id, ts, event_type, value FROM events
             QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
+        "quarantined_lines": _with([ISSUES], """
+            SELECT created_at::DATE::VARCHAR AS landed_on, CASE WHEN comments_count IS NULL THEN 'unreadable'
+                   WHEN comments_count = 0 THEN 'incomplete' ELSE 'loaded' END AS outcome, count(*) AS lines
+            FROM issues GROUP BY 1, 2"""),
         "backfilled_days": _with([REPOS], """
             SELECT run_id, count(*) AS repos, count(DISTINCT repo_id) AS ids, sum(stargazers_count)::BIGINT AS stars,
                    count(*) FILTER (WHERE list_contains(topics, 'red')) AS red, max(updated_at) AS last_update

@@ -51,7 +51,7 @@ class RepoHistory:
         last = self._log.last()
         if last is not None and tag < last:
             raise ValueError(f"run {tag} comes before the last one taken in, {last}; rebuild instead")
-        previous = self._log.last(before=tag)
+        previous = self._log.last(before=tag) if tag == last else last
         open_versions = None
         if previous is not None:
             open_versions = self._spark.read.parquet(self._run(previous)).filter(F.col(scd2.STATE) == "open")

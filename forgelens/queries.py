@@ -183,6 +183,27 @@ def repos_snapshot_by_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.read()
 
 
+def quarantined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines cut short or without a run, set aside while the others of their day are loaded."""
+    base = session.scratch_dir(spark, "quarantine")
+    envelopes = feeds.nested(feeds.feed(spark, sf_dir, "issues"))
+    state, day = F.col("payload.state"), F.col("payload.created_at")
+    options = {"timestampFormat": feeds.TIMESTAMP_TEXT}
+    line = F.to_json(F.struct("_resource", "_run_id", "_extracted_at", "payload"), options)
+    without_run = F.to_json(F.struct("_resource", "_extracted_at", "payload"), options)
+    comments = F.col("payload.comments")
+    text = F.when(comments.isNull(), F.left(line, F.length(line) - 2)).when(comments == 0, without_run).otherwise(line)
+    folders = [F.date_format(day, f).alias(n) for n, f in (("year", "yyyy"), ("month", "MM"), ("day", "dd"))]
+    envelopes.select(text.alias("value"), *folders).write.partitionBy("year", "month", "day").text(f"{base}/in/issues")
+    start, end, loaded_at = dt.date(2024, 1, 1), dt.date(2024, 12, 31), F.lit("2026-06-05 00:00:00")
+    jobs.load_days(spark, f"{base}/in", f"{base}/raw", start, end, loaded_at, ["issues"])
+    loaded = landing.read_raw(spark, f"{base}/raw/issues").select("landed_on", F.lit("loaded").alias("outcome"))
+    aside = spark.read.parquet(f"{base}/raw/quarantine/issues").select(
+        "landed_on", F.when(F.col("line").isNull(), "incomplete").otherwise("unreadable").alias("outcome")
+    )
+    return loaded.unionByName(aside).groupBy("landed_on", "outcome").agg(F.count("*").alias("lines"))
+
+
 def repos_snapshot_keep_deleted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The history when a repository that is not listed stays open."""
     return snapshot.repos_snapshot(_repos(spark, sf_dir), hard_deletes="ignore")
@@ -403,6 +424,7 @@ REGISTERED: dict[str, Query] = {
     "repos_snapshot_keep_deleted": repos_snapshot_keep_deleted,
     "replacing_events": replacing_events,
     "backfilled_days": backfilled_days,
+    "quarantined_lines": quarantined_lines,
     "dq_report": dq_report,
     "dq_source": dq_source,
     "dq_negative_values": dq_negative_values,
