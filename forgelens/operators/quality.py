@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 RESULT = "table_name STRING, rule STRING, column_name STRING, severity STRING, n_checked BIGINT, n_failed BIGINT"
@@ -179,13 +179,18 @@ class QualityError(Exception):
     """A rule of severity ``error`` failed."""
 
 
-def enforce(results: DataFrame) -> list:
+def stop_on_errors(failed: Sequence[Row]) -> None:
+    """Raise if a result row of severity ``error`` is among the failed ones."""
+    errors = [r for r in failed if r.severity == "error"]
+    if errors:
+        raise QualityError("; ".join(f"{r.table_name}.{r.column_name} {r.rule}: {r.n_failed}" for r in errors))
+
+
+def enforce(results: DataFrame) -> list[Row]:
     """Raise if an ``error`` rule failed; return the failed ``warn`` rules.
 
     Only failed result rows come to the driver, at most one per rule.
     """
     failed = results.filter(~F.col("passed")).collect()
-    errors = [r for r in failed if r.severity == "error"]
-    if errors:
-        raise QualityError("; ".join(f"{r.table_name}.{r.column_name} {r.rule}: {r.n_failed}" for r in errors))
+    stop_on_errors(failed)
     return failed

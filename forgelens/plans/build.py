@@ -10,7 +10,7 @@ from functools import partial
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.util import inheritable_thread_target
 
-from ..operators.quality import RESULT, QualityError, evaluate
+from ..operators.quality import RESULT, evaluate, stop_on_errors
 from ..schemas import RESOURCES
 from . import dims, facts, marts, snapshot
 from .contracts import TABLE_RULES
@@ -35,9 +35,8 @@ class Build:
     def check(self, name: str) -> None:
         rows = evaluate(name, self.tables[name], TABLE_RULES[name], self.tables).collect()
         self.outcomes += rows
-        broken = [r for r in rows if not r.passed and r.severity == "error"]
-        if self.gate and broken:
-            raise QualityError("; ".join(f"{r.table_name}.{r.column_name} {r.rule}: {r.n_failed}" for r in broken))
+        if self.gate:
+            stop_on_errors([r for r in rows if not r.passed])
 
     def store(self, name: str, df: DataFrame) -> DataFrame:
         self.tables[name] = VersionedTable(self.spark, f"{self.warehouse}/{name}").replace(df, self.tag)

@@ -23,6 +23,7 @@ class ReplacingTable:
     A batch costs its own size, not the table's.  It goes to a folder named by
     its number, so a batch that is delivered again replaces itself.  ``merge``
     folds all batches so far into one base; readers then start from there.
+    A table has one writer at a time, which reads the commit log once.
     """
 
     def __init__(self, spark: SparkSession, path: str, key: str | Sequence[str], order: Sequence[str]) -> None:
@@ -32,18 +33,21 @@ class ReplacingTable:
         self._order = list(order)
         self._batches = CommitLog(spark, f"{path}/commits")
         self._bases = CommitLog(spark, f"{path}/base_commits")
+        self._written: str | None = None
 
     def _last_per_key(self, df: DataFrame, *ties: str) -> DataFrame:
         first, *rest = self._order
         return latest_by(df, self._keys, first, [*rest, *ties])
 
     def append(self, batch: DataFrame, number: int) -> None:
-        last = self._batches.last()
-        write_folder(
-            self._last_per_key(batch).sortWithinPartitions(*self._keys), f"{self._path}/batches/{_BATCH}={_tag(number)}"
-        )
-        if last is None or last < _tag(number):
-            self._batches.add(_tag(number))
+        if self._written is None:
+            self._written = self._batches.last() or ""
+        tag = _tag(number)
+        rows = self._last_per_key(batch).sortWithinPartitions(*self._keys)
+        write_folder(rows, f"{self._path}/batches/{_BATCH}={tag}")
+        if self._written < tag:
+            self._batches.add(tag)
+            self._written = tag
 
     def read_all(self) -> DataFrame:
         """Every row still stored, with the number of its batch."""

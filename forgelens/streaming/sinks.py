@@ -19,6 +19,7 @@ def upsert(
     dead_letters: str | None = None,
     output_mode: str = "append",
     drain: bool = True,
+    merge_every: int | None = None,
 ) -> StreamingQuery:
     """Write a stream into a replacing table.
 
@@ -27,12 +28,19 @@ def upsert(
     the batch number, so a batch that is delivered again changes nothing; a
     query restarted on the same checkpoint goes on where it stopped.  ``drain``
     takes everything available and ends; otherwise the query keeps running.
+    ``merge_every`` folds the batches into a base after that many of them, which
+    bounds what a reader has to reduce.
     """
 
     def write(batch: DataFrame, number: int) -> None:
         if record is None:
             table.append(batch, number)
-            return
+        else:
+            write_checked(batch, number)
+        if merge_every and (number + 1) % merge_every == 0:
+            table.merge()
+
+    def write_checked(batch: DataFrame, number: int) -> None:
         held = batch.persist()
         try:
             complete = is_complete(record)

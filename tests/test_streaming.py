@@ -112,6 +112,17 @@ def test_replacing_table_keeps_the_last_row(spark, tmp_path):
     assert rows(ReplacingTable(spark, str(tmp_path / "t"), "k", ["at"]).read(), "k") == [(1,), (2,), (3,)]
 
 
+def test_batches_are_merged_on_the_way(spark, tmp_path):
+    inbox, table = tmp_path / "in", trending_table(spark, tmp_path / "t")
+    for n in range(5):
+        write_lines(inbox, [repo_line(1, n), repo_line(10 + n)], f"{n}.jsonl")
+    parsed = messages.parse_repositories(messages.file_messages(spark, str(inbox), max_files=1))
+    drain(records.trending(parsed), table, tmp_path / "c", record=TRENDING_RECORD, merge_every=2)
+    # Two merges took in four batches: their five keys, and the two rows of the last batch.
+    assert table.read_all().count() == 7
+    assert rows(table.read(), "repo_id") == [(1,), (10,), (11,), (12,), (13,), (14,)]
+
+
 def test_totals_per_owner_collapse_or_add_up(spark, tmp_path):
     inbox = tmp_path / "in"
     write_lines(inbox, [repo_line(1, 10), repo_line(2, 20), repo_line(3, 5, owner="bob")])
