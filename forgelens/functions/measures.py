@@ -12,10 +12,8 @@ LOWEST_TIER = "minimal"
 
 def star_tier(stars: Column) -> Column:
     """Tier name of a star count; an unknown count is in the lowest tier."""
-    tier = F
-    for name, floor in STAR_TIERS.items():
-        tier = tier.when(stars >= floor, F.lit(name))
-    return tier.otherwise(F.lit(LOWEST_TIER))
+    reached = [F.when(stars >= floor, F.lit(name)) for name, floor in STAR_TIERS.items()]
+    return F.coalesce(*reached, F.lit(LOWEST_TIER))
 
 
 def percent(part: Column, whole: Column) -> Column:

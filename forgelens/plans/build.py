@@ -39,8 +39,11 @@ class Build:
             stop_on_errors([r for r in rows if not r.passed])
 
     def store(self, name: str, df: DataFrame) -> DataFrame:
-        self.tables[name] = VersionedTable(self.spark, f"{self.warehouse}/{name}").replace(df, self.tag)
+        """Write, check, and only then show the table to readers."""
+        table = VersionedTable(self.spark, f"{self.warehouse}/{name}")
+        self.tables[name] = table.write(df, self.tag)
         self.check(name)
+        table.commit(self.tag)
         return self.tables[name]
 
     def view(self, name: str, df: DataFrame) -> DataFrame:

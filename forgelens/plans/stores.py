@@ -18,11 +18,19 @@ class VersionedTable:
         self._path = path
         self._log = CommitLog(spark, f"{path}/commits")
 
-    def replace(self, df: DataFrame, tag: str) -> DataFrame:
+    def write(self, df: DataFrame, tag: str) -> DataFrame:
+        """Write a build without showing it to readers yet; return what was written."""
         write_folder(df, f"{self._path}/build={tag}")
-        self._log.add(tag)
         return self._spark.read.parquet(f"{self._path}/build={tag}")
 
+    def commit(self, tag: str) -> None:
+        self._log.add(tag)
+
+    def replace(self, df: DataFrame, tag: str) -> DataFrame:
+        written = self.write(df, tag)
+        self.commit(tag)
+        return written
+
     def read(self) -> DataFrame:
         tag = self._log.last()
         if tag is None:

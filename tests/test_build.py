@@ -43,6 +43,17 @@ def test_a_failed_build_leaves_the_last_one(spark, tmp_path):
     assert rows(mart, "repo_id", "forks_count") == [(100001, 24), (100002, 61), (100003, 12)]
 
 
+def test_a_table_that_breaks_its_rules_is_not_shown(spark, tmp_path):
+    build(spark, raw_tables(spark, sample_payloads()), str(tmp_path), "1")
+    payloads = copy.deepcopy(sample_payloads())
+    # Two repositories of one name: fine for staging, not for the dimension.
+    payloads["repositories"][1]["full_name"] = payloads["repositories"][0]["full_name"]
+    with pytest.raises(QualityError, match="dim_repos.full_name unique: 1"):
+        build(spark, raw_tables(spark, payloads), str(tmp_path), "2")
+    names = rows(VersionedTable(spark, f"{tmp_path}/dim_repos").read(), "full_name")
+    assert names == [("alice/awesome-ml",), ("bob/data-pipeline",), ("carol/fastapi-starter",)]
+
+
 def test_warnings_do_not_stop(spark, tmp_path):
     payloads = copy.deepcopy(sample_payloads())
     payloads["repositories"][2]["stargazers_count"] = 2
