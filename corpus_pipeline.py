@@ -5,16 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from forgelens.llm import common, mixing, quality_rules
-from forgelens.session import prepare
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
+    common.ready(spark)
     return common.as_documents(quality_rules.keep_good(common.as_documents(docs)))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the weights of their sources ask for."""
+    common.ready(spark)
     return mixing.mix(common.as_documents(docs))
 
 
@@ -29,8 +30,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each stage's rows are stored and read again."""
-    prepare(spark)
-    docs = common.table(spark, sf_dir, "documents")
+    docs = common.table(common.ready(spark), sf_dir, "documents")
     for place, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if place < len(STAGES) - 1:

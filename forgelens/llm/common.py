@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from ..session import scratch_dir
+from ..session import prepare, scratch_dir
 
 # A word is a run of bytes other than the six ASCII blanks.
 BLANK = r"[\x20\x09-\x0D]"
@@ -18,6 +21,19 @@ WORD = r"[^\x20\x09-\x0D]+"
 DOCUMENT = {"doc_id": "bigint", "text": "string", "lang": "string", "source": "string", "n_chars": "bigint"}
 
 
+def ready(spark: SparkSession) -> SparkSession:
+    """The session's settings, and this package on the path of new Python workers.
+
+    On a cluster the package is installed or handed over with ``--py-files``;
+    the path serves workers on this machine.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
+    return prepare(spark)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import mixing, quality_rules
+from . import license_scan, mixing, quality_rules, url_filter
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -124,8 +124,112 @@ FROM judged2
 """
 
 
+def _licenses() -> str:
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    found = ", ".join(
+        f"CASE WHEN regexp_matches(line, '{license_scan.as_pattern(template)}') THEN '{label}' END"
+        for label, template in license_scan.TEMPLATES.items()
+    )
+    lists, base = [], []
+    for phrase, label in license_scan.PHRASES.items():
+        parts = phrase.split()
+        same = " AND ".join(f"words[i + {1 + k}] = '{part}'" for k, part in enumerate(parts))
+        lists.append(f"list_filter(range(0, len(words)), lambda i: {same})")
+        base.append(f"CASE WHEN regexp_matches(line, ' {phrase} ') THEN '{label}' END")
+    join = "coalesce(array_to_string(list_sort(list_distinct(list_filter({}, lambda x: x IS NOT NULL))), ','), '')"
+    return f"""
+WITH split AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents
+), marked AS (
+  SELECT doc_id, words, ' ' || array_to_string(words, ' ') || ' ' AS line, flatten([{", ".join(lists)}]) AS places FROM split
+), labelled AS (
+  SELECT *, [{", ".join(base)}] AS base, [{found}] AS own FROM marked
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, len(places)::BIGINT AS n_base, list_min(places) AS first_word,
+       list_max(places) AS last_word, {join.format("base")} AS base_labels,
+       {join.format("list_concat(base, own)")} AS labels,
+       CASE WHEN len(list_filter(own, lambda x: x IS NOT NULL)) > 0 THEN 1.0 WHEN len(places) > 0 THEN 0.5 ELSE 0.0 END::DOUBLE
+         AS score
+FROM labelled
+"""
+
+
+def _urls() -> str:
+    u = url_filter
+    cases = []
+    for rule in sorted(u.RULES, key=lambda r: (-len(r), r)):
+        domain, _, begin = rule.partition("/")
+        cases.append(
+            f"WHEN (host = '{domain}' OR ends_with(host, '.{domain}')) AND starts_with(path, '/{begin}') THEN '{rule}'"
+        )
+    allowed = ", ".join(f"'{rule}'" for rule, verdict in u.RULES.items() if verdict == u.ALLOW)
+    levels = []
+    for k in range(u.ORDER + 1):
+        lower = "a.p" if k else f"{1.0 / u.CODE_POINTS!r}::DOUBLE"
+        lower_b = "a.q" if k else f"{1.0 / u.CODE_POINTS!r}::DOUBLE"
+        join = f"JOIN level{k - 1} a ON a.gram = right(c.gram, {k})" if k else ""
+        levels.append(f"""
+counts{k} AS (
+  SELECT gram, left(gram, {k}) AS context, x, y, sum(x) OVER w AS xs, sum(y) OVER w AS ys,
+         sum((x > 0)::BIGINT) OVER w AS xk, sum((y > 0)::BIGINT) OVER w AS yk
+  FROM (SELECT right(gram, {k + 1}) AS gram, sum(x) AS x, sum(y) AS y FROM grams GROUP BY 1)
+  WINDOW w AS (PARTITION BY left(gram, {k}))
+), level{k} AS (
+  SELECT c.gram,
+         CASE WHEN xs > 0 THEN (x::DOUBLE + xk::DOUBLE * {lower}) / (xs + xk)::DOUBLE ELSE {lower} END AS p,
+         CASE WHEN ys > 0 THEN (y::DOUBLE + yk::DOUBLE * {lower_b}) / (ys + yk)::DOUBLE ELSE {lower_b} END AS q
+  FROM counts{k} c {join}
+)""")
+    letters = f"'{u.UPPER}', '{u.LOWER}'"
+    window = " || ".join(f"cs[i + {k}]" for k in range(u.ORDER + 1))
+    return f"""
+WITH cut AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), parts AS (
+  SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), {letters}) AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM cut
+), ruled AS (
+  SELECT *, host || path AS text, CASE {" ".join(cases)} END AS rule FROM parts
+), texts AS (
+  SELECT text, rule, ('0x' || left(md5(text), 8))::BIGINT % {u.HELD_OUT} = 0 AS held_out,
+         CASE WHEN rule IN ({allowed}) THEN count(*) ELSE 0 END AS x,
+         CASE WHEN rule NOT IN ({allowed}) THEN count(*) ELSE 0 END AS y
+  FROM ruled GROUP BY text, rule
+), placed AS (
+  SELECT text, held_out, x, y, unnest(list_transform(range(1, length(text) + 2), lambda i: {window})) AS gram
+  FROM (SELECT *, string_split(repeat(chr(2), {u.ORDER}) || text || chr(3), '') AS cs FROM texts WHERE text <> '')
+), grams AS (
+  SELECT gram, sum(CASE WHEN held_out THEN 0 ELSE x END) AS x, sum(CASE WHEN held_out THEN 0 ELSE y END) AS y
+  FROM placed GROUP BY gram
+), {", ".join(levels)}, sums AS (
+  SELECT text, sum(round((ln(p) - ln(q)) * {u.UNIT})::BIGINT) AS ratio FROM placed JOIN level{u.ORDER} USING (gram) GROUP BY text
+), scores AS (
+  SELECT t.*, ratio::DOUBLE / {float(u.UNIT)}::DOUBLE / (length(t.text) + 1)::DOUBLE AS score FROM texts t JOIN sums USING (text)
+), steps AS (
+  SELECT floor(score / {u.STEP}::DOUBLE)::BIGINT AS step, sum(x) AS x, sum(y) AS y
+  FROM scores WHERE held_out AND rule IS NOT NULL GROUP BY 1
+), rights AS (
+  SELECT step, (sum(x) OVER () - coalesce(sum(x) OVER b, 0)) / nullif(sum(x) OVER (), 0)
+             + coalesce(sum(y) OVER b, 0) / nullif(sum(y) OVER (), 0) AS rights
+  FROM steps WINDOW b AS (ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), best AS (
+  SELECT coalesce((SELECT step FROM rights WHERE rights IS NOT NULL ORDER BY rights DESC, abs(step), step LIMIT 1)
+                  * {u.STEP}::DOUBLE, 0) AS cut
+)
+SELECT page_id, host, path, r.rule,
+       CASE WHEN r.rule IN ({allowed}) THEN 'allow' WHEN r.rule IS NOT NULL THEN 'block'
+            WHEN s.score >= best.cut THEN 'allow' ELSE 'block' END AS verdict
+FROM ruled r LEFT JOIN scores s USING (text), best
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_quality_rules": _quality(),
+        "op7_url_filter": _urls(),
         "op8_mixing": MIXING,
+        "op9_license_scan": _licenses(),
     }

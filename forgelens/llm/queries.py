@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, mixing, quality_rules
+from . import common, license_scan, mixing, pieces, quality_rules, sharding, url_filter
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +16,31 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 16 shards, scattered by key and shuffled; digests of the written rows."""
+    written = sharding.sharded(common.table(spark, sf_dir, "documents").select("doc_id", "text"))
+    text = F.coalesce(F.col("row.text"), F.lit(""))
+    return written.select(
+        "row.doc_id",
+        (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.lit("key").alias("law"),
+        "shard",
+        "slot",
+        "grown_shard",
+    )
+
+
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents, their parity with SentencePiece and their round trip."""
+    return pieces.encode(common.table(spark, sf_dir, "documents"))
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules and character models over all page addresses."""
+    return url_filter.judge(common.table(spark, sf_dir, "pages")).drop("score")
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to the weights of their sources."""
     planned = mixing.plan_mix(common.table(spark, sf_dir, "documents"))
@@ -23,13 +48,20 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planned.select("doc_id", "size", "source_size", "target", taken, "copies")
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and template matches in all documents."""
+    return license_scan.scan(common.table(spark, sf_dir, "documents")).drop("matches")
+
+
 QUERIES = {
     "op2_quality_rules": op2_quality_rules,
+    "op3_sharding": op3_sharding,
+    "op4_sentencepiece": op4_sentencepiece,
+    "op7_url_filter": op7_url_filter,
     "op8_mixing": op8_mixing,
+    "op9_license_scan": op9_license_scan,
 }
 
 
 def queries():
-    from ..session import prepare
-
-    return {name: (lambda spark, sf_dir, q=query: q(prepare(spark), sf_dir)) for name, query in QUERIES.items()}
+    return {name: (lambda spark, sf_dir, q=query: q(common.ready(spark), sf_dir)) for name, query in QUERIES.items()}
