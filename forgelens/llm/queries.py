@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, license_scan, mixing, pieces, quality_rules, sharding, url_filter
+from . import common, license_scan, mixing, near_dedup, pieces, quality_rules, sharding, url_filter
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,6 +53,11 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(common.table(spark, sf_dir, "documents")).drop("matches")
 
 
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents whose sets of four-word shingles are similar."""
+    return near_dedup.link_components(common.table(spark, sf_dir, "documents"), size=4)
+
+
 QUERIES = {
     "op2_quality_rules": op2_quality_rules,
     "op3_sharding": op3_sharding,
@@ -60,6 +65,7 @@ QUERIES = {
     "op7_url_filter": op7_url_filter,
     "op8_mixing": op8_mixing,
     "op9_license_scan": op9_license_scan,
+    "op10_near_dedup": op10_near_dedup,
 }
 
 
