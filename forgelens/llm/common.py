@@ -7,7 +7,6 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..session import prepare, scratch_dir
@@ -74,7 +73,3 @@ def numbered(df: DataFrame, order: list[Column], name: str, label: str) -> DataF
         .withColumn(name, F.col("_start") + F.col("_place") - 1)
         .drop("_range", "_of", "_start", "_place")
     )
-
-
-def schema(text: str) -> T.StructType:
-    return T._parse_datatype_string(text)

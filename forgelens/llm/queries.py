@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, license_scan, mixing, near_dedup, pieces, quality_rules, sharding, url_filter
+from . import common, license_scan, mixing, near_dedup, pieces, quality_rules, sharding, suffix_dedup, url_filter
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,6 +36,12 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(common.table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What all documents share with a document of a smaller id, cut at 50 bytes."""
+    cut = suffix_dedup.shared_strings(common.table(spark, sf_dir, "documents"))
+    return cut.select("row.doc_id", "n_bytes", *suffix_dedup.digests(cut))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rules and character models over all page addresses."""
     return url_filter.judge(common.table(spark, sf_dir, "pages")).drop("score")
@@ -62,6 +68,7 @@ QUERIES = {
     "op2_quality_rules": op2_quality_rules,
     "op3_sharding": op3_sharding,
     "op4_sentencepiece": op4_sentencepiece,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op7_url_filter": op7_url_filter,
     "op8_mixing": op8_mixing,
     "op9_license_scan": op9_license_scan,
