@@ -5,7 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, license_scan, mixing, near_dedup, pieces, quality_rules, sharding, suffix_dedup, url_filter
+from . import (
+    ann,
+    common,
+    license_scan,
+    mixing,
+    near_dedup,
+    pieces,
+    quality_rank,
+    quality_rules,
+    sharding,
+    suffix_dedup,
+    url_filter,
+)
+
+
+def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """20 nearest vectors found for every twentieth vec_id."""
+    return ann.search_every(common.table(spark, sf_dir, "embeddings"), 20)
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,6 +59,12 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("row.doc_id", "n_bytes", *suffix_dedup.digests(cut))
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bradley-Terry scores of all documents, learned outside the held-out fold."""
+    documents = common.table(spark, sf_dir, "documents")
+    return quality_rank.score(documents, quality_rank.learn(documents, common.table(spark, sf_dir, "labels")))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rules and character models over all page addresses."""
     return url_filter.judge(common.table(spark, sf_dir, "pages")).drop("score")
@@ -65,10 +88,12 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ann": op1_ann,
     "op2_quality_rules": op2_quality_rules,
     "op3_sharding": op3_sharding,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_suffix_dedup": op5_suffix_dedup,
+    "op6_quality_classifier": op6_quality_classifier,
     "op7_url_filter": op7_url_filter,
     "op8_mixing": op8_mixing,
     "op9_license_scan": op9_license_scan,
