@@ -296,12 +296,11 @@ def link_components(
     links = common.stored(exact_links(grouped.join(texts, "doc_id"), size, percent), "near-exact")
     # Rows of one doc_id with different sets link those sets.
     first = sets.select("digest", F.col("doc_id").alias("first"))
-    owners = signed.join(first, "digest", "left").select("doc_id", "n_shingles", "first")
+    owner = F.when(F.col("doc_id").isNotNull(), F.col("first")).alias("first")
+    owners = signed.join(first, "digest", "left").select("doc_id", "n_shingles", owner)
     owners = common.stored(owners, "near-owners")
-    shared_ids = owners.filter("first <> doc_id").groupBy("doc_id").agg(
-        F.min("first").alias("a"), F.max("first").alias("b")
-    )
-    links = links.union(shared_ids.filter("a <> b").select("a", "b"))
+    several = owners.groupBy("doc_id").agg(F.min("first").alias("a"), F.max("first").alias("b")).filter("a <> b")
+    links = links.union(owners.join(several.select("doc_id", "a"), "doc_id").select("a", F.col("first").alias("b")))
     found = common.stored(graph.components(links, "near-components"), "near-components")
     joined = owners.join(found, F.col("first") == F.col("id"), "left")
     component = F.coalesce("component", "first", "doc_id")

@@ -198,7 +198,8 @@ class Codec:
 class WordCodec(Codec):
     """The same over words, for models that split at words."""
 
-    WORDS = re.compile(r" *[^ \n]+| +|\n")
+    # A literal marker is a blank to the model.
+    WORDS = re.compile(f"[ {MARK}]*[^ {MARK}\n]+|[ {MARK}]+|\n")
     KEPT_WORDS = 1_000_000
     LONGEST_KEPT = 64
 
