@@ -17,5 +17,10 @@ def star_tier(stars: Column) -> Column:
 
 
 def percent(part: Column, whole: Column) -> Column:
-    """``part`` of ``whole`` in percent with one decimal; NULL when there is no whole."""
-    return F.when(whole > 0, F.round(part / whole * 100, 1))
+    """``part`` of ``whole`` in percent with one decimal; NULL when there is no whole.
+
+    Decimal arithmetic with six digits for the quotient, so that a half is
+    rounded up where a double would fall just short of it.
+    """
+    quotient = F.round(part.cast("decimal(18,0)") / whole.cast("decimal(18,0)"), 6)
+    return F.when(whole > 0, F.round(quotient * 100, 1).cast("double"))

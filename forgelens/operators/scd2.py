@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,7 +11,6 @@ from ..functions import version_key
 from ..schemas import VALID_FROM, VALID_TO, VERSION_ID, VERSION_UPDATED
 from .latest import latest_by
 
-MAX_LISTED_RUNS = 100_000
 STATE = "state"
 
 
@@ -77,78 +75,62 @@ def advance(
     return both.select(F.inline(F.filter(produced, lambda v: v.isNotNull())))
 
 
-def run_order(staged: DataFrame) -> DataFrame:
-    """``(__run, run_id, run_ts)``: the extraction runs numbered in time order.
-
-    A daily feed has few runs, so their list is taken to the driver and comes
-    back as a local relation, whose known size lets Spark broadcast it by itself.
-    Beyond ``MAX_LISTED_RUNS`` the numbering stays a distributed aggregate.
-    """
-    spark = staged.sparkSession
-    runs = staged.groupBy("run_id").agg(F.max("extracted_at").alias("run_ts"))
-    listed = runs.select("run_id", F.unix_micros("run_ts").alias("run_us")).take(MAX_LISTED_RUNS + 1)
-    if len(listed) > MAX_LISTED_RUNS:
-        order = Window.orderBy("run_ts", "run_id")
-        return runs.select(F.row_number().over(order).cast("bigint").alias("__run"), "run_id", "run_ts")
-    listed.sort(key=lambda r: (r.run_us is not None, r.run_us or 0, r.run_id or ""))
-    numbered = pa.table(
-        {
-            "__run": pa.array(range(1, len(listed) + 1), pa.int64()),
-            "run_id": pa.array([r.run_id for r in listed], pa.string()),
-            "run_us": pa.array([r.run_us for r in listed], pa.int64()),
-        }
-    )
-    return spark.createDataFrame(numbered).select("__run", "run_id", F.timestamp_micros("run_us").alias("run_ts"))
+def number_runs(manifest: DataFrame, moment: str = "finished_at_utc") -> DataFrame:
+    """``(__run, run_id, run_ts)``: the runs of a manifest (at least one row per run) in time order."""
+    runs = manifest.groupBy("run_id").agg(F.max(moment).alias("run_ts"))
+    order = Window.orderBy(F.col("run_ts").asc_nulls_first(), "run_id")
+    return runs.select(F.row_number().over(order).cast("bigint").alias("__run"), "run_id", "run_ts")
 
 
 def replay(
-    staged: DataFrame,
-    key: str,
-    watched: Sequence[str],
-    ties: Sequence[str],
-    runs: DataFrame | None = None,
-    hard_deletes: str = "close",
+    staged: DataFrame, key: str, watched: Sequence[str], ties: Sequence[str], complete_runs: DataFrame | None = None
 ) -> DataFrame:
     """The history that :func:`advance` builds run by run, in one pass over all runs.
 
+    A run may list only what was new that day, so a key that it does not list
+    is still there: a version ends when a later row of its key differs, and the
+    last one stays open.  Rows whose run is unknown take part by their time.
+
+    Where every run lists all keys, ``complete_runs`` (from :func:`number_runs`)
+    says so: then a key that a run does not list is closed at that run.
+
     Used for a rebuild: one exchange on (key, run) to pick the row of each run
     and one on the key to compare neighbours, whatever the number of runs.  A
     key has at most one row per run by then, so no group is larger than the
     number of runs.
     """
-    _check_deletes(hard_deletes)
-    known = staged.filter(F.col(key).isNotNull())
-    if runs is None:
-        runs = run_order(known.select("run_id", "extracted_at"))
-    listed = latest_by(known, [key, "run_id"], "extracted_at", ties).join(
-        runs.select("__run", "run_id"), "run_id"
-    )
-    by_run = Window.partitionBy(key).orderBy("__run")
+    listed = latest_by(staged.filter(F.col(key).isNotNull()), [key, "run_id"], "extracted_at", ties)
     state = F.struct(*watched)
-    gone = F.col("__before") < F.col("__run") - 1 if hard_deletes == "close" else F.lit(False)
+    start = F.coalesce("updated_at", "extracted_at")
+    if complete_runs is None:
+        in_time = Window.partitionBy(key).orderBy(F.col("extracted_at").asc_nulls_first(), "run_id")
+        changes = listed.withColumns(
+            {"__first": F.row_number().over(in_time) == 1, "__same": state.eqNullSafe(F.lag(state).over(in_time))}
+        ).filter(F.col("__first") | ~F.col("__same"))
+        return _as_version(changes.withColumn("__next_start", F.lead(start).over(in_time)), key, F.col("__next_start"))
+    by_run = Window.partitionBy(key).orderBy("__run")
     starts = (
         # All windows share one exchange and one sort.
-        listed.withColumns(
+        listed.join(complete_runs.select("__run", "run_id"), "run_id")
+        .withColumns(
             {
                 "__before": F.lag("__run").over(by_run),
                 "__same": state.eqNullSafe(F.lag(state).over(by_run)),
                 "__final": F.max("__run").over(Window.partitionBy(key)),
             }
         )
-        .filter(F.col("__before").isNull() | gone | ~F.col("__same"))
+        .filter(F.col("__before").isNull() | (F.col("__before") < F.col("__run") - 1) | ~F.col("__same"))
         .withColumns(
             {
                 "__next": F.lead("__run").over(by_run),
-                "__next_start": F.lead(F.coalesce("updated_at", "extracted_at")).over(by_run),
+                "__next_start": F.lead(start).over(by_run),
                 # The last run that listed this version.
                 "__last": F.coalesce(F.lead("__before").over(by_run), "__final"),
             }
         )
     )
-    if hard_deletes == "ignore":
-        return _as_version(starts, key, F.col("__next_start"))
     # Not listed in the run after its last one: closed when that run took place.
-    missed = runs.select((F.col("__run") - 1).alias("__last"), F.col("run_ts").alias("__missed_at"))
+    missed = complete_runs.select((F.col("__run") - 1).alias("__last"), F.col("run_ts").alias("__missed_at"))
     replaced = F.col("__next") == F.col("__last") + 1
     ended = F.when(replaced, F.col("__next_start")).otherwise(F.col("__missed_at"))
     return _as_version(starts.join(missed, "__last", "left"), key, ended)

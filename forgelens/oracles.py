@@ -118,7 +118,34 @@ issues AS (
 
 # ------------------------------------------------------------------- history
 
-HISTORY = (
+WATCHED = (
+    "stargazers_count, forks_count, open_issues_count, language, description, topics, "
+    "is_archived, is_disabled, has_issues, has_wiki, has_discussions"
+)
+
+
+def _history(rows: str) -> str:
+    """Versions of all rows so far: a version ends when a later row of its repository differs."""
+    return f"""
+neighbours AS (
+  SELECT *, row_number() OVER w = 1 AS is_first, ({WATCHED}) IS DISTINCT FROM lag(({WATCHED})) OVER w AS moved
+  FROM {rows} WINDOW w AS (PARTITION BY repo_id ORDER BY extracted_at, run_id)
+),
+history AS (
+  SELECT * EXCLUDE (is_first, moved), md5(concat_ws('|', repo_id, epoch_us(updated_at), run_id)) AS dbt_scd_id,
+         updated_at AS dbt_updated_at, updated_at AS dbt_valid_from,
+         lead(updated_at) OVER (PARTITION BY repo_id ORDER BY extracted_at, run_id) AS dbt_valid_to
+  FROM neighbours WHERE is_first OR moved
+),
+live AS (SELECT * FROM history WHERE dbt_valid_to IS NULL)"""
+
+
+HISTORY = REPOS + "," + _history("repos")
+NEW_EACH_DAY = REPOS + """,
+new_each_day AS (SELECT * FROM repos WHERE run_id = 'run-' || (repo_id % 3 + 1)),""" + _history("new_each_day")
+
+# The same where every run lists all repositories: one that is not listed is closed at that run.
+COMPLETE_HISTORY = (
     REPOS
     + """,
 run_no AS (SELECT run_id, extracted_at AS run_ts, row_number() OVER (ORDER BY extracted_at) AS n
@@ -266,6 +293,12 @@ activity AS (
 )"""
 
 
+def _percent(part: str, whole: str) -> str:
+    """A decimal quotient of six digits, in percent with one digit; halves go up, all in whole numbers."""
+    quotient = f"((2 * 1000000 * {part} + {whole}) // (2 * {whole}))"
+    return f"(({quotient} + 500) // 1000)::DOUBLE / 10"
+
+
 def _health(name: str, issues: str = "issues", prs: str = "prs") -> str:
     return f"""
 {name} AS (
@@ -275,8 +308,8 @@ def _health(name: str, issues: str = "issues", prs: str = "prs") -> str:
          coalesce(i.n_closed, 0) AS tracked_closed_issues, coalesce(i.comments, 0) AS avg_issue_comments,
          coalesce(p.n, 0) AS tracked_prs, coalesce(p.n_merged, 0) AS merged_prs, coalesce(p.n_open, 0) AS open_prs,
          coalesce(p.comments, 0) AS avg_pr_comments,
-         round(i.n_closed / i.n * 100, 1) AS issue_close_rate_pct,
-         round(p.n_merged / p.n * 100, 1) AS pr_merge_rate_pct,
+         {_percent("i.n_closed", "i.n")} AS issue_close_rate_pct,
+         {_percent("p.n_merged", "p.n")} AS pr_merge_rate_pct,
          least(100, 10 * (has_issues::INT + has_wiki::INT + has_discussions::INT)
                     + 20 * (license_key IS NOT NULL)::INT + 10 * coalesce(stargazers_count > 0, FALSE)::INT
                     + 20 * (i.n IS NOT NULL)::INT + 20 * (p.n IS NOT NULL)::INT) AS health_score
@@ -475,7 +508,10 @@ def oracle_sql() -> dict[str, str]:
             QUALIFY row_number() OVER (PARTITION BY repo_id ORDER BY extracted_at DESC NULLS FIRST, {TIE}) = 1"""),
         "dim_developers": _with([REPOS, PRS, ISSUES, DEVELOPERS], "SELECT * FROM developers"),
         "repos_snapshot": _with([HISTORY], HISTORY_OUT + "history"),
-        "repos_snapshot_by_run": _with([HISTORY], HISTORY_OUT + "history"),
+        "repos_snapshot_by_run": _with([COMPLETE_HISTORY], HISTORY_OUT + "history"),
+        "repos_snapshot_complete": _with([COMPLETE_HISTORY], HISTORY_OUT + "history"),
+        "repos_snapshot_daily": _with([NEW_EACH_DAY], HISTORY_OUT + "history"),
+        "repos_snapshot_daily_rebuilt": _with([NEW_EACH_DAY], HISTORY_OUT + "history"),
         "dim_repos": _with([HISTORY], f"SELECT {_key('repo_id')} AS repo_key, {DIM_REPOS_COLUMNS} FROM live"),
         "repos_as_of": _with([HISTORY], f"""SELECT {_key('repo_id')} AS repo_key, {DIM_REPOS_COLUMNS} FROM history
             WHERE dbt_valid_from <= TIMESTAMP '2026-01-04' AND (dbt_valid_to IS NULL OR dbt_valid_to > TIMESTAMP '2026-01-04')"""),
@@ -497,21 +533,28 @@ def oracle_sql() -> dict[str, str]:
             one_pr AS (SELECT * FROM prs QUALIFY row_number() OVER
               (PARTITION BY pr_id ORDER BY extracted_at DESC NULLS FIRST, {TIE}) = 1)""",
             _health("health", prs="one_pr")], "SELECT * FROM health"),
-        "repo_metrics_over_time": _with([HISTORY, FACT_REPOS, DIM_DATE], f"""
-            SELECT f.date_key::VARCHAR AS date_key, c.year, c.week_of_year, c.day_name, c.is_weekday, l.language,
+        "repo_metrics_over_time": _with([HISTORY, FACT_REPOS, DIM_DATE], """
+            SELECT f.date_key::VARCHAR AS date_key, c.year, c.week_of_year, c.day_name, c.is_weekday, h.language,
                    count(*) AS repos, sum(f.stargazers_count)::BIGINT AS stars, sum(f.forks_count)::BIGINT AS forks,
                    sum(f.open_issues_count)::BIGINT AS open_issues
-            FROM fact_repos f JOIN live l ON {_key('l.repo_id')} = f.repo_key JOIN calendar c ON c.date_id = f.date_key
+            FROM fact_repos f
+            LEFT JOIN history h ON h.repo_id = f.repo_id AND h.dbt_valid_from <= f.extracted_at
+                                   AND (h.dbt_valid_to IS NULL OR f.extracted_at < h.dbt_valid_to)
+            LEFT JOIN calendar c ON c.date_id = f.date_key
             GROUP BY ALL"""),
         "pull_requests_by_day": _with([PRS, FACT_PRS, DIM_DATE], f"""
-            SELECT c.* {_iso(*calendar_dates)}, count(f.pr_id) AS opened,
+            SELECT c.* REPLACE (coalesce(c.date_id, f.date_key)::VARCHAR AS date_id, {_iso(*calendar_dates[1:])[9:-1]}),
+                   count(f.pr_id) AS opened,
                    count(*) FILTER (WHERE f.is_merged) AS merged, count(f.hours_to_close) AS closed,
                    avg(f.hours_to_close) AS avg_hours_to_close
-            FROM calendar c LEFT JOIN fact_prs f ON f.date_key = c.date_id GROUP BY ALL"""),
+            FROM calendar c FULL JOIN fact_prs f ON f.date_key = c.date_id GROUP BY ALL"""),
         "pull_requests_by_owner": _with([HISTORY, PRS, FACT_PRS], """
-            SELECT l.owner_type, l.language, count(DISTINCT l.repo_id) AS repos, count(*) AS prs,
-                   count(*) FILTER (WHERE f.is_merged) AS merged
-            FROM fact_prs f JOIN live l ON l.full_name = f.repo_full_name GROUP BY ALL"""),
+            SELECT l.name IS NOT NULL AS is_listed, l.owner_type, l.language, count(DISTINCT lower(f.repo_full_name)) AS repos,
+                   count(*) AS prs, count(*) FILTER (WHERE f.is_merged) AS merged
+            FROM fact_prs f LEFT JOIN (
+              SELECT lower(full_name) AS name, owner_type, language FROM live
+              QUALIFY row_number() OVER (PARTITION BY lower(full_name) ORDER BY updated_at DESC, repo_id DESC) = 1
+            ) l ON l.name = lower(f.repo_full_name) GROUP BY ALL"""),
         "search_repositories": _with([REPOS], """
             SELECT * REPLACE (array_to_string(topics, ',') AS topics) FROM repos
             WHERE created_at::DATE BETWEEN DATE '2020-02-01' AND DATE '2021-06-30'
@@ -564,12 +607,7 @@ def oracle_sql() -> dict[str, str]:
         "stream_redelivered": """
             SELECT 'owner' || user_id AS owner_login, count(*) AS deliveries, sum(event_id)::BIGINT AS stars
             FROM events GROUP BY 1""",
-        "repos_snapshot_keep_deleted": _with([HISTORY], """
-            SELECT m.* EXCLUDE (n, n_before, n_after, moved, version_no) REPLACE (array_to_string(topics, ',') AS topics),
-                   md5(concat_ws('|', repo_id, epoch_us(updated_at), run_id)) AS dbt_scd_id,
-                   updated_at AS dbt_updated_at, updated_at AS dbt_valid_from,
-                   lead(updated_at) OVER (PARTITION BY repo_id ORDER BY n) AS dbt_valid_to
-            FROM (SELECT * FROM marked WHERE n_before IS NULL OR moved) m"""),
+        "repos_snapshot_keep_deleted": _with([HISTORY], HISTORY_OUT + "history"),
         "replacing_events": """
             SELECT user_id, event_id, ts, event_type, value FROM events
             QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",

@@ -73,9 +73,11 @@ def build(
 ) -> Build:
     """Stage, historize and rebuild every table below ``warehouse``.
 
-    With ``run_ts`` the raw rows are one more run and advance the stored
-    history; without it the history is rebuilt from all runs in ``raw``.  The
-    first failed ``error`` rule stops the build, unless ``gate`` is off.
+    ``raw`` holds all rows loaded so far.  With ``run_ts`` the stored history
+    advances by one run, in which a repository that ``raw`` no longer has is
+    closed; without it the history is rebuilt from all runs.  The first failed
+    ``error`` rule stops the build before the table is shown to readers, unless
+    ``gate`` is off.
     """
     out = Build(spark, warehouse, tag, gate)
     staged = {r: stage(raw[r], r) for r in RESOURCES}
@@ -86,8 +88,8 @@ def build(
         history = out.store("repos_snapshot", snapshot.repos_snapshot(repos))
     else:
         kept = RepoHistory(spark, f"{warehouse}/repos_history")
-        kept.apply(repos, tag, run_ts)
-        history = out.view("repos_snapshot", kept.read())
+        history = out.view("repos_snapshot", kept.write(repos, tag, run_ts))
+        kept.commit(tag)
 
     dimensions = {
         "dim_date": dims.dim_date(spark),

@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators import asof_join, latest_by
+
 # What the extraction search asks for.
 SEARCH_LANGUAGE = "Python"
 SEARCH_MIN_STARS = 5
@@ -55,17 +57,30 @@ def search_repositories(
     ).orderBy(F.col("updated_at").desc_nulls_last(), "repo_id")
 
 
-def metrics_over_time(snapshots: DataFrame, dim_repos: DataFrame, dim_date: DataFrame) -> DataFrame:
-    """Totals per snapshot day and language of the repositories that are still listed."""
-    joined = snapshots.join(dim_repos.select("repo_key", "language"), "repo_key")
+def metrics_over_time(snapshots: DataFrame, history: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """Totals per snapshot day and language, each snapshot with the version valid at its time.
+
+    Every snapshot counts: one without a version has no language, and a day
+    beyond the calendar has no attributes.
+    """
+    versions = history.select("repo_id", "dbt_valid_from", "dbt_valid_to", "language")
+    measures = ["stargazers_count", "forks_count", "open_issues_count"]
+    joined = asof_join(
+        snapshots.select("repo_id", "extracted_at", "date_key", *measures),
+        versions,
+        "repo_id",
+        "extracted_at",
+        "dbt_valid_from",
+        "dbt_valid_to",
+    )
     daily = joined.groupBy("date_key", "language").agg(
         F.count("*").alias("repos"),
         F.sum("stargazers_count").alias("stars"),
         F.sum("forks_count").alias("forks"),
         F.sum("open_issues_count").alias("open_issues"),
     )
-    calendar = F.broadcast(dim_date.select("date_id", "year", "week_of_year", "day_name", "is_weekday"))
-    return daily.join(calendar, F.col("date_key") == F.col("date_id")).select(
+    calendar = dim_date.select("date_id", "year", "week_of_year", "day_name", "is_weekday")
+    return daily.join(calendar, F.col("date_key") == F.col("date_id"), "left").select(
         "date_key", "year", "week_of_year", "day_name", "is_weekday", "language", "repos", "stars", "forks", "open_issues"
     )
 
@@ -74,7 +89,8 @@ def pull_requests_by_day(pull_requests: DataFrame, dim_date: DataFrame) -> DataF
     """Every day of the calendar with its attributes and the pull requests opened on it.
 
     The calendar has a fixed number of rows, and the facts are reduced to one
-    row per day before they meet it.
+    row per day before they meet it.  Days beyond it, and requests without a
+    day, have rows without attributes.
     """
     daily = pull_requests.groupBy("date_key").agg(
         F.count("*").alias("opened"),
@@ -84,18 +100,27 @@ def pull_requests_by_day(pull_requests: DataFrame, dim_date: DataFrame) -> DataF
     )
     counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("opened", "merged", "closed")]
     average = F.when(F.col("closed") > 0, F.col("hours") / F.col("closed"))
-    return dim_date.join(daily, F.col("date_id") == F.col("date_key"), "left").select(
-        *dim_date.columns, *counts, average.alias("avg_hours_to_close")
+    columns = [F.coalesce("date_id", "date_key").alias("date_id"), *[c for c in dim_date.columns if c != "date_id"]]
+    return dim_date.join(daily, F.col("date_id") == F.col("date_key"), "full_outer").select(
+        *columns, *counts, average.alias("avg_hours_to_close")
     )
 
 
 def pull_requests_by_owner(pull_requests: DataFrame, dim_repos: DataFrame) -> DataFrame:
-    """Pull requests per owner type and language, matched on the exact repository name."""
-    per_repo = pull_requests.groupBy("repo_full_name").agg(
+    """Pull requests per owner type and language of their repository, by name in any letter case.
+
+    Requests of repositories that are not listed have a row of their own.  Of
+    several repositories of one name the one updated last counts.
+    """
+    per_repo = pull_requests.groupBy(F.lower("repo_full_name").alias("name")).agg(
         F.count("*").alias("prs"), F.count_if("is_merged").alias("merged")
     )
+    named = dim_repos.filter(F.col("full_name").isNotNull()).withColumn("listed_name", F.lower("full_name"))
+    one = latest_by(named, ["listed_name"], "updated_at", ["repo_id"]).select(
+        "listed_name", "owner_type", "language", F.lit(True).alias("listed")
+    )
     return (
-        per_repo.join(dim_repos, F.col("repo_full_name") == F.col("full_name"))
-        .groupBy("owner_type", "language")
+        per_repo.join(one, F.col("name") == F.col("listed_name"), "left")
+        .groupBy(F.coalesce("listed", F.lit(False)).alias("is_listed"), "owner_type", "language")
         .agg(F.count("*").alias("repos"), F.sum("prs").alias("prs"), F.sum("merged").alias("merged"))
     )

@@ -20,9 +20,9 @@ DIMENSION_COLUMNS = (
 ).split()
 
 
-def repos_snapshot(staged: DataFrame, hard_deletes: str = "close") -> DataFrame:
-    """The whole history, rebuilt from every staged run."""
-    return replay(staged, "repo_id", WATCHED, TIES, hard_deletes=hard_deletes)
+def repos_snapshot(staged: DataFrame, complete_runs: DataFrame | None = None) -> DataFrame:
+    """The whole history, rebuilt from every staged run; see :func:`forgelens.operators.scd2.replay`."""
+    return replay(staged, "repo_id", WATCHED, TIES, complete_runs)
 
 
 def latest_repos(staged: DataFrame) -> DataFrame:
@@ -33,7 +33,10 @@ def latest_repos(staged: DataFrame) -> DataFrame:
 def advance_repos(
     open_versions: DataFrame | None, staged: DataFrame, run_ts: Column, hard_deletes: str = "close"
 ) -> DataFrame:
-    """One run of the history; see :func:`forgelens.operators.scd2.advance`."""
+    """One run of the history; see :func:`forgelens.operators.scd2.advance`.
+
+    ``staged`` is all there is: the accumulated rows, or a listing that is complete by itself.
+    """
     return advance(open_versions, latest_repos(staged), "repo_id", WATCHED, run_ts, hard_deletes)
 
 

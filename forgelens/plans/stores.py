@@ -55,7 +55,17 @@ class RepoHistory:
         return f"{self._path}/versions/run={tag}"
 
     def apply(self, staged: DataFrame, tag: str, run_ts: Column, hard_deletes: str = "close") -> None:
-        """Take in one run.  Repeating the last run changes nothing; older ones are refused."""
+        """Take in one run and show it to readers."""
+        self.write(staged, tag, run_ts, hard_deletes)
+        self.commit(tag)
+
+    def write(self, staged: DataFrame, tag: str, run_ts: Column, hard_deletes: str = "close") -> DataFrame:
+        """Write one run without showing it yet; return the history as it would be.
+
+        ``staged`` holds all rows so far, or a listing that is complete by itself:
+        what it lacks is closed.  Repeating the last run changes nothing; older
+        ones are refused.
+        """
         last = self._log.last()
         if last is not None and tag < last:
             raise ValueError(f"run {tag} comes before the last one taken in, {last}; rebuild instead")
@@ -65,15 +75,24 @@ class RepoHistory:
             open_versions = self._spark.read.parquet(self._run(previous)).filter(F.col(scd2.STATE) == "open")
         versions = snapshot.advance_repos(open_versions, staged, run_ts, hard_deletes)
         write_folder(versions, self._run(tag), scd2.STATE)
-        if tag != last:
+        return self._versions(tag)
+
+    def commit(self, tag: str) -> None:
+        if tag != self._log.last():
             self._log.add(tag)
 
     def read(self) -> DataFrame:
         last = self._log.last()
         if last is None:
             raise FileNotFoundError(f"no finished run in {self._path}")
-        # The folder names are partition columns, so only the folders needed are read.
-        every = self._spark.read.option("basePath", f"{self._path}/versions").parquet(f"{self._path}/versions")
-        run, state = F.col("run").cast("string"), F.col(scd2.STATE)
+        return self._versions(last)
+
+    def _versions(self, last: str) -> DataFrame:
+        # The folder names are partition columns, so only the folders needed are
+        # read.  Runs are text: read as numbers, tags would lose leading zeros.
+        held = self._spark.read.parquet(self._run(last)).drop(scd2.STATE).schema
+        schema = held.add("run", "string").add(scd2.STATE, "string")
+        every = self._spark.read.schema(schema).parquet(f"{self._path}/versions")
+        run, state = F.col("run"), F.col(scd2.STATE)
         wanted = ((state == "closed") & (run <= last)) | ((state == "open") & (run == last))
         return every.filter(wanted).drop("run", scd2.STATE)

@@ -11,10 +11,10 @@ from pyspark.sql import types as T
 
 from . import session
 from .functions import star_tier
-from .operators import asof_join, first_by, latest_by, quality
+from .operators import asof_join, first_by, latest_by, number_runs, quality
 from .plans import contracts, dims, facts, jobs, marts, reports, snapshot, staging
 from .plans.build import build
-from .plans.stores import RepoHistory, VersionedTable
+from .plans.stores import RepoHistory
 from .schemas import DEVELOPER_RECORD, RESOURCES, TRENDING_RECORD
 from .sources import feeds, landing
 from .sources.replacing import ReplacingTable
@@ -57,6 +57,39 @@ def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshot.repos_snapshot(_repos(spark, sf_dir))
 
 
+def _complete_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The runs of the repository feed, each of which lists all repositories."""
+    landed = feeds.feed(spark, sf_dir, "repositories").select(
+        F.col("_run_id").alias("run_id"), F.col("_extracted_at").alias("finished_at_utc")
+    )
+    return number_runs(landed)
+
+
+def repos_snapshot_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history when every run lists all repositories, so that a vanished one is closed."""
+    return snapshot.repos_snapshot(_repos(spark, sf_dir), _complete_runs(spark, sf_dir))
+
+
+def _new_each_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repositories as daily searches list them: each run has those of one third only, in turn."""
+    return _repos(spark, sf_dir).filter(F.concat(F.lit("run-"), F.col("repo_id") % feeds.RUNS + 1) == F.col("run_id"))
+
+
+def repos_snapshot_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history of runs that list different repositories, taken in run by run from all rows so far."""
+    staged = _new_each_day(spark, sf_dir)
+    history = RepoHistory(spark, session.scratch_dir(spark, "history"))
+    for run in range(1, feeds.RUNS + 1):
+        so_far = staged.filter(F.col("run_id") <= f"run-{run}")
+        history.apply(so_far, f"{run:03d}", F.lit(f"2026-06-0{1 + run} 00:00:00").cast("timestamp"))
+    return history.read()
+
+
+def repos_snapshot_daily_rebuilt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same history, rebuilt in one pass."""
+    return snapshot.repos_snapshot(_new_each_day(spark, sf_dir))
+
+
 def _staged_from_json(resource: str) -> Query:
     """Staging over payloads delivered as JSON text."""
 
@@ -106,9 +139,7 @@ def version_at_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For every listed repository, the version valid some hours before its update."""
     asked = F.timestamp_seconds(F.unix_seconds("updated_at") - (F.col("repo_id") % 48) * feeds.HOUR)
     rows = _repos(spark, sf_dir).select("repo_id", "run_id", asked.alias("asked_at"))
-    # Read twice below, so it is written down first, as a build does.
-    stored = VersionedTable(spark, session.scratch_dir(spark, "versions")).replace(_history(spark, sf_dir), "1")
-    versions = stored.select(
+    versions = _history(spark, sf_dir).select(
         "repo_id", "dbt_valid_from", "dbt_valid_to", "dbt_scd_id", F.col("stargazers_count").alias("valid_stars")
     )
     return asof_join(rows, versions, "repo_id", "asked_at", "dbt_valid_from", "dbt_valid_to")
@@ -143,7 +174,7 @@ def community_health_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def repo_metrics_over_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.metrics_over_time(
-        fact_repo_snapshots(spark, sf_dir), dim_repos(spark, sf_dir), dims.dim_date(spark)
+        fact_repo_snapshots(spark, sf_dir), _history(spark, sf_dir), dims.dim_date(spark)
     )
 
 
@@ -206,7 +237,12 @@ def quarantined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def repos_snapshot_keep_deleted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The history when a repository that is not listed stays open."""
-    return snapshot.repos_snapshot(_repos(spark, sf_dir), hard_deletes="ignore")
+    staged = _repos(spark, sf_dir)
+    history = RepoHistory(spark, session.scratch_dir(spark, "history"))
+    for run in range(1, feeds.RUNS + 1):
+        listing = staged.filter(F.col("run_id") == f"run-{run}")
+        history.apply(listing, f"{run:03d}", F.lit(f"2026-06-0{1 + run} 00:00:00").cast("timestamp"), "ignore")
+    return history.read()
 
 
 def replacing_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -422,6 +458,9 @@ REGISTERED: dict[str, Query] = {
     "page_dedup": page_dedup,
     "repos_snapshot_by_run": repos_snapshot_by_run,
     "repos_snapshot_keep_deleted": repos_snapshot_keep_deleted,
+    "repos_snapshot_complete": repos_snapshot_complete,
+    "repos_snapshot_daily": repos_snapshot_daily,
+    "repos_snapshot_daily_rebuilt": repos_snapshot_daily_rebuilt,
     "replacing_events": replacing_events,
     "backfilled_days": backfilled_days,
     "quarantined_lines": quarantined_lines,

@@ -52,7 +52,8 @@ def facts(rows) -> set:
 
 def replayed(spark, runs, hard_deletes: str = "close"):
     staged = spark.createDataFrame([row for rows in runs for row in rows], SCHEMA)
-    return scd2.replay(staged, "repo_id", WATCH, TIES, hard_deletes=hard_deletes).collect()
+    complete = scd2.number_runs(staged, "extracted_at") if hard_deletes == "close" else None
+    return scd2.replay(staged, "repo_id", WATCH, TIES, complete).collect()
 
 
 def test_each_case(spark):
@@ -115,11 +116,27 @@ def test_unknown_delete_policy_is_refused(spark):
         scd2.advance(None, spark.createDataFrame([], SCHEMA), "repo_id", WATCH, F.lit(None), "maybe")
 
 
-def test_numbering_beyond_the_listed_runs(spark, monkeypatch):
-    runs = [listing(n, {1: (n, ["a"], n - 0.5)}) for n in range(1, 5)]
-    expected = facts(replayed(spark, runs))
-    monkeypatch.setattr(scd2, "MAX_LISTED_RUNS", 2)
-    assert facts(replayed(spark, runs)) == expected
+def test_runs_that_list_different_keys_close_nothing(spark, tmp_path):
+    days = [listing(1, {k: (k, ["a"], 0.5) for k in (1, 2, 3)}), listing(2, {k: (k, ["a"], 1.5) for k in (4, 5, 6)})]
+    rows = replayed(spark, days, "ignore")
+    assert sorted(r.repo_id for r in rows if r.dbt_valid_to is None) == [1, 2, 3, 4, 5, 6]
+
+
+def test_rows_without_a_run_take_part(spark):
+    rows = listing(1, {1: (5, ["a"], 0.5), 2: (5, ["a"], 0.5)})
+    rows = [rows[0], (2, None, *rows[1][2:])]
+    assert sorted(r.repo_id for r in replayed(spark, [rows], "ignore")) == [1, 2]
+
+
+def test_no_job_runs_while_the_history_is_planned(spark):
+    staged = spark.createDataFrame(listing(1, {1: (5, ["a"], 0.5)}), SCHEMA)
+    spark.sparkContext.setJobGroup("planning", "planning")
+    try:
+        scd2.replay(staged, "repo_id", WATCH, TIES)
+        scd2.replay(staged, "repo_id", WATCH, TIES, scd2.number_runs(staged, "extracted_at"))
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("planning")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 # ------------------------------------------------------------------ stored history
@@ -158,6 +175,20 @@ def test_stored_history_repeats_and_refuses(spark, tmp_path):
         history.apply(staged_run(spark, 1, {1: 5}), "20260102", F.lit(day(1)))
 
 
+def test_tags_with_leading_zeros_are_text(spark, tmp_path):
+    history = RepoHistory(spark, str(tmp_path / "h"))
+    history.apply(staged_run(spark, 1, {1: 5}), "001", F.lit(day(1)))
+    history.apply(staged_run(spark, 2, {1: 6}), "002", F.lit(day(2)))
+    assert spans(history) == [(1, 5, False), (1, 6, True)]
+
+
+def test_a_written_run_is_not_seen_before_its_commit(spark, tmp_path):
+    history = RepoHistory(spark, str(tmp_path / "h"))
+    history.apply(staged_run(spark, 1, {1: 5}), "001", F.lit(day(1)))
+    assert history.write(staged_run(spark, 2, {1: 6}), "002", F.lit(day(2))).count() == 2
+    assert spans(history) == [(1, 5, True)]
+
+
 def test_unfinished_run_is_not_seen(spark, tmp_path, monkeypatch):
     history = RepoHistory(spark, str(tmp_path / "h"))
     history.apply(staged_run(spark, 1, {1: 5}), "20260102", F.lit(day(1)))

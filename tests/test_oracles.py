@@ -8,6 +8,7 @@ import oracle
 import pytest
 
 import __spark_entry__ as driver
+from forgelens import queries
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 
@@ -19,7 +20,7 @@ def duck():
     return oracle.duck(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(queries.queries()))
 def test_query_equals_its_sql(spark, duck, name):
     assert oracle.compare(spark, duck, driver.queries()[name], driver.oracle_sql()[name], SF_DIR) == []
 
