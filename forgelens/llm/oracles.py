@@ -212,12 +212,12 @@ WITH cut AS (
   SELECT floor(score / {u.STEP}::DOUBLE)::BIGINT AS step, sum(x) AS x, sum(y) AS y
   FROM scores WHERE held_out AND rule IS NOT NULL GROUP BY 1
 ), rights AS (
-  SELECT step, (sum(x) OVER () - coalesce(sum(x) OVER b, 0)) / nullif(sum(x) OVER (), 0)
+  SELECT step, step + coalesce(lag(step) OVER (ORDER BY step) + 1, step) AS twice, (sum(x) OVER () - coalesce(sum(x) OVER b, 0)) / nullif(sum(x) OVER (), 0)
              + coalesce(sum(y) OVER b, 0) / nullif(sum(y) OVER (), 0) AS rights
   FROM steps WINDOW b AS (ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
 ), best AS (
-  SELECT coalesce((SELECT step FROM rights WHERE rights IS NOT NULL ORDER BY rights DESC, abs(step), step LIMIT 1)
-                  * {u.STEP}::DOUBLE, 0) AS cut
+  SELECT coalesce((SELECT twice FROM rights WHERE rights IS NOT NULL ORDER BY rights DESC, abs(step), step LIMIT 1)
+                  * {u.STEP / 2}::DOUBLE, 0) AS cut
 )
 SELECT page_id, host, path, r.rule,
        CASE WHEN r.rule IN ({allowed}) THEN 'allow' WHEN r.rule IS NOT NULL THEN 'block'
@@ -226,10 +226,84 @@ FROM ruled r LEFT JOIN scores s USING (text), best
 """
 
 
+SUFFIXES = """
+WITH texts AS (
+  SELECT row_number() OVER () AS k, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), blocks AS (
+  -- Text in blocks, so that a string is cut from a short one.
+  SELECT k, doc_id, b * 500 AS base, substr(h, b * 1000 + 1, 1098) AS part
+  FROM (SELECT *, unnest(range(0, length(h) // 1000 + 1)) AS b FROM texts)
+), strings AS (
+  SELECT k, doc_id, base + i AS i, substr(part, 2 * i + 1, 100) AS s
+  FROM (SELECT *, unnest(range(0, least(500, length(part) // 2 - 49))) AS i FROM blocks)
+), least_of AS (
+  SELECT s, min(doc_id) AS m FROM strings GROUP BY s
+), hits AS (
+  SELECT k, i, i - lag(i) OVER (PARTITION BY k ORDER BY i) AS gap
+  FROM strings JOIN least_of USING (s) WHERE m < doc_id
+), cuts AS (
+  SELECT k, min(i) AS a, max(i) + 50 AS b
+  FROM (SELECT k, i, sum((gap IS NULL OR gap > 50)::INT) OVER (PARTITION BY k ORDER BY i) AS span FROM hits)
+  GROUP BY k, span
+), lists AS (
+  SELECT k, list([a, b] ORDER BY a) AS spans FROM cuts GROUP BY k
+)
+SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes,
+       coalesce(list_sum(list_transform(spans, lambda x: x[2] - x[1])), 0)::BIGINT AS n_removed,
+       coalesce(len(spans), 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(array_to_string(list_transform(range(0, len(spans) + 1), lambda j:
+         substr(h, 2 * CASE WHEN j = 0 THEN 0 ELSE spans[j][2] END + 1,
+                2 * (CASE WHEN j = len(spans) THEN length(h) // 2 ELSE spans[j + 1][1] END
+                     - CASE WHEN j = 0 THEN 0 ELSE spans[j][2] END))), ''), h))) AS kept_sha256
+FROM texts LEFT JOIN lists USING (k)
+"""
+
+NEAR = f"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '{WORD}') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) >= 4
+           THEN list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')))
+           WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s
+  FROM split
+), sized AS (
+  SELECT doc_id, s, len(s) AS n FROM sets
+), parts AS (
+  SELECT doc_id, n, unnest(s) AS x FROM sized
+), rare AS (
+  SELECT doc_id, n, x, row_number() OVER (PARTITION BY doc_id ORDER BY f, x) AS place
+  FROM (SELECT *, count(*) OVER (PARTITION BY x) AS f FROM parts)
+), prefix AS (
+  -- Similar sets share one of their rarest members.
+  SELECT * FROM rare WHERE place <= n - ceil(0.8 * n) + 1
+), pairs AS (
+  SELECT DISTINCT a.doc_id AS a, b.doc_id AS b
+  FROM prefix a JOIN prefix b ON a.x = b.x AND a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+), links AS (
+  SELECT p.a, p.b FROM pairs p JOIN sized x ON x.doc_id = p.a JOIN sized y ON y.doc_id = p.b
+  WHERE 100 * len(list_intersect(x.s, y.s)) >= 80 * (x.n + y.n - len(list_intersect(x.s, y.s)))
+), ways AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reached(id, least_id) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT ways.b, reached.least_id FROM reached JOIN ways ON ways.a = reached.id WHERE reached.least_id < ways.b
+), found AS (
+  SELECT id, min(least_id) AS component_id FROM reached GROUP BY id
+)
+SELECT s.doc_id, s.n::BIGINT AS n_shingles, f.component_id, s.doc_id = f.component_id AS kept
+FROM sized s JOIN found f ON f.id = s.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_quality_rules": _quality(),
+        "op5_suffix_dedup": SUFFIXES,
         "op7_url_filter": _urls(),
         "op8_mixing": MIXING,
         "op9_license_scan": _licenses(),
+        "op10_near_dedup": NEAR,
     }

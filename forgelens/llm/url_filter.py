@@ -118,8 +118,9 @@ def train(grams: DataFrame, order: int = ORDER) -> DataFrame:
 def best_limit(scored: DataFrame, step: float = STEP) -> float:
     """The score from which on URLs are allowed, as seen on ``scored`` (score, allowed, blocked).
 
-    Among whole steps it is the one with the best mean of both kinds' accuracy,
-    of several the one nearest to 0, then the smaller.
+    Scores are counted by steps.  The limit is the middle between two steps that
+    have scores, where the mean of both kinds' accuracy is best, of several the
+    one nearest to 0, then the smaller.
     """
     steps = scored.groupBy(F.floor(F.col("score") / step).alias("step")).agg(
         F.sum("allowed").alias("allowed"), F.sum("blocked").alias("blocked")
@@ -129,9 +130,11 @@ def best_limit(scored: DataFrame, step: float = STEP) -> float:
     kept = F.sum("allowed").over(every) - F.coalesce(F.sum("allowed").over(below), F.lit(0))
     stopped = F.coalesce(F.sum("blocked").over(below), F.lit(0))
     right = F.try_divide(kept, F.sum("allowed").over(every)) + F.try_divide(stopped, F.sum("blocked").over(every))
-    best = steps.select("step", right.alias("right")).filter("right is not null")
-    found = best.orderBy(F.desc("right"), F.abs("step"), "step").select("step").first()
-    return found["step"] * step if found else 0.0
+    last = F.lag("step").over(Window.orderBy("step"))
+    twice = (F.col("step") + F.coalesce(last + 1, F.col("step"))).alias("twice")
+    best = steps.select("step", right.alias("right"), twice).filter("right is not null")
+    found = best.orderBy(F.desc("right"), F.abs("step"), "step").first()
+    return found["twice"] * (step / 2) if found else 0.0
 
 
 def judge(pages: DataFrame, rules: dict[str, str] = RULES, order: int = ORDER) -> DataFrame:
