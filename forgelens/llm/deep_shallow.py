@@ -21,7 +21,9 @@ def as_words(data: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
     """The strings ``data[start:start + length]`` as rows of big-endian words, padded with zeros."""
     count = -(-length // WORD_BYTES)
     rows = np.zeros((len(starts), count * WORD_BYTES), dtype=np.uint8)
-    rows[:, :length] = data[starts[:, None] + np.arange(length)]
+    for begin in range(0, len(starts), 1 << 14):  # an index takes eight times the room of what it fetches
+        some = starts[begin : begin + (1 << 14), None]
+        rows[begin : begin + (1 << 14), :length] = data[some + np.arange(length)]
     return rows.view(">u8").astype(np.uint64)
 
 

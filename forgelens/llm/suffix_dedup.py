@@ -48,6 +48,10 @@ LENGTH = 50
 RUN = 20
 CHUNK_BYTES = 4 << 20
 BUCKET_BYTES = 16 << 20
+#: Bytes of text whose anchors are computed at once, beside a text that is longer by itself.
+SOME_BYTES = 512 << 10
+#: Strings that are sorted at once, beside those of one anchor.
+SOME_STRINGS = 100_000
 HOT_CHUNKS = 1000
 
 _U64 = np.uint64
@@ -91,7 +95,27 @@ class Pieces:
 
 
 def anchored(data: np.ndarray, bounds: np.ndarray, length: int, run: int) -> Pieces:
-    """All strings of ``length`` bytes within the texts that ``bounds`` separate, grouped by their anchor."""
+    """All strings of ``length`` bytes within the texts that ``bounds`` separate, grouped by their anchor.
+
+    Some texts at a time, since what is computed takes many times their room.
+    """
+    found = []
+    first = 0
+    while first < len(bounds) - 1:
+        last = max(first + 1, int(np.searchsorted(bounds, bounds[first] + SOME_BYTES, "right")) - 1)
+        base = bounds[first]
+        some = _anchored(data[base : bounds[last]], bounds[first : last + 1] - base, length, run)
+        found.append(Pieces(some.starts + base, some.counts, some.hashes, some.rows + first))
+        first = last
+    return Pieces(
+        *[
+            np.concatenate([getattr(one, name) for one in found]) if found else np.zeros(0, dtype=kind)
+            for name, kind in (("starts", np.int64), ("counts", np.int64), ("hashes", _U64), ("rows", np.int64))
+        ]
+    )
+
+
+def _anchored(data: np.ndarray, bounds: np.ndarray, length: int, run: int) -> Pieces:
     if not (np.diff(bounds) >= length).any():
         return Pieces(*[np.zeros(0, dtype=np.int64)] * 2, np.zeros(0, dtype=_U64), np.zeros(0, dtype=np.int64))
     hashes = run_hashes(data, run)
@@ -268,6 +292,37 @@ def unpack_classes(data: bytes) -> tuple[list[bytes], np.ndarray]:
     return [raw[a:b] for a, b in zip(edges[:-1], edges[1:])], least
 
 
+def runs_of(keys: np.ndarray, weights: np.ndarray, most: int) -> Iterator[slice]:
+    """Slices of sorted ``keys`` that cut no key apart, each of about ``most`` in weight or one key."""
+    if not len(keys):
+        return
+    edges = np.flatnonzero(np.concatenate([[True], np.diff(keys) != 0]))
+    before = np.concatenate([[0], np.cumsum(weights)])[edges]
+    start = 0
+    while start < len(edges):
+        stop = max(start + 1, int(np.searchsorted(before, before[start] + most, "right")) - 1)
+        if before[-1] <= before[start] + most:
+            stop = len(edges)
+        yield slice(int(edges[start]), int(edges[stop]) if stop < len(edges) else len(keys))
+        start = stop
+
+
+def anchors_of(joined: np.ndarray, starts: np.ndarray, sizes: np.ndarray, run: int) -> tuple[np.ndarray, np.ndarray]:
+    """Place and hash of each piece's anchor: its least run, as in the chunk it comes from."""
+    places, anchors = np.empty(len(starts), dtype=np.int64), np.empty(len(starts), dtype=_U64)
+    for some in runs_of(np.arange(len(starts)), sizes, SOME_BYTES):
+        base, own = starts[some.start], sizes[some]
+        hashes = run_hashes(joined[base : base + own.sum()], run)
+        marked = (hashes & ~_PLACE) | np.arange(len(hashes), dtype=_U64)
+        # Runs across the border of two pieces do not count.
+        first = starts[some] - base
+        inside = np.arange(own.sum()) - np.repeat(first, own) + run <= np.repeat(own, own)
+        marked[~inside[: len(marked)]] = ~_U64(0)
+        least = (np.minimum.reduceat(marked, first) & _PLACE).astype(np.int64)
+        places[some], anchors[some] = least + base, hashes[least]
+    return places, anchors
+
+
 def least_documents(blocks: list[bytes], length: int, run: int) -> list[bytes | None]:
     """For each chunk's block of classes, the strings for which another chunk has a smaller document."""
     known: dict[bytes, int] = {}
@@ -284,17 +339,14 @@ def least_documents(blocks: list[bytes], length: int, run: int) -> list[bytes |
     least = np.repeat(total, widths)
     joined = np.frombuffer(b"".join(known), dtype=np.uint8)
     starts = np.cumsum(sizes) - sizes
-    # A piece's anchor is its least run, as in the chunk; runs across the border of two pieces do not count.
-    hashes = run_hashes(joined, run)
-    marked = (hashes & ~_PLACE) | np.arange(len(hashes), dtype=_U64)
-    inside = np.arange(len(joined)) - np.repeat(starts, sizes) + run <= np.repeat(sizes, sizes)
-    marked[~inside[: len(marked)]] = ~_U64(0)
-    place = (np.minimum.reduceat(marked, starts) & _PLACE).astype(np.int64)
-    anchor, times = np.unique(hashes[place], return_inverse=True, return_counts=True)[1:]
+    place, anchor = anchors_of(joined, starts, sizes, run)
+    _, anchor, times = np.unique(anchor, return_inverse=True, return_counts=True)
     mixed = np.flatnonzero(times[anchor] > 1)
-    if len(mixed):
-        counts = widths[mixed]
-        piece = np.repeat(mixed, counts)
+    mixed = mixed[np.argsort(anchor[mixed], kind="stable")]
+    for some in runs_of(anchor[mixed], widths[mixed], SOME_STRINGS):
+        pieces = mixed[some]
+        counts = widths[pieces]
+        piece = np.repeat(pieces, counts)
         inner = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
         at = starts[piece] + inner
         # Equal strings have equal anchors at the same distance.

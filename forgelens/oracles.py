@@ -574,6 +574,18 @@ def oracle_sql() -> dict[str, str]:
             SELECT 'repositories' AS resource, run_id, extracted_at::DATE::VARCHAR AS date, count(*) AS records,
                    min(extracted_at) AS started_at_utc, max(extracted_at) AS finished_at_utc
             FROM repos GROUP BY ALL"""),
+        "landed_day": _with([REPOS, """
+            firsts AS (SELECT * FROM repos QUALIFY row_number() OVER (PARTITION BY repo_id ORDER BY run_id) = 1)"""], """
+            SELECT 'day-1' AS run_id, count(*) AS repos, count(DISTINCT repo_id) AS ids, sum(stargazers_count)::BIGINT AS stars,
+                   max(updated_at) AS last_update, 'repositories' AS resources, count(*) AS records,
+                   TIMESTAMP '2026-06-02 06:00:00' AS started_at_utc, TIMESTAMP '2026-06-02 06:00:00' AS finished_at_utc,
+                   '2026-06-02' AS date, TRUE AS has_files
+            FROM firsts"""),
+        "emptied_day": _with([REPOS], """
+            SELECT 'repositories' AS resource, run_id, '2026-06-02' AS date, n AS records,
+                   TIMESTAMP '2026-06-02 06:00:00' AS started_at_utc, n AS loaded
+            FROM (SELECT 'day-1' AS run_id, count(DISTINCT repo_id) AS n FROM repos
+                  UNION ALL SELECT 'day-1-again', 0)"""),
         "run_scoped_manifest": """
             SELECT 'issues' AS resource, 'run-3' AS run_id, '2026-06-04' AS date, count(*) AS records,
                    TIMESTAMP '2026-06-04' AS started_at_utc, TIMESTAMP '2026-06-04' AS finished_at_utc FROM events""",

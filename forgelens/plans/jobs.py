@@ -33,24 +33,25 @@ def land_day(
 ) -> DataFrame:
     """Land the fetched items of one day; write and return its manifest.
 
-    Result pages may repeat an id; the first occurrence in page order stays.
-    Landing the same day again replaces it.  The manifest counts what arrived
-    in the landing zone, so the items are fetched and deduplicated once.
+    Result pages may repeat an id; the first occurrence in page order stays, or
+    the first by its text where the order is not known.  Landing the same day
+    again replaces it, also by nothing.  The manifest counts what arrived in the
+    landing zone, so the items are fetched and deduplicated once.
     """
     manifests = []
     for resource in resources:
         landing.check_resource(resource)
         fetched = items[resource]
         order = [c for c in page_order if c in fetched.columns]
-        if order:
-            fetched = first_by(fetched, ["id"], order).drop(*order)
-        records = landing.envelopes(fetched, resource, run_id, extracted_at)
-        landing.write(records, base, resource, landed_on=F.lit(day))
+        text = F.to_json(F.struct(*[c for c in fetched.columns if c not in order]))
+        fetched = first_by(fetched.withColumn("__text", text), ["id"], [*order, "__text"]).drop(*order, "__text")
+        landing.replace_day(landing.envelopes(fetched, resource, run_id, extracted_at), base, resource, day)
         spark = fetched.sparkSession
         path = f"{base}/manifests/{resource}/date={day.isoformat()}"
-        landed = landing.manifest(landing.read(spark, base, resource, day, day)).drop("date")
-        landed.write.mode("overwrite").option("timestampFormat", landing.INSTANT).json(path)
-        manifests.append(spark.read.schema(landed.schema).json(path).withColumn("date", F.lit(day)))
+        landed = landing.read(spark, base, resource, day, day)
+        found = landing.day_manifest(landed, resource, run_id, day, extracted_at).drop("date")
+        found.write.mode("overwrite").option("timestampFormat", landing.INSTANT).json(path)
+        manifests.append(spark.read.schema(found.schema).json(path).withColumn("date", F.lit(day)))
     return reduce(DataFrame.unionByName, manifests)
 
 
@@ -58,27 +59,34 @@ def load_days(
     spark: SparkSession,
     base: str,
     raw_path: str,
-    start: dt.date,
-    end: dt.date,
+    start: dt.date | None,
+    end: dt.date | None,
     loaded_at: Column,
     resources: Sequence[str] = RESOURCES,
 ) -> dict[str, int]:
     """Load a range of landed days into the raw tables, one job per resource.
 
-    Serves the daily load (one day), a backfill (a range) and a reset (all
-    days): each raw day is replaced by what is landed.  Lines that are no
+    Serves the daily load (one day), a backfill (a range) and a reset (no
+    bounds): each raw day in the range is replaced by what is landed, and is
+    emptied if nothing is landed any more.  Lines that are no
     records are counted while the good ones are written; only if there are any
     does a second job set them aside.  Returns their number per resource.
     """
     broken: dict[str, int] = {}
     for resource in resources:
         landed = landing.read(spark, base, resource, start, end)
-        seen = Observation()
-        counted = landed.observe(seen, F.count_if(landing.is_broken()).alias("broken"))
-        landing.write_raw(landing.to_raw(counted, loaded_at), f"{raw_path}/{resource}")
-        broken[resource] = seen.get["broken"]
+        broken[resource] = 0
+        if not landed.isEmpty():  # without rows nothing is counted
+            seen = Observation()
+            counted = landed.observe(seen, F.count_if(landing.is_broken()).alias("broken"))
+            landing.write_raw(landing.to_raw(counted, loaded_at), f"{raw_path}/{resource}")
+            broken[resource] = seen.get["broken"]
+        good, bad = landing.split_corrupt(landed)
+        landing.empty_days(good, f"{raw_path}/{resource}", start, end)
+        aside = f"{raw_path}/quarantine/{resource}"
         if broken[resource]:
-            landing.write_quarantine(landing.split_corrupt(landed)[1], f"{raw_path}/quarantine/{resource}")
+            landing.write_quarantine(bad, aside)
+        landing.empty_days(bad, aside, start, end)
     return broken
 
 

@@ -14,7 +14,7 @@ from .functions import star_tier
 from .operators import asof_join, first_by, latest_by, number_runs, quality
 from .plans import contracts, dims, facts, jobs, marts, reports, snapshot, staging
 from .plans.build import build
-from .plans.stores import RepoHistory
+from .plans.stores import RepoHistory, VersionedTable
 from .schemas import DEVELOPER_RECORD, RESOURCES, TRENDING_RECORD
 from .sources import feeds, landing
 from .sources.replacing import ReplacingTable
@@ -325,6 +325,45 @@ def landing_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging.stage_repositories(landing.read_raw(spark, raw_path)).drop("airbyte_raw_id")
 
 
+def _listed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repositories as result pages list them: three pages, on which ids come again."""
+    listed = feeds.nested(feeds.feed(spark, sf_dir, "repositories"))
+    return listed.select("payload.*", F.right("_run_id", F.lit(1)).alias("page"), F.col("payload.id").alias("position"))
+
+
+def landed_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One day landed from pages that repeat ids, loaded and staged; its manifest row beside what came of it."""
+    base = session.scratch_dir(spark, "landed")
+    day, at = dt.date(2026, 6, 2), dt.datetime(2026, 6, 2, 6, tzinfo=dt.timezone.utc)
+    manifest = jobs.land_day({"repositories": _listed_pages(spark, sf_dir)}, day, base, "day-1", at, ["repositories"])
+    jobs.load_days(spark, base, f"{base}/raw", day, day, F.lit("2026-06-02 06:30:00"), ["repositories"])
+    staged = staging.stage_repositories(jobs.raw_tables(spark, f"{base}/raw", ["repositories"])["repositories"])
+    loaded = staged.groupBy("run_id").agg(
+        F.count("*").alias("repos"),
+        F.count_distinct("repo_id").alias("ids"),
+        F.sum("stargazers_count").alias("stars"),
+        F.max("updated_at").alias("last_update"),
+    )
+    summary = landing.run_summary(manifest).select("run_id", "resources", "records", "started_at_utc", "finished_at_utc")
+    files = manifest.select("run_id", "date", (F.size("files") > 0).alias("has_files"))
+    return loaded.join(summary, "run_id").join(files, "run_id")
+
+
+def emptied_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day landed and loaded, then landed again without records: its manifest rows and what is loaded."""
+    base = session.scratch_dir(spark, "emptied")
+    day, pages = dt.date(2026, 6, 2), _listed_pages(spark, sf_dir)
+    states = []
+    for run, items in (("day-1", pages), ("day-1-again", pages.filter(F.lit(False)))):
+        at = dt.datetime(2026, 6, 2, 6, tzinfo=dt.timezone.utc)
+        manifest = jobs.land_day({"repositories": items}, day, base, run, at, ["repositories"])
+        jobs.load_days(spark, base, f"{base}/raw", None, None, F.lit("2026-06-02 06:30:00"), ["repositories"])
+        loaded = jobs.raw_tables(spark, f"{base}/raw", ["repositories"])["repositories"].count()
+        told = manifest.select("resource", "run_id", "date", "records", "started_at_utc", F.lit(loaded).alias("loaded"))
+        states.append(VersionedTable(spark, f"{base}/{run}").replace(told, "1"))
+    return states[0].unionByName(states[1])
+
+
 def run_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land three days, land one of them again, and count what is there."""
     base = _landed(spark, sf_dir, "repositories")
@@ -348,6 +387,8 @@ def _drain(spark: SparkSession, rows: DataFrame, key, order: list[str], label: s
     """Run a stream over everything available into a new replacing table."""
     base = session.scratch_dir(spark, label)
     table = ReplacingTable(spark, f"{base}/table", key, order)
+    if "record" in options:
+        options.setdefault("dead_letters", f"{base}/dead-letters")
     sinks.upsert(rows, table, f"{base}/checkpoint", **options).awaitTermination()
     return table
 
@@ -470,6 +511,8 @@ REGISTERED: dict[str, Query] = {
     "event_json_classify": event_json_classify,
     "landing_roundtrip": landing_roundtrip,
     "run_manifest": run_manifest,
+    "landed_day": landed_day,
+    "emptied_day": emptied_day,
     "run_scoped_manifest": run_scoped_manifest,
     "stream_trending": stream_trending,
     "stream_trending_by_tier": stream_trending_by_tier,

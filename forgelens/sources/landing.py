@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +31,27 @@ def envelopes(items: DataFrame, resource: str, run_id: str, extracted_at: dt.dat
     )
 
 
+def _body(records: DataFrame, resource: str) -> DataFrame:
+    return records.filter(F.col("_resource") == check_resource(resource))
+
+
+def day_folder(base: str, resource: str, day: dt.date) -> str:
+    return f"{base}/{check_resource(resource)}/year={day:%Y}/month={day:%m}/day={day:%d}"
+
+
+def replace_day(records: DataFrame, base: str, resource: str, day: dt.date) -> None:
+    """Land one day's envelopes in place of what that day held, also when there are none."""
+    (
+        _body(records, resource)
+        .select(*ENVELOPE_PARTS)
+        .hint("rebalance")
+        .write.mode("overwrite")
+        .option("ignoreNullFields", "false")
+        .option("timestampFormat", INSTANT)
+        .json(day_folder(base, resource, day))
+    )
+
+
 def write(
     records: DataFrame, base: str, resource: str, landed_on: Column | None = None, run_scoped: bool = False
 ) -> None:
@@ -46,9 +68,7 @@ def write(
     if run_scoped:
         folders.append("run_id")
         columns.append(F.col("_run_id").alias("run_id"))
-    body = records.filter(F.col("_resource") == check_resource(resource)).select(
-        "_resource", "_run_id", "_extracted_at", "payload", *columns
-    )
+    body = _body(records, resource).select(*ENVELOPE_PARTS, *columns)
     (
         body.hint("rebalance", *folders)
         .write.mode("overwrite")
@@ -78,7 +98,10 @@ def read(
 
     A line that is not a record keeps its text in the corrupt column.
     """
-    lines = spark.read.schema(f"{ENVELOPE}, {CORRUPT_COLUMN} STRING").json(f"{base}/{check_resource(resource)}")
+    # The folder columns are named, since there may be no file in any folder.
+    folders = ", ".join(f"{name} INT" for name in PARTITIONS)
+    schema = f"{ENVELOPE}, {CORRUPT_COLUMN} STRING, {folders}"
+    lines = spark.read.schema(schema).json(f"{base}/{check_resource(resource)}")
     return lines.filter(_days(start, end)) if start or end else lines
 
 
@@ -130,6 +153,37 @@ def manifest(landed: DataFrame) -> DataFrame:
     )
 
 
+def day_manifest(landed: DataFrame, resource: str, run_id: str, day: dt.date, extracted_at: dt.datetime) -> DataFrame:
+    """One row about a landed day, also if nothing was fetched that day."""
+    asked = F.lit(extracted_at.astimezone(dt.timezone.utc).isoformat(" ")).cast("timestamp")
+    file = F.regexp_extract("_metadata.file_path", "[^/]+$", 0)
+    return landed.agg(
+        F.count("*").alias("records"),
+        F.coalesce(F.min("_extracted_at"), asked).alias("started_at_utc"),
+        F.coalesce(F.max("_extracted_at"), asked).alias("finished_at_utc"),
+        F.sort_array(F.collect_set(file)).alias("files"),
+    ).select(
+        F.lit(resource).alias("resource"),
+        F.lit(run_id).alias("run_id"),
+        F.lit(day).alias("date"),
+        "records",
+        "started_at_utc",
+        "finished_at_utc",
+        "files",
+        F.current_timestamp().alias("generated_at_utc"),
+    )
+
+
+def run_summary(manifest: DataFrame) -> DataFrame:
+    """One row per run over the rows of its resources."""
+    return manifest.groupBy("run_id").agg(
+        F.sort_array(F.collect_set("resource")).alias("resources"),
+        F.sum("records").alias("records"),
+        F.min("started_at_utc").alias("started_at_utc"),
+        F.max("finished_at_utc").alias("finished_at_utc"),
+    )
+
+
 def to_raw(records: DataFrame, loaded_at: Column) -> DataFrame:
     """Add the loader's columns.  The id is a hash of the record, so a reload repeats it."""
     readable = split_corrupt(records)[0] if CORRUPT_COLUMN in records.columns else records
@@ -159,5 +213,27 @@ def write_quarantine(broken: DataFrame, path: str) -> None:
     _write_days(broken.withColumnRenamed(CORRUPT_COLUMN, "line"), path)
 
 
+def empty_days(rows: DataFrame, path: str, start: dt.date | None, end: dt.date | None) -> None:
+    """Empty the days of a table below ``path`` that lie in the range and have no ``rows`` any more.
+
+    Only days that are there already are looked at, by their folders.
+    """
+    spark = rows.sparkSession
+    try:
+        held = spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return
+        raise
+    if "landed_on" not in held.columns:
+        return
+    day = F.col("landed_on")
+    inside = (day >= F.lit(start) if start else F.lit(True)) & (day <= F.lit(end) if end else F.lit(True))
+    now = rows.select(F.make_date(*[F.col(p).cast("int") for p in PARTITIONS]).alias("landed_on"))
+    for gone in held.filter(inside).select(day).distinct().subtract(now).collect():
+        nothing = held.drop("landed_on").filter(F.lit(False))
+        nothing.write.mode("overwrite").parquet(f"{path}/landed_on={gone['landed_on'].isoformat()}")
+
+
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)

@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from ..sources.feeds import TIMESTAMP_TEXT
 
-# Records taken per poll of a topic.
-BATCH_RECORDS = 500
-
 # The paths the stream reads, all as text so that one parse serves every cast.
 MESSAGE = """
   payload STRUCT<
@@ -32,17 +29,13 @@ def file_messages(spark: SparkSession, path: str, max_files: int | None = None)
     )
 
 
-def kafka_options(servers: str, topic: str, max_records: int = BATCH_RECORDS) -> dict[str, str]:
-    """Options of the Kafka source: from the beginning, a bounded number of records per batch."""
-    return {
-        "kafka.bootstrap.servers": servers,
-        "subscribe": topic,
-        "startingOffsets": "earliest",
-        "maxOffsetsPerTrigger": str(max_records),
-    }
+def kafka_options(servers: str, topic: str, max_records: int | None = None) -> dict[str, str]:
+    """Options of the Kafka source: from the beginning, with a bound per batch only if one is named."""
+    options = {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": "earliest"}
+    return options | ({"maxOffsetsPerTrigger": str(max_records)} if max_records else {})
 
 
-def kafka_messages(spark: SparkSession, servers: str, topic: str, max_records: int = BATCH_RECORDS) -> DataFrame:
+def kafka_messages(spark: SparkSession, servers: str, topic: str, max_records: int | None = None) -> DataFrame:
     """Messages of a topic.  Needs Spark's Kafka package on the class path."""
     source = spark.readStream.format("kafka").options(**kafka_options(servers, topic, max_records)).load()
     return source.select("key", "value", "timestamp")

@@ -24,7 +24,8 @@ def upsert(
     """Write a stream into a replacing table.
 
     With a ``record``, rows that lack a required field go to ``dead_letters``
-    with their message and the names of the fields.  Both writes are named by
+    with their message and the names of the fields, so that none is lost; a
+    folder for them has to be named.  Both writes are named by
     the batch number, so a batch that is delivered again changes nothing; a
     query restarted on the same checkpoint goes on where it stopped.  ``drain``
     takes everything available and ends; otherwise the query keeps running.
@@ -32,6 +33,9 @@ def upsert(
     bounds what a reader has to reduce.
     """
 
+    if record is not None and dead_letters is None:
+        raise ValueError("a record contract needs a folder for the dead letters")
+
     def write(batch: DataFrame, number: int) -> None:
         if record is None:
             table.append(batch, number)
@@ -45,11 +49,10 @@ def upsert(
         try:
             complete = is_complete(record)
             table.append(conform(held.filter(complete), record), number)
-            if dead_letters is not None:
-                rejected = held.filter(~complete).select(
-                    F.col("value").cast("string").alias("message"), missing_fields(record).alias("missing")
-                )
-                write_folder(rejected, f"{dead_letters}/batch={number}")
+            rejected = held.filter(~complete).select(
+                F.col("value").cast("string").alias("message"), missing_fields(record).alias("missing")
+            )
+            write_folder(rejected, f"{dead_letters}/batch={number}")
         finally:
             held.unpersist()
 

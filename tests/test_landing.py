@@ -125,3 +125,26 @@ def test_loading_sets_broken_lines_aside(spark, tmp_path):
     assert landing.read_raw(spark, f"{raw}/issues").count() == 2
     aside = spark.read.parquet(f"{raw}/quarantine/issues")
     assert rows(aside.fillna(""), "line", "_resource", "landed_on") == [("", "issues", DAY), ("{oops", "", DAY)]
+
+
+def test_an_emptied_day_is_landed_and_loaded_empty(spark, tmp_path):
+    base, raw = str(tmp_path / "in"), str(tmp_path / "raw")
+    late = dt.date(2026, 5, 18)
+    for day in (DAY, late):
+        jobs.land_day({"issues": items(spark, [1, 2, 2])}, day, base, "run-1", moment("2026-05-18T01:00:00"), ["issues"])
+    jobs.load_days(spark, base, raw, DAY, late, F.lit("2026-05-18 02:00:00"), ["issues"])
+    assert landing.read_raw(spark, f"{raw}/issues").count() == 4
+    manifest = jobs.land_day({"issues": items(spark, [])}, DAY, base, "run-2", moment("2026-05-18T03:00:00"), ["issues"])
+    assert rows(manifest, "run_id", "date", "records") == [("run-2", DAY, 0)]
+    jobs.load_days(spark, base, raw, DAY, DAY, F.lit("2026-05-18 04:00:00"), ["issues"])
+    assert rows(landing.read_raw(spark, f"{raw}/issues"), "landed_on") == [(late,), (late,)]
+
+
+def test_a_reset_removes_days_that_are_gone(spark, tmp_path):
+    base, raw = str(tmp_path / "in"), str(tmp_path / "raw")
+    for n, at in enumerate(("2026-05-17T06:00:00", "2026-05-18T06:00:00")):
+        landing.write(envelopes(spark, [n], at=at), base, "issues")
+    jobs.load_days(spark, base, raw, None, None, F.lit("2026-05-18 02:00:00"), ["issues"])
+    landing.replace_day(envelopes(spark, []), base, "issues", DAY)
+    jobs.load_days(spark, base, raw, None, None, F.lit("2026-05-18 03:00:00"), ["issues"])
+    assert rows(landing.read_raw(spark, f"{raw}/issues"), "landed_on") == [(dt.date(2026, 5, 18),)]

@@ -164,7 +164,8 @@ def test_redelivered_messages_are_dropped(spark, tmp_path):
 
 def test_kafka_options():
     options = messages.kafka_options("broker:9092", "repos.raw")
-    assert options["startingOffsets"] == "earliest" and options["maxOffsetsPerTrigger"] == "500"
+    assert options["startingOffsets"] == "earliest" and "maxOffsetsPerTrigger" not in options
+    assert messages.kafka_options("broker:9092", "repos.raw", 500)["maxOffsetsPerTrigger"] == "500"
     assert options["subscribe"] == "repos.raw"
 
 
@@ -175,3 +176,9 @@ def test_avro_schema_and_frame(spark):
     assert kinds["event_time"] == {"type": "long", "logicalType": "timestamp-millis"}
     framed = spark.createDataFrame([(bytearray(b"\x00\x00\x00\x00\x07body"),)], "value BINARY")
     assert bytes(framed.select(avro.unframed(F.col("value"))).first()[0]) == b"body"
+
+
+def test_a_contract_without_a_folder_for_dead_letters_is_refused(spark, tmp_path):
+    table = ReplacingTable(spark, str(tmp_path / "t"), "repo_id", ["event_time"])
+    with pytest.raises(ValueError):
+        sinks.upsert(spark.readStream.format("rate").load(), table, str(tmp_path / "c"), record=TRENDING_RECORD)
