@@ -48,7 +48,8 @@ def unique(column: str, severity: str = "error") -> Rule:
 
 
 def accepted_values(column: str, values: Sequence[str], severity: str = "error") -> Rule:
-    listed = ", ".join(f"'{v}'" for v in values)
+    escaped = [v.replace("\\", "\\\\").replace("'", "\\'") for v in values]
+    listed = ", ".join(f"'{v}'" for v in escaped)
     return Rule("accepted_values", column, fails=f"{column} NOT IN ({listed})", severity=severity)
 
 

@@ -620,6 +620,12 @@ def oracle_sql() -> dict[str, str]:
             SELECT 'owner' || user_id AS owner_login, count(*) AS deliveries, sum(event_id)::BIGINT AS stars
             FROM events GROUP BY 1""",
         "repos_snapshot_keep_deleted": _with([HISTORY], HISTORY_OUT + "history"),
+        "dq_casts": _with([ISSUES], """
+            SELECT 'issues' AS resource, column_name, (SELECT count(*) FROM issues) AS rows,
+                   CASE WHEN column_name = 'comments_count' THEN (SELECT count(*) FROM issues WHERE comments_count = 0)
+                        ELSE 0 END AS misfits
+            FROM (SELECT unnest(['issue_id', 'issue_number', 'author_id', 'comments_count', 'created_at',
+                                 'updated_at', 'closed_at', 'search_score']) AS column_name)"""),
         "replacing_events": """
             SELECT user_id, event_id, ts, event_type, value FROM events
             QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",

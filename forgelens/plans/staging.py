@@ -6,18 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import PayloadReader, repo_slug
-from ..schemas import LOADED_AT, RAW_ID, RESOURCES, STAGED
+from ..schemas import LOADED_AT, RAW_ID, STAGED
+from ..sources.landing import check_resource
 
 
 def stage(raw: DataFrame, resource: str) -> DataFrame:
     """Project a raw table to its staged columns.
 
-    Casts are forgiving: a value that does not fit becomes NULL and the
-    ``not_null`` rules of the build count it.
+    Casts are forgiving: a value that does not fit becomes NULL; :func:`misfits`
+    counts such values.
     """
-    if resource not in RESOURCES:
-        raise ValueError(f"Unsupported resource {resource!r}; choose one of {', '.join(RESOURCES)}")
-    reader = PayloadReader(raw)
+    reader = PayloadReader(raw, paths=dict(STAGED[check_resource(resource)].values()))
     staged = reader.frame.selectExpr(
         f"{RAW_ID} AS airbyte_raw_id",
         f"{LOADED_AT} AS airbyte_extracted_at",
@@ -33,6 +32,21 @@ def stage(raw: DataFrame, resource: str) -> DataFrame:
     return staged
 
 
+def misfits(raw: DataFrame, resource: str) -> DataFrame:
+    """Per staged column, the values that are there but do not fit its type, counted in one pass."""
+    columns = STAGED[check_resource(resource)]
+    reader = PayloadReader(raw, paths=dict(columns.values()))
+    typed = {name: kind for name, (_, kind) in columns.items() if kind != "string" and not kind.startswith("array")}
+    counts = [
+        F.count_if(F.expr(f"{reader.expression(columns[name][0], 'string')} IS NOT NULL"
+                          f" AND {reader.expression(columns[name][0], kind)} IS NULL")).alias(name)
+        for name, kind in typed.items()
+    ]
+    totals = reader.frame.agg(F.count("*").alias("rows"), *counts)
+    entries = [F.struct(F.lit(n).alias("column_name"), F.col("rows"), F.col(n).alias("misfits")) for n in typed]
+    return totals.select(F.lit(resource).alias("resource"), F.inline(F.array(*entries)))
+
+
 def stage_repositories(raw: DataFrame) -> DataFrame:
     return stage(raw, "repositories")
 

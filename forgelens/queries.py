@@ -289,6 +289,13 @@ def dq_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def dq_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values of issues that do not fit their column, in payloads of which some are broken."""
+    raw = feeds.payload_text(feeds.feed(spark, sf_dir, "issues"))
+    broken = F.regexp_replace("payload", '"comments":0', '"comments":"none"')
+    return staging.misfits(raw.withColumn("payload", broken), "issues")
+
+
 def dq_negative_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The no-negative-values rule on tables that hold some."""
     checks = {"customer": "c_acctbal", "supplier": "s_acctbal", "lineitem": "l_quantity"}
@@ -507,6 +514,7 @@ REGISTERED: dict[str, Query] = {
     "quarantined_lines": quarantined_lines,
     "dq_report": dq_report,
     "dq_source": dq_source,
+    "dq_casts": dq_casts,
     "dq_negative_values": dq_negative_values,
     "event_json_classify": event_json_classify,
     "landing_roundtrip": landing_roundtrip,

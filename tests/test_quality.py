@@ -103,3 +103,9 @@ def test_source_contract_holds_for_the_samples(spark):
         frame = lines.select(F.from_json("line", shape).alias("p")).select("p.*")
         result = q.evaluate(resource, frame, contracts.SOURCE_RULES[resource])
         assert q.enforce(result) == []
+
+
+def test_quotes_in_accepted_values(spark):
+    rows_ = spark.createDataFrame([("O'Neil",), ("a\\b",), ("other",)], "name STRING")
+    (found,) = quality.evaluate("t", rows_, [quality.accepted_values("name", ["O'Neil", "a\\b"])]).collect()
+    assert (found.n_checked, found.n_failed) == (3, 1)

@@ -6,6 +6,7 @@ from conftest import moment, raw_of, rows, sample_payloads
 from pyspark.sql import functions as F
 
 from forgelens.functions import PayloadReader
+from forgelens.plans import staging
 from forgelens.plans.staging import stage
 
 
@@ -93,3 +94,10 @@ def test_payload_of_another_type_is_refused(spark):
         PayloadReader(spark.range(1))
 
 
+
+
+def test_values_that_do_not_fit_are_counted(spark):
+    lines = ['{"id": 1, "comments": "many", "user": {"id": 7}}', '{"id": 2, "comments": null}', '{"id": "x", "comments": 3}', "no"]
+    raw = spark.createDataFrame([(line,) for line in lines], "payload STRING")
+    found = {r["column_name"]: (r["rows"], r["misfits"]) for r in staging.misfits(raw, "issues").collect()}
+    assert found["comments_count"] == (4, 1) and found["issue_id"] == (4, 1) and found["author_id"] == (4, 0)
