@@ -284,7 +284,8 @@ def link_components(
     """doc_id, n_shingles, component_id and kept for every row of ``documents``."""
     signed, sets, members = grown(documents, size, percent, trees, levels, node_limit, seed)
     sketches = sets.select("doc_id", sketch_of(F.col("tokens")).alias("sketch"))
-    near = common.stored(sketch_links(members.join(sketches, "doc_id")), "near-links")
+    # Sides that grow with the corpus are merged at every size, never broadcast.
+    near = common.stored(sketch_links(members.join(sketches.hint("merge"), "doc_id")), "near-links")
     parts = common.stored(graph.components(near, "near-parts"), "near-parts")
     sizes = parts.groupBy(F.col("component").alias("group")).agg(F.count("*").alias("n"))
     grouped = in_blocks(
@@ -293,7 +294,7 @@ def link_components(
         group_limit,
     )
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    links = common.stored(exact_links(grouped.join(texts, "doc_id"), size, percent), "near-exact")
+    links = common.stored(exact_links(grouped.join(texts.hint("merge"), "doc_id"), size, percent), "near-exact")
     # Rows of one doc_id with different sets link those sets.
     first = sets.select("digest", F.col("doc_id").alias("first"))
     owner = F.when(F.col("doc_id").isNotNull(), F.col("first")).alias("first")
