@@ -107,5 +107,5 @@ def test_source_contract_holds_for_the_samples(spark):
 
 def test_quotes_in_accepted_values(spark):
     rows_ = spark.createDataFrame([("O'Neil",), ("a\\b",), ("other",)], "name STRING")
-    (found,) = quality.evaluate("t", rows_, [quality.accepted_values("name", ["O'Neil", "a\\b"])]).collect()
+    (found,) = q.evaluate("t", rows_, [q.accepted_values("name", ["O'Neil", "a\\b"])]).collect()
     assert (found.n_checked, found.n_failed) == (3, 1)
