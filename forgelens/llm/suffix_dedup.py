@@ -46,7 +46,8 @@ from .shingles import mix
 
 LENGTH = 50
 RUN = 20
-CHUNK_BYTES = 4 << 20
+#: Text per chunk, and per bucket on average.
+CHUNK_BYTES = 2 << 20
 BUCKET_BYTES = 16 << 20
 #: Bytes of text whose anchors are computed at once, beside a text that is longer by itself.
 SOME_BYTES = 512 << 10
@@ -129,7 +130,8 @@ def _anchored(data: np.ndarray, bounds: np.ndarray, length: int, run: int) -> Pi
     begin = np.flatnonzero(fresh)
     counts = np.diff(np.concatenate([begin, [len(starts)]]))
     first = starts[begin]
-    return Pieces(first, counts, hashes[anchor[begin]] >> _U64(64 - _HASH_BITS), row[first])
+    # The least of many hashes are small ones: mixed again, they fill all buckets alike.
+    return Pieces(first, counts, mix(hashes[anchor[begin]]) >> _U64(64 - _HASH_BITS), row[first])
 
 
 def _pack(data: bytes) -> bytes:
@@ -562,7 +564,10 @@ def digests(cut: DataFrame) -> list[Column]:
 
 def cut_repeats(documents: DataFrame, **options) -> DataFrame:
     """``documents`` without shared passages; ``n_chars``, where there is one, is counted anew."""
-    cut = shared_strings(documents, documents.columns, whole_characters=True, **options)
-    text = F.when(F.col("row.text").isNotNull(), F.col("left").cast("string"))
+    # The text travels packed, so its rows carry the other columns only.
+    others = F.struct(*[F.col(f"`{name}`") for name in documents.columns if name != "text"])
+    rows = documents.select("doc_id", "text", others.alias("others"), F.col("text").isNull().alias("missing"))
+    cut = shared_strings(rows, ["others", "missing"], whole_characters=True, **options)
+    text = F.when(~F.col("row.missing"), F.col("left").cast("string"))
     new = {"text": text} | ({"n_chars": F.length(text).cast("long")} if "n_chars" in documents.columns else {})
-    return cut.select(*[new.get(name, F.col(f"row.`{name}`")).alias(name) for name in documents.columns])
+    return cut.select(*[new.get(name, F.col(f"row.others.`{name}`")).alias(name) for name in documents.columns])
