@@ -36,8 +36,11 @@ class ReplacingTable:
         self._written: str | None = None
 
     def _last_per_key(self, df: DataFrame, *ties: str) -> DataFrame:
+        # Rows that are equally late are told apart by their content, whatever order they come in.
         first, *rest = self._order
-        return latest_by(df, self._keys, first, [*rest, *ties])
+        named = {*self._keys, *self._order, *ties}
+        content = [c for c, kind in df.dtypes if c not in named and not kind.startswith(("map", "variant"))]
+        return latest_by(df, self._keys, first, [*rest, *ties, *content])
 
     def append(self, batch: DataFrame, number: int) -> None:
         if self._written is None:

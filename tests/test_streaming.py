@@ -182,3 +182,13 @@ def test_a_contract_without_a_folder_for_dead_letters_is_refused(spark, tmp_path
     table = ReplacingTable(spark, str(tmp_path / "t"), "repo_id", ["event_time"])
     with pytest.raises(ValueError):
         sinks.upsert(spark.readStream.format("rate").load(), table, str(tmp_path / "c"), record=TRENDING_RECORD)
+
+
+def test_the_winner_of_a_tie_does_not_depend_on_input_order(spark, tmp_path):
+    pair = [(1, moment("2026-01-01T00:00:00"), "a"), (1, moment("2026-01-01T00:00:00"), "b")]
+    winners = set()
+    for name, some in (("one", pair), ("two", pair[::-1])):
+        table = ReplacingTable(spark, str(tmp_path / name), "k", ["at"])
+        table.append(spark.createDataFrame(some, "k BIGINT, at TIMESTAMP, v STRING").coalesce(1), 0)
+        winners |= {r.v for r in table.read().collect()}
+    assert winners == {"b"}
