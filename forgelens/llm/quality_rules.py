@@ -4,22 +4,28 @@ A document is counted into a histogram of character classes and one of common
 words.  The same counts, summed over the documents of a language that pass the
 base rules, are the language's reference; it is summed a second time over the
 documents that the first reference keeps, so that bad documents do not bend it.
+Where the first keeps less than half of a language's texts, bad documents have
+bent it too far, and the second is summed over the nearer half instead.  Equal
+texts together weigh at most one in ``HEAVY`` parts of a reference's counts.
 A document is kept if both Jensen-Shannon distances to its reference stay under
 their limits; a histogram of too few characters or words is not judged.  A
 limit has a part that shrinks with the root of the histogram's size, as the
 distance of a random sample does.
 
-Null and empty texts have no words and fail the base rules.  Documents without
-a language share a reference of their own.  Where no document of a language
-passes the base rules there is no reference, and none is needed.  Repeated rows
-are judged one by one; further columns are ignored.  Windows of three words are
-told apart by 64-bit hashes within one document.
+A language, or the lack of one, has a reference if ``LEAST_TEXTS`` different
+texts of it pass the base rules.  Documents of other languages are held against
+the references of the largest languages, ``MOST_OTHERS`` at most, and kept if
+one of them keeps them; if no language has a reference, all documents share one.
+Null and empty texts have no words and fail the base rules.  Repeated rows are
+judged one by one; further columns are ignored.  Windows of three words and
+equal texts are told by 64-bit hashes.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from . import common
 
@@ -59,6 +65,13 @@ WORD_NOISE = 1.6
 ROUNDS = 2
 LEAST_CHARS = 200
 LEAST_JUDGED_WORDS = 50
+#: Different texts that a reference rests on at least, and the part of it that equal texts make up at most.
+LEAST_TEXTS = 10
+HEAVY = 10
+#: References of other languages that a document without one of its own is held against.
+MOST_OTHERS = 32
+#: Steps of the distance, in parts of its limit, in which the nearer half of a language is sought.
+STEPS = 100
 
 
 def repeated_words(words: Column, windows: Column) -> Column:
@@ -165,6 +178,57 @@ def distance(counts: Column, total: Column, reference: Column, reference_total:
     return F.sqrt(F.greatest(F.lit(0.0), summed(F.transform(pairs, part))))
 
 
+def references(chosen: DataFrame) -> DataFrame:
+    """Summed histograms of ``chosen`` as struct ``reference`` for each ``_of``."""
+    texts = chosen.filter("_of is not null").groupBy("_of", "_key")
+    texts = common.stored(texts.agg(F.sum("_n_chars").alias("chars"), F.sum("_n_words").alias("words")), "quality-texts")
+    totals = texts.groupBy(F.col("_of").alias("in")).agg(F.sum("chars").alias("c"), F.sum("words").alias("w"))
+    # What equal texts have beyond their part is scaled down, as a whole.
+    part = lambda total, own: F.least(F.lit(1.0), F.col(total) / (HEAVY * F.col(own)))
+    heavy = (
+        texts.join(totals, F.col("_of") == F.col("in"))
+        .filter(((HEAVY * F.col("chars")) > F.col("c")) | ((HEAVY * F.col("words")) > F.col("w")))
+        .select("in", F.col("_key").alias("heavy"), part("c", "chars").alias("char_part"), part("w", "words").alias("word_part"))
+    )
+    heavy = common.stored(heavy, "quality-heavy")
+    summed = lambda name, n: F.array(*[F.sum(F.get(name, F.lit(i))) for i in range(n)])
+    scaled = lambda name, part: F.transform(
+        name, lambda n: F.when(F.col(part).isNull(), n).otherwise(F.floor(n * F.col(part)))
+    )
+    total = lambda name: F.aggregate(name, F.lit(0).cast("long"), lambda s, n: s + n)
+    sides = {"chars": len(CLASSES) + 1, "words": len(WORDS) + 1}
+    return (
+        chosen.filter("_of is not null")
+        .join(heavy, (F.col("_of") == F.col("in")) & (F.col("_key") == F.col("heavy")), "left")
+        .groupBy("_of", "heavy", "char_part", "word_part")
+        .agg(summed("_char_counts", sides["chars"]).alias("chars"), summed("_word_counts", sides["words"]).alias("words"))
+        .withColumns({"chars": scaled("chars", "char_part"), "words": scaled("words", "word_part")})
+        .groupBy("_of")
+        .agg(*[summed(name, n).alias(name) for name, n in sides.items()])
+        .select(
+            F.col("_of").alias("of"),
+            F.struct("chars", "words", total("chars").alias("n_chars"), total("words").alias("n_words")).alias("reference"),
+        )
+    )
+
+
+def nearer_half(judged: DataFrame, good: Column) -> DataFrame:
+    """``half``, the step of the median text, for each reference ``of`` that keeps less than half of its texts."""
+    texts = (
+        judged.filter(~F.col("_base_failed") & F.col("_of").isNotNull())
+        .groupBy("_of", "_key")
+        .agg(F.min("_step").alias("step"), F.max(good.cast("int")).alias("good"))
+    )
+    steps = texts.groupBy("_of", "step").agg(F.count("*").alias("n"), F.sum("good").alias("good"))
+    every, so_far = Window.partitionBy("_of"), Window.partitionBy("_of").orderBy("step")
+    return (
+        steps.select("_of", "step", *[F.sum(c).over(every).alias(f"all_{c}") for c in ("n", "good")], F.sum("n").over(so_far).alias("n"))
+        .filter("2 * all_good < all_n and 2 * n >= all_n")
+        .groupBy(F.col("_of").alias("at"))
+        .agg(F.min("step").alias("half"))
+    )
+
+
 def judge(
     documents: DataFrame,
     char_limit: float = CHAR_LIMIT,
@@ -180,34 +244,57 @@ def judge(
         F.struct(*[F.col(f"`{name}`") for name in keep]).alias("row"),
         F.col("lang").cast("string").alias("lang"),
         F.col("text").cast("string").alias("text"),
+        F.xxhash64(F.col("text").cast("string")).alias("_key"),
     )
     features = common.stored(with_features(rows, F.col("text")).drop("text"), "quality-features")
-    summed = lambda name, n: F.array(*[F.sum(F.get(name, F.lit(i))) for i in range(n)])
-    far = (F.col("char_distance") > F.lit(char_limit) + F.lit(char_noise) / F.sqrt("_n_chars")) | (
-        F.col("word_distance") > F.lit(word_limit) + F.lit(word_noise) / F.sqrt("_n_words")
+    texts = features.filter(~F.col("_base_failed")).groupBy("lang", "_key").agg(F.lit(1))
+    known = texts.groupBy(F.col("lang").alias("known")).agg(F.count("*").alias("n")).filter(F.col("n") >= LEAST_TEXTS)
+    place = F.row_number().over(Window.orderBy(F.desc("n"), "known"))
+    known = common.stored(known.select("known", place.alias("_of")), "quality-languages")
+    if known.isEmpty():
+        features = features.withColumn("_of", F.lit(1))
+    else:
+        features = features.join(known, F.col("lang").eqNullSafe(F.col("known")), "left").drop("known")
+
+    char_most = F.lit(char_limit) + F.try_divide(F.lit(char_noise), F.sqrt("_n_chars"))
+    word_most = F.lit(word_limit) + F.try_divide(F.lit(word_noise), F.sqrt("_n_words"))
+    none = F.lit(0.0)
+
+    def against(reference):
+        chars = distance(F.col("_char_counts"), F.col("_n_chars"), reference["chars"], reference["n_chars"])
+        words = distance(F.col("_word_counts"), F.col("_n_words"), reference["words"], reference["n_words"])
+        return F.struct(
+            F.when(F.col("_n_chars") >= least_chars, chars).alias("char_distance"),
+            F.when(F.col("_n_words") >= least_words, words).alias("word_distance"),
+        )
+
+    # Of several references the one whose limits are kept best.
+    over = lambda d: F.greatest(
+        F.coalesce(d["char_distance"] / char_most, none), F.coalesce(d["word_distance"] / word_most, none)
     )
+    least = lambda ds: F.array_min(F.transform(ds, lambda d: F.struct(over(d).alias("over"), d.alias("d"))))["d"]
+    far = (F.col("char_distance") > char_most) | (F.col("word_distance") > word_most)
     good = ~F.col("_base_failed") & ~F.coalesce(far, F.lit(False))
     judged, passing = features, ~F.col("_base_failed")
-    for _ in range(ROUNDS):
-        reference = (
-            judged.filter(passing)
-            .groupBy("lang")
-            .agg(
-                summed("_char_counts", len(CLASSES) + 1).alias("char_reference"),
-                summed("_word_counts", len(WORDS) + 1).alias("word_reference"),
-                F.sum("_n_chars").alias("chars"),
-                F.sum("_n_words").alias("words"),
+    for turn in range(ROUNDS):
+        found = common.stored(references(judged.filter(passing)), "quality-references")
+        others = found.filter(F.col("of") <= MOST_OTHERS).agg(F.sort_array(F.collect_list("reference")).alias("others"))
+        held = features.join(found, F.col("_of") == F.col("of"), "left").join(others, F.col("_of").isNull(), "left")
+        judged = (
+            held.withColumn(
+                "_near",
+                F.when(F.col("of").isNotNull(), against(F.col("reference"))).otherwise(least(F.transform("others", against))),
             )
-            .withColumnRenamed("lang", "of")
+            .withColumn("char_distance", F.col("_near.char_distance"))
+            .withColumn("word_distance", F.col("_near.word_distance"))
+            .drop("of", "reference", "others", "_near")
         )
-        reference = common.stored(reference, "quality-references")
-        far_from = features.join(reference, F.col("lang").eqNullSafe(F.col("of")), "left")
-        char_distance = distance(F.col("_char_counts"), F.col("_n_chars"), F.col("char_reference"), F.col("chars"))
-        word_distance = distance(F.col("_word_counts"), F.col("_n_words"), F.col("word_reference"), F.col("words"))
-        judged = far_from.withColumn(
-            "char_distance", F.when(F.col("_n_chars") >= least_chars, char_distance)
-        ).withColumn("word_distance", F.when(F.col("_n_words") >= least_words, word_distance))
-        passing = good
+        if turn < ROUNDS - 1:
+            step = F.floor(F.least(F.lit(1e6), over({c: F.col(c) for c in ("char_distance", "word_distance")})) * STEPS)
+            judged = common.stored(judged.withColumn("_step", step), "quality-judged")
+            half = common.stored(nearer_half(judged, good), "quality-halves")
+            judged = judged.join(half, F.col("_of") == F.col("at"), "left")
+            passing = ~F.col("_base_failed") & F.when(F.col("half").isNull(), good).otherwise(F.col("_step") <= F.col("half"))
     return judged.select(
         "row",
         F.col("_n_words").alias("n_words"),

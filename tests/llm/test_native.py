@@ -51,6 +51,43 @@ def test_quality_rejects_text_unlike_its_language(spark):
     assert [i for i, kept in judged.items() if not kept] == [100, 101, 102]
 
 
+def quality_texts():
+    rng = random.Random(15)
+    usual = "the of and to in that was house tree river stone light water mountain table number".split()
+    german = "der die und in den von Haus Baum Wasser Stein Licht Tisch Zahl Berg".split()
+    text = lambda words: " ".join(rng.choice(words) for _ in range(300))
+    junk = lambda: " ".join(f"{rng.choice('#*$%&|<>')}{rng.randrange(10**6)}{rng.choice('#*$%&|<>')}" for _ in range(220))
+    return lambda: text(usual), lambda: text(german), junk
+
+
+def kept_of(spark, rows):
+    return {r["row"]["doc_id"] for r in quality_rules.judge(documents(spark, rows)).filter("kept").collect()}
+
+
+def test_quality_of_a_language_of_one_document(spark):
+    english, german, junk = quality_texts()
+    rows = [(i, english(), "en", "s") for i in range(40)] + [(100 + i, german(), "de", "s") for i in range(15)]
+    copied = junk()
+    rows += [(200, junk(), "xx", "s"), (201, junk(), None, "s"), *[(210 + i, copied, "yy", "s") for i in range(30)]]
+    rows += [(300, english(), "zz", "s"), (301, german(), None, "s")]
+    assert kept_of(spark, rows) == {*range(40), *range(100, 115), 300, 301}
+
+
+def test_quality_of_a_language_with_a_third_of_junk(spark):
+    english, _, junk = quality_texts()
+    rows = [(i, english(), "en", "s") for i in range(40)] + [(100 + i, junk(), "en", "s") for i in range(20)]
+    assert kept_of(spark, rows) == set(range(40))
+
+
+def test_one_long_text_is_not_the_reference(spark):
+    english, _, junk = quality_texts()
+    rows = [(i, english(), "en", "s") for i in range(40)] + [(100, " ".join(junk() for _ in range(300)), "en", "s")]
+    assert kept_of(spark, rows) == set(range(40))
+    copied = junk()
+    rows = [(i, english(), "en", "s") for i in range(40)] + [(100 + i, copied, "en", "s") for i in range(200)]
+    assert kept_of(spark, rows) == set(range(40))
+
+
 def test_quality_takes_odd_rows(odd, empty):
     judged = quality_rules.judge(odd, keep=odd.columns)
     rows = {(r["row"]["doc_id"], r["row"]["text"]): r for r in judged.collect()}
