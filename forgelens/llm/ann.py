@@ -33,7 +33,9 @@ PARTS = 16
 GRAPH_NEIGHBOURS = 10
 HIDDEN = 128
 EPOCHS = 40
-#: Recall on the sample from which on no more parts are searched.
+#: One in so many vectors of the sample is kept from fitting and used to find the number of parts to search.
+HELD_OUT = 4
+#: Recall on the vectors kept from fitting from which on no more parts are searched.
 RECALL = 0.95
 SEED = 11
 #: Vectors and queries that meet in one task.
@@ -152,9 +154,11 @@ def train_router(vectors: np.ndarray, targets: np.ndarray, rng: np.random.Genera
 def fit(sample: np.ndarray, parts: int = PARTS, nearest: int = NEAREST, recall: float = RECALL, seed: int = SEED) -> Router:
     """A router fitted on ``sample``; with too few vectors for parts of 64 there are fewer, or one."""
     rng = np.random.default_rng(seed)
+    mixed = rng.permutation(len(sample))
+    held, sample = sample[mixed[: len(sample) // HELD_OUT]], sample[mixed[len(sample) // HELD_OUT :]]
     while parts > 1 and len(sample) < 64 * parts:
         parts //= 2
-    if parts == 1 or len(sample) <= nearest + 1:
+    if parts == 1 or len(held) <= nearest + 1:
         return Router([])
     graph = neighbour_graph(sample, min(GRAPH_NEIGHBOURS, len(sample) - 1))
     part = balanced_parts(graph, parts, rng)
@@ -162,11 +166,9 @@ def fit(sample: np.ndarray, parts: int = PARTS, nearest: int = NEAREST, recall:
     targets = np.zeros((len(sample), parts))
     np.add.at(targets, (np.repeat(np.arange(len(sample)), around.shape[1]), part[around].ravel()), 1.0)
     router = train_router(sample, targets / targets.sum(axis=1, keepdims=True), rng)
-    owner = router.best(sample, 1)[:, 0]
-    asked = rng.permutation(len(sample))[:512]
-    true = neighbour_graph(sample, nearest)[asked]
-    ranks = np.argsort(router.best(sample[asked], parts), axis=1)  # of each part, for each query
-    needed = np.take_along_axis(ranks, owner[true], axis=1)
+    order = router.best(held, parts)
+    true = neighbour_graph(held, nearest)
+    needed = np.take_along_axis(np.argsort(order, axis=1), order[:, 0][true], axis=1)
     shares = [(needed < probes).mean() for probes in range(1, parts + 1)]
     router.probes = next((k + 1 for k, share in enumerate(shares) if share >= recall), parts)
     return router

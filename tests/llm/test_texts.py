@@ -194,6 +194,31 @@ def test_neighbours_of_clustered_vectors_are_found_in_few_parts(spark):
     assert hits >= 0.9 * 10 * 64
 
 
+def test_parts_searched_are_chosen_on_vectors_kept_from_fitting(monkeypatch):
+    class Remembering(ann.Router):
+        """Knows the vectors it was trained on, and nothing of others."""
+
+        def log_probabilities(self, vectors):
+            unknown = np.random.default_rng(1).random((len(vectors), 16))
+            return np.array([self.weights[0].get(v.tobytes(), u) for v, u in zip(vectors, unknown)])
+
+    known = lambda vectors, targets, rng: Remembering([{v.tobytes(): t for v, t in zip(vectors, targets)}])
+    monkeypatch.setattr(ann, "train_router", known)
+    assert ann.fit(np.random.default_rng(2).normal(size=(4096, 8)), parts=16).probes >= 14
+
+
+def test_recall_on_random_vectors_beyond_the_sample(spark):
+    rng = np.random.default_rng(7)
+    values = rng.normal(size=(5 * ann.SAMPLE, 24))
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(values)], "vec_id bigint, embedding array<double>")
+    found = ann.search_every(vectors, 100).collect()
+    asked = np.arange(0, len(values), 100)
+    scores = values[asked] @ values.T
+    scores[np.arange(len(asked)), asked] = -np.inf
+    true = {(int(q), int(i)) for q, row in zip(asked, np.argpartition(-scores, 20, axis=1)[:, :20]) for i in row}
+    assert len(true & {(r["query_id"], r["vec_id"]) for r in found}) >= 0.93 * len(true)
+
+
 def test_parts_are_balanced():
     rng = np.random.default_rng(8)
     graph = ann.neighbour_graph(rng.normal(size=(512, 8)), 6)
