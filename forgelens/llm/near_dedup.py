@@ -6,8 +6,11 @@ token a random choice of that node selects, ``1 / SIMILARITY`` of them on
 average, so similar documents tend to share a branch and others seldom do.
 Nodes of few documents are compared exhaustively; larger ones branch again, and
 what is still large at the last level is compared in blocks.  ``TREES``
-independent trees are grown, so that a pair at the least similarity is missed
-by all of them with a probability of about ``0.37 ** TREES``.
+independent trees are grown.  A pair at the least similarity shares one branch
+of a root on average, and a tree misses it with 0.37 if that is a small node.
+Below a large node ``DEEPER`` times as many branches are chosen, so a pair whose
+nodes are all large passes three levels with 0.56.  All trees miss it with a
+probability between ``0.37 ** TREES`` and ``0.44 ** TREES``, 0.0007 % to 0.006 %.
 
 Within a node, sketches are compared, and only the links that hold the node's
 groups together leave it.  Groups that sketches connect are then compared on
@@ -38,6 +41,8 @@ PERCENT = 80
 TOKENS = 128
 TREES = 12
 LEVELS = 3
+#: Below large nodes, so many times as many branches are chosen as at a root.
+DEEPER = 2
 SEED = 7
 #: Nodes up to this size are compared exhaustively in one task, larger groups in blocks.
 NODE_LIMIT = 4000
@@ -78,7 +83,7 @@ def signatures(documents: DataFrame, size: int, tokens: int = TOKENS, seed: int
     return plain.mapInArrow(signed, SIGNATURE)
 
 
-def branches(rows: DataFrame, trees: int, percent: int, seed: int) -> DataFrame:
+def branches(rows: DataFrame, trees: int, percent: int, seed: int, times: int = 1) -> DataFrame:
     """Children (node, doc_id) of ``rows`` (node, doc_id, tokens); ``node`` is null at the root of all trees."""
 
     def branched(batches):
@@ -88,9 +93,9 @@ def branches(rows: DataFrame, trees: int, percent: int, seed: int) -> DataFrame:
             ids = batch["doc_id"].to_numpy()
             held = np.frombuffer(b"".join(batch["tokens"].to_pylist()), dtype=np.uint32)
             held = held.reshape(len(ids), -1).astype(np.uint64)
-            # A token is a value at a place; of all tokens, 100 / percent are chosen on average.
+            # A token is a value at a place; of all tokens, times * 100 / percent are chosen on average.
             named = sh.mix(held + (np.arange(held.shape[1], dtype=np.uint64) << np.uint64(32)))
-            chosen = np.uint64(int((1 << 64) * 100 / (percent * held.shape[1])))
+            chosen = np.uint64(int((1 << 64) * times * 100 / (percent * held.shape[1])))
             nodes = batch["node"]
             if nodes.null_count:
                 roots = [sh.mix(np.full((1, 1), seed * 1000 + tree, dtype=np.uint64)) for tree in range(trees)]
@@ -248,7 +253,7 @@ def grown(
     rows = sets.select(F.lit(None).cast("long").alias("node"), "doc_id", "tokens")
     leaves = []
     for level in range(levels):
-        placed = common.stored(branches(rows, trees, percent, seed).distinct(), "near-nodes")
+        placed = common.stored(branches(rows, trees, percent, seed, DEEPER if level else 1).distinct(), "near-nodes")
         sizes = placed.groupBy(F.col("node").alias("of")).agg(F.count("*").alias("n")).filter("n > 1")
         shared = common.stored(placed.join(sizes, F.col("node") == F.col("of")).drop("of"), "near-shared")
         if level == levels - 1:

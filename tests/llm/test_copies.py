@@ -44,6 +44,21 @@ def test_components_equal_those_of_all_pairs(spark, limits):
     assert {r["doc_id"]: r["n_shingles"] for r in rows} == {i: len(shingle_set(t, 4)) for i, t in texts.items()}
 
 
+def test_pairs_in_large_nodes_meet(spark):
+    # Sets of words, each pair at 90 of 112 or 95 of 113; with this limit every node that a pair shares is large.
+    rows = []
+    for i in range(4000):
+        shared = [f"s{i}w{k}" for k in range(90 + 5 * (i % 2))]
+        for side in (0, 1):
+            own = [f"o{i}w{side}x{k}" for k in range(11 - 2 * (i % 2))]
+            rows.append((2 * i + side, " ".join(shared + own), "en", "s"))
+    docs = documents(spark, rows)
+    p = near_dedup
+    *_, members = p.grown(docs, 1, p.PERCENT, p.TREES, p.LEVELS, 1, p.SEED)
+    met = members.groupBy("node").agg(F.collect_set(F.floor(F.col("doc_id") / 2)).alias("pair"), F.count_distinct("doc_id").alias("n"))
+    assert met.filter("n > 1").select(F.explode("pair")).distinct().count() == 4000
+
+
 def test_near_dedup_takes_odd_rows(odd, empty):
     rows = near_dedup.link_components(odd, 4).collect()
     assert len(rows) == odd.count()
