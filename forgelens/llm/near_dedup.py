@@ -47,15 +47,17 @@ SEED = 7
 #: Nodes up to this size are compared exhaustively in one task, larger groups in blocks.
 NODE_LIMIT = 4000
 GROUP_LIMIT = 20_000
+#: Bytes of text up to which a group is compared in one task, larger groups in blocks.
+GROUP_BYTES = 32 << 20
 #: Share of equal sketch bytes from which two documents may be similar: more than five
 #: standard deviations under what a pair at the least similarity has.
 SKETCH_SHARE = 0.60
 
-SIGNATURE = "doc_id bigint, n_shingles bigint, digest binary, tokens binary"
+SIGNATURE = "doc_id bigint, n_shingles bigint, n_bytes bigint, digest binary, tokens binary"
 
 
 def signatures(documents: DataFrame, size: int, tokens: int = TOKENS, seed: int = SEED) -> DataFrame:
-    """Set size, digest of the set, and minwise tokens of every row of ``documents``."""
+    """Set size, bytes of text, digest of the set, and minwise tokens of every row of ``documents``."""
 
     def signed(batches):
         factors = sh.multipliers(tokens, seed)
@@ -73,10 +75,11 @@ def signatures(documents: DataFrame, size: int, tokens: int = TOKENS, seed: int
                     [
                         ids.slice(part.start, part.stop - part.start),
                         pa.array([len(one) for one in sets], pa.int64()),
+                        pa.array([len(text or b"") for text in texts[part]], pa.int64()),
                         pa.array(digests, pa.binary()),
                         pa.array(packed, pa.binary()),
                     ],
-                    names=["doc_id", "n_shingles", "digest", "tokens"],
+                    names=["doc_id", "n_shingles", "n_bytes", "digest", "tokens"],
                 )
 
     plain = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
@@ -112,21 +115,26 @@ def branches(rows: DataFrame, trees: int, percent: int, seed: int, times: int =
     return rows.select("node", "doc_id", "tokens").mapInArrow(branched, "node bigint, doc_id bigint")
 
 
-def in_blocks(rows: DataFrame, key: str, limit: int) -> DataFrame:
+def in_blocks(rows: DataFrame, key: str, limit: int, bytes_limit: int | None = None) -> DataFrame:
     """``rows`` (with the size ``n`` of their group) so that no group exceeds about ``limit``.
 
     A larger group is cut into blocks by a hash of ``doc_id``, and each pair of
     blocks becomes a group of its own, so every two rows meet in one of them.
+    With ``bytes_limit`` the same holds for ``n_bytes``, the bytes of the group:
+    a row that has half of the limit or more tends to be alone in its block.
     """
-    count = F.when(F.col("n") > limit, F.ceil(2 * F.col("n") / limit)).otherwise(1).cast("int")
+    blocks = lambda n, most: F.when(F.col(n) > most, F.ceil(2 * F.col(n) / most)).otherwise(1)
+    count = blocks("n", limit)
+    if bytes_limit is not None:
+        count = F.greatest(count, blocks("n_bytes", bytes_limit))
     block = F.pmod(F.xxhash64("doc_id"), F.col("_blocks")).cast("int")
     pair = F.xxhash64(key, F.least("_block", "_other"), F.greatest("_block", "_other"))
     return (
-        rows.withColumn("_blocks", count)
+        rows.withColumn("_blocks", count.cast("int"))
         .withColumn("_block", block)
         .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
         .withColumn(key, F.when(F.col("_blocks") > 1, pair).otherwise(F.col(key)))
-        .drop("_blocks", "_block", "_other", "n")
+        .drop("_blocks", "_block", "_other", "n", "n_bytes")
     )
 
 
@@ -285,6 +293,7 @@ def link_components(
     node_limit: int = NODE_LIMIT,
     group_limit: int = GROUP_LIMIT,
     seed: int = SEED,
+    group_bytes: int | None = None,
 ) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of ``documents``."""
     signed, sets, members = grown(documents, size, percent, trees, levels, node_limit, seed)
@@ -292,11 +301,15 @@ def link_components(
     # Sides that grow with the corpus are merged at every size, never broadcast.
     near = common.stored(sketch_links(members.join(sketches.hint("merge"), "doc_id")), "near-links")
     parts = common.stored(graph.components(near, "near-parts"), "near-parts")
-    sizes = parts.groupBy(F.col("component").alias("group")).agg(F.count("*").alias("n"))
+    # All rows of a doc_id are compared, so the bytes of all count.
+    weighed = signed.groupBy(F.col("doc_id").alias("id")).agg(F.sum("n_bytes").alias("n_bytes"))
+    sizes = parts.join(weighed.hint("merge"), "id").groupBy(F.col("component").alias("group"))
+    sizes = sizes.agg(F.count("*").alias("n"), F.sum("n_bytes").alias("n_bytes"))
     grouped = in_blocks(
         parts.withColumnRenamed("component", "group").join(sizes, "group").withColumnRenamed("id", "doc_id"),
         "group",
         group_limit,
+        group_bytes or GROUP_BYTES,
     )
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     links = common.stored(exact_links(grouped.join(texts.hint("merge"), "doc_id"), size, percent), "near-exact")

@@ -59,6 +59,25 @@ def test_pairs_in_large_nodes_meet(spark):
     assert met.filter("n > 1").select(F.explode("pair")).distinct().count() == 4000
 
 
+def test_groups_of_long_texts_are_compared_in_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    base = [f"w{k}" for k in range(500)]
+    texts = {i: " ".join(base[:-1] + [f"own{i}"]) for i in range(60)}
+    texts |= {100 + i: " ".join(rng.permutation(base)) for i in range(5)}
+    seen, sent = [], near_dedup.exact_links
+
+    def watched(members, size, percent):
+        seen.append(members.groupBy("group").agg(F.sum(F.length("text")).alias("bytes")).agg(F.max("bytes")).first()[0])
+        return sent(members, size, percent)
+
+    monkeypatch.setattr(near_dedup, "exact_links", watched)
+    monkeypatch.setattr(near_dedup, "GROUP_BYTES", 40_000, raising=False)
+    docs = documents(spark, [(i, t, "en", "s") for i, t in texts.items()])
+    rows = near_dedup.link_components(docs, 4).collect()
+    assert {r["doc_id"]: r["component_id"] for r in rows} == {i: 0 if i < 60 else i for i in texts}
+    assert 0 < seen[0] <= 60_000 < sum(len(t) for i, t in texts.items() if i < 60)
+
+
 def test_near_dedup_takes_odd_rows(odd, empty):
     rows = near_dedup.link_components(odd, 4).collect()
     assert len(rows) == odd.count()
