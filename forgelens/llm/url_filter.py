@@ -5,9 +5,13 @@ URLs that a rule blocks another.  A character's probability after its context
 of up to ``ORDER`` characters is interpolated with that after shorter contexts,
 by the number of different characters seen there (Witten-Bell); below all is an
 equal share for every code point.  The difference of the logarithms, summed
-over the URL and divided by its length, is held against a limit that separates
+over host and path and divided by their length, is held against a limit that separates
 rule-judged URLs best which neither model was trained on.
 
+Models, like rules, see host and path only, as the SQL that the results are held
+against does: URLs that differ in query or fragment alone get one verdict, and
+what allowed and blocked URLs differ in there is not learned.
+
 A null URL, or one without ``://``, has empty host and path and is blocked.
 Repeated URLs are scored once and count in the models as often as they occur.
 If one kind of URL was never judged by a rule, the limit is 0 and both models
