@@ -6,7 +6,7 @@ import hashlib
 
 import numpy as np
 import pytest
-from conftest import documents, random_texts
+from corpora import documents, random_texts
 from pyspark.sql import functions as F
 
 import corpus_pipeline

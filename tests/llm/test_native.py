@@ -5,7 +5,7 @@ from __future__ import annotations
 import random
 
 import pytest
-from conftest import documents
+from corpora import documents
 from pyspark.sql import functions as F
 
 from forgelens.llm import mixing, quality_rules, url_filter

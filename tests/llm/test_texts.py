@@ -9,7 +9,7 @@ import zlib
 import numpy as np
 import pytest
 import sentencepiece
-from conftest import documents, odd_rows, random_texts
+from corpora import documents, odd_rows, random_texts
 from pyspark.sql import functions as F
 
 from forgelens.llm import ann, license_scan, pieces, quality_rank, sharding
