@@ -14,8 +14,8 @@ distance of a random sample does.
 
 A language, or the lack of one, has a reference if ``LEAST_TEXTS`` different
 texts of it pass the base rules.  Documents of other languages are held against
-the references of the largest languages, ``MOST_OTHERS`` at most, and kept if
-one of them keeps them; if no language has a reference, all documents share one.
+the references of all languages that have one, and kept if one of them keeps
+them; if no language has a reference, all documents share one.
 Null and empty texts have no words and fail the base rules.  Repeated rows are
 judged one by one; further columns are ignored.  Windows of three words and
 equal texts are told by 64-bit hashes.
@@ -68,8 +68,6 @@ LEAST_JUDGED_WORDS = 50
 #: Different texts that a reference rests on at least, and the part of it that equal texts make up at most.
 LEAST_TEXTS = 10
 HEAVY = 10
-#: References of other languages that a document without one of its own is held against.
-MOST_OTHERS = 32
 #: Steps of the distance, in parts of its limit, in which the nearer half of a language is sought.
 STEPS = 100
 
@@ -246,7 +244,7 @@ def judge(
         F.col("text").cast("string").alias("text"),
         F.xxhash64(F.col("text").cast("string")).alias("_key"),
     )
-    features = common.stored(with_features(rows, F.col("text")).drop("text"), "quality-features")
+    features = common.stored(with_features(rows, F.col("text")).drop("text"), "quality-features", compression="zstd")
     texts = features.filter(~F.col("_base_failed")).groupBy("lang", "_key").agg(F.lit(1))
     known = texts.groupBy(F.col("lang").alias("known")).agg(F.count("*").alias("n")).filter(F.col("n") >= LEAST_TEXTS)
     place = F.row_number().over(Window.orderBy(F.desc("n"), "known"))
@@ -278,7 +276,7 @@ def judge(
     judged, passing = features, ~F.col("_base_failed")
     for turn in range(ROUNDS):
         found = common.stored(references(judged.filter(passing)), "quality-references")
-        others = found.filter(F.col("of") <= MOST_OTHERS).agg(F.sort_array(F.collect_list("reference")).alias("others"))
+        others = found.agg(F.sort_array(F.collect_list("reference")).alias("others"))
         held = features.join(found, F.col("_of") == F.col("of"), "left").join(others, F.col("_of").isNull(), "left")
         judged = (
             held.withColumn(
@@ -291,7 +289,8 @@ def judge(
         )
         if turn < ROUNDS - 1:
             step = F.floor(F.least(F.lit(1e6), over({c: F.col(c) for c in ("char_distance", "word_distance")})) * STEPS)
-            judged = common.stored(judged.withColumn("_step", step), "quality-judged")
+            # What is kept of a document is read from its features again; only counts and steps are stored here.
+            judged = common.stored(judged.withColumn("_step", step).drop("row"), "quality-judged")
             half = common.stored(nearer_half(judged, good), "quality-halves")
             judged = judged.join(half, F.col("_of") == F.col("at"), "left")
             passing = ~F.col("_base_failed") & F.when(F.col("half").isNull(), good).otherwise(F.col("_step") <= F.col("half"))
