@@ -3,7 +3,7 @@ from __future__ import annotations
 import copy
 
 import pytest
-from conftest import raw_of, rows, sample_payloads
+from samples import raw_of, rows, sample_payloads
 from pyspark.sql import functions as F
 
 from forgelens.operators.quality import QualityError

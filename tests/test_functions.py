@@ -3,7 +3,7 @@ from __future__ import annotations
 import hashlib
 import re
 
-from conftest import moment
+from samples import moment
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

@@ -4,7 +4,7 @@ import datetime as dt
 import random
 
 import pytest
-from conftest import moment
+from samples import moment
 from pyspark.sql import functions as F
 
 from forgelens.operators import scd2

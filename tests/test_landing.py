@@ -5,7 +5,7 @@ import json
 from pathlib import Path
 
 import pytest
-from conftest import envelope_lines, moment, rows, write_lines
+from samples import envelope_lines, moment, rows, write_lines
 from pyspark.sql import functions as F
 
 from forgelens.plans import jobs

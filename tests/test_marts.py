@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
-from conftest import rows
+from samples import rows
 from pyspark.sql import functions as F
 
 from forgelens.plans import dims, facts, marts, reports, snapshot

@@ -3,7 +3,7 @@ from __future__ import annotations
 import datetime as dt
 import random
 
-from conftest import moment
+from samples import moment
 from pyspark.sql import functions as F
 
 from forgelens.operators import as_of, asof_join, first_by, latest_by

@@ -3,7 +3,7 @@ from __future__ import annotations
 import json
 
 import pytest
-from conftest import sample_payloads
+from samples import sample_payloads
 from pyspark.sql import functions as F
 
 from forgelens.operators import quality as q

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 
 import pytest
-from conftest import moment, raw_of, rows, sample_payloads
+from samples import moment, raw_of, rows, sample_payloads
 from pyspark.sql import functions as F
 
 from forgelens.functions import PayloadReader

@@ -3,7 +3,7 @@ from __future__ import annotations
 import json
 
 import pytest
-from conftest import envelope_lines, moment, rows, sample_payloads, write_lines
+from samples import envelope_lines, moment, rows, sample_payloads, write_lines
 from pyspark.sql import functions as F
 
 from forgelens.schemas import DEVELOPER_RECORD, TRENDING_RECORD
