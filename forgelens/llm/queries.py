@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    alignment,
     ann,
     common,
     license_scan,
@@ -16,6 +17,7 @@ from . import (
     quality_rules,
     sharding,
     suffix_dedup,
+    token_files,
     url_filter,
 )
 
@@ -87,6 +89,17 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.link_components(common.table(spark, sf_dir, "documents"), size=4)
 
 
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents written as binary shards, and what a reader finds in them."""
+    documents = common.table(spark, sf_dir, "documents")
+    return token_files.read(token_files.write(documents, common.scratch_dir(spark, "token-files")))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of two vocabularies aligned over all documents, with corpus-wide counts of linked ids."""
+    return alignment.measured(alignment.align(common.table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_ann": op1_ann,
     "op2_quality_rules": op2_quality_rules,
@@ -98,6 +111,8 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_license_scan": op9_license_scan,
     "op10_near_dedup": op10_near_dedup,
+    "op12_token_files": op12_token_files,
+    "op13_alignment": op13_alignment,
 }
 
 
