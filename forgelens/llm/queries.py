@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +14,7 @@ from . import (
     license_scan,
     mixing,
     near_dedup,
+    periodic_runs,
     pieces,
     quality_rank,
     quality_rules,
@@ -89,6 +92,21 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.link_components(common.table(spark, sf_dir, "documents"), size=4)
 
 
+def repeated_tail(doc_id: int | None, n_words: int) -> tuple[int, int] | None:
+    """Where every tenth document, by the checksum of its id, gets a periodic end: first word and period."""
+    if doc_id is None or not n_words:
+        return None
+    tens, digit = divmod(zlib.crc32(str(doc_id).encode()), 10)
+    start = tens % n_words
+    return (start, 1 + (n_words - start) // (3 + tens % 8)) if digit == 0 else None
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of words in all documents, of which some get a periodic end first."""
+    documents = common.table(spark, sf_dir, "documents")
+    return periodic_runs.digests(periodic_runs.runs(documents, repeated_tail))
+
+
 def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of all documents written as binary shards, and what a reader finds in them."""
     documents = common.table(spark, sf_dir, "documents")
@@ -111,6 +129,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_license_scan": op9_license_scan,
     "op10_near_dedup": op10_near_dedup,
+    "op11_periodic_runs": op11_periodic_runs,
     "op12_token_files": op12_token_files,
     "op13_alignment": op13_alignment,
 }
