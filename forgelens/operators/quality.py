@@ -1,8 +1,8 @@
 """Data-quality rules evaluated as aggregates.
 
-All row rules of a table share one pass over it, all its uniqueness rules share
-another, and a reference rule reduces the child to its distinct keys before it
-meets the parent.  Results are rows of :data:`RESULT`.
+All row rules of a table share one pass over it, or are observed while it is
+written.  All rules about keys share another pass, in which the values are
+counted before they meet the parents.  Results are rows of :data:`RESULT`.
 """
 
 from __future__ import annotations
@@ -79,6 +79,11 @@ def references(column: str, parent: str, parent_column: str, severity: str = "er
     return Rule("relationships", column, kind="reference", parent=parent, parent_column=parent_column, severity=severity)
 
 
+def fits_type(column: str, severity: str = "error") -> Rule:
+    """Values that are there but do not fit the column, by the flag that staging adds."""
+    return Rule("fits_type", column, fails=f"`__misfit_{column}`", severity=severity)
+
+
 def row_count(low: int | None = None, high: int | None = None, severity: str = "error") -> Rule:
     return Rule("row_count_between", "*", kind="row_count", low=low, high=high, severity=severity)
 
@@ -98,19 +103,29 @@ def _entry(table: str, rule: Rule, checked: Column, failed: Column) -> Column:
     )
 
 
-def _row_results(table: str, df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """One aggregate with a counter per rule, turned into one row per rule."""
-    counters = [F.count("*").alias("rows")]
-    for i, rule in enumerate(rules):
+def _split(rules: Sequence[Rule]) -> tuple[list[Rule], list[Rule]]:
+    """Rules that counters answer, and rules about keys."""
+    keyed = ("unique", "reference")
+    return [r for r in rules if r.kind not in keyed], [r for r in rules if r.kind in keyed]
+
+
+def counters(rules: Sequence[Rule]) -> list[Column]:
+    """Aggregates that answer all row rules, for one pass or to be observed while a table is written."""
+    found = [F.count("*").alias("rows")]
+    for i, rule in enumerate(_split(rules)[0]):
         if rule.fails is not None:
-            counters.append(F.count_if(F.expr(f"({rule.where or 'true'}) AND ({rule.fails})")).alias(f"f{i}"))
+            found.append(F.count_if(F.expr(f"({rule.where or 'true'}) AND ({rule.fails})")).alias(f"f{i}"))
             if rule.where is not None:
-                counters.append(F.count_if(F.expr(rule.where)).alias(f"c{i}"))
-    totals = df.agg(*counters)
+                found.append(F.count_if(F.expr(rule.where)).alias(f"c{i}"))
+    return found
+
+
+def _row_results(table: str, totals: DataFrame, columns: Sequence[str], rules: Sequence[Rule]) -> DataFrame:
+    """The one row of :func:`counters` turned into one row per rule."""
     entries = []
     for i, rule in enumerate(rules):
         if rule.kind == "exists":
-            failed: Column = F.lit(int(rule.column not in df.columns))
+            failed: Column = F.lit(int(rule.column not in columns))
             checked: Column = F.lit(1)
         elif rule.kind == "row_count":
             rows, bad = F.col("rows"), F.lit(False)
@@ -124,55 +139,66 @@ def _row_results(table: str, df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return totals.select(F.inline(F.array(*entries)))
 
 
-def _unique_results(table: str, df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """All unique columns in one exchange: values are tagged with their rule and counted.
+def _key_results(table: str, df: DataFrame, rules: Sequence[Rule], parents: Mapping[str, DataFrame]) -> DataFrame:
+    """All rules about keys in one scan and one exchange: values are tagged with their rule and counted.
 
     Partial counts are made before the exchange, so a value that fills a third
-    of the table travels as one row per input partition.
+    of the table travels as one row per input partition, and meets the parents'
+    keys as one row.
     """
-    tagged = F.array(
-        *[F.struct(F.lit(i).alias("i"), F.col(r.column).cast("string").alias("v")) for i, r in enumerate(rules)]
-    )
+    text = lambda column: F.col(column).cast("string").alias("v")
+    tagged = F.array(*[F.struct(F.lit(i).alias("i"), text(r.column)) for i, r in enumerate(rules)])
     values = df.select(F.inline(tagged)).groupBy("i", "v").agg(F.count("*").alias("n"))
+    known = [
+        parents[r.parent].select(F.lit(i).alias("of"), text(r.parent_column).alias("p"))
+        for i, r in enumerate(rules)
+        if r.kind == "reference"
+    ]
+    held = F.lit(False)
+    if known:
+        keys = reduce(DataFrame.unionByName, known).distinct()
+        values = values.join(keys, (F.col("i") == F.col("of")) & (F.col("v") == F.col("p")), "left")
+        held = F.col("p").isNotNull()
+    unique = F.col("i").isin([i for i, r in enumerate(rules) if r.kind == "unique"])
+    failed = F.when(unique, (F.col("n") > 1).cast("int")).when(~held, F.col("n")).otherwise(0)
     per_rule = values.groupBy("i").agg(
-        F.sum("n").alias("checked"), F.count_if(F.col("v").isNotNull() & (F.col("n") > 1)).alias("failed")
+        F.sum("n").alias("checked"), F.sum(F.when(F.col("v").isNotNull(), failed).otherwise(0)).alias("failed")
     )
     # The outer shape holds for an empty table too: each rule then has zero rows.
     summed = per_rule.groupBy().agg(
-        *[F.coalesce(F.sum(F.when(F.col("i") == i, F.col(c))), F.lit(0)).alias(f"{c}{i}") for i in range(len(rules)) for c in ("checked", "failed")]
+        *[
+            F.coalesce(F.sum(F.when(F.col("i") == i, F.col(c))), F.lit(0)).alias(f"{c}{i}")
+            for i in range(len(rules))
+            for c in ("checked", "failed")
+        ]
     )
     entries = [_entry(table, r, F.col(f"checked{i}"), F.col(f"failed{i}")) for i, r in enumerate(rules)]
     return summed.select(F.inline(F.array(*entries)))
 
 
-def _reference_result(table: str, df: DataFrame, rule: Rule, parents: Mapping[str, DataFrame]) -> DataFrame:
-    """Child keys are counted first, so a frequent key meets the parent as one row."""
-    keys = df.groupBy(F.col(rule.column).alias("k")).agg(F.count("*").alias("n"))
-    known = parents[rule.parent].select(F.col(rule.parent_column).alias("p"), F.lit(True).alias("found")).distinct()
-    matched = keys.join(known, F.col("k") == F.col("p"), "left")
-    is_orphan = F.col("k").isNotNull() & F.col("found").isNull()
-    return (
-        matched.agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("checked"),
-            F.coalesce(F.sum(F.when(is_orphan, F.col("n"))), F.lit(0)).alias("failed"),
-        )
-        .select(_entry(table, rule, F.col("checked"), F.col("failed")).alias("e"))
-        .select("e.*")
-    )
-
-
 def evaluate(
-    table: str, df: DataFrame, rules: Sequence[Rule], parents: Mapping[str, DataFrame] | None = None
+    table: str,
+    df: DataFrame,
+    rules: Sequence[Rule],
+    parents: Mapping[str, DataFrame] | None = None,
+    counted: Mapping[str, int] | None = None,
 ) -> DataFrame:
-    """Result rows of all rules on one table."""
+    """Result rows of all rules on one table.
+
+    ``counted`` holds what :func:`counters` gave while the table was written;
+    then only the rules about keys read the table again, and of it the keys.
+    """
+    plain, keyed = _split(rules)
     parts = []
-    plain = [r for r in rules if r.kind in ("row", "row_count", "exists")]
-    distinct = [r for r in rules if r.kind == "unique"]
     if plain:
-        parts.append(_row_results(table, df, plain))
-    if distinct:
-        parts.append(_unique_results(table, df, distinct))
-    parts += [_reference_result(table, df, r, parents or {}) for r in rules if r.kind == "reference"]
+        if counted is None:
+            totals = df.agg(*counters(rules))
+        else:
+            shape = ", ".join(f"{name} BIGINT" for name in counted)
+            totals = df.sparkSession.createDataFrame([tuple(counted.values())], shape)
+        parts.append(_row_results(table, totals, df.columns, plain))
+    if keyed:
+        parts.append(_key_results(table, df, keyed, parents or {}))
     return reduce(DataFrame.unionByName, parts).withColumn("passed", F.col("n_failed") == 0)
 
 

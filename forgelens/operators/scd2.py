@@ -92,7 +92,8 @@ def replay(
     last one stays open.  Rows whose run is unknown take part by their time.
 
     Where every run lists all keys, ``complete_runs`` (from :func:`number_runs`)
-    says so: then a key that a run does not list is closed at that run.
+    says so: then a key that a run does not list is closed at that run.  A row
+    whose run is not among them has no place in that order and fails the job.
 
     Used for a rebuild: one exchange on (key, run) to pick the row of each run
     and one on the key to compare neighbours, whatever the number of runs.  A
@@ -109,9 +110,11 @@ def replay(
         ).filter(F.col("__first") | ~F.col("__same"))
         return _as_version(changes.withColumn("__next_start", F.lead(start).over(in_time)), key, F.col("__next_start"))
     by_run = Window.partitionBy(key).orderBy("__run")
+    unknown = F.raise_error(F.concat(F.lit("a row's run is not among the complete runs: "), F.coalesce("run_id", F.lit("null"))))
     starts = (
         # All windows share one exchange and one sort.
-        listed.join(complete_runs.select("__run", "run_id"), "run_id")
+        listed.join(complete_runs.select("__run", "run_id"), "run_id", "left")
+        .withColumn("__run", F.coalesce("__run", unknown.cast("bigint")))
         .withColumns(
             {
                 "__before": F.lag("__run").over(by_run),

@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import partial
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.util import inheritable_thread_target
 
-from ..operators.quality import RESULT, evaluate, stop_on_errors
+from ..operators.quality import RESULT, Rule, counters, evaluate, stop_on_errors
 from ..schemas import RESOURCES
-from . import dims, facts, marts, snapshot
-from .contracts import TABLE_RULES
+from ..sources.sliced import SlicedTable
+from . import dims, marts, snapshot
+from .contracts import CAST_RULES, TABLE_RULES
+from .facts import FACTS
 from .staging import stage
-from .stores import RepoHistory, VersionedTable
+from .stores import DailyFacts, RepoHistory, VersionedTable
 
 # Tables built at the same time.
 THREADS = 4
@@ -32,23 +34,37 @@ class Build:
     tables: dict[str, DataFrame] = field(default_factory=dict)
     outcomes: list[Row] = field(default_factory=list)
 
-    def check(self, name: str) -> None:
-        rows = evaluate(name, self.tables[name], TABLE_RULES[name], self.tables).collect()
+    def check(self, name: str, df: DataFrame, rules: Sequence[Rule], counted: Mapping[str, int] | None = None) -> None:
+        rows = evaluate(name, df, rules, self.tables, counted).collect()
         self.outcomes += rows
         if self.gate:
             stop_on_errors([r for r in rows if not r.passed])
 
     def store(self, name: str, df: DataFrame) -> DataFrame:
-        """Write, check, and only then show the table to readers."""
-        table = VersionedTable(self.spark, f"{self.warehouse}/{name}")
-        self.tables[name] = table.write(df, self.tag)
-        self.check(name)
+        """Write, check, and only then show the table to readers.
+
+        Row rules are observed by the tasks that write, so no second read counts them.
+        """
+        table, seen, rules = VersionedTable(self.spark, f"{self.warehouse}/{name}"), Observation(), TABLE_RULES[name]
+        self.tables[name] = table.write(df.observe(seen, *counters(rules)), self.tag)
+        self.check(name, self.tables[name], rules, seen.get)
         table.commit(self.tag)
         return self.tables[name]
 
-    def view(self, name: str, df: DataFrame) -> DataFrame:
+    def store_days(self, name: str, resource: str, raw: SlicedTable) -> DataFrame:
+        """Write, check and show the days of a fact table that were loaded since its last build."""
+        table, rules = DailyFacts(self.spark, f"{self.warehouse}/{name}", resource), TABLE_RULES[name]
+        written = table.write(raw, counters(rules))
+        if written is not None:
+            self.check(name, table.read_load(written), rules, written.metrics)
+            table.commit(written)
+        self.tables[name] = table.read()
+        return self.tables[name]
+
+    def view(self, name: str, df: DataFrame, checked: DataFrame | None = None, rules: Sequence[Rule] = ()) -> DataFrame:
+        """Check a relation that is not stored, by ``checked`` where that says more about it than it does."""
         self.tables[name] = df
-        self.check(name)
+        self.check(name, df if checked is None else checked, [*TABLE_RULES[name], *rules])
         return df
 
     def level(self, steps: Mapping[str, Callable[..., DataFrame]]) -> None:
@@ -70,6 +86,7 @@ def build(
     tag: str,
     run_ts: Column | None = None,
     gate: bool = True,
+    landed: Mapping[str, SlicedTable] | None = None,
 ) -> Build:
     """Stage, historize and rebuild every table below ``warehouse``.
 
@@ -77,11 +94,18 @@ def build(
     advances by one run, in which a repository that ``raw`` no longer has is
     closed; without it the history is rebuilt from all runs.  The first failed
     ``error`` rule stops the build before the table is shown to readers, unless
-    ``gate`` is off.
+    ``gate`` is off.  With ``landed``, the raw tables by day, the facts are stored
+    by day, and only days that were loaded since the last build are made and checked.
     """
     out = Build(spark, warehouse, tag, gate)
     staged = {r: stage(raw[r], r) for r in RESOURCES}
-    out.level({f"stg_{r}": partial(out.view, df=df) for r, df in staged.items()})
+    flagged = {r: stage(raw[r], r, flagged=True) for r in RESOURCES}
+    out.level(
+        {
+            f"stg_{r}": partial(out.view, df=df, checked=flagged[r], rules=CAST_RULES[f"stg_{r}"])
+            for r, df in staged.items()
+        }
+    )
     repos, prs, issues = (staged[r] for r in RESOURCES)
 
     if run_ts is None:
@@ -96,14 +120,16 @@ def build(
         "dim_repos": snapshot.dim_repos(history),
         "dim_developers": dims.dim_developers(repos, prs, issues),
     }
-    others = {
-        "fact_repo_snapshots": facts.fact_repo_snapshots(repos),
-        "fact_pull_requests": facts.fact_pull_requests(prs),
-        "fact_issues": facts.fact_issues(issues),
-        "mart_trending_repos": marts.mart_trending_repos(history),
-        "mart_developer_activity": marts.mart_developer_activity(history),
-        "mart_community_health": marts.mart_community_health(history, issues, prs),
+    steps = {
+        "mart_trending_repos": partial(out.store, df=marts.mart_trending_repos(history)),
+        "mart_developer_activity": partial(out.store, df=marts.mart_developer_activity(history)),
+        "mart_community_health": partial(out.store, df=marts.mart_community_health(history, issues, prs)),
     }
-    for tables in (dimensions, others):
-        out.level({name: partial(out.store, df=df) for name, df in tables.items()})
+    for resource, (name, make) in FACTS.items():
+        if landed is None:
+            steps[name] = partial(out.store, df=make(staged[resource]))
+        else:
+            steps[name] = partial(out.store_days, resource=resource, raw=landed[resource])
+    out.level({name: partial(out.store, df=df) for name, df in dimensions.items()})
+    out.level(steps)
     return out

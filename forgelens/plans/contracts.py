@@ -7,6 +7,7 @@ from ..operators.quality import (
     accepted_values,
     between,
     column_exists,
+    fits_type,
     is_true,
     length_between,
     not_null,
@@ -14,6 +15,8 @@ from ..operators.quality import (
     row_count,
     unique,
 )
+from ..schemas import RESOURCES
+from .staging import typed_columns
 
 # Allowed words and limits.
 STATES = ("open", "closed")
@@ -87,6 +90,8 @@ TABLE_RULES: dict[str, list[Rule]] = {
         *_required("repo_id", "full_name", "dbt_valid_from"),
         *_keys("dbt_scd_id"),
         *_counts("stargazers_count", "forks_count"),
+        # A watched column moved, the change time did not.
+        is_true("dbt_valid_to", "> dbt_valid_from", severity="warn"),
     ],
     "dim_repos": [*_keys("repo_key", "repo_id", "full_name"), *_required("owner_login")],
     "dim_developers": [*_keys("developer_key", "developer_id"), *_required("developer_login")],
@@ -124,3 +129,8 @@ TABLE_RULES: dict[str, list[Rule]] = {
         between("pr_merge_rate_pct", low=0, high=100, severity="warn"),
     ],
 }
+
+# Rules on the payload values behind a staged table, which staging flags on request.
+CAST_RULES: dict[str, list[Rule]] = {
+    f"stg_{resource}": [fits_type(column) for column in typed_columns(resource)] for resource in RESOURCES
+}

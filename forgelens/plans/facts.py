@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,10 +16,10 @@ def _date(column: str) -> Column:
     return F.to_date(column)
 
 
-def fact_repo_snapshots(repositories: DataFrame) -> DataFrame:
+def fact_repo_snapshots(repositories: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Metrics of each repository at each run; the last extraction of a run counts."""
     measures = ["stargazers_count", "watchers_count", "forks_count", "open_issues_count", "size_kb", "search_score"]
-    rows = repositories.select("repo_id", "run_id", "full_name", "owner_id", "extracted_at", *measures, *TIES)
+    rows = repositories.select("repo_id", "run_id", "full_name", "owner_id", "extracted_at", *measures, *TIES, *keep)
     return latest_by(rows, ["repo_id", "run_id"], "extracted_at", TIES).select(
         surrogate_key("repo_id", "run_id").alias("snapshot_id"),
         surrogate_key("repo_id").alias("repo_key"),
@@ -30,10 +32,11 @@ def fact_repo_snapshots(repositories: DataFrame) -> DataFrame:
         "extracted_at",
         _date("extracted_at").alias("snapshot_date"),
         *measures,
+        *keep,
     )
 
 
-def _fact_of_written(staged: DataFrame, record: str, outcome: list[str]) -> DataFrame:
+def _fact_of_written(staged: DataFrame, record: str, outcome: list[str], keep: Sequence[str]) -> DataFrame:
     """Shared shape of pull requests and issues; ``outcome`` names the columns only one has."""
     extra = [c for c in outcome if c in staged.columns]
     rows = staged.select(
@@ -53,6 +56,7 @@ def _fact_of_written(staged: DataFrame, record: str, outcome: list[str]) -> Data
         "updated_at",
         "closed_at",
         *TIES,
+        *keep,
     )
     single = latest_by(rows, [f"{record}_id", "run_id"], "created_at", TIES)
     fact = single.select(
@@ -68,9 +72,17 @@ def _fact_of_written(staged: DataFrame, record: str, outcome: list[str]) -> Data
     return fact.withColumn("merged_date", _date("merged_at")) if "merged_at" in extra else fact
 
 
-def fact_pull_requests(pull_requests: DataFrame) -> DataFrame:
-    return _fact_of_written(pull_requests, "pr", ["is_merged", "merged_at"])
+def fact_pull_requests(pull_requests: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    return _fact_of_written(pull_requests, "pr", ["is_merged", "merged_at"], keep)
+
+
+def fact_issues(issues: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    return _fact_of_written(issues, "issue", [], keep)
 
 
-def fact_issues(issues: DataFrame) -> DataFrame:
-    return _fact_of_written(issues, "issue", [])
+# The fact table of each resource.
+FACTS = {
+    "repositories": ("fact_repo_snapshots", fact_repo_snapshots),
+    "pull_requests": ("fact_pull_requests", fact_pull_requests),
+    "issues": ("fact_issues", fact_issues),
+}

@@ -6,12 +6,13 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import first_by
 from ..schemas import RESOURCES
 from ..sources import landing
+from ..sources.sliced import SlicedTable
 
 # First daily partition.
 FIRST_PARTITION = dt.date(2026, 5, 17)
@@ -68,27 +69,26 @@ def load_days(
 
     Serves the daily load (one day), a backfill (a range) and a reset (no
     bounds): each raw day in the range is replaced by what is landed, and is
-    emptied if nothing is landed any more.  Lines that are no
-    records are counted while the good ones are written; only if there are any
-    does a second job set them aside.  Returns their number per resource.
+    emptied if nothing is landed any more.  Lines that are no records are set
+    aside in the same pass.  Returns their number per resource.
     """
-    broken: dict[str, int] = {}
-    for resource in resources:
-        landed = landing.read(spark, base, resource, start, end)
-        broken[resource] = 0
-        if not landed.isEmpty():  # without rows nothing is counted
-            seen = Observation()
-            counted = landed.observe(seen, F.count_if(landing.is_broken()).alias("broken"))
-            landing.write_raw(landing.to_raw(counted, loaded_at), f"{raw_path}/{resource}")
-            broken[resource] = seen.get["broken"]
-        good, bad = landing.split_corrupt(landed)
-        landing.empty_days(good, f"{raw_path}/{resource}", start, end)
-        aside = f"{raw_path}/quarantine/{resource}"
-        if broken[resource]:
-            landing.write_quarantine(bad, aside)
-        landing.empty_days(bad, aside, start, end)
-    return broken
+    return {
+        resource: landing.load(
+            landing.read(spark, base, resource, start, end), f"{raw_path}/{resource}", loaded_at, start, end
+        )
+        for resource in resources
+    }
 
 
 def raw_tables(spark: SparkSession, raw_path: str, resources: Sequence[str] = RESOURCES) -> dict[str, DataFrame]:
     return {r: landing.read_raw(spark, f"{raw_path}/{r}") for r in resources}
+
+
+def partition_status(spark: SparkSession, raw_path: str, today: dt.date, first: dt.date = FIRST_PARTITION) -> DataFrame:
+    """One row per daily partition: the runs and the number of records loaded for it, if any."""
+    table = SlicedTable(spark, raw_path)
+    state = table.state()
+    days = [(day, sorted(state[day].runs) if day in state else []) for day in daily_partitions(today, first)]
+    loaded = table.read(state=state).groupBy(F.col(table.column).alias("date")).agg(F.count("*").alias("records"))
+    partitions = spark.createDataFrame(days, "date DATE, runs ARRAY<STRING>")
+    return partitions.join(loaded, "date", "left").fillna(0, ["records"])

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Iterable, Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import scd2
 from ..sources.commits import CommitLog, write_folder
+from ..sources.sliced import ROWS, Load, Slice, SlicedTable
 from . import snapshot
+from .facts import FACTS
+from .staging import stage
 
 
 class VersionedTable:
@@ -38,6 +44,63 @@ class VersionedTable:
         return self._spark.read.parquet(f"{self._path}/build={tag}")
 
 
+class DailyFacts:
+    """A fact table by landed day, of which a build writes the days that were loaded since the last one.
+
+    Each day remembers the raw load it was made from.  A fact row belongs to the
+    day whose raw row is the latest of its record and run; days that share a run,
+    now or when they were built last, are therefore built together.
+    """
+
+    DAY = "run_day"
+
+    def __init__(self, spark: SparkSession, path: str, resource: str) -> None:
+        self._table = SlicedTable(spark, path, self.DAY)
+        self._resource = resource
+
+    def _facts(self, raw: DataFrame, day: str) -> DataFrame:
+        _, make = FACTS[self._resource]
+        return make(stage(raw, self._resource, keep=[day]), keep=[day]).withColumnRenamed(day, self.DAY)
+
+    def pending(self, raw: Mapping[dt.date, Slice]) -> list[dt.date]:
+        """Days to build again, given what the raw table holds."""
+        built = self._table.state()
+        source = {day: entry.source for day, entry in built.items()}
+        now = {day: entry.load for day, entry in raw.items()}
+        days = {day for day in {*source, *now} if source.get(day) != now.get(day)}
+        runs_of = {day: built[day].runs if day in built else frozenset() for day in now | source}
+        for day, entry in raw.items():
+            runs_of[day] |= entry.runs
+        while True:
+            runs = frozenset().union(*(runs_of[day] for day in days))
+            more = {day for day, own in runs_of.items() if own & runs} - days
+            if not more:
+                return sorted(days)
+            days |= more
+
+    def write(self, raw: SlicedTable, observed: Sequence[Column] = ()) -> Load | None:
+        """Build the pending days without showing them; None if there are none."""
+        state = raw.state()
+        days = self.pending(state)
+        if not days:
+            return None
+        rows = self._facts(raw.read(only=days, state=state), raw.column)
+        written = self._table.write(rows, run=F.col("run_id"), observed=observed)
+        written.replaced = {ROWS: set(days)}
+        written.sources = {day: state[day].load for day in days if day in state}
+        return written
+
+    def commit(self, written: Load | None) -> None:
+        if written is not None:
+            self._table.commit(written)
+
+    def read_load(self, written: Load) -> DataFrame:
+        return self._table.read_load(written)
+
+    def read(self, days: Iterable[dt.date] | None = None) -> DataFrame:
+        return self._table.read(only=days)
+
+
 class RepoHistory:
     """The version table of repositories, kept run by run.
 

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import CORRUPT_COLUMN, ENVELOPE, ENVELOPE_PARTS, LOADED_AT, PARTITIONS, RAW_ID, RESOURCES
+from .sliced import ROWS, SlicedTable
+
+LINE, QUARANTINE = "line", "quarantine"
 
 # Text form of instants in landed records.
 INSTANT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
@@ -184,56 +186,56 @@ def run_summary(manifest: DataFrame) -> DataFrame:
     )
 
 
+def _identity() -> Column:
+    return F.md5(F.concat_ws("|", "_resource", "_run_id", F.to_json("payload")))
+
+
 def to_raw(records: DataFrame, loaded_at: Column) -> DataFrame:
     """Add the loader's columns.  The id is a hash of the record, so a reload repeats it."""
     readable = split_corrupt(records)[0] if CORRUPT_COLUMN in records.columns else records
-    identity = F.concat_ws("|", "_resource", "_run_id", F.to_json("payload"))
-    return readable.withColumn(RAW_ID, F.md5(identity)).withColumn(LOADED_AT, loaded_at.cast("timestamp"))
+    return readable.withColumn(RAW_ID, _identity()).withColumn(LOADED_AT, loaded_at.cast("timestamp"))
 
 
-def _write_days(rows: DataFrame, path: str) -> None:
-    """Parquet with one folder per landed day; the days present are replaced."""
-    dated = rows.withColumn("landed_on", F.make_date(*[F.col(p).cast("int") for p in PARTITIONS])).drop(*PARTITIONS)
-    (
-        dated.hint("rebalance", "landed_on")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("landed_on")
-        .parquet(path)
-    )
+def _dated(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("landed_on", F.make_date(*[F.col(p).cast("int") for p in PARTITIONS])).drop(*PARTITIONS)
 
 
-def write_raw(raw: DataFrame, path: str) -> None:
-    """Raw table, with a shredded VARIANT payload."""
-    _write_days(raw, path)
+def load(landed: DataFrame, path: str, loaded_at: Column, start: dt.date | None, end: dt.date | None) -> int:
+    """Replace the days from ``start`` to ``end`` of a raw table by what is landed; return the broken lines.
 
+    The lines are parsed once: records and the lines that are none go to two
+    parts of one load, whose tasks also tell its days, runs and broken lines.
+    Days of the range that nothing is landed for any more become empty.
+    """
+    table, broken = SlicedTable(landed.sparkSession, path), is_broken()
+    rows = _dated(landed).select(
+        *ENVELOPE_PARTS,
+        F.when(~broken, _identity()).alias(RAW_ID),
+        loaded_at.cast("timestamp").alias(LOADED_AT),
+        F.col(CORRUPT_COLUMN).alias(LINE),
+        "landed_on",
+        F.when(broken, QUARANTINE).otherwise(ROWS).alias("part"),
+    )
+    written = table.write(
+        rows, F.col("part"), F.col("_run_id"), [F.count_if(F.col("part") == QUARANTINE).alias("broken")]
+    )
+    inside = lambda day: (start is None or day >= start) and (end is None or day <= end)
+    written.replaced = {part: set(filter(inside, table.state(part))) for part in (ROWS, QUARANTINE)}
+    table.commit(written)
+    return written.metrics.get("broken") or 0
 
-def write_quarantine(broken: DataFrame, path: str) -> None:
-    """Lines that are no records: their text if they are not JSON, else the parts they have."""
-    _write_days(broken.withColumnRenamed(CORRUPT_COLUMN, "line"), path)
 
+def write_raw(raw: DataFrame, path: str) -> None:
+    """Raw table, with a shredded VARIANT payload; the days present are replaced."""
+    table = SlicedTable(raw.sparkSession, path)
+    table.commit(table.write(_dated(raw), run=F.col("_run_id")))
 
-def empty_days(rows: DataFrame, path: str, start: dt.date | None, end: dt.date | None) -> None:
-    """Empty the days of a table below ``path`` that lie in the range and have no ``rows`` any more.
 
-    Only days that are there already are looked at, by their folders.
-    """
-    spark = rows.sparkSession
-    try:
-        held = spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return
-        raise
-    if "landed_on" not in held.columns:
-        return
-    day = F.col("landed_on")
-    inside = (day >= F.lit(start) if start else F.lit(True)) & (day <= F.lit(end) if end else F.lit(True))
-    now = rows.select(F.make_date(*[F.col(p).cast("int") for p in PARTITIONS]).alias("landed_on"))
-    for gone in held.filter(inside).select(day).distinct().subtract(now).collect():
-        nothing = held.drop("landed_on").filter(F.lit(False))
-        nothing.write.mode("overwrite").parquet(f"{path}/landed_on={gone['landed_on'].isoformat()}")
+def read_raw(spark: SparkSession, path: str) -> DataFrame:
+    """Records of all days as they are now; days that are loaded again later do not disturb the reader."""
+    return SlicedTable(spark, path).read().drop(LINE)
 
 
-def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    """Lines that are no records: their text if they are not JSON, else the parts they have."""
+    return SlicedTable(spark, path).read(QUARANTINE).select(*ENVELOPE_PARTS, LINE, "landed_on")

@@ -19,9 +19,10 @@ def raw_tables(spark, payloads, run="run-1", extracted="2026-04-25T06:00:00"):
 def test_clean_samples_pass_every_rule(spark, sample_raw, tmp_path):
     out = build(spark, sample_raw, str(tmp_path), "20260425")
     assert set(out.tables) == set(TABLE_RULES)
-    assert len(out.outcomes) == 98 and all(r.passed for r in out.outcomes)
+    # 99 rules on tables and 36 on the values behind staged columns.
+    assert len(out.outcomes) == 135 and all(r.passed for r in out.outcomes)
     assert VersionedTable(spark, f"{tmp_path}/mart_community_health").read().count() == 3
-    assert out.quality.filter("severity = 'warn'").count() == 4
+    assert out.quality.filter("severity = 'warn'").count() == 5
 
 
 def test_a_broken_table_stops_what_depends_on_it(spark, tmp_path):
@@ -80,3 +81,20 @@ def test_runs_advance_the_stored_history(spark, tmp_path):
     assert rows(out.tables["mart_trending_repos"].filter("repo_id = 100001"), "stargazers_count") == [(999,)]
     # The same run again is the same state.
     assert run(7, second).tables["repos_snapshot"].count() == 4
+
+
+def test_a_value_that_does_not_fit_stops_the_build(spark, tmp_path):
+    payloads = copy.deepcopy(sample_payloads())
+    payloads["pull_requests"][0]["comments"] = "many"
+    with pytest.raises(QualityError, match="stg_pull_requests.comments_count fits_type: 1"):
+        build(spark, raw_tables(spark, payloads), str(tmp_path), "1")
+
+
+def test_a_version_that_ends_when_it_starts_is_told(spark, tmp_path):
+    first, second = copy.deepcopy(sample_payloads()), copy.deepcopy(sample_payloads())
+    second["repositories"][0]["stargazers_count"] += 1
+    later = raw_tables(spark, second, "run-2", "2026-04-26T06:00:00")
+    both = {r: t.unionByName(later[r]) for r, t in raw_tables(spark, first).items()}
+    out = build(spark, both, str(tmp_path), "1")
+    (told,) = [r for r in out.outcomes if r.table_name == "repos_snapshot" and not r.passed]
+    assert (told.column_name, told.severity, told.n_failed) == ("dbt_valid_to", "warn", 1)

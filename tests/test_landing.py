@@ -2,7 +2,6 @@ from __future__ import annotations
 
 import datetime as dt
 import json
-from pathlib import Path
 
 import pytest
 from samples import envelope_lines, moment, rows, write_lines
@@ -11,6 +10,7 @@ from pyspark.sql import functions as F
 from forgelens.plans import jobs
 from forgelens.plans.staging import stage
 from forgelens.sources import landing
+from forgelens.sources.sliced import SlicedTable
 
 DAY = dt.date(2026, 5, 17)
 
@@ -108,7 +108,7 @@ def test_a_day_is_deduplicated_landed_loaded_and_repeatable(spark, tmp_path):
     titles = tables["repositories"].select(F.variant_get("payload", "$.title", "string"))
     assert sorted(r[0] for r in titles.collect()) == ["a", "b"]
     ids = {r[0] for r in tables["repositories"].select("_airbyte_raw_id").collect()}
-    assert len(ids) == 2 and Path(raw, "repositories", "landed_on=2026-05-17").is_dir()
+    assert len(ids) == 2 and set(SlicedTable(spark, f"{raw}/repositories").state()) == {DAY}
 
 
 def test_daily_partitions_include_today(spark):
@@ -123,7 +123,7 @@ def test_loading_sets_broken_lines_aside(spark, tmp_path):
     counts = jobs.load_days(spark, str(tmp_path / "in"), raw, DAY, DAY, F.lit("2026-05-18 02:00:00"), ["issues"])
     assert counts == {"issues": 2}
     assert landing.read_raw(spark, f"{raw}/issues").count() == 2
-    aside = spark.read.parquet(f"{raw}/quarantine/issues")
+    aside = landing.read_quarantine(spark, f"{raw}/issues")
     assert rows(aside.fillna(""), "line", "_resource", "landed_on") == [("", "issues", DAY), ("{oops", "", DAY)]
 
 
@@ -148,3 +148,66 @@ def test_a_reset_removes_days_that_are_gone(spark, tmp_path):
     landing.replace_day(envelopes(spark, []), base, "issues", DAY)
     jobs.load_days(spark, base, raw, None, None, F.lit("2026-05-18 03:00:00"), ["issues"])
     assert rows(landing.read_raw(spark, f"{raw}/issues"), "landed_on") == [(dt.date(2026, 5, 18),)]
+
+
+def load(spark, base, raw, start=None, end=None):
+    return jobs.load_days(spark, base, raw, start, end, F.lit("2026-05-18 02:00:00"), ["issues"])
+
+
+def test_a_reader_planned_before_a_reload_finishes(spark, tmp_path):
+    base, raw = str(tmp_path / "in"), str(tmp_path / "raw")
+    for n, at in enumerate(("2026-05-17T06:00:00", "2026-05-18T06:00:00")):
+        landing.write(envelopes(spark, [n], at=at), base, "issues")
+    load(spark, base, raw)
+    before = landing.read_raw(spark, f"{raw}/issues")
+    landing.write(envelopes(spark, [7, 8, 9]), base, "issues")
+    load(spark, base, raw, DAY, DAY)
+    title = F.variant_get("payload", "$.title", "string")
+    assert rows(before, title) == [("t0",), ("t1",)]
+    assert rows(landing.read_raw(spark, f"{raw}/issues"), title) == [("t1",), ("t7",), ("t8",), ("t9",)]
+
+
+def test_a_load_that_died_is_not_seen(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    table = SlicedTable(spark, path)
+    day = lambda n: spark.createDataFrame([(n, DAY)], "n INT, landed_on DATE")
+    table.commit(table.write(day(1)))
+    lost = table.write(day(2))
+    assert rows(table.read(), "n") == [(1,)] and rows(table.read_load(lost), "n") == [(2,)]
+    table.commit(table.write(day(3)))
+    assert rows(SlicedTable(spark, path).read(), "n", "landed_on") == [(3, DAY)]
+
+
+def test_a_table_of_days_reads_the_folders_it_needs(spark, tmp_path):
+    table = SlicedTable(spark, str(tmp_path))
+    late = DAY + dt.timedelta(days=1)
+    frame = spark.createDataFrame([(1, DAY), (2, late)], "n INT, landed_on DATE")
+    table.commit(table.write(frame, run=F.concat(F.lit("run-"), "n")))
+    assert {day: set(found.runs) for day, found in table.state().items()} == {DAY: {"run-1"}, late: {"run-2"}}
+    assert len(table.read(only=[late]).inputFiles()) == 1
+    plan = table.read().filter(F.col("landed_on") == F.lit(late))._jdf.queryExecution().executedPlan().toString()
+    assert "landed_on" in plan.split("PartitionFilters:")[1].split("]")[0]
+    emptied = table.write(frame.filter("n > 5"))
+    emptied.replaced = {"rows": {late}}
+    table.commit(emptied)
+    assert rows(table.read(), "n") == [(1,)]
+    gone = table.write(frame.filter("n > 5"))
+    gone.replaced = {"rows": {DAY}}
+    table.commit(gone)
+    assert table.read().count() == 0 and table.read().columns == ["n", "landed_on"]
+
+
+def test_nothing_landed_loads_nothing(spark, tmp_path):
+    base, raw = str(tmp_path / "in"), str(tmp_path / "raw")
+    landing.write(envelopes(spark, [1]), base, "issues")
+    landing.replace_day(envelopes(spark, []), base, "issues", DAY)
+    assert load(spark, base, raw) == {"issues": 0}
+    load(spark, base, raw, DAY, DAY)
+
+
+def test_partitions_tell_what_is_loaded(spark, tmp_path):
+    base, raw = str(tmp_path / "in"), str(tmp_path / "raw")
+    landing.write(envelopes(spark, [1, 2]), base, "issues")
+    load(spark, base, raw)
+    status = jobs.partition_status(spark, f"{raw}/issues", DAY + dt.timedelta(days=1))
+    assert rows(status, "date", "runs", "records") == [(DAY, ["run-1"], 2), (DAY + dt.timedelta(days=1), [], 0)]

@@ -3,11 +3,13 @@ from __future__ import annotations
 import json
 
 import pytest
-from samples import sample_payloads
+from samples import raw_of, sample_payloads
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from forgelens.operators import quality as q
 from forgelens.plans import contracts
+from forgelens.plans.staging import stage
 
 
 def outcome(df) -> dict:
@@ -93,7 +95,7 @@ def test_frequent_values_are_reduced_before_they_move(spark):
 
 def test_number_of_declared_rules():
     rules = [r for table in contracts.TABLE_RULES.values() for r in table]
-    assert len(rules) == 98 and sum(r.severity == "warn" for r in rules) == 4
+    assert len(rules) == 99 and sum(r.severity == "warn" for r in rules) == 5
 
 
 def test_source_contract_holds_for_the_samples(spark):
@@ -109,3 +111,30 @@ def test_quotes_in_accepted_values(spark):
     rows_ = spark.createDataFrame([("O'Neil",), ("a\\b",), ("other",)], "name STRING")
     (found,) = q.evaluate("t", rows_, [q.accepted_values("name", ["O'Neil", "a\\b"])]).collect()
     assert (found.n_checked, found.n_failed) == (3, 1)
+
+
+def test_rules_counted_while_writing_equal_a_second_read(spark, table, tmp_path):
+    rules = [q.not_null("id"), q.unique("id"), q.accepted_values("state", ["open"]), q.row_count(low=9),
+             q.is_true("id", "> 1", where="state = 'open'"), q.column_exists("absent"), q.references("id", "ids", "k")]
+    parents = {"ids": spark.createDataFrame([(1,), (3,)], "k INT")}
+    seen = Observation()
+    table.repartition(3).observe(seen, *q.counters(rules)).write.parquet(str(tmp_path / "t"))
+    written = spark.read.parquet(str(tmp_path / "t"))
+    result = q.evaluate("t", written, rules, parents, seen.get)
+    assert outcome(result) == outcome(q.evaluate("t", table, rules, parents))
+    # Only keys are read again, in one scan and one exchange.
+    plan = result._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1 and "state#" not in plan.split("Relation [")[0].split("Project [id")[-1]
+    empty = Observation()
+    table.filter("n > 10000").observe(empty, *q.counters(rules)).write.parquet(str(tmp_path / "e"))
+    assert outcome(q.evaluate("t", table.filter("false"), rules, parents, empty.get))[("not_null", "id")] == (0, 0, True)
+
+
+def test_values_that_do_not_fit_are_counted_by_rules(spark):
+    payloads = sample_payloads()
+    payloads["issues"][0]["comments"] = "many"
+    payloads["issues"][1]["created_at"] = "yesterday"
+    raw = raw_of(spark, "issues", payloads["issues"])
+    result = outcome(q.evaluate("stg_issues", stage(raw, "issues", flagged=True), contracts.CAST_RULES["stg_issues"]))
+    failed = {column: n[1] for (rule, column), n in result.items() if n[1]}
+    assert failed == {"comments_count": 1, "created_at": 1} and len(result) == 8
