@@ -7,32 +7,52 @@ repeated job overwrites its own folder.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+ENTRY = "tag STRING, notes ARRAY<INT>"
+
+
 class CommitLog:
-    """Tags of finished writes.  Tags are compared as text, so they sort by time."""
+    """Tags of finished writes, with notes.  Tags are compared as text, so they sort by time."""
 
     def __init__(self, spark: SparkSession, path: str) -> None:
         self._spark = spark
         self._path = path
 
-    def last(self, before: str | None = None) -> str | None:
-        """The highest tag, or the highest one below ``before``."""
+    def _entries(self) -> DataFrame | None:
         try:
-            tags = self._spark.read.schema("tag STRING").json(self._path)
+            return self._spark.read.schema(ENTRY).json(self._path)
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
                 return None
             raise
+
+    def last(self, before: str | None = None) -> str | None:
+        """The highest tag, or the highest one below ``before``."""
+        tags = self._entries()
+        if tags is None:
+            return None
         if before is not None:
             tags = tags.filter(F.col("tag") < before)
         return tags.agg(F.max("tag")).first()[0]
 
-    def add(self, tag: str) -> None:
-        entry = self._spark.createDataFrame([(tag,)], "tag STRING")
+    def between(self, after: str = "", before: str | None = None) -> dict[str, list[int]]:
+        """Tags above ``after`` and below ``before``, with their notes."""
+        tags = self._entries()
+        if tags is None:
+            return {}
+        wanted = tags.filter(F.col("tag") > after)
+        if before is not None:
+            wanted = wanted.filter(F.col("tag") < before)
+        return {row["tag"]: row["notes"] or [] for row in wanted.orderBy("tag").collect()}
+
+    def add(self, tag: str, notes: Sequence[int] = ()) -> None:
+        entry = self._spark.createDataFrame([(tag, list(notes))], ENTRY)
         entry.coalesce(1).write.mode("append").json(self._path)
 
 

@@ -53,9 +53,15 @@ def _envelope(
         f"concat_ws('-', '{resource}', {raw_id}) AS {RAW_ID}",
         f"timestamp_seconds({extracted} + {_LOAD_DELAY}) AS {LOADED_AT}",
         *[f"{text} AS `payload.{path}`" for path, text in leaves.items()],
+        *_position(df),
     )
 
 
+def _position(df: DataFrame) -> list[str]:
+    """Where a row stands in its file, if a stream asks for it."""
+    return [c for c in df.columns if c == "position"]
+
+
 def nested(envelopes: DataFrame) -> DataFrame:
     """The same envelopes with the leaves gathered in one ``payload`` struct."""
     fields: dict[str, str | dict[str, str]] = {}
@@ -79,7 +85,7 @@ def _full_name(key: str) -> str:
 def repositories(part: DataFrame) -> DataFrame:
     """Three daily listings; some repositories vanish, some vanish and return."""
     listed = (
-        part.selectExpr("p_partkey AS k", "bigint(p_size) AS size", "p_name", "p_type", "p_brand", f"explode(sequence(1L, {RUNS}L)) AS r")
+        part.selectExpr("p_partkey AS k", "bigint(p_size) AS size", "p_name", "p_type", "p_brand", f"explode(sequence(1L, {RUNS}L)) AS r", *_position(part))
         .where("NOT (r = 3 AND k % 50 = 0) AND NOT (r = 2 AND k % 60 = 7)")
         .selectExpr(
             "*",
@@ -230,7 +236,8 @@ def feed_stream(spark: SparkSession, sf_dir: str, resource: str, max_files: int
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     # A pattern, because the table may be one file or a folder of files.
-    return envelopes(reader.parquet(f"{sf_dir}/{name}.parque[t]"))
+    rows = reader.parquet(f"{sf_dir}/{name}.parque[t]")
+    return envelopes(rows.withColumn("position", F.struct("_metadata.file_path", "_metadata.row_index")))
 
 
 def payload_text(envelopes: DataFrame) -> DataFrame:

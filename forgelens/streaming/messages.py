@@ -14,11 +14,22 @@ MESSAGE = """
     stargazers_count: STRING, forks_count: STRING, open_issues_count: STRING,
     owner: STRUCT<login: STRING, type: STRING>>
 """
+# Where a message stands in its source: decides between messages of one time.
+POSITION = "position"
 COUNTS = ("stargazers_count", "forks_count", "open_issues_count")
 
 
+def held(rows: DataFrame) -> list[str]:
+    """The position, if the rows have one."""
+    return [c for c in rows.columns if c == POSITION]
+
+
 def file_messages(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """Every line of every file below ``path`` as a message, stamped with the file's time."""
+    """Every line of every file below ``path`` as a message, stamped with the file's time.
+
+    ``position`` says where a line comes from, as far as a scan knows it: a sink
+    adds the place among the lines of one read.
+    """
     reader = spark.readStream.format("text").option("recursiveFileLookup", "true")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
@@ -26,6 +37,7 @@ def file_messages(spark: SparkSession, path: str, max_files: int | None = None)
         F.lit(None).cast("binary").alias("key"),
         F.col("value").cast("binary").alias("value"),
         F.col("_metadata.file_modification_time").alias("timestamp"),
+        F.struct("_metadata.file_path", "_metadata.file_block_start").alias(POSITION),
     )
 
 
@@ -38,7 +50,7 @@ def kafka_options(servers: str, topic: str, max_records: int | None = None) -> d
 def kafka_messages(spark: SparkSession, servers: str, topic: str, max_records: int | None = None) -> DataFrame:
     """Messages of a topic.  Needs Spark's Kafka package on the class path."""
     source = spark.readStream.format("kafka").options(**kafka_options(servers, topic, max_records)).load()
-    return source.select("key", "value", "timestamp")
+    return source.select("key", "value", "timestamp", F.struct("partition", "offset").alias(POSITION))
 
 
 def envelope_messages(envelopes: DataFrame, timestamp: Column | None = None) -> DataFrame:
@@ -49,6 +61,7 @@ def envelope_messages(envelopes: DataFrame, timestamp: Column | None = None) ->
         F.lit(None).cast("binary").alias("key"),
         record.cast("binary").alias("value"),
         (F.col("_extracted_at") if timestamp is None else timestamp).alias("timestamp"),
+        *held(envelopes),
     )
 
 
@@ -59,7 +72,8 @@ def parse_repositories(messages: DataFrame) -> DataFrame:
     contract sends to the dead letters.
     """
     payload = F.from_json(F.col("value").cast("string"), MESSAGE)["payload"]
-    parsed = messages.select("key", "value", F.col("timestamp").cast("timestamp").alias("row_time"), payload.alias("p"))
+    moment = F.col("timestamp").cast("timestamp").alias("row_time")
+    parsed = messages.select("key", "value", moment, payload.alias("p"), *held(messages))
     counts = [F.coalesce(F.col(f"p.{c}"), F.lit("0")).try_cast("bigint").alias(c) for c in COUNTS]
     return parsed.select(
         "key",
@@ -71,6 +85,7 @@ def parse_repositories(messages: DataFrame) -> DataFrame:
         F.col("p.owner.type").alias("owner_type"),
         "p.language",
         *counts,
+        *held(messages),
     )
 
 

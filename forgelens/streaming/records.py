@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import star_tier
+from .messages import held
 
 Record = dict[str, tuple[str, bool]]
 
@@ -24,6 +25,7 @@ def trending(parsed: DataFrame, event_time: Column | None = None) -> DataFrame:
         star_tier(F.col("stargazers_count")).alias("star_tier"),
         moment.alias("event_time"),
         "value",
+        *held(parsed),
     )
 
 
@@ -38,6 +40,7 @@ def developer_activity(parsed: DataFrame) -> DataFrame:
         F.col("language").alias("primary_language"),
         F.col("row_time").alias("event_time"),
         "value",
+        *held(parsed),
     )
 
 
@@ -51,8 +54,8 @@ def is_complete(record: Record) -> Column:
 
 
 def conform(rows: DataFrame, record: Record) -> DataFrame:
-    """Exactly the record's fields, in its types."""
-    return rows.select(*[F.col(name).cast(kind).alias(name) for name, (kind, _) in record.items()])
+    """Exactly the record's fields, in its types, and the position of its message where that is known."""
+    return rows.select(*held(rows), *[F.col(name).cast(kind).alias(name) for name, (kind, _) in record.items()])
 
 
 def missing_fields(record: Record) -> Column:
@@ -87,21 +90,32 @@ def owner_totals(trending_rows: DataFrame) -> DataFrame:
     )
 
 
-def windowed_owner_totals(parsed: DataFrame, window: str = "1 day", late: str = "10 minutes") -> DataFrame:
+def windowed_owner_totals(
+    parsed: DataFrame, window: str = "1 day", late: str = "10 minutes", heartbeats: DataFrame | None = None
+) -> DataFrame:
     """Totals per owner and tumbling window of message time.
 
-    Meant for update mode with a keyed sink: a replay that ends with an idle
-    source still delivers its last window, which append mode would hold back.
+    In update mode with a keyed sink a replay that ends with an idle source
+    still delivers its last window.  Append mode writes a window once, when the
+    watermark has passed it; ``heartbeats``, a stream of times (``row_time``),
+    move the watermark on while no messages come, so that the last window closes.
     """
+    rows = parsed.filter(F.col("owner_login").isNotNull()).select(
+        "row_time", "repo_id", "owner_login", "stargazers_count", "forks_count", F.lit(1).alias("message")
+    )
+    if heartbeats is not None:
+        none = {c: F.lit(None).cast(kind) for c, kind in rows.dtypes if c != "row_time"}
+        rows = rows.unionByName(heartbeats.select(F.col("row_time").cast("timestamp")).withColumns(none))
     return (
-        parsed.filter(F.col("owner_login").isNotNull())
-        .withWatermark("row_time", late)
+        rows.withWatermark("row_time", late)
         .groupBy(F.window("row_time", window).alias("w"), "owner_login")
         .agg(
-            F.count("*").alias("repos_count"),
+            F.count("message").alias("repos_count"),
             F.sum("stargazers_count").alias("total_stars"),
             F.sum("forks_count").alias("total_forks"),
         )
+        # A condition on the owner would be moved below the watermark, which heartbeats have to reach.
+        .filter(F.col("repos_count") > 0)
         .select(
             F.col("w.start").alias("window_start"),
             F.col("w.end").alias("window_end"),
@@ -111,5 +125,3 @@ def windowed_owner_totals(parsed: DataFrame, window: str = "1 day", late: str =
             "total_forks",
         )
     )
-
-

@@ -8,7 +8,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..sources.commits import write_folder
 from ..sources.replacing import ReplacingTable
+from .messages import POSITION
 from .records import Record, conform, is_complete, missing_fields
+from .totals import OwnerTotals
 
 
 def upsert(
@@ -20,6 +22,7 @@ def upsert(
     output_mode: str = "append",
     drain: bool = True,
     merge_every: int | None = None,
+    totals: OwnerTotals | None = None,
 ) -> StreamingQuery:
     """Write a stream into a replacing table.
 
@@ -30,25 +33,37 @@ def upsert(
     query restarted on the same checkpoint goes on where it stopped.  ``drain``
     takes everything available and ends; otherwise the query keeps running.
     ``merge_every`` folds the batches into a base after that many of them, which
-    bounds what a reader has to reduce.
+    bounds what a reader has to reduce.  ``totals`` take in each batch too.
+
+    Where rows carry the position of their message, their place in the batch is
+    added to it, so that lines of one file can be told in order.
     """
 
     if record is not None and dead_letters is None:
         raise ValueError("a record contract needs a folder for the dead letters")
 
     def write(batch: DataFrame, number: int) -> None:
+        if POSITION in batch.columns:
+            batch = batch.withColumn(POSITION, F.struct(POSITION, F.monotonically_increasing_id().alias("line")))
         if record is None:
-            table.append(batch, number)
+            append(batch, number)
         else:
             write_checked(batch, number)
         if merge_every and (number + 1) % merge_every == 0:
             table.merge()
+            if totals is not None:
+                totals.merge()
+
+    def append(batch: DataFrame, number: int) -> None:
+        if totals is not None:
+            totals.change(batch, number)
+        table.append(batch, number)
 
     def write_checked(batch: DataFrame, number: int) -> None:
         held = batch.persist()
         try:
             complete = is_complete(record)
-            table.append(conform(held.filter(complete), record), number)
+            append(conform(held.filter(complete), record), number)
             rejected = held.filter(~complete).select(
                 F.col("value").cast("string").alias("message"), missing_fields(record).alias("missing")
             )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from forgelens.schemas import DEVELOPER_RECORD, TRENDING_RECORD
 from forgelens.sources.replacing import ReplacingTable
 from forgelens.streaming import avro, messages, records, sinks
+from forgelens.streaming.totals import OwnerTotals
 
 
 def batch_messages(spark, lines, at="2026-04-25T06:00:00"):
@@ -19,6 +20,8 @@ def batch_messages(spark, lines, at="2026-04-25T06:00:00"):
 
 
 def drain(stream, table, checkpoint, **options):
+    if "record" in options:
+        options.setdefault("dead_letters", f"{checkpoint}-letters")
     query = sinks.upsert(stream, table, str(checkpoint), **options)
     query.awaitTermination()
     return table
@@ -192,3 +195,85 @@ def test_the_winner_of_a_tie_does_not_depend_on_input_order(spark, tmp_path):
         table.append(spark.createDataFrame(some, "k BIGINT, at TIMESTAMP, v STRING").coalesce(1), 0)
         winners |= {r.v for r in table.read().collect()}
     assert winners == {"b"}
+
+
+def test_of_equal_times_the_later_line_wins(spark, tmp_path):
+    """The greatest content does not: the last line of the owner is the one with the fewest stars."""
+    inbox = tmp_path / "in"
+    lines = [repo_line(n, 100 - n, owner=f"o{n % 3}") for n in range(30)]
+    write_lines(inbox, lines)
+    stream = messages.parse_repositories(messages.file_messages(spark, str(inbox)))
+    table = ReplacingTable(spark, str(tmp_path / "t"), "owner_login", ["event_time", messages.POSITION])
+    drain(records.developer_activity(stream), table, tmp_path / "c", record=DEVELOPER_RECORD, dead_letters=str(tmp_path / "l"))
+    assert rows(table.read(), "owner_login", "total_stars") == [("o0", 73), ("o1", 72), ("o2", 71)]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_base_alone_is_read_without_a_shuffle_and_a_merge_rewrites_touched_buckets(spark, tmp_path):
+    table = ReplacingTable(spark, str(tmp_path / "t"), "k", ["at"], buckets=4)
+    frame = spark.range(100).selectExpr("id AS k", "id AS at", "'a' AS v")
+    table.append(frame, 0)
+    assert "Exchange" in plan_of(table.read())
+    table.merge()
+    assert "Exchange" not in plan_of(table.read()) and "Window" not in plan_of(table.read())
+    before = {b: s.load for b, s in table._base.state().items()}
+    assert len(before) == 4
+    table.append(spark.createDataFrame([(5, 500, "b")], "k BIGINT, at BIGINT, v STRING"), 1)
+    assert rows(table.read().filter("v = 'b'"), "k") == [(5,)] and table.read().count() == 100
+    table.merge()
+    after = {b: s.load for b, s in table._base.state().items()}
+    assert sum(before[b] != after[b] for b in before) == 1
+    assert rows(table.read().filter("v = 'b'"), "k") == [(5,)] and table.read().count() == 100
+    table.merge()
+    assert {b: s.load for b, s in table._base.state().items()} == after
+    with pytest.raises(ValueError, match="4 buckets"):
+        ReplacingTable(spark, str(tmp_path / "t"), "k", ["at"], buckets=8).read()
+
+
+def test_owner_totals_follow_each_batch(spark, tmp_path):
+    table = trending_table(spark, tmp_path / "t")
+    totals = OwnerTotals(spark, str(tmp_path / "o"), table)
+
+    def take(number, *found, merge=False):
+        frame = spark.createDataFrame([(k, o, s, 1, moment(at)) for k, o, s, at in found],
+                                      "repo_id BIGINT, owner_login STRING, stargazers_count BIGINT, forks_count BIGINT, event_time TIMESTAMP")
+        for _ in range(2):  # delivered again before the stream noted it
+            totals.change(frame, number)
+            table.append(frame, number)
+        if merge:
+            table.merge()
+            totals.merge()
+            totals.change(frame, number)
+        assert rows(totals.read(), "owner_login", "repos_count", "total_stars") == rows(
+            records.owner_totals(table.read()), "owner_login", "repos_count", "total_stars"
+        )
+
+    take(0, (1, "a", 10, "2026-01-01T00:00:00"), (2, "a", 5, "2026-01-01T00:00:00"), (3, None, 5, "2026-01-01T00:00:00"))
+    take(1, (1, "b", 11, "2026-01-02T00:00:00"), (4, "c", 1, "2026-01-02T00:00:00"), merge=True)
+    take(2, (2, "b", 6, "2026-01-03T00:00:00"), (1, "a", 99, "2025-01-01T00:00:00"))
+    assert rows(totals.read(), "owner_login", "repos_count", "total_stars") == [("b", 2, 17), ("c", 1, 1)]
+
+
+def test_a_heartbeat_closes_the_last_window(spark, tmp_path):
+    inbox, beats = str(tmp_path / "in"), str(tmp_path / "beats")
+    frame = batch_messages(spark, [repo_line(1), repo_line(2)], "2026-04-21T06:00:00")
+    frame.write.parquet(inbox)
+    stream = spark.readStream.schema(frame.schema).parquet(inbox)
+
+    def closed(name, heartbeats):
+        table = ReplacingTable(spark, str(tmp_path / name), ["window_start", "owner_login"], ["repos_count"])
+        totals = records.windowed_owner_totals(messages.parse_repositories(stream), heartbeats=heartbeats)
+        return drain(totals, table, tmp_path / f"c-{name}").read()
+
+    spark.createDataFrame([(moment("2026-04-23T00:00:00"),)], "row_time TIMESTAMP").write.parquet(beats)
+    heartbeats = spark.readStream.schema("row_time TIMESTAMP").parquet(beats)
+    assert closed("silent", None).count() == 0
+    assert rows(closed("beating", heartbeats), "owner_login", "repos_count") == [("alice", 2)]
+
+
+def test_state_is_kept_by_rocksdb(spark):
+    assert "RocksDB" in spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    assert spark.conf.get("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled") == "true"
