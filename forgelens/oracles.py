@@ -141,8 +141,6 @@ live AS (SELECT * FROM history WHERE dbt_valid_to IS NULL)"""
 
 
 HISTORY = REPOS + "," + _history("repos")
-NEW_EACH_DAY = REPOS + """,
-new_each_day AS (SELECT * FROM repos WHERE run_id = 'run-' || (repo_id % 3 + 1)),""" + _history("new_each_day")
 
 # The same where every run lists all repositories: one that is not listed is closed at that run.
 COMPLETE_HISTORY = (
@@ -332,9 +330,17 @@ def _iso(*columns: str) -> str:
 
 
 STREAMED = """
-streamed AS (SELECT *, coalesce(stargazers_count, 0) AS stars, extracted_at + to_milliseconds(repo_id) AS event_time FROM repos),
+streamed AS (SELECT *, coalesce(stargazers_count, 0) AS stars, extracted_at AS event_time FROM repos),
 last_repo AS (SELECT * FROM streamed QUALIFY row_number() OVER (PARTITION BY repo_id ORDER BY event_time DESC) = 1)"""
 TIER_OF_STREAM = TIER.replace("stargazers_count", "stars")
+OWNER_TOTALS = """
+            SELECT owner_login, count(*) AS repos_count, sum(stars)::BIGINT AS total_stars,
+                   sum(forks_count)::BIGINT AS total_forks FROM last_repo GROUP BY 1"""
+OWNER_WINDOWS = """
+            SELECT date_trunc('day', event_time)::TIMESTAMP AS window_start,
+                   date_trunc('day', event_time)::TIMESTAMP + to_days(1) AS window_end, owner_login,
+                   count(*) AS repos_count, sum(stars)::BIGINT AS total_stars, sum(forks_count)::BIGINT AS total_forks
+            FROM streamed GROUP BY ALL"""
 
 DIM_REPOS = f"""
 dim_repos AS (SELECT {_key('repo_id')} AS repo_key, {DIM_REPOS_COLUMNS} FROM live)"""
@@ -397,7 +403,19 @@ def _not_empty(table: str) -> tuple:
     return (table, "row_count_between", "*", "error", None)
 
 
+def _casts(table: str, columns: str) -> list[tuple]:
+    """Only the comments of issues hold words, where they are 0 in the feed."""
+    word = {"comments_count": "comments_count = 0"} if table == "stg_issues" else {}
+    return [(table, "fits_type", c, "error", word.get(c, "false")) for c in columns.split()]
+
+
 TABLE_CHECKS = [
+    *_casts("stg_repositories", """repo_id owner_id is_fork is_archived is_disabled is_private has_issues has_wiki
+        has_discussions has_pages stargazers_count watchers_count forks_count open_issues_count size_kb search_score
+        created_at updated_at pushed_at"""),
+    *_casts("stg_pull_requests", """pr_id pr_number author_id comments_count search_score created_at updated_at
+        closed_at merged_at"""),
+    *_casts("stg_issues", "issue_id issue_number author_id comments_count search_score created_at updated_at closed_at"),
     _not_empty("stg_repositories"),
     *_nulls("stg_repositories", "airbyte_raw_id repo_id full_name owner_login stargazers_count"),
     ("stg_repositories", "accepted_values", "visibility", "error",
@@ -409,6 +427,7 @@ TABLE_CHECKS = [
     *_nulls("repos_snapshot", "repo_id full_name dbt_valid_from dbt_scd_id"),
     *_uniques("repos_snapshot", "dbt_scd_id"),
     *_at_least("repos_snapshot", "stargazers_count forks_count"),
+    ("repos_snapshot", "is_true(> dbt_valid_from)", "dbt_valid_to", "warn", "dbt_valid_to <= dbt_valid_from"),
     *_nulls("dim_repos", "repo_key repo_id full_name owner_login"),
     *_uniques("dim_repos", "repo_key repo_id full_name"),
     *_nulls("dim_developers", "developer_key developer_id developer_login"),
@@ -495,6 +514,12 @@ def oracle_sql() -> dict[str, str]:
         "stg_repositories": _with([REPOS], HISTORY_OUT + "repos"),
         "stg_pull_requests": _with([PRS], "SELECT * FROM prs"),
         "stg_issues": _with([ISSUES], "SELECT * FROM issues"),
+        "daily_partitions": _with([REPOS], """
+            SELECT d.day::DATE::VARCHAR AS date, coalesce(string_agg(DISTINCT r.run_id, ','), '') AS runs,
+                   count(r.run_id) AS records
+            FROM (SELECT unnest(generate_series(DATE '2026-05-17', DATE '2026-06-05', INTERVAL 1 DAY)) AS day) d
+            LEFT JOIN repos r ON r.extracted_at::DATE = d.day GROUP BY 1"""),
+        "incremental_build": _with([REPOS, FACT_REPOS], f"SELECT * {_iso('date_key', 'snapshot_date')} FROM fact_repos"),
         "fact_repo_snapshots": _with([REPOS, FACT_REPOS], f"SELECT * {_iso('date_key', 'snapshot_date')} FROM fact_repos"),
         "fact_pull_requests": _with(
             [PRS, FACT_PRS], f"SELECT * {_iso('date_key', 'created_date', 'closed_date', 'merged_date')} FROM fact_prs"
@@ -510,8 +535,8 @@ def oracle_sql() -> dict[str, str]:
         "repos_snapshot": _with([HISTORY], HISTORY_OUT + "history"),
         "repos_snapshot_by_run": _with([COMPLETE_HISTORY], HISTORY_OUT + "history"),
         "repos_snapshot_complete": _with([COMPLETE_HISTORY], HISTORY_OUT + "history"),
-        "repos_snapshot_daily": _with([NEW_EACH_DAY], HISTORY_OUT + "history"),
-        "repos_snapshot_daily_rebuilt": _with([NEW_EACH_DAY], HISTORY_OUT + "history"),
+        "repos_snapshot_daily": _with([HISTORY], HISTORY_OUT + "history"),
+        "repos_snapshot_daily_rebuilt": _with([HISTORY], HISTORY_OUT + "history"),
         "dim_repos": _with([HISTORY], f"SELECT {_key('repo_id')} AS repo_key, {DIM_REPOS_COLUMNS} FROM live"),
         "repos_as_of": _with([HISTORY], f"""SELECT {_key('repo_id')} AS repo_key, {DIM_REPOS_COLUMNS} FROM history
             WHERE dbt_valid_from <= TIMESTAMP '2026-01-04' AND (dbt_valid_to IS NULL OR dbt_valid_to > TIMESTAMP '2026-01-04')"""),
@@ -598,18 +623,16 @@ def oracle_sql() -> dict[str, str]:
         "stream_developer_latest": _with([REPOS, STREAMED], """
             SELECT owner_login, owner_type, 1::BIGINT AS repos_count, stars AS total_stars, forks_count AS total_forks,
                    coalesce(language, '') AS primary_language, date_trunc('second', event_time) AS event_time
-            FROM streamed QUALIFY row_number() OVER (PARTITION BY owner_login ORDER BY event_time DESC) = 1"""),
-        "stream_developer_totals": _with([REPOS, STREAMED], """
-            SELECT owner_login, count(*) AS repos_count, sum(stars)::BIGINT AS total_stars,
-                   sum(forks_count)::BIGINT AS total_forks FROM last_repo GROUP BY 1"""),
+            FROM streamed QUALIFY row_number() OVER (PARTITION BY owner_login ORDER BY event_time DESC, repo_id DESC) = 1"""),
+        "stream_developer_totals": _with([REPOS, STREAMED], OWNER_TOTALS),
         "stream_top_developers": _with([REPOS, STREAMED], """
             SELECT owner_login, count(*) AS repos, sum(stars)::BIGINT AS stars FROM last_repo
             GROUP BY 1 ORDER BY stars DESC, owner_login LIMIT 10"""),
-        "stream_owner_windows": _with([REPOS, STREAMED], """
-            SELECT date_trunc('day', event_time)::TIMESTAMP AS window_start,
-                   date_trunc('day', event_time)::TIMESTAMP + to_days(1) AS window_end, owner_login,
-                   count(*) AS repos_count, sum(stars)::BIGINT AS total_stars, sum(forks_count)::BIGINT AS total_forks
-            FROM streamed GROUP BY ALL"""),
+        "stream_owner_windows": _with([REPOS, STREAMED], OWNER_WINDOWS),
+        "stream_closed_windows": _with([REPOS, STREAMED], OWNER_WINDOWS),
+        "stream_resumed": _with([REPOS, STREAMED], """
+            SELECT owner_login, count(*) AS deliveries, sum(stars)::BIGINT AS stars FROM streamed GROUP BY 1"""),
+        "stream_owner_changes": _with([REPOS, STREAMED], OWNER_TOTALS),
         "stream_dead_letters": """
             SELECT missing, count(*) AS messages FROM (
               SELECT concat_ws(',', CASE WHEN event_type = 'error' THEN 'repo_id' END,

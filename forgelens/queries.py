@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,11 +14,13 @@ from .functions import star_tier
 from .operators import asof_join, first_by, latest_by, number_runs, quality
 from .plans import contracts, dims, facts, jobs, marts, reports, snapshot, staging
 from .plans.build import build
-from .plans.stores import RepoHistory, VersionedTable
-from .schemas import DEVELOPER_RECORD, RESOURCES, TRENDING_RECORD
+from .plans.stores import DailyFacts, RepoHistory, VersionedTable
+from .schemas import DEVELOPER_RECORD, RESOURCES, TRENDING_RECORD, WATCHED
 from .sources import feeds, landing
 from .sources.replacing import ReplacingTable
+from .sources.sliced import SlicedTable
 from .streaming import messages, records, sinks
+from .streaming.totals import OwnerTotals
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -71,8 +73,11 @@ def repos_snapshot_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _new_each_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Repositories as daily searches list them: each run has those of one third only, in turn."""
-    return _repos(spark, sf_dir).filter(F.concat(F.lit("run-"), F.col("repo_id") % feeds.RUNS + 1) == F.col("run_id"))
+    """Repositories as daily searches list them: a run has those that are new or changed since they were listed last."""
+    state = F.struct(*WATCHED)
+    before = Window.partitionBy("repo_id").orderBy("run_id")
+    marked = _repos(spark, sf_dir).withColumn("same", state.eqNullSafe(F.lag(state).over(before)))
+    return marked.filter(~F.col("same")).drop("same")
 
 
 def repos_snapshot_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -229,7 +234,7 @@ def quarantined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     start, end, loaded_at = dt.date(2024, 1, 1), dt.date(2024, 12, 31), F.lit("2026-06-05 00:00:00")
     jobs.load_days(spark, f"{base}/in", f"{base}/raw", start, end, loaded_at, ["issues"])
     loaded = landing.read_raw(spark, f"{base}/raw/issues").select("landed_on", F.lit("loaded").alias("outcome"))
-    aside = spark.read.parquet(f"{base}/raw/quarantine/issues").select(
+    aside = landing.read_quarantine(spark, f"{base}/raw/issues").select(
         "landed_on", F.when(F.col("line").isNull(), "incomplete").otherwise("unreadable").alias("outcome")
     )
     return loaded.unionByName(aside).groupBy("landed_on", "outcome").agg(F.count("*").alias("lines"))
@@ -274,9 +279,44 @@ def backfilled_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _land_run(spark: SparkSession, sf_dir: str, base: str, run: int) -> dt.date:
+    """Land the repositories of one run under its day."""
+    day = dt.date(2026, 6, 1 + run)
+    listed = feeds.nested(feeds.feed(spark, sf_dir, "repositories")).filter(F.col("_run_id") == f"run-{run}")
+    landing.replace_day(listed, base, "repositories", day)
+    return day
+
+
+def incremental_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repository facts by landed day: three days landed, loaded and built in turn, then one of them once more."""
+    base = session.scratch_dir(spark, "incremental")
+    raw = SlicedTable(spark, f"{base}/raw/repositories")
+    made = DailyFacts(spark, f"{base}/facts", "repositories")
+    for run in (1, 2, 3, 2):
+        day = _land_run(spark, sf_dir, f"{base}/in", run)
+        jobs.load_days(spark, f"{base}/in", f"{base}/raw", day, day, F.lit("2026-06-05 00:00:00"), ["repositories"])
+        made.commit(made.write(raw))
+    return made.read().drop(DailyFacts.DAY)
+
+
+def daily_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every day since the first partition, and the runs and records that are loaded for it."""
+    base = session.scratch_dir(spark, "partitions")
+    landing.write(feeds.nested(feeds.feed(spark, sf_dir, "repositories")), f"{base}/in", "repositories")
+    jobs.load_days(spark, f"{base}/in", f"{base}/raw", None, None, F.lit("2026-06-05 00:00:00"), ["repositories"])
+    return jobs.partition_status(spark, f"{base}/raw/repositories", dt.date(2026, 6, 5))
+
+
+def _issues_with_misfits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Issues as JSON text in which some counts are words."""
+    raw = feeds.payload_text(feeds.feed(spark, sf_dir, "issues"))
+    return raw.withColumn("payload", F.regexp_replace("payload", '"comments":0', '"comments":"none"'))
+
+
 def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A full build with every rule evaluated; the feeds break some of them on purpose."""
     raw = {r: feeds.feed(spark, sf_dir, r) for r in RESOURCES}
+    raw["issues"] = _issues_with_misfits(spark, sf_dir)
     return build(spark, raw, session.scratch_dir(spark, "warehouse"), "20260604", gate=False).quality
 
 
@@ -291,9 +331,7 @@ def dq_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dq_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Values of issues that do not fit their column, in payloads of which some are broken."""
-    raw = feeds.payload_text(feeds.feed(spark, sf_dir, "issues"))
-    broken = F.regexp_replace("payload", '"comments":0', '"comments":"none"')
-    return staging.misfits(raw.withColumn("payload", broken), "issues")
+    return staging.misfits(_issues_with_misfits(spark, sf_dir), "issues")
 
 
 def dq_negative_values(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -386,8 +424,11 @@ def run_scoped_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _repo_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     envelopes = feeds.nested(feeds.feed_stream(spark, sf_dir, "repositories"))
-    moment = F.timestamp_millis(F.unix_millis("_extracted_at") + F.col("payload.id"))
-    return messages.envelope_messages(envelopes, moment)
+    return messages.envelope_messages(envelopes)
+
+
+# The later message wins, of messages of one time the one that stands later in its source.
+LATEST = ["event_time", messages.POSITION]
 
 
 def _drain(spark: SparkSession, rows: DataFrame, key, order: list[str], label: str, **options) -> ReplacingTable:
@@ -403,7 +444,7 @@ def _drain(spark: SparkSession, rows: DataFrame, key, order: list[str], label: s
 def _trending_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = messages.parse_repositories(_repo_messages(spark, sf_dir))
     rows = records.trending(parsed, F.col("row_time"))
-    return _drain(spark, rows, "repo_id", ["event_time"], "trending", record=TRENDING_RECORD).read()
+    return _drain(spark, rows, "repo_id", LATEST, "trending", record=TRENDING_RECORD).read()
 
 
 def stream_trending(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -415,9 +456,9 @@ def stream_trending_by_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_developer_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Last record per owner, as a table that replaces by owner holds it."""
+    """Last record per owner, as a table that replaces by owner holds it; all records of a run have one time."""
     rows = records.developer_activity(messages.parse_repositories(_repo_messages(spark, sf_dir)))
-    table = _drain(spark, rows, "owner_login", ["event_time"], "developers", record=DEVELOPER_RECORD)
+    table = _drain(spark, rows, "owner_login", LATEST, "developers", record=DEVELOPER_RECORD)
     return records.as_served(table.read(), DEVELOPER_RECORD)
 
 
@@ -436,6 +477,49 @@ def stream_owner_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _drain(spark, rows, keys, ["repos_count"], "windows", output_mode="update").read()
 
 
+def stream_closed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same windows, each written once: a heartbeat after the last message closes the last of them."""
+    beats = session.scratch_dir(spark, "heartbeats")
+    last = _repos(spark, sf_dir).agg(F.max("extracted_at").alias("at"))
+    last.select(F.timestamp_seconds(F.unix_seconds("at") + 30 * feeds.DAY).alias("row_time")).write.parquet(beats)
+    heartbeats = spark.readStream.schema("row_time TIMESTAMP").parquet(beats)
+    parsed = messages.parse_repositories(_repo_messages(spark, sf_dir))
+    rows = records.windowed_owner_totals(parsed, late="7 days", heartbeats=heartbeats)
+    return _drain(spark, rows, ["window_start", "owner_login"], ["repos_count"], "closed").read()
+
+
+def stream_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of landed files read a file at a time by a query that ends and is started again; counted per owner."""
+    base = session.scratch_dir(spark, "resumed")
+    table = ReplacingTable(spark, f"{base}/table", "line", ["event_time"])
+    for runs in ((1, 2), (3,)):
+        for run in runs:
+            _land_run(spark, sf_dir, f"{base}/in", run)
+        lines = messages.file_messages(spark, f"{base}/in/repositories", max_files=1)
+        parsed = messages.parse_repositories(lines)
+        rows = parsed.select(
+            F.md5("value").alias("line"), "owner_login", "stargazers_count", F.col("row_time").alias("event_time")
+        )
+        sinks.upsert(rows, table, f"{base}/checkpoint").awaitTermination()
+    return table.read_all().groupBy("owner_login").agg(
+        F.count("*").alias("deliveries"), F.sum("stargazers_count").alias("stars")
+    )
+
+
+def stream_owner_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals per owner, changed batch by batch: a run's files are one batch or more."""
+    base = session.scratch_dir(spark, "changes")
+    table = ReplacingTable(spark, f"{base}/table", "repo_id", LATEST)
+    totals = OwnerTotals(spark, f"{base}/totals", table)
+    for run in range(1, feeds.RUNS + 1):
+        _land_run(spark, sf_dir, f"{base}/in", run)
+        parsed = messages.parse_repositories(messages.file_messages(spark, f"{base}/in/repositories"))
+        rows = records.trending(parsed, F.col("row_time"))
+        options = {"record": TRENDING_RECORD, "dead_letters": f"{base}/letters", "merge_every": 2, "totals": totals}
+        sinks.upsert(rows, table, f"{base}/checkpoint", **options).awaitTermination()
+    return totals.read()
+
+
 def stream_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages that break the contract, counted by the fields they lack."""
     source = spark.readStream.schema(feeds.table(spark, sf_dir, "events").schema)
@@ -512,6 +596,8 @@ REGISTERED: dict[str, Query] = {
     "replacing_events": replacing_events,
     "backfilled_days": backfilled_days,
     "quarantined_lines": quarantined_lines,
+    "incremental_build": incremental_build,
+    "daily_partitions": daily_partitions,
     "dq_report": dq_report,
     "dq_source": dq_source,
     "dq_casts": dq_casts,
@@ -528,6 +614,9 @@ REGISTERED: dict[str, Query] = {
     "stream_developer_totals": stream_developer_totals,
     "stream_top_developers": stream_top_developers,
     "stream_owner_windows": stream_owner_windows,
+    "stream_closed_windows": stream_closed_windows,
+    "stream_resumed": stream_resumed,
+    "stream_owner_changes": stream_owner_changes,
     "stream_dead_letters": stream_dead_letters,
     "stream_redelivered": stream_redelivered,
 }
