@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -72,21 +73,18 @@ class Encoder:
         self.tokenizer, self.cut = units.byte_level(tokenizer_json)
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
-        self.known: dict[str, bytes] = {}
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
+        self.memory = units.Memory()
 
     def encode(self, text: str) -> Iterator[bytes]:
         for found in units.slices(text, self.cut):
-            if len(self.known) > units.KEPT:
-                self.known = {}
-            known = self.known
-            new = list({unit for unit in found if unit not in known})
+            new = self.memory.missing(found)
+            known = self.memory.known
             if new:
                 encoded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-                known.update((unit, np.array(one.ids, self.dtype).tobytes()) for unit, one in zip(new, encoded))
+                known.update((unit, array(self.code, one.ids).tobytes()) for unit, one in zip(new, encoded))
             yield b"".join(map(known.__getitem__, found))
-            for unit in new:
-                if len(unit) > units.LONGEST_KEPT:
-                    del known[unit]
+            self.memory.drop_long(new)
 
 
 @lru_cache(maxsize=1)

@@ -15,16 +15,17 @@ import os
 import re
 from collections.abc import Iterator
 
-# Surely white, and perhaps white.
-SURE = r" \t\n\r"
-DOUBTFUL = r"\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff"
+# Surely white to every tokenizer here, and perhaps white (U+2581 is a blank to SentencePiece) or part of a token
+# with what stands before.
+SURE = r" \n"
+DOUBTFUL = r"\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u2581\u3000\ufeff"
 UNIT = re.compile(f"[{SURE}]*(?:[^{SURE}{DOUBTFUL}]+|[{DOUBTFUL}][{SURE}]*)+|[{SURE}]+")
 BORDER = re.compile(f"(?<=[^{SURE}{DOUBTFUL}])[{SURE}]")
 
 #: Characters that are cut into units at once.
 SLICE = 1 << 20
-#: Units a worker remembers, and the longest of them.
-KEPT = 300_000
+#: Units of a generation that a worker remembers, and the longest of them.
+KEPT = 400_000
 LONGEST_KEPT = 64
 
 
@@ -61,3 +62,28 @@ def byte_level(tokenizer_json: str, plain_special: bool = False):
     tokenizer = Tokenizer.from_str(tokenizer_json)
     tokenizer.encode_special_tokens = plain_special
     return tokenizer, fits(json.loads(tokenizer_json))
+
+
+class Memory:
+    """What was found out about units, in two generations: the older one makes room, but for units that came again."""
+
+    def __init__(self, kept: int = KEPT) -> None:
+        self.kept = kept
+        self.known: dict = {}
+        self.older: dict = {}
+
+    def missing(self, found: list[str]) -> list[str]:
+        """Units of ``found`` that are not in :attr:`known` yet."""
+        if len(self.known) > self.kept:
+            self.known, self.older = {}, self.known
+        new = set(found).difference(self.known)
+        if new and self.older:
+            again = [unit for unit in new if unit in self.older]
+            self.known.update((unit, self.older[unit]) for unit in again)
+            new.difference_update(again)
+        return list(new)
+
+    def drop_long(self, units: list[str]) -> None:
+        for unit in units:
+            if len(unit) > LONGEST_KEPT:
+                del self.known[unit]
