@@ -4,7 +4,8 @@ A template is wording with optional regions (``<<beginOptional>>``,
 ``<<endOptional>>``) and replaceable ones (``<<var;name="...";words=N>>``, which
 stand for up to N words).  It becomes an automaton over words; a text carries
 the template's label where the automaton accepts, that is where all mandatory
-words stand in order and nothing else does but what the markup allows.
+words stand in order and nothing else does but what the markup allows.  A
+label may have several templates, as a license has a text and a usual notice.
 
 Upper-case ASCII letters are lower-cased; words are runs of digits, letters and
 non-ASCII characters.  Null and empty texts have no words, no labels and score
@@ -28,30 +29,75 @@ PHRASES = {
     "all rights reserved": "reserved",
 }
 
-# Wording of public licenses and of usual notices, with markup.
+# Wording of public licenses and of their usual notices, with markup; a label may have several.
 TEMPLATES = {
     "mit-notice": (
         "<<beginOptional>>This <<var;name=\"work\";words=2>> is<<endOptional>> <<beginOptional>>Released"
         "<<endOptional>> <<beginOptional>>Licensed<<endOptional>> <<beginOptional>>Distributed<<endOptional>> under"
-        " <<beginOptional>>the terms of<<endOptional>> the MIT License"
+        " <<beginOptional>>the terms of<<endOptional>> the MIT License",
+        "The MIT License <<beginOptional>>(MIT)<<endOptional>>",
+        "MIT License Copyright <<beginOptional>>(c)<<endOptional>>",
     ),
     "apache-2.0": (
         "Licensed under the Apache License <<beginOptional>>Version<<endOptional>> 2.0"
-        " <<beginOptional>>the \"License\"<<endOptional>>"
+        " <<beginOptional>>the \"License\"<<endOptional>>",
+        "Apache License Version 2.0, January 2004",
+    ),
+    "gpl-2.0": (
+        "under the terms of the GNU General Public License as published by the Free Software Foundation;"
+        " <<beginOptional>>either<<endOptional>> version 2 <<beginOptional>>of the License<<endOptional>>"
+        " <<beginOptional>>or (at your option) any later version<<endOptional>>",
+        "GNU GENERAL PUBLIC LICENSE Version 2, June 1991",
     ),
     "gpl-3.0": (
         "licensed under the <<beginOptional>>terms of the<<endOptional>> <<beginOptional>>GNU<<endOptional>> General"
         " Public License <<beginOptional>>as published by the Free Software Foundation<<endOptional>>"
         " <<beginOptional>>either<<endOptional>> version 3 <<beginOptional>>or later<<endOptional>>"
-        " <<beginOptional>>of the License<<endOptional>>"
+        " <<beginOptional>>of the License<<endOptional>>",
+        "under the terms of the GNU General Public License as published by the Free Software Foundation,"
+        " <<beginOptional>>either<<endOptional>> version 3 <<beginOptional>>of the License<<endOptional>>"
+        " <<beginOptional>>or (at your option) any later version<<endOptional>>",
+        "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
+    ),
+    "lgpl-2.1": (
+        "under the terms of the GNU Lesser General Public License as published by the Free Software Foundation;"
+        " <<beginOptional>>either<<endOptional>> version 2.1 <<beginOptional>>of the License<<endOptional>>"
+        " <<beginOptional>>or (at your option) any later version<<endOptional>>",
+        "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999",
+    ),
+    "lgpl-3.0": (
+        "under the terms of the GNU Lesser General Public License as published by the Free Software Foundation,"
+        " <<beginOptional>>either<<endOptional>> version 3 <<beginOptional>>of the License<<endOptional>>"
+        " <<beginOptional>>or (at your option) any later version<<endOptional>>",
+        "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
+    ),
+    "agpl-3.0": (
+        "under the terms of the GNU Affero General Public License as published by the Free Software Foundation,"
+        " <<beginOptional>>either<<endOptional>> version 3 <<beginOptional>>of the License<<endOptional>>"
+        " <<beginOptional>>or (at your option) any later version<<endOptional>>",
+        "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007",
+    ),
+    "mpl-2.0": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."
+        " <<beginOptional>>If a copy of the MPL was not distributed with this file, You can obtain one at"
+        " <<var;name=\"scheme\";words=1>> mozilla.org/MPL/2.0<<endOptional>>",
+        "Mozilla Public License Version 2.0",
     ),
     "cc-by-4.0": (
         "licensed under <<beginOptional>>a<<endOptional>> <<beginOptional>>Creative Commons<<endOptional>>"
-        " <<beginOptional>>CC<<endOptional>> BY <<beginOptional>>International<<endOptional>> 4.0"
+        " <<beginOptional>>CC<<endOptional>> BY <<beginOptional>>International<<endOptional>> 4.0",
+        "licensed under <<beginOptional>>a<<endOptional>> <<beginOptional>>the<<endOptional>> Creative Commons"
+        " Attribution 4.0 <<beginOptional>>International<<endOptional>> <<beginOptional>>License<<endOptional>>",
+    ),
+    "cc-by-sa-4.0": (
+        "licensed under <<beginOptional>>a<<endOptional>> <<beginOptional>>the<<endOptional>> Creative Commons"
+        " Attribution-ShareAlike 4.0 <<beginOptional>>International<<endOptional>>"
     ),
     "cc-by-nc-4.0": (
         "licensed under <<beginOptional>>a<<endOptional>> <<beginOptional>>Creative Commons<<endOptional>>"
-        " <<beginOptional>>CC<<endOptional>> BY-NC <<beginOptional>>International<<endOptional>> 4.0"
+        " <<beginOptional>>CC<<endOptional>> BY-NC <<beginOptional>>International<<endOptional>> 4.0",
+        "licensed under <<beginOptional>>a<<endOptional>> <<beginOptional>>the<<endOptional>> Creative Commons"
+        " Attribution-NonCommercial 4.0 <<beginOptional>>International<<endOptional>>",
     ),
     "copyright-notice": (
         "Copyright <<beginOptional>>(c)<<endOptional>> <<var;name=\"years and holder\";words=12>> All rights reserved"
@@ -72,7 +118,29 @@ TEMPLATES = {
     "isc": (
         "Permission to use, copy, modify, and<<beginOptional>>/or<<endOptional>> distribute this software for any"
         " purpose with or without fee is hereby granted, provided that the above copyright notice and this permission"
-        " notice appear in all copies"
+        " notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND <<var;name=\"author\";words=4>> DISCLAIMS"
+        " ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS."
+        " IN NO EVENT SHALL <<var;name=\"author\";words=4>> BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR"
+        " CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN"
+        " ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR"
+        " PERFORMANCE OF THIS SOFTWARE"
+    ),
+    "bsd": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that"
+        " the following conditions are met: <<beginOptional>>1.<<endOptional>> Redistributions of source code must"
+        " retain the above copyright notice, this list of conditions and the following disclaimer."
+        " <<beginOptional>>2.<<endOptional>> Redistributions in binary form must reproduce the above copyright notice,"
+        " this list of conditions and the following disclaimer in the documentation and/or other materials provided"
+        " with the distribution. <<beginOptional>><<beginOptional>>3.<<endOptional>> Neither the name of"
+        " <<var;name=\"holder\";words=8>> nor the names of its contributors may be used to endorse or promote products"
+        " derived from this software without specific prior written permission.<<endOptional>> THIS SOFTWARE IS"
+        " PROVIDED BY <<var;name=\"provider\";words=8>> \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT"
+        " NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE"
+        " DISCLAIMED. IN NO EVENT SHALL <<var;name=\"holder\";words=8>> BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,"
+        " SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS"
+        " OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF"
+        " LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY"
+        " WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE"
     ),
 }
 
@@ -85,6 +153,13 @@ _FOLD = bytes(
 _MARK = re.compile(r"<<(.*?)>>")
 
 
+def wordings(templates: dict[str, str | tuple[str, ...]] = TEMPLATES) -> Iterator[tuple[str, str]]:
+    """Every label with each of its templates."""
+    for label, own in templates.items():
+        for template in (own,) if isinstance(own, str) else own:
+            yield label, template
+
+
 def words_of(text: bytes | None) -> list[bytes]:
     return (text or b"").translate(_FOLD).split()
 
@@ -201,11 +276,11 @@ def as_pattern(template: str) -> str:
 class Scanner:
     """Automata of all templates, and the words at which one of them can begin."""
 
-    def __init__(self, templates: dict[str, str] = TEMPLATES, phrases: dict[str, str] = PHRASES):
-        self.automata = {label: compile_template(template) for label, template in templates.items()}
+    def __init__(self, templates: dict[str, str | tuple[str, ...]] = TEMPLATES, phrases: dict[str, str] = PHRASES):
+        self.automata = [(label, compile_template(template)) for label, template in wordings(templates)]
         self.phrases = [(phrase.encode().split(), label) for phrase, label in phrases.items()]
         self.begins: dict[bytes, list[tuple[str, Automaton]]] = {}
-        for label, automaton in self.automata.items():
+        for label, automaton in self.automata:
             for word in automaton.first:
                 self.begins.setdefault(word, []).append((label, automaton))
 
@@ -226,10 +301,12 @@ class Scanner:
                     places.append(at)
                     labels.add(label)
         for start in [i for i, word in enumerate(words) if word in known]:
+            ends: dict[str, int] = {}
             for label, automaton in known[words[start]]:
                 end = automaton.accepts_from(words, start)
                 if end is not None:
-                    matches.append((label, start, end - 1))
+                    ends[label] = max(end, ends.get(label, 0))
+            matches += [(label, start, end - 1) for label, end in ends.items()]
         found = labels | {label for label, _, _ in matches}
         return {
             "n_words": len(words),
@@ -263,7 +340,7 @@ SCHEMA = (
 
 
 def scan(
-    documents: DataFrame, templates: dict[str, str] = TEMPLATES, phrases: dict[str, str] = PHRASES
+    documents: DataFrame, templates: dict[str, str | tuple[str, ...]] = TEMPLATES, phrases: dict[str, str] = PHRASES
 ) -> DataFrame:
     """One row per document: counts, labels, and the spans that templates accept."""
 

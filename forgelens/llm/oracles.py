@@ -128,7 +128,7 @@ def _licenses() -> str:
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     found = ", ".join(
         f"CASE WHEN regexp_matches(line, '{license_scan.as_pattern(template)}') THEN '{label}' END"
-        for label, template in license_scan.TEMPLATES.items()
+        for label, template in license_scan.wordings()
     )
     lists, base = [], []
     for phrase, label in license_scan.PHRASES.items():
@@ -186,13 +186,17 @@ counts{k} AS (
     window = " || ".join(f"cs[i + {k}]" for k in range(u.ORDER + 1))
     return f"""
 WITH cut AS (
-  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest,
+         CASE WHEN strpos(url, '://') > 0 THEN left(url, strpos(url, '://') + 2) ELSE '' END AS scheme
+  FROM pages
 ), parts AS (
-  SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), {letters}) AS host,
+  SELECT page_id, scheme || translate(regexp_extract(rest, '^([^/?#]*)', 1), {letters})
+           || substr(rest, length(regexp_extract(rest, '^([^/?#]*)', 1)) + 1) AS text,
+         translate(regexp_extract(rest, '^([^/?#]*)', 1), {letters}) AS host,
          regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
   FROM cut
 ), ruled AS (
-  SELECT *, host || path AS text, CASE {" ".join(cases)} END AS rule FROM parts
+  SELECT *, CASE {" ".join(cases)} END AS rule FROM parts
 ), texts AS (
   SELECT text, rule, ('0x' || left(md5(text), 8))::BIGINT % {u.HELD_OUT} = 0 AS held_out,
          CASE WHEN rule IN ({allowed}) THEN count(*) ELSE 0 END AS x,

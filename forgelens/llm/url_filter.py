@@ -5,12 +5,11 @@ URLs that a rule blocks another.  A character's probability after its context
 of up to ``ORDER`` characters is interpolated with that after shorter contexts,
 by the number of different characters seen there (Witten-Bell); below all is an
 equal share for every code point.  The difference of the logarithms, summed
-over host and path and divided by their length, is held against a limit that separates
+over the URL and divided by its length, is held against a limit that separates
 rule-judged URLs best which neither model was trained on.
 
-Models, like rules, see host and path only, as the SQL that the results are held
-against does: URLs that differ in query or fragment alone get one verdict, and
-what allowed and blocked URLs differ in there is not learned.
+Rules see host and path; the models see the whole URL, scheme, query and
+fragment included, with the host's ASCII letters in lower case.
 
 A null URL, or one without ``://``, has empty host and path and is blocked.
 Repeated URLs are scored once and count in the models as often as they occur.
@@ -55,14 +54,17 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 class Parts:
     host: Column
     path: Column
+    whole: Column
 
 
 def parts_of(url: Column) -> Parts:
-    """Host (ASCII letters in lower case) and path; both empty without ``://``."""
+    """Host (ASCII letters in lower case), path, and the whole with that host; all empty without ``://``."""
     at = F.instr(url, "://")
     rest = F.when(at > 0, F.substr(url, at + 3)).otherwise(F.lit(""))
     host = F.translate(F.regexp_extract(rest, r"^([^/?#]*)", 1), UPPER, LOWER)
-    return Parts(host, F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1))
+    scheme = F.when(at > 0, F.left(url, at + 2)).otherwise(F.lit(""))
+    whole = F.concat(scheme, host, F.regexp_extract(rest, r"(?s)^[^/?#]*(.*)$", 1))
+    return Parts(host, F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1), whole)
 
 
 def rule_of(host: Column, path: Column, rules: dict[str, str] = RULES) -> Column:
@@ -145,9 +147,13 @@ def judge(pages: DataFrame, rules: dict[str, str] = RULES, order: int = ORDER) -
     """page_id, host, path, rule, verdict and the models' score of every page."""
     parts = parts_of(F.coalesce(F.col("url").cast("string"), F.lit("")))
     plain = (
-        pages.select(F.col("page_id").cast("long").alias("page_id"), parts.host.alias("host"), parts.path.alias("path"))
+        pages.select(
+            F.col("page_id").cast("long").alias("page_id"),
+            parts.host.alias("host"),
+            parts.path.alias("path"),
+            parts.whole.alias("text"),
+        )
         .withColumn("rule", rule_of(F.col("host"), F.col("path"), rules))
-        .withColumn("text", F.concat("host", "path"))
     )
     verdict = F.when(F.col("rule").isin([r for r, v in rules.items() if v == ALLOW]), ALLOW).when(
         F.col("rule").isNotNull(), BLOCK

@@ -165,6 +165,17 @@ def test_url_models_tell_kinds_apart(spark):
     assert all(rows[i] == "allow" for i in range(600, 630)) and all(rows[i] == "block" for i in range(630, 660))
 
 
+def test_urls_that_differ_in_the_query_alone_are_told_apart(spark):
+    urls = [f"http://h{i}.org/p?q=good" for i in range(200)] + [f"http://h{i}.com/de/p?q=casino" for i in range(200)]
+    asked = ["http://z.net/p?q=good", "http://z.net/p?q=casino", "http://z.net/p#q=good", None, None, "no url", "no url"]
+    frame = spark.createDataFrame(list(enumerate([*urls, *asked])), "page_id bigint, url string")
+    clashing = frame.selectExpr("*", "1 AS host", "2 AS path", "'x' AS text", "'y' AS rule", "3 AS score")
+    found = {r.page_id: r for r in url_filter.judge(clashing).collect()}
+    good, bad, fragment, *others = [found[len(urls) + i] for i in range(len(asked))]
+    assert (good.verdict, bad.verdict) == ("allow", "block") and good.score > bad.score and fragment.score > bad.score
+    assert {(r.host, r.path, r.rule, r.verdict) for r in others} == {("", "", None, "block")} and len(found) == len(urls) + 7
+
+
 def test_url_filter_of_nothing_and_of_very_long(spark):
     pages = spark.createDataFrame([], "page_id bigint, url string")
     assert url_filter.judge(pages).count() == 0
