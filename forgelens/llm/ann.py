@@ -254,7 +254,7 @@ def search(
 ) -> DataFrame:
     """query_id, rank, vec_id and score of the ``nearest`` rows of ``vectors`` found for each row of ``queries``."""
     index = common.stored(usable(vectors), "ann-vectors")
-    some = index.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("vector").collect()
+    some = common.sample_of(index, ["vec_id"], sample).orderBy(F.xxhash64("vec_id")).select("vector").collect()
     router = fit(np.array([row["vector"] for row in some]), parts, nearest, **options)
     asked = usable(queries) if queries is not vectors else index
     members = common.stored(routed(index, router, 1), "ann-index")
