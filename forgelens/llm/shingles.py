@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,6 +15,7 @@ _U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _MIX = (_U64(0xBF58476D1CE4E5B9), _U64(0x94D049BB133111EB))
 _NEXT = _U64(0xD6E8FEB86659FD93)
+_ANY_BLANK = re.compile(rb"[\x20\x09-\x0D]")
 _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[32, *range(9, 14)]] = True
 
@@ -31,8 +33,8 @@ def _powers(base: int, count: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """A hash per word of all texts in a row, and where each text's words begin (one more at the end)."""
+def _hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """A hash per word of all texts in a row, and the number of words of each text."""
     lowered = [text.lower() for text in texts]
     data = np.frombuffer(b" ".join([*lowered, b""]) + b" ", dtype=np.uint8)
     blank = _BLANK[data]
@@ -43,7 +45,31 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     words = mix((sums[ends] - sums[starts]) * inverse[starts])
     lengths = np.array([len(text) + 1 for text in lowered])
     begins = np.concatenate([[0], np.cumsum(lengths)])
-    return words, np.searchsorted(starts, begins)
+    return words, np.diff(np.searchsorted(starts, begins))
+
+
+def segments(text: bytes, most: int = CHUNK_BYTES) -> list[bytes]:
+    """The text, or parts of about ``most`` bytes that end before a blank."""
+    parts, start = [], 0
+    while len(text) - start > most:
+        blank = _ANY_BLANK.search(text, start + most)
+        end = blank.start() if blank else len(text)
+        parts.append(text[start:end])
+        start = end
+    return [*parts, text[start:]] if start < len(text) or not parts else parts
+
+
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """A hash per word of all texts in a row, and where each text's words begin (one more at the end).
+
+    A word's hash does not depend on its place, so long texts are worked through in segments.
+    """
+    split = [segments(text) for text in texts]
+    parts = [part for own in split for part in own]
+    found = [_hashes(parts[some]) for some in chunks(parts)]
+    words = np.concatenate([np.empty(0, _U64), *(words for words, _ in found)])
+    counts = np.concatenate([np.zeros(1, np.int64), *(counts for _, counts in found)])
+    return words, np.cumsum(counts)[np.cumsum([0, *map(len, split)])]
 
 
 def shingle_sets(texts: list[bytes], size: int) -> list[np.ndarray]:

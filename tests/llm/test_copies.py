@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import subprocess
+import sys
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -13,6 +16,8 @@ import corpus_pipeline
 from forgelens.llm import deep_shallow, graph, near_dedup, suffix_dedup
 from forgelens.llm import shingles as sh
 
+ROOT = Path(__file__).resolve().parents[2]
+
 
 def shingle_set(text, size):
     words = (text or "").encode().lower().split()
@@ -202,3 +207,34 @@ def test_stages_do_what_their_parts_do(spark, tmp_path):
     assert {r["doc_id"] for r in near.collect()} == {i for i, c in want.items() if i == c}
     cut = corpus_pipeline.STAGES[2][1](spark, docs, "unused").agg(F.sum(F.length("text"))).first()[0]
     assert cut < sum(len(t) for _, t, *_ in rows)
+
+
+def test_words_of_long_texts_are_hashed_in_segments(monkeypatch):
+    texts = [t.encode() for t in [*random_texts(9, 40), "", "  ", "one", "x" * 300, " lead", "tail "]]
+    whole = sh.word_hashes(texts)
+    sets = sh.shingle_sets(texts, 4)
+    for most in (1, 7, 50):
+        monkeypatch.setattr(sh.segments, "__defaults__", (most,))
+        monkeypatch.setattr(sh.chunks, "__defaults__", (most,))
+        words, bounds = sh.word_hashes(texts)
+        assert words.tolist() == whole[0].tolist() and bounds.tolist() == whole[1].tolist()
+        assert [s.tolist() for s in sh.shingle_sets(texts, 4)] == [s.tolist() for s in sets]
+    assert [len(t.split()) for t in texts] == np.diff(whole[1]).tolist()
+    assert sh.segments(b"ab cd  ef", 2) == [b"ab", b" cd", b"  ef"]
+
+
+def test_a_text_of_64_mb_takes_bounded_memory():
+    """In a process of its own, so that its peak is that of the one text."""
+    code = """
+import resource
+from forgelens.llm import pieces, quality_rank, shingles
+text = b"".join(b"w%d of the " % (i % 50_000) for i in range(4_600_000))[: 64 << 20]
+shingles.shingle_sets([text], 5)
+quality_rank.features([text])
+with open(pieces.MODEL, "rb") as file:
+    codec = pieces.UnitCodec(file.read(), 1)
+assert codec.checked([text.decode()])[1:] == ([True], [True])
+print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss >> 10)
+"""
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=ROOT, check=True)
+    assert int(done.stdout) < 1500
