@@ -5,8 +5,10 @@ scores or merges, and byte fallback are rebuilt from it.  Batches are encoded
 by several threads, and all ids are held against SentencePiece's own.
 
 Where the vocabulary shows that no piece can cross the border of a word, a task
-encodes, checks and decodes each word once and keeps the last ones; a text's
-ids are then those of its words in a row.  Other models take whole texts.
+encodes and decodes each unit of the texts (:mod:`units`) once and keeps the
+last ones; a text's ids are then those of its units in a row, and are still held
+against the ids that SentencePiece gives for the whole text.  Other models take
+whole texts throughout.
 
 A null text has null ids and 0 tokens; an empty text has no ids.  Repeated rows
 are encoded one by one, texts of any length as a whole, and further columns are
@@ -18,8 +20,8 @@ characters or blanks gives back folded text.
 from __future__ import annotations
 
 import os
-import re
 import struct
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -29,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import units
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 THREADS = 2
 #: Bytes of text that are encoded at once, beside a text that is longer by itself.
@@ -195,64 +199,75 @@ class Codec:
         return [np.array(one, dtype="<i4").tobytes() for one in ids], parity, same
 
 
-class WordCodec(Codec):
-    """The same over words, for models that split at words."""
+class UnitCodec(Codec):
+    """The same for models whose pieces stay within words: each unit of the texts is encoded once.
 
-    # A literal marker is a blank to the model.
-    WORDS = re.compile(f"[ {MARK}]*[^ {MARK}\n]+|[ {MARK}]+|\n")
-    KEPT_WORDS = 1_000_000
-    LONGEST_KEPT = 64
+    Parity is still that of the whole text, which SentencePiece encodes itself,
+    a long one in slices that begin with the blank it would put there.
+    """
 
     def __init__(self, proto: bytes, threads: int = THREADS):
         super().__init__(proto, threads)
-        self.word_tokenizer = rebuild(self.model, prefix=False)
+        self.unit_tokenizer = rebuild(self.model, prefix=False)
         self.prefix = " " if self.model.dummy_prefix else ""
-        self.line_end = len(self.reference(["\n"])[0])
         self.alone = [self.original.piece_to_id(MARK)]
-        self.known: dict[str, bytes] = {}
-        self.unequal: set[str] = set()
-        self.changed: set[str] = set()
+        self.memory = units.Memory()
 
-    def _reference(self, words: list[str]) -> list[list[int]]:
-        """SentencePiece's ids; it puts a blank before each, which words with a blank have already."""
+    def reference(self, texts: list[str]) -> list[list[int]]:
+        """SentencePiece's ids of slices that have their first blank already."""
         if not self.prefix:
-            return self.reference(words)
-        begin = [word.startswith(" ") for word in words]
-        found = self.reference([word[1:] if blank else "\n" + word for word, blank in zip(words, begin)])
+            return super().reference(texts)
+        found = super().reference([text[1:] for text in texts])
         # A single blank leaves an empty text, which has no ids of its own.
-        return [
-            self.alone if word == " " else ids if blank else ids[self.line_end :]
-            for word, blank, ids in zip(words, begin, found)
-        ]
-
-    def _learn(self, words: list[str]) -> None:
-        ids = [found.ids for found in self.word_tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        self.unequal.update(w for w, a, b in zip(words, ids, self._reference(words)) if a != b)
-        back = self.word_tokenizer.decode_batch(ids, skip_special_tokens=False)
-        self.changed.update(w for w, b in zip(words, back) if w != b)
-        self.known.update(zip(words, (np.array(one, dtype="<i4").tobytes() for one in ids)))
+        return [self.alone if text == " " else ids for text, ids in zip(texts, found)]
+
+    def slices(self, text: str) -> Iterator[list[str]]:
+        """Units in runs that begin with a blank, if the model puts one before texts."""
+        held: list[str] = []
+        for found in units.slices(self.prefix + text if text else ""):
+            if held and found[0].startswith(" "):
+                yield held
+                held = []
+            held += found
+        if held:
+            yield held
 
     def checked(self, texts: list[str]) -> tuple[list[bytes], list[bool], list[bool]]:
-        if len(self.known) > self.KEPT_WORDS:
-            self.known, self.unequal, self.changed = {}, set(), set()
-        known = self.known
-        split = [self.WORDS.findall(self.prefix + text) if text else [] for text in texts]
-        new = {word for words in split for word in words if word not in known}
-        if new:
-            self._learn(list(new))
-        ids = [b"".join(map(known.__getitem__, words)) for words in split]
-        parity = [not self.unequal or self.unequal.isdisjoint(words) for words in split]
-        same = [not self.changed or self.changed.isdisjoint(words) for words in split]
-        for word in new:
-            if len(word) > self.LONGEST_KEPT:
-                del known[word]
+        ids, parity, same, held, size = [], [True] * len(texts), [], [], 0
+
+        def compare() -> None:
+            for (place, _, own), reference in zip(held, self.reference([whole for _, whole, _ in held])):
+                parity[place] = parity[place] and array("i", reference).tobytes() == own
+            held.clear()
+
+        for place, text in enumerate(texts):
+            parts, kept = [], True
+            for found in self.slices(text):
+                new = self.memory.missing(found)
+                known = self.memory.known
+                if new:
+                    encoded = [one.ids for one in self.unit_tokenizer.encode_batch_fast(new, add_special_tokens=False)]
+                    back = self.unit_tokenizer.decode_batch(encoded, skip_special_tokens=False)
+                    known.update((u, (array("i", e).tobytes(), u == b)) for u, e, b in zip(new, encoded, back))
+                own, unchanged = zip(*map(known.__getitem__, found))
+                parts.append(b"".join(own))
+                kept = kept and all(unchanged)
+                self.memory.drop_long(new)
+                held.append((place, "".join(found), parts[-1]))
+                size += len(held[-1][1])
+                if size > units.SLICE:
+                    compare()
+                    size = 0
+            ids.append(b"".join(parts))
+            same.append(kept)
+        compare()
         return ids, parity, same
 
 
 @lru_cache(maxsize=1)
 def codec_of(proto: bytes, threads: int = THREADS) -> Codec:
     """The codec of this Python worker, which keeps its words from task to task."""
-    return (WordCodec if Model.parse(proto).splits_at_words() else Codec)(proto, threads)
+    return (UnitCodec if Model.parse(proto).splits_at_words() else Codec)(proto, threads)
 
 
 def chunks(texts: list[str | None], most: int = CHUNK_BYTES) -> Iterator[slice]:

@@ -54,7 +54,7 @@ def test_ids_equal_those_of_the_original(proto):
     texts += ["  two  blanks ", "\n", " \n ", "a\nb", "<s> </s> <unk> <0x41>", "日本語のテキスト", "x" * 5000, "½²."]
     original = sentencepiece.SentencePieceProcessor(model_proto=proto)
     want = original.encode(texts)
-    for codec in (pieces.Codec(proto, 1), pieces.WordCodec(proto, 1)):
+    for codec in (pieces.Codec(proto, 1), pieces.UnitCodec(proto, 1)):
         ids, parity, same = codec.checked(texts)
         assert [np.frombuffer(one, "<i4").tolist() for one in ids] == want
         assert all(parity) and [t for t, s in zip(texts, same) if not s] == [t for t in texts if pieces.MARK in t]
@@ -90,7 +90,7 @@ def test_a_unigram_model_is_rebuilt_from_its_protobuf(remove_blanks):
     original = sentencepiece.SentencePieceProcessor(model_proto=proto)
     texts = ["the  a the", "thé", "  heh ", "", "a\nthe"]
     codec = pieces.codec_of(proto, 1)
-    assert isinstance(codec, pieces.WordCodec) != bool(remove_blanks)
+    assert isinstance(codec, pieces.UnitCodec) != bool(remove_blanks)
     ids, parity, _ = codec.checked(texts)
     assert [np.frombuffer(one, "<i4").tolist() for one in ids] == original.encode(texts) and all(parity)
 
