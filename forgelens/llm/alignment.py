@@ -9,8 +9,8 @@ overlap are linked.  Links are counted over the corpus as documents that hold a
 pair of ids linked, and every document is measured against these counts.
 
 Where neither tokenizer's tokens cross the border of a unit (:mod:`units`; of B
-the vocabulary shows it), both end a token at each border, so a worker aligns a
-unit once and puts texts together from their units.  Other models align whole texts.
+the vocabulary shows it), a worker encodes a unit once and puts the ids of texts
+together from those of their units.  Other models encode whole texts.
 
 A task closes a chunk of documents after ``CHUNK`` characters and stores it with
 its distinct pairs, and the number of its documents that hold each.  The counts
@@ -27,6 +27,7 @@ worked through in slices; only a unit of many MB is encoded at once.
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -44,6 +45,8 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 #: Characters of a chunk of documents, beside a text that is longer by itself.
 CHUNK = 4 << 20
+#: Units of a generation that a worker remembers.
+KEPT = 300_000
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -63,49 +66,21 @@ def piece_bytes(piece: str) -> bytes:
     return piece.replace(MARK, " ").encode()
 
 
-def ends(lengths: list[int]) -> dict[int, int]:
-    """How many tokens there are up to each end."""
-    found, at = {}, 0
-    for number, length in enumerate(lengths, 1):
-        at += length
-        found[at] = number
-    return found
-
-
-def groups(lengths_a: list[int], lengths_b: list[int]) -> list[tuple[slice, slice]]:
-    """Slices of both token lists between the ends that they share."""
-    ends_a, ends_b = ends(lengths_a), ends(lengths_b)
-    found, start_a, start_b = [], 0, 0
-    for end in sorted(ends_a.keys() & ends_b.keys()):
-        stop_a, stop_b = ends_a[end], ends_b[end]
-        found.append((slice(start_a, stop_a), slice(start_b, stop_b)))
-        start_a, start_b = stop_a, stop_b
-    return found
-
-
-def links(lengths_a: list[int], lengths_b: list[int]) -> Iterator[tuple[int, int]]:
-    """Places of the tokens of a group that overlap."""
-    a = b = 0
-    end_a, end_b = lengths_a[0], lengths_b[0]
-    while True:
-        yield a, b
-        if end_a <= end_b:
-            a += 1
-            if end_a == end_b:
-                b += 1
-                if b == len(lengths_b):
-                    return
-                end_b += lengths_b[b]
-            if a == len(lengths_a):
-                return
-            end_a += lengths_a[a]
-        else:
-            b += 1
-            end_b += lengths_b[b]
+def groups(ends_a: list[int], ends_b: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Where the slices of both token lists stop that begin and end together."""
+    at_a, at_b = dict(zip(ends_a, range(1, len(ends_a) + 1))), dict(zip(ends_b, range(1, len(ends_b) + 1)))
+    shared = sorted(at_a.keys() & at_b.keys())
+    return tuple(np.fromiter(map(at.__getitem__, shared), np.int64, len(shared)) for at in (at_a, at_b))
+
+
+def links(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the tokens that overlap: the bytes between two neighbouring ends lie in one token of each list."""
+    ends = np.union1d(ends_a, ends_b)
+    return np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
 
 
 class Aligner:
-    """Aligns units of texts, each once while it is remembered."""
+    """Aligns texts; the ids of units that came before are remembered."""
 
     def __init__(self, tokenizer_json: str, proto: bytes) -> None:
         import sentencepiece
@@ -113,24 +88,18 @@ class Aligner:
         self.a, cut = units.byte_level(tokenizer_json, plain_special=True)
         self.b = sentencepiece.SentencePieceProcessor(model_proto=proto)
         model = Model.parse(proto)
-        apart = model.splits_at_words() and not any(c in piece for piece in model.pieces for c in "\t\n\r")
-        self.cut = cut and apart and model.dummy_prefix
-        alphabet = byte_alphabet()
-        self.bytes_a = {
-            i: bytes(alphabet[c] for c in token) if all(c in alphabet for c in token) else token.encode()
-            for token, i in self.a.get_vocab(with_added_tokens=True).items()
-        }
+        self.cut = cut and model.splits_at_words() and model.dummy_prefix
+        alphabet, vocabulary = byte_alphabet(), self.a.get_vocab(with_added_tokens=True)
+        self.bytes_a = [b""] * (max(vocabulary.values()) + 1)
+        for token, i in vocabulary.items():
+            self.bytes_a[i] = bytes(alphabet[c] for c in token) if all(c in alphabet for c in token) else token.encode()
         self.bytes_b = [piece_bytes(piece) for piece in model.pieces]
+        self.lengths_a, self.lengths_b = (np.array([*map(len, of)]) for of in (self.bytes_a, self.bytes_b))
+        # Every id as text with what may follow it: within its side of a group, and at the end of that.
+        self.texts = [f"{i}{mark}" for side, of in (("|", self.bytes_a), (";", self.bytes_b)) for i in range(len(of)) for mark in (",", side)]
         self.line_end = len(self.b.encode("\n"))
         self.alone = [self.b.piece_to_id(MARK)]
-        self.forget()
-
-    def forget(self) -> None:
-        self.known: dict[str, int] = {}
-        # Of each unit known: group text, packed links, and the numbers of tokens, groups and links.
-        self.texts: list[str] = []
-        self.pairs: list[bytes] = []
-        self.numbers: list[tuple[int, int, int]] = []
+        self.memory = units.Memory(KEPT)
 
     def _encode_b(self, found: list[str]) -> list[list[int]]:
         """B's ids; it puts a blank before each text, which most units have already."""
@@ -141,61 +110,63 @@ class Aligner:
             for unit, has, one in zip(found, blank, ids)
         ]
 
-    def align(self, unit: str, ids_a: list[int], ids_b: list[int]) -> tuple[str, bytes, tuple[int, int, int]] | None:
-        """Groups, links and numbers of a unit; None where its tokens do not give back its bytes."""
-        a, b = [self.bytes_a[i] for i in ids_a], [self.bytes_b[i] for i in ids_b]
-        whole = unit.encode()
-        if b"".join(a) != whole or b"".join(b) != whole:
+    def encode(self, found: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of both tokenizers for units in a row."""
+        new = self.memory.missing(found)
+        known = self.memory.known
+        if new:
+            of_a = self.a.encode_batch_fast(new, add_special_tokens=False)
+            of_b = self._encode_b(new)
+            known.update((unit, (array("i", a.ids).tobytes(), array("i", b).tobytes())) for unit, a, b in zip(new, of_a, of_b))
+        both = [np.frombuffer(b"".join(one), np.int32) for one in zip(*map(known.__getitem__, found))]
+        self.memory.drop_long(new)
+        return tuple(both)
+
+    def align(self, text: str, ids_a: np.ndarray, ids_b: np.ndarray) -> tuple[str, np.ndarray, int] | None:
+        """Group text, packed links and number of groups; None where the tokens do not give back the bytes."""
+        whole = text.encode()
+        if any(b"".join(map(of.__getitem__, ids.tolist())) != whole for of, ids in ((self.bytes_a, ids_a), (self.bytes_b, ids_b))):
             return None
-        lengths_a, lengths_b = [*map(len, a)], [*map(len, b)]
-        texts, packed = [], []
-        for of_a, of_b in groups(lengths_a, lengths_b):
-            group_a, group_b = ids_a[of_a], ids_b[of_b]
-            texts.append(f"{','.join(map(str, group_a))}|{','.join(map(str, group_b))}")
-            if len(group_a) == 1 or len(group_b) == 1:
-                packed += [one << 32 | other for one in group_a for other in group_b]
-            else:
-                packed += [group_a[i] << 32 | group_b[k] for i, k in links(lengths_a[of_a], lengths_b[of_b])]
-        return ";".join(texts), np.array(packed, "<i8").tobytes(), (len(ids_a), len(ids_b), len(texts))
-
-    def _learn(self, new: list[str]) -> bool:
-        """Remember units; False if one of them has no alignment."""
-        of_a = [one.ids for one in self.a.encode_batch_fast(new, add_special_tokens=False)]
-        for unit, ids_a, ids_b in zip(new, of_a, self._encode_b(new)):
-            found = self.align(unit, ids_a, ids_b)
-            if found is None:
-                return False
-            self.known[unit] = len(self.texts)
-            for kept, value in zip((self.texts, self.pairs, self.numbers), found):
-                kept.append(value)
-        return True
+        ends_a, ends_b = np.cumsum(self.lengths_a[ids_a]), np.cumsum(self.lengths_b[ids_b])
+        stops_a, stops_b = groups(ends_a.tolist(), ends_b.tolist())
+        # A's ids of a group stand before B's; an id's text tells whether it is the last of its side.
+        codes = np.empty(len(ids_a) + len(ids_b), np.int64)
+        for ids, stops, others, first in (
+            (ids_a, stops_a, np.concatenate([[0], stops_b[:-1]]), 0),
+            (ids_b, stops_b, stops_a, 2 * len(self.bytes_a)),
+        ):
+            last = np.zeros(len(ids), np.int64)
+            last[stops - 1] = 1
+            before = np.repeat(others, np.diff(stops, prepend=0))
+            codes[np.arange(len(ids)) + before] = first + 2 * ids.astype(np.int64) + last
+        place_a, place_b = links(ends_a, ends_b)
+        packed = ids_a[place_a].astype(np.int64) << 32 | ids_b[place_b]
+        return "".join(map(self.texts.__getitem__, codes.tolist()))[:-1], packed, len(stops_a)
 
     def document(self, text: str | None) -> tuple[np.ndarray, np.ndarray, list[int], str]:
         """Distinct links, how often each occurs, numbers of tokens and groups, and the groups' digest."""
         nothing = np.empty(0, np.int64), np.empty(0, np.int64), [0, 0, 0], ""
         if not text:
             return nothing
-        digest, numbers, kept = hashlib.sha256(), np.zeros(3, np.int64), []
+        digest, numbers, kept = hashlib.sha256(), [0, 0, 0], []
         for place, found in enumerate(units.slices(" " + text, self.cut)):
-            if len(self.known) > units.KEPT:
-                self.forget()
-            new = list({unit for unit in found if unit not in self.known})
-            if new and not self._learn(new):
+            ids = self.encode(found) if self.cut else self._whole(text)
+            aligned = self.align("".join(found), *ids)
+            if aligned is None:
                 return nothing
-            which = [*map(self.known.__getitem__, found)]
-            digest.update(((";" if place else "") + ";".join(map(self.texts.__getitem__, which))).encode())
-            numbers += np.array([*map(self.numbers.__getitem__, which)], np.int64).sum(axis=0)
-            pairs = np.frombuffer(b"".join(map(self.pairs.__getitem__, which)), "<i8")
-            kept.append(np.unique(pairs, return_counts=True))
-            for unit in new:
-                if len(unit) > units.LONGEST_KEPT:
-                    number = self.known.pop(unit)
-                    self.texts[number], self.pairs[number] = "", b""
+            texts, packed, n_groups = aligned
+            digest.update((";" + texts if place else texts).encode())
+            numbers = [so_far + more for so_far, more in zip(numbers, (*map(len, ids), n_groups))]
+            kept.append(np.unique(packed, return_counts=True))
         pairs, times = kept[0]
         if len(kept) > 1:
             pairs, inverse = np.unique(np.concatenate([one for one, _ in kept]), return_inverse=True)
             times = np.bincount(inverse, np.concatenate([n for _, n in kept]), len(pairs)).astype(np.int64)
-        return pairs, times, numbers.tolist(), digest.hexdigest()
+        return pairs, times, numbers, digest.hexdigest()
+
+    def _whole(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        ids = self.a.encode(" " + text, add_special_tokens=False).ids, self.b.encode(text)
+        return tuple(np.array(one, np.int32) for one in ids)
 
 
 @lru_cache(maxsize=1)

@@ -233,8 +233,27 @@ def test_documents_over_several_chunks_share_their_counts(spark, library):
 
 
 def test_groups_and_links_of_given_ends():
-    assert alignment.groups([2, 1, 3], [3, 1, 2]) == [(slice(0, 2), slice(0, 1)), (slice(2, 3), slice(1, 3))]
-    assert list(alignment.links([2, 2, 2], [3, 3])) == [(0, 0), (1, 0), (1, 1), (2, 1)]
+    assert [stops.tolist() for stops in alignment.groups([2, 3, 6], [3, 4, 6])] == [[2, 3], [1, 3]]
+    places = alignment.links(np.array([2, 4, 6]), np.array([3, 6]))
+    assert list(zip(*(p.tolist() for p in places))) == [(0, 0), (1, 0), (1, 1), (2, 1)]
+
+
+def test_units_that_come_again_outlive_a_generation():
+    memory = units.Memory(kept=2)
+    for found in (["a", "b", "c"], ["a", "d"], ["e", "f"]):
+        new = memory.missing(found)
+        memory.known.update((unit, unit) for unit in new)
+        assert all(unit in memory.known for unit in found)
+    assert memory.missing(["a"]) == [] and memory.missing(["b"]) == ["b"]
+
+
+def test_models_that_do_not_split_at_words_align_whole_texts(library, monkeypatch):
+    with open(alignment.BYTE_BPE, encoding="utf-8") as a, open(alignment.PIECE_BPE, "rb") as b:
+        aligner = alignment.Aligner(a.read(), b.read())
+    texts = nasty(6, 200)
+    want = [aligner.document(text)[2:] for text in texts]
+    aligner.cut = False
+    assert [aligner.document(text)[2:] for text in texts] == want
 
 
 @pytest.mark.parametrize("name, plain", [("op12_token_files", plain_files), ("op13_alignment", plain_alignment)])
