@@ -40,6 +40,8 @@ from . import common, units
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 0
+#: Units of a generation that a worker remembers.
+KEPT = 800_000
 #: Documents that one task reads back at once.
 READ_DOCS = 20_000
 
@@ -74,7 +76,7 @@ class Encoder:
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self.code = "H" if self.dtype.itemsize == 2 else "I"
-        self.memory = units.Memory()
+        self.memory = units.Memory(KEPT)
 
     def encode(self, text: str) -> Iterator[bytes]:
         for found in units.slices(text, self.cut):
@@ -213,5 +215,7 @@ def read(manifest: DataFrame) -> DataFrame:
 
     firsts = F.sequence(F.lit(0).cast("long"), F.col("n_docs") - 1, F.lit(READ_DOCS).cast("long"))
     pieces = with_bases(manifest).withColumn("first", F.explode(firsts))
-    dealt = pieces.repartition("part", "first")
+    # As many tasks as pieces: their rows are small, what they stand for is not.
+    count = manifest.agg(F.sum(F.ceil(F.col("n_docs") / READ_DOCS))).first()[0] or 1
+    dealt = pieces.repartition(int(count), "part", "first")
     return dealt.mapInArrow(digests, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")

@@ -20,6 +20,9 @@ from collections.abc import Iterator
 SURE = r" \n"
 DOUBTFUL = r"\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u2581\u3000\ufeff"
 UNIT = re.compile(f"[{SURE}]*(?:[^{SURE}{DOUBTFUL}]+|[{DOUBTFUL}][{SURE}]*)+|[{SURE}]+")
+# The same where nothing is doubtful.
+PLAIN_UNIT = re.compile(f"[{SURE}]*[^{SURE}]+|[{SURE}]+")
+ANY_DOUBTFUL = re.compile(f"[{DOUBTFUL}]")
 BORDER = re.compile(f"(?<=[^{SURE}{DOUBTFUL}])[{SURE}]")
 
 #: Characters that are cut into units at once.
@@ -49,7 +52,8 @@ def slices(text: str, cut: bool = True) -> Iterator[list[str]]:
     while start < length:
         border = BORDER.search(text, start + SLICE) if start + SLICE < length else None
         end = border.start() if border else length
-        yield UNIT.findall(text, start, end)
+        pattern = UNIT if ANY_DOUBTFUL.search(text, start, end) else PLAIN_UNIT
+        yield pattern.findall(text, start, end)
         start = end
 
 
