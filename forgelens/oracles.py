@@ -652,6 +652,9 @@ def oracle_sql() -> dict[str, str]:
         "replacing_events": """
             SELECT user_id, event_id, ts, event_type, value FROM events
             QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
+        "loaded_payloads": _with([ISSUES], """
+            SELECT state, count(DISTINCT issue_id) AS issues, sum(comments_count)::BIGINT AS comments,
+                   max(issue_id) AS last_id FROM issues GROUP BY 1"""),
         "quarantined_lines": _with([ISSUES], """
             SELECT created_at::DATE::VARCHAR AS landed_on, CASE WHEN comments_count IS NULL THEN 'unreadable'
                    WHEN comments_count = 0 THEN 'incomplete' ELSE 'loaded' END AS outcome, count(*) AS lines

@@ -240,6 +240,24 @@ def quarantined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loaded.unionByName(aside).groupBy("landed_on", "outcome").agg(F.count("*").alias("lines"))
 
 
+def loaded_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Issues delivered as lines of which some have an envelope and some are bare records, read by one loader."""
+    path = session.scratch_dir(spark, "payloads")
+    envelopes = feeds.nested(feeds.feed(spark, sf_dir, "issues"))
+    options = {"timestampFormat": feeds.TIMESTAMP_TEXT}
+    wrapped = F.to_json(F.struct("_resource", "_run_id", "_extracted_at", "payload"), options)
+    bare = F.to_json("payload", options)
+    closed = F.col("payload.state") == "closed"
+    envelopes.select(F.when(closed, wrapped).otherwise(bare).alias("value")).write.text(path)
+    part = lambda name, kind: F.try_variant_get("payload", f"$.{name}", kind).alias(name)
+    return (
+        landing.read_payloads(spark, path)
+        .select(part("state", "string"), part("id", "bigint"), part("comments", "bigint"))
+        .groupBy("state")
+        .agg(F.count_distinct("id").alias("issues"), F.sum("comments").alias("comments"), F.max("id").alias("last_id"))
+    )
+
+
 def repos_snapshot_keep_deleted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The history when a repository that is not listed stays open."""
     staged = _repos(spark, sf_dir)
@@ -596,6 +614,7 @@ REGISTERED: dict[str, Query] = {
     "replacing_events": replacing_events,
     "backfilled_days": backfilled_days,
     "quarantined_lines": quarantined_lines,
+    "loaded_payloads": loaded_payloads,
     "incremental_build": incremental_build,
     "daily_partitions": daily_partitions,
     "dq_report": dq_report,

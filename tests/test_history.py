@@ -196,3 +196,14 @@ def test_unfinished_run_is_not_seen(spark, tmp_path, monkeypatch):
     with pytest.raises(RuntimeError):
         history.apply(staged_run(spark, 2, {1: 9}), "20260103", F.lit(day(2)))
     assert spans(RepoHistory(spark, str(tmp_path / "h"))) == [(1, 5, True)]
+
+
+def test_a_row_of_a_run_that_is_not_complete_fails_instead_of_being_lost(spark):
+    rows = listing(1, {1: (5, ["a"], 1)}) + listing(2, {2: (5, ["a"], 2)})
+    staged = spark.createDataFrame(rows, SCHEMA)
+    known = spark.createDataFrame([("run-1", day(1))], "run_id STRING, finished_at_utc TIMESTAMP")
+    history = scd2.replay(staged, "repo_id", WATCH, TIES, scd2.number_runs(known))
+    with pytest.raises(Exception, match="run-2"):
+        history.collect()
+    both = spark.createDataFrame([("run-1", day(1)), ("run-2", day(2))], "run_id STRING, finished_at_utc TIMESTAMP")
+    assert scd2.replay(staged, "repo_id", WATCH, TIES, scd2.number_runs(both)).count() == 2
