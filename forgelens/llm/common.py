@@ -76,7 +76,7 @@ def numbered(df: DataFrame, order: list[Column], name: str, label: str) -> DataF
 
 
 def sample_of(rows: DataFrame, keys: list[str], size: int) -> DataFrame:
-    """``size`` rows of different ``keys`` (all, if there are fewer), chosen by their hash.
+    """At most ``size`` rows of different ``keys``, chosen by their hash; fewer where there are not as many, or keys repeat.
 
     A threshold on the hash leaves about a quarter more rows than asked for of
     the whole table, and repeated keys meet before they move, so no task holds
