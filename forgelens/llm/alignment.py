@@ -9,8 +9,9 @@ overlap are linked.  Links are counted over the corpus as documents that hold a
 pair of ids linked, and every document is measured against these counts.
 
 Where neither tokenizer's tokens cross the border of a unit (:mod:`units`; of B
-the vocabulary shows it), a worker encodes a unit once and puts the ids of texts
-together from those of their units.  Other models encode whole texts.
+the vocabulary shows it), both end a token there, so a worker encodes and aligns
+a unit once and puts texts together from their units.  With other models a whole
+text is one unit.
 
 A task closes a chunk of documents after ``CHUNK`` characters and stores it with
 its distinct pairs, and the number of its documents that hold each.  The counts
@@ -27,9 +28,9 @@ worked through in slices; only a unit of many MB is encoded at once.
 from __future__ import annotations
 
 import hashlib
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -46,7 +47,7 @@ PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 #: Characters of a chunk of documents, beside a text that is longer by itself.
 CHUNK = 4 << 20
 #: Units of a generation that a worker remembers.
-KEPT = 300_000
+KEPT = 350_000
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -73,14 +74,14 @@ def groups(ends_a: list[int], ends_b: list[int]) -> tuple[np.ndarray, np.ndarray
     return tuple(np.fromiter(map(at.__getitem__, shared), np.int64, len(shared)) for at in (at_a, at_b))
 
 
-def links(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the tokens that overlap: the bytes between two neighbouring ends lie in one token of each list."""
+def links(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the tokens that overlap, and where they do: each range between neighbouring ends lies in one of each."""
     ends = np.union1d(ends_a, ends_b)
-    return np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
+    return np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends), ends
 
 
 class Aligner:
-    """Aligns texts; the ids of units that came before are remembered."""
+    """Aligns texts; what was found out about units that came before is remembered."""
 
     def __init__(self, tokenizer_json: str, proto: bytes) -> None:
         import sentencepiece
@@ -110,24 +111,24 @@ class Aligner:
             for unit, has, one in zip(found, blank, ids)
         ]
 
-    def encode(self, found: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of both tokenizers for units in a row."""
-        new = self.memory.missing(found)
-        known = self.memory.known
-        if new:
-            of_a = self.a.encode_batch_fast(new, add_special_tokens=False)
-            of_b = self._encode_b(new)
-            known.update((unit, (array("i", a.ids).tobytes(), array("i", b).tobytes())) for unit, a, b in zip(new, of_a, of_b))
-        both = [np.frombuffer(b"".join(one), np.int32) for one in zip(*map(known.__getitem__, found))]
-        self.memory.drop_long(new)
-        return tuple(both)
-
-    def align(self, text: str, ids_a: np.ndarray, ids_b: np.ndarray) -> tuple[str, np.ndarray, int] | None:
-        """Group text, packed links and number of groups; None where the tokens do not give back the bytes."""
-        whole = text.encode()
-        if any(b"".join(map(of.__getitem__, ids.tolist())) != whole for of, ids in ((self.bytes_a, ids_a), (self.bytes_b, ids_b))):
-            return None
+    def _learn(self, new: list[str]) -> bool:
+        """Align units, all at once; False if the tokens of one of them do not give back its bytes.
+
+        Of each unit are kept: the text of its groups, its packed links, and its numbers of tokens and groups.
+        """
+        of_a = [one.ids for one in self.a.encode_batch_fast(new, add_special_tokens=False)]
+        of_b = self._encode_b(new)
+        wholes = [unit.encode() for unit in new]
+        ids_a, ids_b = (np.fromiter(chain.from_iterable(of), np.int64) for of in (of_a, of_b))
         ends_a, ends_b = np.cumsum(self.lengths_a[ids_a]), np.cumsum(self.lengths_b[ids_b])
+        tokens_a, tokens_b = np.cumsum([*map(len, of_a)]), np.cumsum([*map(len, of_b)])
+        # All bytes in a row are the same, and a token ends with each unit: so are those of every unit.
+        borders, together = np.cumsum([*map(len, wholes)]), b"".join(wholes)
+        for of, ids, ends, tokens in ((self.bytes_a, ids_a, ends_a, tokens_a), (self.bytes_b, ids_b, ends_b, tokens_b)):
+            if not len(ids) or tokens[0] == 0 or not np.array_equal(ends[tokens - 1], borders):
+                return False
+            if b"".join(map(of.__getitem__, ids.tolist())) != together:
+                return False
         stops_a, stops_b = groups(ends_a.tolist(), ends_b.tolist())
         # A's ids of a group stand before B's; an id's text tells whether it is the last of its side.
         codes = np.empty(len(ids_a) + len(ids_b), np.int64)
@@ -138,10 +139,21 @@ class Aligner:
             last = np.zeros(len(ids), np.int64)
             last[stops - 1] = 1
             before = np.repeat(others, np.diff(stops, prepend=0))
-            codes[np.arange(len(ids)) + before] = first + 2 * ids.astype(np.int64) + last
-        place_a, place_b = links(ends_a, ends_b)
-        packed = ids_a[place_a].astype(np.int64) << 32 | ids_b[place_b]
-        return "".join(map(self.texts.__getitem__, codes.tolist()))[:-1], packed, len(stops_a)
+            codes[np.arange(len(ids)) + before] = first + 2 * ids + last
+        texts = [*map(self.texts.__getitem__, codes.tolist())]
+        place_a, place_b, where = links(ends_a, ends_b)
+        packed = (ids_a[place_a] << 32 | ids_b[place_b]).tobytes()
+        # Both tokenizers end a token where a unit ends, so that all lists are cut there.
+        at_group = np.searchsorted(stops_a, tokens_a, side="right")
+        at_link = 8 * np.searchsorted(where, borders, side="right")
+        text, link, group = 0, 0, 0
+        for unit, a, b, text_end, link_end, group_end in zip(
+            new, of_a, of_b, (tokens_a + tokens_b).tolist(), at_link.tolist(), at_group.tolist()
+        ):
+            own = "".join(texts[text:text_end])[:-1], packed[link:link_end], len(a), len(b), group_end - group
+            self.memory.known[unit] = own
+            text, link, group = text_end, link_end, group_end
+        return True
 
     def document(self, text: str | None) -> tuple[np.ndarray, np.ndarray, list[int], str]:
         """Distinct links, how often each occurs, numbers of tokens and groups, and the groups' digest."""
@@ -150,24 +162,20 @@ class Aligner:
             return nothing
         digest, numbers, kept = hashlib.sha256(), [0, 0, 0], []
         for place, found in enumerate(units.slices(" " + text, self.cut)):
-            ids = self.encode(found) if self.cut else self._whole(text)
-            aligned = self.align("".join(found), *ids)
-            if aligned is None:
+            new = self.memory.missing(found)
+            if new and not self._learn(new):
                 return nothing
-            texts, packed, n_groups = aligned
-            digest.update((";" + texts if place else texts).encode())
-            numbers = [so_far + more for so_far, more in zip(numbers, (*map(len, ids), n_groups))]
-            kept.append(np.unique(packed, return_counts=True))
+            texts, packed, *counts = zip(*map(self.memory.known.__getitem__, found))
+            digest.update(((";" if place else "") + ";".join(texts)).encode())
+            numbers = [so_far + sum(more) for so_far, more in zip(numbers, counts)]
+            kept.append(np.unique(np.frombuffer(b"".join(packed), np.int64), return_counts=True))
+            self.memory.drop_long(new)
         pairs, times = kept[0]
         if len(kept) > 1:
             pairs, inverse = np.unique(np.concatenate([one for one, _ in kept]), return_inverse=True)
             times = np.bincount(inverse, np.concatenate([n for _, n in kept]), len(pairs)).astype(np.int64)
         return pairs, times, numbers, digest.hexdigest()
 
-    def _whole(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        ids = self.a.encode(" " + text, add_special_tokens=False).ids, self.b.encode(text)
-        return tuple(np.array(one, np.int32) for one in ids)
-
 
 @lru_cache(maxsize=1)
 def aligner_of(tokenizer_json: str, proto: bytes) -> Aligner:
