@@ -25,6 +25,14 @@ def spread(rows):
     return [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
 
 
+def test_one_piece_is_dealt_over_tasks_and_keeps_its_rows(spark, tables):
+    found = feeds.feed(spark, tables, "repositories")
+    assert len(spread(found)) >= 8 and max(spread(found)) <= 3 * 2 * feeds.DEALT_ROWS
+    plain = feeds.repositories(feeds.table(spark, tables, "part"))
+    assert len(spread(plain)) == 1
+    assert found.exceptAll(plain).isEmpty() and plain.exceptAll(found).isEmpty()
+
+
 def test_a_batch_of_one_piece_is_dealt_over_tasks(spark, tables, tmp_path):
     seen = []
     rows = feeds.feed_stream(spark, tables, "repositories").select("_run_id", "position.row_index")
