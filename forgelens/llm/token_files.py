@@ -25,9 +25,9 @@ from __future__ import annotations
 
 import uuid
 import zlib
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain, islice
 
 import numpy as np
 import public_tokenizers
@@ -72,22 +72,38 @@ class Encoder:
     """Ids of texts as bytes of the file; units that came before are not encoded again."""
 
     def __init__(self, tokenizer_json: str) -> None:
-        self.tokenizer, self.cut = units.byte_level(tokenizer_json)
+        self.byte_level = units.ByteLevel(tokenizer_json)
+        self.tokenizer = self.byte_level.tokenizer
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
-        self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.memory = units.Memory(KEPT)
 
+    def _known(self, found: list[str]) -> tuple[dict[str, bytes], list[str]]:
+        """Ids of units, and which of them are new, which are encoded at once."""
+        new = self.memory.missing(found)
+        known = self.memory.known
+        if new:
+            new, ids, stops = self.byte_level.encode(new)
+            packed, stops = ids.astype(self.dtype).tobytes(), (stops * self.dtype.itemsize).tolist()
+            known.update(zip(new, map(packed.__getitem__, map(slice, [0, *stops], stops))))
+        return known, new
+
     def encode(self, text: str) -> Iterator[bytes]:
-        for found in units.slices(text, self.cut):
-            new = self.memory.missing(found)
-            known = self.memory.known
-            if new:
-                encoded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-                known.update((unit, array(self.code, one.ids).tobytes()) for unit, one in zip(new, encoded))
+        for found in units.slices(text, self.byte_level.cut):
+            known, new = self._known(found)
             yield b"".join(map(known.__getitem__, found))
             self.memory.drop_long(new)
 
+    def encode_run(self, texts: list[str]) -> list[list[bytes]]:
+        """Parts of each of some texts; one text alone may be long, and is encoded in slices."""
+        if len(texts) == 1:
+            return [[*self.encode(texts[0])]]
+        cut = [[*chain.from_iterable(units.slices(text, self.byte_level.cut))] for text in texts]
+        known, new = self._known([*chain.from_iterable(cut)])
+        parts = [[b"".join(map(known.__getitem__, found))] for found in cut]
+        self.memory.drop_long(new)
+        return parts
+
 
 @lru_cache(maxsize=1)
 def encoder_of(tokenizer_json: str) -> Encoder:
@@ -161,15 +177,10 @@ def write(documents: DataFrame, folder: str, tokenizer: str = TOKENIZER, end_id:
             if writer is None:
                 path = f"{folder}/shard-{part:06d}-{uuid.uuid4().hex[:8]}"
                 writer = ShardWriter(path, encoder.dtype)
-            held, doc_ids, size = [], [], 0
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"]):
-                held.append([*encoder.encode(text.as_py() or ""), end])
-                doc_ids.append(doc_id)
-                size += sum(map(len, held[-1]))
-                if size > units.SLICE:
-                    writer.add(doc_ids, held)
-                    held, doc_ids, size = [], [], 0
-            writer.add(doc_ids, held)
+            doc_ids = iter(batch["doc_id"].to_pylist())
+            for texts in units.runs(text.as_py() or "" for text in batch["text"]):
+                parts = [[*one, end] for one in encoder.encode_run(texts)]
+                writer.add([*islice(doc_ids, len(parts))], parts)
         if writer is not None:
             writer.close()
             row = [part, path, writer.n_docs, writer.n_ids, writer.n_null, writer.width]

@@ -13,7 +13,10 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
+
+import numpy as np
 
 # Surely white to every tokenizer here, and perhaps white (U+2581 is a blank to SentencePiece) or part of a token
 # with what stands before.
@@ -24,6 +27,8 @@ UNIT = re.compile(f"[{SURE}]*(?:[^{SURE}{DOUBTFUL}]+|[{DOUBTFUL}][{SURE}]*)+|[{S
 PLAIN_UNIT = re.compile(f"[{SURE}]*[^{SURE}]+|[{SURE}]+")
 ANY_DOUBTFUL = re.compile(f"[{DOUBTFUL}]")
 BORDER = re.compile(f"(?<=[^{SURE}{DOUBTFUL}])[{SURE}]")
+# A unit between two borders, whatever stands around it.
+BETWEEN = re.compile(f"[{SURE}].*[^{SURE}{DOUBTFUL}]", re.DOTALL)
 
 #: Characters that are cut into units at once.
 SLICE = 1 << 20
@@ -57,6 +62,19 @@ def slices(text: str, cut: bool = True) -> Iterator[list[str]]:
         start = end
 
 
+def runs(texts: Iterable[str], most: int = SLICE >> 1) -> Iterator[list[str]]:
+    """Texts in their order, together as many as have ``most`` characters, or one longer text."""
+    held, size = [], 0
+    for text in texts:
+        if held and size + len(text) > most:
+            yield held
+            held, size = [], 0
+        held.append(text)
+        size += len(text)
+    if held:
+        yield held
+
+
 def byte_level(tokenizer_json: str, plain_special: bool = False):
     """The tokenizer, and whether its texts may be cut into units."""
     # One worker runs beside others of its executor, so the library starts no threads of its own.
@@ -68,6 +86,43 @@ def byte_level(tokenizer_json: str, plain_special: bool = False):
     return tokenizer, fits(json.loads(tokenizer_json))
 
 
+class ByteLevel:
+    """A byte-level tokenizer that encodes many units at once.
+
+    Units that begin and end at borders, whatever stands around them, are one
+    text when they are written in a row, and the lengths of its tokens tell
+    which unit each of them is of.
+    """
+
+    def __init__(self, tokenizer_json: str, plain_special: bool = False) -> None:
+        self.tokenizer, self.cut = byte_level(tokenizer_json, plain_special)
+        vocabulary, added = self.tokenizer.get_vocab(with_added_tokens=False), self.tokenizer.get_added_tokens_decoder()
+        self.lengths = np.zeros(max([*vocabulary.values(), *added], default=-1) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self.lengths[i] = len(token)
+        for i, token in added.items():
+            self.lengths[i] = len(token.content.encode())
+        # Without a token for every byte some would be left out.
+        self.joins = self.cut and sum(len(token) == 1 for token in vocabulary) >= 256
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [one.ids for one in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encode(self, new: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The units in another order, their ids in that order, and where the ids of each of them stop."""
+        row = [*filter(BETWEEN.fullmatch, new)] if self.joins else []
+        if len(row) > 1:
+            others = [*set(new).difference(row)]
+            order = row + others
+            ids = np.fromiter(chain.from_iterable(self._ids(["".join(row), *others])), np.int64)
+            ends, borders = np.cumsum(self.lengths[ids]), np.cumsum([len(unit.encode()) for unit in order])
+            last = np.searchsorted(ends, borders)
+            if ends[-1] == borders[-1] and np.array_equal(ends[last], borders):
+                return order, ids, last + 1
+        found = self._ids(new)
+        return new, np.fromiter(chain.from_iterable(found), np.int64), np.cumsum([*map(len, found)])
+
+
 class Memory:
     """What was found out about units, in two generations: the older one makes room, but for units that came again."""
 

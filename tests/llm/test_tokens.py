@@ -261,3 +261,29 @@ def test_query_over_the_whole_table(spark, library, name, plain):
     path = "/root/testdata/sf0.001"
     rows = [tuple(row) for row in spark.read.parquet(f"{path}/documents.parquet").select("doc_id", "text").collect()]
     same(queries.queries()[name](spark, path).collect(), plain(library if name.startswith("op13") else library[0], rows))
+
+
+def test_units_in_a_row_keep_their_ids(library):
+    coder = units.ByteLevel(library[0].to_str())
+    new = sorted({unit for text in nasty(7, 300) for part in units.slices(text) for unit in part} | {" ", "\n ", "a\u3000"})
+    calls, ids_of = [], coder._ids
+    coder._ids = lambda texts: calls.append(len(texts)) or ids_of(texts)
+    order, ids, stops = coder.encode(new)
+    assert sorted(order) == new and len(calls) == 1 and calls[0] < len(new)
+    found = [part.tolist() for part in np.split(ids, stops[:-1])]
+    assert found == [one.ids for one in coder.tokenizer.encode_batch_fast(order, add_special_tokens=False)]
+
+
+def test_texts_of_a_run_are_encoded_at_once(library):
+    texts = [*nasty(8, 100), "", "a \u2581 b", "last  one\n"]
+    encoder = token_files.Encoder(library[0].to_str())
+    calls, encode = [], encoder.byte_level.encode
+    encoder.byte_level.encode = lambda new: calls.append(new) or encode(new)
+    found = [np.frombuffer(b"".join(parts), encoder.dtype).tolist() for parts in encoder.encode_run(texts)]
+    assert len(calls) == 1
+    assert found == [encoder.tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
+
+
+def test_runs_of_texts_keep_all_of_them_in_order():
+    texts = ["ab", "", "c", "long text", "d", "ef"]
+    assert [*units.runs(texts, 3)] == [["ab", "", "c"], ["long text"], ["d", "ef"]] and [*units.runs([])] == []
