@@ -30,7 +30,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import public_tokenizers
@@ -80,17 +80,21 @@ def links(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends), ends
 
 
+#: What is known of a text without tokens.
+NOTHING = np.empty(0, np.int64), np.empty(0, np.int64), [0, 0, 0], ""
+
+
 class Aligner:
     """Aligns texts; what was found out about units that came before is remembered."""
 
     def __init__(self, tokenizer_json: str, proto: bytes) -> None:
         import sentencepiece
 
-        self.a, cut = units.byte_level(tokenizer_json, plain_special=True)
+        self.a = units.ByteLevel(tokenizer_json, plain_special=True)
         self.b = sentencepiece.SentencePieceProcessor(model_proto=proto)
         model = Model.parse(proto)
-        self.cut = cut and model.splits_at_words() and model.dummy_prefix
-        alphabet, vocabulary = byte_alphabet(), self.a.get_vocab(with_added_tokens=True)
+        self.cut = self.a.cut and model.splits_at_words() and model.dummy_prefix
+        alphabet, vocabulary = byte_alphabet(), self.a.tokenizer.get_vocab(with_added_tokens=True)
         self.bytes_a = [b""] * (max(vocabulary.values()) + 1)
         for token, i in vocabulary.items():
             self.bytes_a[i] = bytes(alphabet[c] for c in token) if all(c in alphabet for c in token) else token.encode()
@@ -116,12 +120,11 @@ class Aligner:
 
         Of each unit are kept: the text of its groups, its packed links, and its numbers of tokens and groups.
         """
-        of_a = [one.ids for one in self.a.encode_batch_fast(new, add_special_tokens=False)]
+        new, ids_a, tokens_a = self.a.encode(new)
         of_b = self._encode_b(new)
         wholes = [unit.encode() for unit in new]
-        ids_a, ids_b = (np.fromiter(chain.from_iterable(of), np.int64) for of in (of_a, of_b))
+        ids_b, tokens_b = np.fromiter(chain.from_iterable(of_b), np.int64), np.cumsum([*map(len, of_b)])
         ends_a, ends_b = np.cumsum(self.lengths_a[ids_a]), np.cumsum(self.lengths_b[ids_b])
-        tokens_a, tokens_b = np.cumsum([*map(len, of_a)]), np.cumsum([*map(len, of_b)])
         # All bytes in a row are the same, and a token ends with each unit: so are those of every unit.
         borders, together = np.cumsum([*map(len, wholes)]), b"".join(wholes)
         for of, ids, ends, tokens in ((self.bytes_a, ids_a, ends_a, tokens_a), (self.bytes_b, ids_b, ends_b, tokens_b)):
@@ -148,27 +151,31 @@ class Aligner:
         at_link = 8 * np.searchsorted(where, borders, side="right")
         text, link, group = 0, 0, 0
         for unit, a, b, text_end, link_end, group_end in zip(
-            new, of_a, of_b, (tokens_a + tokens_b).tolist(), at_link.tolist(), at_group.tolist()
+            new, np.diff(tokens_a, prepend=0).tolist(), map(len, of_b), (tokens_a + tokens_b).tolist(), at_link.tolist(), at_group.tolist()
         ):
-            own = "".join(texts[text:text_end])[:-1], packed[link:link_end], len(a), len(b), group_end - group
+            own = "".join(texts[text:text_end])[:-1], packed[link:link_end], a, b, group_end - group
             self.memory.known[unit] = own
             text, link, group = text_end, link_end, group_end
         return True
 
+    def _of_units(self, found: list[str], digest, place: int) -> tuple[tuple[np.ndarray, np.ndarray], list[int]]:
+        """Distinct links and how often each occurs, and numbers of tokens and groups; the groups go to ``digest``."""
+        texts, packed, *counts = zip(*map(self.memory.known.__getitem__, found))
+        digest.update(((";" if place else "") + ";".join(texts)).encode())
+        return np.unique(np.frombuffer(b"".join(packed), np.int64), return_counts=True), [*map(sum, counts)]
+
     def document(self, text: str | None) -> tuple[np.ndarray, np.ndarray, list[int], str]:
         """Distinct links, how often each occurs, numbers of tokens and groups, and the groups' digest."""
-        nothing = np.empty(0, np.int64), np.empty(0, np.int64), [0, 0, 0], ""
         if not text:
-            return nothing
+            return NOTHING
         digest, numbers, kept = hashlib.sha256(), [0, 0, 0], []
         for place, found in enumerate(units.slices(" " + text, self.cut)):
             new = self.memory.missing(found)
             if new and not self._learn(new):
-                return nothing
-            texts, packed, *counts = zip(*map(self.memory.known.__getitem__, found))
-            digest.update(((";" if place else "") + ";".join(texts)).encode())
-            numbers = [so_far + sum(more) for so_far, more in zip(numbers, counts)]
-            kept.append(np.unique(np.frombuffer(b"".join(packed), np.int64), return_counts=True))
+                return NOTHING
+            links_found, more = self._of_units(found, digest, place)
+            numbers = [so_far + one for so_far, one in zip(numbers, more)]
+            kept.append(links_found)
             self.memory.drop_long(new)
         pairs, times = kept[0]
         if len(kept) > 1:
@@ -176,6 +183,25 @@ class Aligner:
             times = np.bincount(inverse, np.concatenate([n for _, n in kept]), len(pairs)).astype(np.int64)
         return pairs, times, numbers, digest.hexdigest()
 
+    def documents(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, list[int], str]]:
+        """The same of each of some texts, whose new units are aligned at once; one text alone may be long."""
+        # A literal mark is not given back, so it would fail the units of the other texts.
+        found = [
+            [*chain.from_iterable(units.slices(" " + text, self.cut))] if text and MARK not in text else [] for text in texts
+        ]
+        new = self.memory.missing([*chain.from_iterable(found)]) if len(texts) > 1 else []
+        if len(texts) == 1 or (new and not self._learn(new)):
+            return [self.document(text) for text in texts]
+        results = []
+        for one in found:
+            digest = hashlib.sha256()
+            if one:
+                (pairs, times), numbers = self._of_units(one, digest, 0)
+            results.append((pairs, times, numbers, digest.hexdigest()) if one else NOTHING)
+        self.memory.drop_long(new)
+        # These make room in the memory, so they come after the others.
+        return [self.document(text) if MARK in text else one for text, one in zip(texts, results)]
+
 
 @lru_cache(maxsize=1)
 def aligner_of(tokenizer_json: str, proto: bytes) -> Aligner:
@@ -243,11 +269,11 @@ def align(documents: DataFrame, byte_bpe: str = BYTE_BPE, piece_bpe: str = PIECE
         aligner = aligner_of(tokenizer_json, proto)
         chunk, doc_ids, found, size = TaskContext.get().partitionId() << 32, [], [], 0
         for batch in batches:
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"]):
-                whole = text.as_py()
-                doc_ids.append(doc_id)
-                found.append(aligner.document(whole))
-                size += len(whole or "")
+            of_batch = iter(batch["doc_id"].to_pylist())
+            for texts in units.runs(text.as_py() or "" for text in batch["text"]):
+                doc_ids += islice(of_batch, len(texts))
+                found += aligner.documents(texts)
+                size += sum(map(len, texts))
                 if size > CHUNK:
                     yield from chunk_rows(chunk, doc_ids, found)
                     chunk, doc_ids, found, size = chunk + 1, [], [], 0

@@ -274,7 +274,7 @@ def test_units_in_a_row_keep_their_ids(library):
     assert found == [one.ids for one in coder.tokenizer.encode_batch_fast(order, add_special_tokens=False)]
 
 
-def test_texts_of_a_run_are_encoded_at_once(library):
+def test_texts_of_a_run_are_encoded_and_aligned_at_once(library):
     texts = [*nasty(8, 100), "", "a \u2581 b", "last  one\n"]
     encoder = token_files.Encoder(library[0].to_str())
     calls, encode = [], encoder.byte_level.encode
@@ -282,6 +282,11 @@ def test_texts_of_a_run_are_encoded_at_once(library):
     found = [np.frombuffer(b"".join(parts), encoder.dtype).tolist() for parts in encoder.encode_run(texts)]
     assert len(calls) == 1
     assert found == [encoder.tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
+    with open(alignment.BYTE_BPE, encoding="utf-8") as a, open(alignment.PIECE_BPE, "rb") as b:
+        proto, tokenizer_json = b.read(), a.read()
+    together, alone = (alignment.Aligner(tokenizer_json, proto) for _ in range(2))
+    for one, other in zip(together.documents(texts), map(alone.document, texts), strict=True):
+        assert one[2:] == other[2:] and all(map(np.array_equal, one[:2], other[:2]))
 
 
 def test_runs_of_texts_keep_all_of_them_in_order():
