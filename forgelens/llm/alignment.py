@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 
 from . import common, units
 from .pieces import MARK, Model
+from .units import byte_alphabet
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
@@ -50,17 +51,6 @@ CHUNK = 4 << 20
 KEPT = 350_000
 
 
-def byte_alphabet() -> dict[str, int]:
-    """The byte that each character of a byte-level vocabulary stands for.
-
-    Fixed rule: printable Latin-1 characters stand for themselves, the other
-    bytes for the characters from 256 on, in their order.
-    """
-    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-    others = [byte for byte in range(256) if byte not in printable]
-    return {chr(byte): byte for byte in printable} | {chr(256 + i): byte for i, byte in enumerate(others)}
-
-
 def piece_bytes(piece: str) -> bytes:
     if len(piece) == 6 and piece.startswith("<0x") and piece.endswith(">"):
         return bytes.fromhex(piece[3:5])

@@ -78,31 +78,23 @@ class Encoder:
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self.memory = units.Memory(KEPT)
 
-    def _known(self, found: list[str]) -> tuple[dict[str, bytes], list[str]]:
-        """Ids of units, and which of them are new, which are encoded at once."""
-        new = self.memory.missing(found)
-        known = self.memory.known
-        if new:
-            new, ids, stops = self.byte_level.encode(new)
-            packed, stops = ids.astype(self.dtype).tobytes(), (stops * self.dtype.itemsize).tolist()
-            known.update(zip(new, map(packed.__getitem__, map(slice, [0, *stops], stops))))
-        return known, new
+    def _learn(self, new: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Ids of new units, which are encoded at once."""
+        new, ids, stops = self.byte_level.encode(new)
+        packed, stops = ids.astype(self.dtype).tobytes(), (stops * self.dtype.itemsize).tolist()
+        return zip(new, map(packed.__getitem__, map(slice, [0, *stops], stops)))
 
     def encode(self, text: str) -> Iterator[bytes]:
         for found in units.slices(text, self.byte_level.cut):
-            known, new = self._known(found)
-            yield b"".join(map(known.__getitem__, found))
-            self.memory.drop_long(new)
+            yield b"".join(self.memory.values(found, self._learn))
 
     def encode_run(self, texts: list[str]) -> list[list[bytes]]:
         """Parts of each of some texts; one text alone may be long, and is encoded in slices."""
         if len(texts) == 1:
             return [[*self.encode(texts[0])]]
         cut = [[*chain.from_iterable(units.slices(text, self.byte_level.cut))] for text in texts]
-        known, new = self._known([*chain.from_iterable(cut)])
-        parts = [[b"".join(map(known.__getitem__, found))] for found in cut]
-        self.memory.drop_long(new)
-        return parts
+        values = self.memory.values([*chain.from_iterable(cut)], self._learn)
+        return [[one] for one in units.joined(values, cut)]
 
 
 @lru_cache(maxsize=1)

@@ -292,3 +292,35 @@ def test_texts_of_a_run_are_encoded_and_aligned_at_once(library):
 def test_runs_of_texts_keep_all_of_them_in_order():
     texts = ["ab", "", "c", "long text", "d", "ef"]
     assert [*units.runs(texts, 3)] == [["ab", "", "c"], ["long text"], ["d", "ef"]] and [*units.runs([])] == []
+
+
+def test_sure_units_are_split_as_the_tokenizer_splits_them(library):
+    rng = random.Random(9)
+    signs = [*"abZ09_.,-!?\"#$|<>()[]{}~^`é", "ß", "ɏ", "Ωσ", "Жя", "word", "<|endoftext|>"]
+    sure = {rng.choice(" \n") + "".join(rng.choices(signs, k=rng.randrange(1, 9))) for _ in range(3000)}
+    others = {" it's", " 'tis", "  two", "\n\nline", " λόγος", " 漢字", " á", "start", " "}
+    coder = units.ByteLevel(library[0].to_str())
+    library[0].encode_special_tokens = False
+    given, ids_of = [], coder._ids
+    coder._ids = lambda texts: given.extend(texts) or ids_of(texts)
+    order, ids, stops = coder.encode([*sure, *others])
+    assert {*order} == sure | others and len(order) == len(stops)
+    for unit, part in zip(order, np.split(ids, stops[:-1]), strict=True):
+        assert part.tolist() == library[0].encode(unit, add_special_tokens=False).ids
+    # Only the others and what holds a special token are left to the whole tokenizer.
+    assert sum(map(len, given)) == sum(map(len, others)) + sum(len(unit) for unit in sure if "<|endoftext|>" in unit)
+    assert coder.encode([])[0] == []
+
+
+def test_units_are_looked_up_once_and_learned_in_any_order():
+    memory, learned = units.Memory(kept=3), []
+
+    def learn(new):
+        learned.append(sorted(new))
+        return ((unit, unit.upper()) for unit in reversed(new))
+
+    long = "x" * (units.LONGEST_KEPT + 1)
+    for found in (["a", "b", "a", long], ["b", "c", "d"], ["a", "e", long], []):
+        assert memory.values(found, learn) == [unit.upper() for unit in found]
+    assert learned == [["a", "b", long], ["c", "d"], ["e", long]]
+    assert units.joined([b"1", b"2", b"3"], [["a"], [], ["b", "c"]]) == [b"1", b"", b"23"]
