@@ -5,9 +5,10 @@ scores or merges, and byte fallback are rebuilt from it.  Batches are encoded
 by several threads, and all ids are held against SentencePiece's own.
 
 Where the vocabulary shows that no piece can cross the border of a word, a task
-encodes and decodes each unit of the texts (:mod:`units`) once and keeps the
-last ones; a text's ids are then those of its units in a row, and are still held
-against the ids that SentencePiece gives for the whole text.  Other models take
+encodes and decodes each unit of the texts (:mod:`units`) once, the new ones of
+many texts together, and keeps the last ones; a text's ids are then those of its
+units in a row, and are still held against the ids that SentencePiece gives for
+the whole text.  Other models take
 whole texts throughout.
 
 A null text has null ids and 0 tokens; an empty text has no ids.  Repeated rows
@@ -25,6 +26,7 @@ from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -188,15 +190,17 @@ class Codec:
     def decode(self, ids: list[list[int]]) -> list[str]:
         return self.tokenizer.decode_batch(ids, skip_special_tokens=False)
 
-    def reference(self, texts: list[str]) -> list[list[int]]:
-        return self.original.encode(texts, num_threads=self.threads) if texts else []
+    def reference(self, texts: list[str]) -> list[bytes]:
+        """SentencePiece's ids as 32-bit numbers."""
+        found = self.original.encode(texts, out_type="numpy", num_threads=self.threads) if texts else []
+        return [ids.astype("<i4", copy=False).tobytes() for ids in found]
 
     def checked(self, texts: list[str]) -> tuple[list[bytes], list[bool], list[bool]]:
         """Ids as 32-bit numbers, parity and round trip of whole texts."""
         ids = self.encode(texts)
-        parity = [a == b for a, b in zip(ids, self.reference(texts))]
         same = [a == b for a, b in zip(texts, self.decode(ids))]
-        return [np.array(one, dtype="<i4").tobytes() for one in ids], parity, same
+        packed = [np.array(one, dtype="<i4").tobytes() for one in ids]
+        return packed, [a == b for a, b in zip(packed, self.reference(texts))], same
 
 
 class UnitCodec(Codec):
@@ -210,10 +214,14 @@ class UnitCodec(Codec):
         super().__init__(proto, threads)
         self.unit_tokenizer = rebuild(self.model, prefix=False)
         self.prefix = " " if self.model.dummy_prefix else ""
-        self.alone = [self.original.piece_to_id(MARK)]
+        self.alone = struct.pack("<i", self.original.piece_to_id(MARK))
+        # Pieces that are found before the model splits a text.
+        self.added = USER_DEFINED in self.model.kinds
         self.memory = units.Memory()
+        #: Known units that are not given back.
+        self.changed: set[str] = set()
 
-    def reference(self, texts: list[str]) -> list[list[int]]:
+    def reference(self, texts: list[str]) -> list[bytes]:
         """SentencePiece's ids of slices that have their first blank already."""
         if not self.prefix:
             return super().reference(texts)
@@ -232,36 +240,47 @@ class UnitCodec(Codec):
         if held:
             yield held
 
+    def _unit_ids(self, new: list[str]) -> list[list[int]]:
+        if self.added:
+            return [one.ids for one in self.unit_tokenizer.encode_batch_fast(new, add_special_tokens=False)]
+        tokenize = self.unit_tokenizer.model.tokenize
+        return [[token.id for token in tokenize(unit.replace(" ", MARK))] for unit in new]
+
+    def _learn(self, new: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Ids of new units, which are decoded at once, and one by one if they do not all come back."""
+        ids = self._unit_ids(new)
+        row = [*chain.from_iterable(ids)]
+        # Unknown pieces may change the length; all else that is changed stays in its place.
+        if self.model.unknown in row or self.unit_tokenizer.decode(row, skip_special_tokens=False) != "".join(new):
+            if len(self.changed) > self.memory.kept:
+                self.changed = {u for u in self.changed if u in self.memory.known or u in self.memory.older}
+            back = self.unit_tokenizer.decode_batch(ids, skip_special_tokens=False)
+            self.changed.update(unit for unit, other in zip(new, back) if unit != other)
+        return zip(new, [array("i", one).tobytes() for one in ids])
+
     def checked(self, texts: list[str]) -> tuple[list[bytes], list[bool], list[bool]]:
-        ids, parity, same, held, size = [], [True] * len(texts), [], [], 0
+        parts: list[list[bytes]] = [[] for _ in texts]
+        parity, same, held, size = [True] * len(texts), [True] * len(texts), [], 0
 
         def compare() -> None:
-            for (place, _, own), reference in zip(held, self.reference([whole for _, whole, _ in held])):
-                parity[place] = parity[place] and array("i", reference).tobytes() == own
+            places, cut, whole = zip(*held)
+            own = units.joined(self.memory.values([*chain.from_iterable(cut)], self._learn), cut)
+            for place, found, ids, reference in zip(places, cut, own, self.reference(whole), strict=True):
+                parts[place].append(ids)
+                parity[place] = parity[place] and ids == reference
+                same[place] = same[place] and self.changed.isdisjoint(found if self.changed else ())
             held.clear()
 
         for place, text in enumerate(texts):
-            parts, kept = [], True
             for found in self.slices(text):
-                new = self.memory.missing(found)
-                known = self.memory.known
-                if new:
-                    encoded = [one.ids for one in self.unit_tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-                    back = self.unit_tokenizer.decode_batch(encoded, skip_special_tokens=False)
-                    known.update((u, (array("i", e).tobytes(), u == b)) for u, e, b in zip(new, encoded, back))
-                own, unchanged = zip(*map(known.__getitem__, found))
-                parts.append(b"".join(own))
-                kept = kept and all(unchanged)
-                self.memory.drop_long(new)
-                held.append((place, "".join(found), parts[-1]))
-                size += len(held[-1][1])
-                if size > units.SLICE:
+                held.append((place, found, "".join(found)))
+                size += len(held[-1][2])
+                if size > units.SLICE >> 1:
                     compare()
                     size = 0
-            ids.append(b"".join(parts))
-            same.append(kept)
-        compare()
-        return ids, parity, same
+        if held:
+            compare()
+        return [b"".join(one) for one in parts], parity, same
 
 
 @lru_cache(maxsize=1)

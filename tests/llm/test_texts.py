@@ -61,6 +61,37 @@ def test_ids_equal_those_of_the_original(proto):
     assert pieces.Codec(proto, 1).decode(want) == [original.decode(one) for one in want]
 
 
+class Counted:
+    """A tokenizer whose calls are counted."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.calls = tokenizer, []
+
+    def __getattr__(self, name):
+        self.calls.append(name)
+        return getattr(self.tokenizer, name)
+
+
+def test_units_of_many_texts_are_learned_at_once(proto, monkeypatch):
+    texts = [*filter(None, random_texts(3, 40)), "", "it's  two\nlines", " ", "x" * 70]
+    original = sentencepiece.SentencePieceProcessor(model_proto=proto)
+    codec = pieces.UnitCodec(proto, 1)
+    codec.unit_tokenizer = Counted(codec.unit_tokenizer)
+    plain = [text for text in texts if pieces.MARK not in text]
+    ids, parity, same = codec.checked(plain)
+    assert [np.frombuffer(one, "<i4").tolist() for one in ids] == original.encode(plain) and all(parity) and all(same)
+    assert codec.unit_tokenizer.calls == ["model", "decode"] and not codec.changed
+    # What is not given back is told of every text that has it, also when its unit is known.
+    marked = ["a \u2581 b", "plain", "c a \u2581 b", ""]
+    for _ in range(2):
+        assert codec.checked(marked)[1:] == ([True] * 4, [False, True, False, True])
+    monkeypatch.setattr(pieces.units, "SLICE", 4)
+    assert codec.checked(marked)[1:] == ([True] * 4, [False, True, False, True])
+    # Ids that are not SentencePiece's are told as well.
+    monkeypatch.setitem(codec.memory.known, " plain", b"\0\0\0\0")
+    assert codec.checked(marked)[1] == [True, False, True, True]
+
+
 def message(*parts: tuple[int, object]) -> bytes:
     """A protobuf message of numbers, floats and bytes."""
     out = b""
