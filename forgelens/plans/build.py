@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -12,15 +13,18 @@ from pyspark.util import inheritable_thread_target
 
 from ..operators.quality import RESULT, Rule, counters, evaluate, stop_on_errors
 from ..schemas import RESOURCES
+from ..session import shuffles_released
 from ..sources.sliced import SlicedTable
 from . import dims, marts, snapshot
 from .contracts import CAST_RULES, TABLE_RULES
-from .facts import FACTS
+from .facts import FACTS, shares
 from .staging import stage
 from .stores import DailyFacts, RepoHistory, VersionedTable
 
 # Tables built at the same time.
 THREADS = 4
+# Staged rows that become facts at a time: what is shuffled for them is on the disks at once.
+SHARE_ROWS = 40_000_000
 
 
 @dataclass
@@ -33,21 +37,34 @@ class Build:
     gate: bool = True
     tables: dict[str, DataFrame] = field(default_factory=dict)
     outcomes: list[Row] = field(default_factory=list)
+    rows: dict[str, int] = field(default_factory=dict)
 
     def check(self, name: str, df: DataFrame, rules: Sequence[Rule], counted: Mapping[str, int] | None = None) -> None:
         rows = evaluate(name, df, rules, self.tables, counted).collect()
         self.outcomes += rows
+        # Some rule looks at every row of its table.
+        self.rows[name] = max(r.n_checked for r in rows)
         if self.gate:
             stop_on_errors([r for r in rows if not r.passed])
 
     def store(self, name: str, df: DataFrame) -> DataFrame:
+        """A table in one part."""
+        return self.store_parts(name, [df])
+
+    def store_parts(self, name: str, parts: Sequence[DataFrame]) -> DataFrame:
         """Write, check, and only then show the table to readers.
 
-        Row rules are observed by the tasks that write, so no second read counts them.
+        Parts are written one after another.  Row rules are observed by the
+        tasks that write, so no second read counts them.
         """
-        table, seen, rules = VersionedTable(self.spark, f"{self.warehouse}/{name}"), Observation(), TABLE_RULES[name]
-        self.tables[name] = table.write(df.observe(seen, *counters(rules)), self.tag)
-        self.check(name, self.tables[name], rules, seen.get)
+        table, rules = VersionedTable(self.spark, f"{self.warehouse}/{name}"), TABLE_RULES[name]
+        seen = [Observation() for _ in parts]
+        first, *more = [part.observe(s, *counters(rules)) for part, s in zip(parts, seen, strict=True)]
+        self.tables[name] = table.write(first, self.tag, *more)
+        counted: Counter[str] = Counter()
+        for part in seen:
+            counted.update(part.get)
+        self.check(name, self.tables[name], rules, counted)
         table.commit(self.tag)
         return self.tables[name]
 
@@ -67,10 +84,12 @@ class Build:
         self.check(name, df if checked is None else checked, [*TABLE_RULES[name], *rules])
         return df
 
-    def level(self, steps: Mapping[str, Callable[..., DataFrame]]) -> None:
-        """Steps that do not depend on each other, as jobs that run side by side."""
-        with ThreadPoolExecutor(max_workers=min(len(steps), THREADS)) as pool:
-            done = [pool.submit(inheritable_thread_target(self.spark)(step), name) for name, step in steps.items()]
+    def level(self, *groups: Mapping[str, Callable[..., DataFrame]]) -> None:
+        """Steps that do not depend on each other: those of a group as jobs that run side by side, a group at a time."""
+        done = []
+        for steps in groups:
+            with ThreadPoolExecutor(max_workers=min(len(steps), THREADS)) as pool:
+                done += [pool.submit(inheritable_thread_target(self.spark)(step), name) for name, step in steps.items()]
         for step in done:
             step.result()
 
@@ -98,6 +117,14 @@ def build(
     by day, and only days that were loaded since the last build are made and checked.
     """
     out = Build(spark, warehouse, tag, gate)
+    with shuffles_released(spark):
+        _build(out, raw, run_ts, landed)
+    return out
+
+
+def _build(
+    out: Build, raw: Mapping[str, DataFrame], run_ts: Column | None, landed: Mapping[str, SlicedTable] | None
+) -> None:
     staged = {r: stage(raw[r], r) for r in RESOURCES}
     flagged = {r: stage(raw[r], r, flagged=True) for r in RESOURCES}
     out.level(
@@ -111,25 +138,27 @@ def build(
     if run_ts is None:
         history = out.store("repos_snapshot", snapshot.repos_snapshot(repos))
     else:
-        kept = RepoHistory(spark, f"{warehouse}/repos_history")
-        history = out.view("repos_snapshot", kept.write(repos, tag, run_ts))
-        kept.commit(tag)
+        kept = RepoHistory(out.spark, f"{out.warehouse}/repos_history")
+        history = out.view("repos_snapshot", kept.write(repos, out.tag, run_ts))
+        kept.commit(out.tag)
 
     dimensions = {
-        "dim_date": dims.dim_date(spark),
+        "dim_date": dims.dim_date(out.spark),
         "dim_repos": snapshot.dim_repos(history),
         "dim_developers": dims.dim_developers(repos, prs, issues),
     }
-    steps = {
+    reduced = {
         "mart_trending_repos": partial(out.store, df=marts.mart_trending_repos(history)),
         "mart_developer_activity": partial(out.store, df=marts.mart_developer_activity(history)),
         "mart_community_health": partial(out.store, df=marts.mart_community_health(history, issues, prs)),
     }
+    whole = {}
     for resource, (name, make) in FACTS.items():
         if landed is None:
-            steps[name] = partial(out.store, df=make(staged[resource]))
+            count = -(-out.rows[f"stg_{resource}"] // SHARE_ROWS)
+            whole[name] = partial(out.store_parts, parts=[make(s) for s in shares(staged[resource], resource, count)])
         else:
-            steps[name] = partial(out.store_days, resource=resource, raw=landed[resource])
+            whole[name] = partial(out.store_days, resource=resource, raw=landed[resource])
     out.level({name: partial(out.store, df=df) for name, df in dimensions.items()})
-    out.level(steps)
-    return out
+    # Facts shuffle whole records, and have the disks to themselves.
+    out.level(reduced, whole)

@@ -86,3 +86,13 @@ FACTS = {
     "pull_requests": ("fact_pull_requests", fact_pull_requests),
     "issues": ("fact_issues", fact_issues),
 }
+# The record a row of each resource is about.
+RECORDS = {"repositories": "repo_id", "pull_requests": "pr_id", "issues": "issue_id"}
+
+
+def shares(staged: DataFrame, resource: str, count: int) -> list[DataFrame]:
+    """The rows in ``count`` shares, in one of which all rows of a record and run are."""
+    if count < 2:
+        return [staged]
+    place = F.pmod(F.xxhash64(RECORDS[resource], "run_id"), F.lit(count))
+    return [staged.filter(place == i) for i in range(count)]

@@ -24,10 +24,16 @@ class VersionedTable:
         self._path = path
         self._log = CommitLog(spark, f"{path}/commits")
 
-    def write(self, df: DataFrame, tag: str) -> DataFrame:
-        """Write a build without showing it to readers yet; return what was written."""
-        write_folder(df, f"{self._path}/build={tag}")
-        return self._spark.read.parquet(f"{self._path}/build={tag}")
+    def write(self, df: DataFrame, tag: str, *more: DataFrame) -> DataFrame:
+        """Write a build without showing it to readers yet; return what was written.
+
+        A build may come in parts, which are written one after another.
+        """
+        path = f"{self._path}/build={tag}"
+        write_folder(df, path)
+        for part in more:
+            write_folder(part, path, add=True)
+        return self._spark.read.parquet(path)
 
     def commit(self, tag: str) -> None:
         self._log.add(tag)

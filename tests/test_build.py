@@ -1,14 +1,20 @@
 from __future__ import annotations
 
 import copy
+import time
+from pathlib import Path
 
 import pytest
 from samples import raw_of, rows, sample_payloads
 from pyspark.sql import functions as F
 
+from forgelens import session
 from forgelens.operators.quality import QualityError
+from forgelens.plans import build as building
+from forgelens.plans import stores
 from forgelens.plans.build import build
 from forgelens.plans.contracts import TABLE_RULES
+from forgelens.plans.facts import FACTS
 from forgelens.plans.stores import VersionedTable
 
 
@@ -98,3 +104,52 @@ def test_a_version_that_ends_when_it_starts_is_told(spark, tmp_path):
     out = build(spark, both, str(tmp_path), "1")
     (told,) = [r for r in out.outcomes if r.table_name == "repos_snapshot" and not r.passed]
     assert (told.column_name, told.severity, told.n_failed) == ("dbt_valid_to", "warn", 1)
+
+
+def shuffle_files(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {file for folder in folders for file in Path(folder).rglob("shuffle_*")}
+
+
+def test_a_build_leaves_no_shuffles(spark, sample_raw, tmp_path):
+    before = shuffle_files(spark)
+    build(spark, sample_raw, str(tmp_path), "1")
+    # Files are removed in the background.
+    until = time.time() + 20
+    while shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.5)
+    assert not shuffle_files(spark) - before
+
+
+def test_shuffles_are_kept_again_after_a_build(spark, tmp_path):
+    spark.conf.set(session._RELEASE, "false")
+    payloads = copy.deepcopy(sample_payloads())
+    payloads["issues"][0]["state"] = "lost"
+    with pytest.raises(QualityError):
+        build(spark, raw_tables(spark, payloads), str(tmp_path), "1")
+    assert spark.conf.get(session._RELEASE) == "false"
+    spark.conf.unset(session._RELEASE)
+
+
+def test_facts_made_in_shares_are_the_same(spark, tmp_path, monkeypatch):
+    payloads = copy.deepcopy(sample_payloads())
+    for resource, records in payloads.items():
+        # Records that come twice, one that comes often and two without an id.
+        more = [records[i % 3] | {"id": i} for i in range(30)] + [records[0] | {"comments": i} for i in range(9)]
+        payloads[resource] = [*records, *more, *more[:9], records[1] | {"id": None}, records[2] | {"id": None}]
+    raw = raw_tables(spark, payloads)
+    whole = build(spark, raw, f"{tmp_path}/whole", "1", gate=False)
+    written, write = [], stores.write_folder
+
+    def spied(df, path, **how):
+        written.append((Path(path).parts[-2], how.get("add", False)))
+        write(df, path, **how)
+
+    monkeypatch.setattr(stores, "write_folder", spied)
+    monkeypatch.setattr(building, "SHARE_ROWS", 20)
+    parted = build(spark, raw, f"{tmp_path}/parted", "1", gate=False)
+    assert sorted(map(str, parted.outcomes)) == sorted(map(str, whole.outcomes))
+    for name, _ in FACTS.values():
+        assert [add for table, add in written if table == name] == [False, True, True]
+        one, other = (sorted(map(str, out.tables[name].collect())) for out in (whole, parted))
+        assert one == other and len(one) == 34
