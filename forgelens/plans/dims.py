@@ -33,10 +33,13 @@ def dim_developers(repositories: DataFrame, pull_requests: DataFrame, issues: Da
                 F.lit("User").alias("developer_type"),
             )
         )
+    # Unknown ids are told by a count: a filter on the id would be pushed to the scan, and a task
+    # that deals the rows of a file would have to parse each of its payloads for it.
     return (
-        people.filter(F.col("developer_id").isNotNull())
-        .distinct()
-        .select(surrogate_key("developer_id").alias("developer_key"), "*")
+        people.groupBy(*people.columns)
+        .agg(F.count("developer_id").alias("__known"))
+        .filter(F.col("__known") > 0)
+        .select(surrogate_key("developer_id").alias("developer_key"), *people.columns)
     )
 
 

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from forgelens import queries
+from forgelens.plans import dims, staging
 from forgelens.sources import feeds
 
 PART = ["id AS p_partkey", "concat('red part ', id) AS p_name", "'PROMO' AS p_type", "'Brand#1' AS p_brand", "int(id % 50) AS p_size"]
@@ -60,3 +61,19 @@ def test_records_that_are_sorted_are_dealt_over_tasks(spark, tables):
     assert found.exceptAll(plain).isEmpty() and plain.exceptAll(found).isEmpty()
     dealt = {tuple(r) for r in queries.fact_pull_requests(spark, tables).collect()}
     assert len(dealt) == 400
+
+
+def test_unknown_developers_are_dropped_behind_the_deal(spark, tables):
+    events = spark.range(400).selectExpr(
+        "id AS event_id", "timestamp '2024-01-01 00:00:00' AS ts", "id % 30 AS user_id", "'view' AS event_type",
+        "1.0D AS value", """if(id % 5 = 0, '{}', concat('{"k": ', id % 90, '}')) AS props"""
+    )
+    events.coalesce(1).write.parquet(f"{tables}/events.parquet")
+    issues = staging.stage(feeds.payload_text(feeds.feed(spark, tables, "issues", sorts=True)), "issues")
+    owners = spark.createDataFrame([], "owner_id BIGINT, owner_login STRING, owner_type STRING")
+    found = dims.dim_developers(owners, issues, issues.filter("false"))
+    # No task parses the payloads of all the rows that it deals.
+    dealt, below = found._jdf.queryExecution().optimizedPlan().toString().split("RepartitionByExpression")
+    assert "from_json" in dealt and "from_json" not in below
+    ids = {r[0] for r in issues.select("author_id").collect()}
+    assert None in ids and ids - {None} == {r[0] for r in found.select("developer_id").collect()}
